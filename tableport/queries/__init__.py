@@ -1,8 +1,8 @@
 """Every registered query with its equivalent SQL."""
 
-from . import scans
+from . import catalog, quality, scans
 
-_MODULES = (scans,)
+_MODULES = (scans, catalog, quality)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
