@@ -44,15 +44,25 @@ def excluded_names(names, patterns, schema: str = "main") -> set[str]:
     return {n for n in names if any(r.match(n) or r.match(f"{schema}.{n}") for r in rules)}
 
 
+def row_counts(tables: Tables) -> DataFrame:
+    """(table_name, row_count) of every non-empty table.
+
+    All scans feed one map-side-combined count, so many tables cost one shuffle of a row per task; no
+    column is read, the Parquet footers answer.
+    """
+    rows = union_all([df.select(F.lit(name).alias("table_name")) for name, df in tables.items()])
+    return rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def inventory(tables: Tables, schema: str = "main") -> DataFrame:
-    """One row per table: names, ordinal, columns and exact row count (answered by Parquet footers)."""
-    frames = []
-    for ordinal, (name, df) in enumerate(tables.items()):
-        frames.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(schema).alias("schema_name"), F.lit(name).alias("table_name"),
-            F.lit(ordinal).alias("ordinal"), F.lit(len(df.columns)).alias("column_count"), "row_count"))
-    listing = union_all(frames)
-    return listing.withColumn("table_fqn", qualified_name("schema_name", "table_name"))
+    """One row per table: names, ordinal, number of columns and exact row count."""
+    listing = _session(tables).createDataFrame(
+        [(schema, name, i, len(df.columns)) for i, (name, df) in enumerate(tables.items())],
+        "schema_name string, table_name string, ordinal int, column_count int")
+    return listing.join(row_counts(tables), "table_name", "left").select(
+        "schema_name", "table_name", "ordinal", "column_count",
+        F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
+        qualified_name("schema_name", "table_name").alias("table_fqn"))
 
 
 def inventory_totals(listing: DataFrame, large_rows: int = LARGE_TABLE_ROWS) -> DataFrame:

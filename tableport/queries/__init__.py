@@ -1,8 +1,8 @@
 """Every registered query with its equivalent SQL."""
 
-from . import catalog, quality, scans
+from . import bundles, catalog, quality, scans, values
 
-_MODULES = (scans, catalog, quality)
+_MODULES = (scans, catalog, values, bundles, quality)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
