@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import glob_to_regex, make_fqn, qualified_name
 from .chunking import ChunkPlan, SINGLE, modulo_plan, ntile_plan, range_plan
@@ -19,7 +18,13 @@ Tables = Mapping[str, DataFrame]
 
 
 def union_all(frames) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """Bag union by name, paired up as a tree so the plan stays log(n) deep."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = zip(frames[::2], frames[1::2])
+        odd = frames[-1:] if len(frames) % 2 else []
+        frames = [a.unionByName(b) for a, b in pairs] + odd
+    return frames[0]
 
 
 def _session(tables: Tables) -> SparkSession:
@@ -87,36 +92,35 @@ def _is_key_type(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.IntegerType, T.LongType))
 
 
-def _value_bytes(name: str, dtype: T.DataType) -> Column | None:
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return F.max(F.octet_length(F.col(f"`{name}`"))).cast("bigint")
-    return None
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def column_profile(tables: Tables) -> DataFrame:
     """One row per column: rows, nulls, integer bounds and longest value, in one pass per table."""
     frames = []
-    none = F.lit(None).cast("bigint")
     for name, df in tables.items():
-        aggregates, cells = [F.count(F.lit(1)).alias("rows")], []
+        aggregates, cells = ["count(1) AS rows"], []
         for i, f in enumerate(df.schema.fields):
-            c = F.col(f"`{f.name}`")
-            aggregates.append(F.count_if(c.isNull()).alias(f"n{i}"))
-            keyed, longest = _is_key_type(f.dataType), _value_bytes(f.name, f.dataType)
-            if keyed:
-                aggregates += [F.min(c).cast("bigint").alias(f"lo{i}"), F.max(c).cast("bigint").alias(f"hi{i}")]
-            if longest is not None:
-                aggregates.append(longest.alias(f"b{i}"))
-            cells.append(F.struct(
-                F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"), F.lit(keyed).alias("key_type"),
-                F.col(f"n{i}").alias("nulls"),
-                (F.col(f"lo{i}") if keyed else none).alias("lo"),
-                (F.col(f"hi{i}") if keyed else none).alias("hi"),
-                (F.col(f"b{i}") if longest is not None else none).alias("max_bytes")))
-        frames.append(df.agg(*aggregates).select(
-            F.lit(name).alias("table_name"), "rows", F.explode(F.array(*cells)).alias("c"))
-            .select("table_name", "rows", "c.*"))
+            c = _quoted(f.name)
+            aggregates.append(f"count_if({c} IS NULL) AS n{i}")
+            lo = hi = longest = "CAST(NULL AS BIGINT)"
+            if _is_key_type(f.dataType):
+                aggregates += [f"CAST(min({c}) AS BIGINT) AS lo{i}", f"CAST(max({c}) AS BIGINT) AS hi{i}"]
+                lo, hi = f"lo{i}", f"hi{i}"
+            elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+                aggregates.append(f"CAST(max(octet_length({c})) AS BIGINT) AS b{i}")
+                longest = f"b{i}"
+            cells.append(
+                f"struct({i} AS ordinal, {_text(f.name)} AS column_name, "
+                f"{_text(f.dataType.simpleString())} AS data_type, {str(_is_key_type(f.dataType))} AS key_type, "
+                f"n{i} AS nulls, {lo} AS lo, {hi} AS hi, {longest} AS max_bytes)")
+        frames.append(df.agg(*[F.expr(a) for a in aggregates]).selectExpr(
+            f"{_text(name)} AS table_name", "rows", f"inline(array({', '.join(cells)}))"))
     return union_all(frames)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -10,7 +12,9 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    return {name: read_table(spark, root, name) for name in names}
+    # opening a table reads a footer in a small job of its own; several run at a time
+    with ThreadPoolExecutor(8) as pool:
+        return dict(zip(names, pool.map(lambda name: read_table(spark, root, name), names)))
 
 
 def full_scan(df: DataFrame, columns=None) -> DataFrame:
