@@ -1,0 +1,27 @@
+"""Synthetic tables for sink measurements; values restart every batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+BATCH = 100_000
+
+
+def wide_table(spark: SparkSession, rows: int, columns: int) -> DataFrame:
+    """Even columns hold the row's place in its batch, odd ones ``val_<place>``."""
+    place = F.col("id") % BATCH
+    cells = [
+        place.alias(f"col_int_{i}") if i % 2 == 0
+        else F.concat(F.lit("val_"), place.cast("string")).alias(f"col_str_{i}")
+        for i in range(columns)
+    ]
+    return spark.range(rows).select(*cells)
+
+
+def probe_table(spark: SparkSession, rows: int) -> DataFrame:
+    """Five columns: id, 7 id, ``str_<id>``, ``val_<id>``, id mod 1000, id restarting every batch."""
+    place = F.col("id") % BATCH
+    text = place.cast("string")
+    return spark.range(rows).select(
+        place.alias("a"), (place * 7).alias("b"), F.concat(F.lit("str_"), text).alias("c"),
+        F.concat(F.lit("val_"), text).alias("d"), (place % 1000).alias("e"))
