@@ -10,9 +10,12 @@ METRIC_DOCUMENT = (
 )
 
 
-def latest_average(document: Column, metric: str) -> Column:
-    """Last non-null average of the first series of ``metric``; 0 when there is none."""
-    parsed = F.from_json(document, METRIC_DOCUMENT)
+def parse_metrics(document: Column) -> Column:
+    return F.from_json(document, METRIC_DOCUMENT)
+
+
+def latest_average(parsed: Column, metric: str) -> Column:
+    """Last non-null average of the first series of ``metric`` in a parsed document; 0 when there is none."""
     named = F.get(F.filter(parsed["value"], lambda m: m["name"]["value"] == metric), F.lit(0))
     points = F.get(named["timeseries"], F.lit(0))["data"]
     known = F.filter(points, lambda p: p["average"].isNotNull())

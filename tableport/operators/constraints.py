@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.inventory import union_all
+from ..session import small_frame
 
 # The order constraints are applied in after a load.
 KIND_ORDER = ("PRIMARY KEY", "UNIQUE", "CHECK", "NOT NULL", "FOREIGN KEY")
@@ -175,8 +176,8 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Constraints)
             "status", F.when(F.col("violations") == 0, "OK").otherwise("VIOLATED")))
     if skipped:
         spark = next(iter(tables.values())).sparkSession
-        report.append(spark.createDataFrame(
-            [(KIND_ORDER.index(kind), kind, table, name, None, "SKIPPED") for kind, table, name in skipped],
+        report.append(small_frame(
+            spark, [(KIND_ORDER.index(kind), kind, table, name, None, "SKIPPED") for kind, table, name in skipped],
             "seq int, kind string, table_name string, constraint_name string, violations bigint, status string"))
     if not report:
         raise ValueError("no constraints given")

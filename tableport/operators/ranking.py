@@ -6,7 +6,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialize
+from ..session import materialize, small_frame
 
 
 def global_row_number(df: DataFrame, order_by, name: str = "position") -> DataFrame:
@@ -21,8 +21,8 @@ def global_row_number(df: DataFrame, order_by, name: str = "position") -> DataFr
     task, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
     counts = sorted(tuple(r) for r in placed.groupBy(task.alias("task")).count().collect())
     before = [0, *accumulate(n for _, n in counts)]
-    offsets = df.sparkSession.createDataFrame(
-        [(t, b) for (t, _), b in zip(counts, before)] or [(0, 0)], "_task bigint, _before bigint")
+    offsets = small_frame(
+        df.sparkSession, [(t, b) for (t, _), b in zip(counts, before)], "_task bigint, _before bigint")
     return (placed.withColumn("_task", task).join(F.broadcast(offsets), "_task")
             .withColumn(name, F.col("_before") + place + 1).drop("_at", "_task", "_before"))
 

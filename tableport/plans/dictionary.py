@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.types import declared_length, referential_action
 from ..operators.constraints import Constraints
+from ..session import small_frame
 
 
 def key_columns(spark: SparkSession, constraints: Constraints) -> DataFrame:
     rows = [(key.table, key.name or "_".join((key.table, *key.columns)), key.primary, position, column,
              column in key.descending)
             for key in constraints.keys for position, column in enumerate(key.columns)]
-    return spark.createDataFrame(
-        rows, "table_name string, key_name string, is_primary boolean, position int, column_name string, "
+    return small_frame(
+        spark, rows, "table_name string, key_name string, is_primary boolean, position int, column_name string, "
               "is_descending boolean")
 
 
@@ -24,15 +25,15 @@ def foreign_key_columns(spark: SparkSession, constraints: Constraints) -> DataFr
     rows = [(fk.name, fk.child, fk.parent, position, child, parent, fk.on_delete, fk.on_update)
             for fk in constraints.foreign_keys
             for position, (child, parent) in enumerate(zip(fk.child_cols, fk.parent_cols))]
-    return spark.createDataFrame(
-        rows, "fk string, child string, parent string, position int, child_col string, parent_col string, "
+    return small_frame(
+        spark, rows, "fk string, child string, parent string, position int, child_col string, parent_col string, "
               "on_delete string, on_update string")
 
 
 def check_rows(spark: SparkSession, constraints: Constraints) -> DataFrame:
     rows = [(c.table, c.name, c.condition, c.disabled, c.untrusted) for c in constraints.checks]
-    return spark.createDataFrame(
-        rows, "table_name string, name string, condition string, is_disabled boolean, is_not_trusted boolean")
+    return small_frame(
+        spark, rows, "table_name string, name string, condition string, is_disabled boolean, is_not_trusted boolean")
 
 
 def describe(columns: DataFrame, keys: DataFrame, fks: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.names import make_fqn
 from ..operators.reconcile import assert_reconciled, merge_parts, missing_results, reconcile, stem_collisions
-from ..session import path_exists
+from ..session import path_exists, pinned, small_frame
 from ..sources import bundle as bd
 from .chunking import ChunkPlan, SINGLE
 from .inventory import LARGE_TABLE_ROWS, chunk_plan, excluded_names, export_order, inventory, plan_tables
@@ -66,7 +66,7 @@ def export_tables(
     if not tables:
         raise ValueError("no tables to export")
     fqns = {name: make_fqn(schema, name) for name in tables}
-    names = spark.createDataFrame([(f,) for f in fqns.values()], "table_fqn string")
+    names = small_frame(spark, [(f,) for f in fqns.values()], "table_fqn string")
     clash = stem_collisions(names).first() if len(fqns) > 1 else None
     if clash:
         raise ValueError(f"{clash['first_fqn']} and {clash['second_fqn']} share the file stem {clash['stem']}")
@@ -89,17 +89,17 @@ def export_tables(
     folders = {fqn: [bd.data_dir(fqn)] for fqn in fqns.values()}
     counted = bd.stored_counts(spark, out, folders, schemas)
     path = F.concat(F.lit("data/"), F.col("folder"), F.lit("/_part="), F.col("part").cast("string"))
-    where = spark.createDataFrame([(fqn, bd.data_dir(fqn).removeprefix("data/")) for fqn in fqns.values()],
+    where = small_frame(spark, [(fqn, bd.data_dir(fqn).removeprefix("data/")) for fqn in fqns.values()],
                                   "table_fqn string, folder string")
     stats = counted.join(where, "table_fqn").select("table_fqn", "part", path.alias("path"), "rows")
     # at most tables x chunks rows: this is what goes into the manifest
-    stats = spark.createDataFrame(stats.collect(), stats.schema)
+    stats = pinned(stats)
     merged = {r["table_fqn"]: r for r in merge_parts(stats).collect()}
     for fqn, rows in written.items():
         stored = merged[fqn]["row_count"] if fqn in merged else 0
         if stored != rows:
             raise ValueError(f"{fqn}: {rows} rows read, {stored} rows stored")
-    results = spark.createDataFrame([(f,) for f in written], "table_fqn string")
+    results = small_frame(spark, [(f,) for f in written], "table_fqn string")
     if missing_results(names, results, "table_fqn").take(1):
         raise ValueError("some tables were not exported; refusing to write a partial bundle")
 
@@ -113,7 +113,7 @@ def export_tables(
                         "has_identity": bool(identity), "identity_columns": identity})
     if validate and not schema_only:
         live = inventory(tables, schema).select("table_fqn", "row_count")
-        archive = spark.createDataFrame([(e["table_fqn"], e["row_count"]) for e in entries],
+        archive = small_frame(spark, [(e["table_fqn"], e["row_count"]) for e in entries],
                                         "table_fqn string, row_count bigint")
         assert_reconciled(reconcile(archive, live, "table_fqn"))
     bd.write_schemas(spark, out, schemas)

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import glob_to_regex, make_fqn, qualified_name
+from ..session import pinned, small_frame
 from .chunking import ChunkPlan, SINGLE, modulo_plan, ntile_plan, range_plan
 
 # A table above this many rows counts as large; values above this many bytes are
@@ -61,7 +62,8 @@ def row_counts(tables: Tables) -> DataFrame:
 
 def inventory(tables: Tables, schema: str = "main") -> DataFrame:
     """One row per table: names, ordinal, number of columns and exact row count."""
-    listing = _session(tables).createDataFrame(
+    listing = small_frame(
+        _session(tables),
         [(schema, name, i, len(df.columns)) for i, (name, df) in enumerate(tables.items())],
         "schema_name string, table_name string, ordinal int, column_count int")
     return listing.join(row_counts(tables), "table_name", "left").select(
@@ -161,8 +163,8 @@ def key_profile(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
         for rank, (not_unique, _, _, r) in enumerate(sorted(entries, key=lambda e: e[:3]), start=1):
             rows.append((r["table_name"], r["column_name"], r["ordinal"], r["rows"], r["nulls"], r["lo"],
                          r["hi"], not not_unique, rank))
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, ordinal int, rows bigint, nulls bigint, lo bigint, "
+    return small_frame(
+        spark, rows, "table_name string, column_name string, ordinal int, rows bigint, nulls bigint, lo bigint, "
               "hi bigint, is_unique boolean, key_rank int")
 
 
@@ -202,9 +204,7 @@ def export_order(plan: DataFrame) -> DataFrame:
 def plan_tables(tables: Tables, n: int = 8, threshold: int = LARGE_TABLE_ROWS) -> DataFrame:
     listing = inventory(tables)
     # one row per column: small whatever the tables hold, and needed three times below
-    spark = _session(tables)
-    scanned = column_profile(tables)
-    profile = spark.createDataFrame(scanned.collect(), scanned.schema)
+    profile = pinned(column_profile(tables))
     return plan_rows(listing, key_profile(tables, profile), lob_profile(profile), n, threshold)
 
 
@@ -261,7 +261,8 @@ def dictionary(tables: Tables, schema: str = "main") -> DataFrame:
                          m.get("precision"), m.get("scale"), m.get("max_length"), f.nullable,
                          bool(m.get("identity", False)), m.get("seed"), m.get("increment"),
                          m.get("collation"), m.get("default_name"), m.get("default")))
-    return _session(tables).createDataFrame(
+    return small_frame(
+        _session(tables),
         rows, "table_fqn string, table_name string, ordinal int, name string, sql_type string, precision int, "
               "scale int, max_length int, is_nullable boolean, is_identity boolean, seed bigint, "
               "increment bigint, collation string, default_name string, default_definition string")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import split_fqn
 from ..operators.constraints import Constraints, constraint_report
+from ..session import small_frame
 from ..sources.bundle import check_bundle, manifest_problems, open_bundle
 from .inventory import row_counts
 
@@ -85,4 +86,4 @@ def restore_tables(
         violated = constraint_report(by_name, constraints).filter("status = 'VIOLATED'").first()
         if violated:
             raise ValueError(f"{violated['constraint_name']}: {violated['violations']} violation(s)")
-    return spark.createDataFrame(rows, "table_fqn string, row_count bigint, restored_rows bigint")
+    return small_frame(spark, rows, "table_fqn string, row_count bigint, restored_rows bigint")

@@ -12,7 +12,7 @@ from ..plans import chunking
 from ..plans.export import export_tables
 from ..plans.inventory import inventory
 from ..plans.restore import restore_tables
-from ..session import scratch_path
+from ..session import scratch_path, small_frame
 from ..sources import bundle as bd
 from ..sources.targets import PathTarget
 from .catalog import PLAN_CHUNKS, PLAN_THRESHOLD
@@ -52,7 +52,7 @@ def q22_schema_only(spark, root):
     export_tables(spark, tables, out, schema_only=True)
     opened = bd.open_bundle(spark, out)
     kept = {make_fqn("main", t): opened.schemas[make_fqn("main", t)] == df.schema for t, df in tables.items()}
-    same = spark.createDataFrame(list(kept.items()), "table_fqn string, same_columns boolean")
+    same = small_frame(spark, kept.items(), "table_fqn string, same_columns boolean")
     listed = opened.tables.select("table_fqn", F.col("row_count").alias("bundle_rows"), F.lit("schema only").alias("entry"))
     loaded = inventory(tables).select("table_fqn", F.col("row_count").alias("bundle_rows"), F.lit("loaded").alias("entry"))
     return loaded.unionByName(listed).join(same, "table_fqn")

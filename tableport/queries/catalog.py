@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import dictionary as dd, inventory as inv
+from ..session import pinned
 from .common import TABLES, load, load_all
 from .declared import COLUMNS, CONSTRAINTS, FOREIGN_KEYS, KEYS, TYPE_TEXT
 
@@ -83,8 +84,7 @@ def q13_exclude(spark, root):
 
 def q14_plan(spark, root):
     tables = load_all(spark, root)
-    scanned = inv.column_profile(tables)
-    profile = spark.createDataFrame(scanned.collect(), scanned.schema)  # one row per column
+    profile = pinned(inv.column_profile(tables))
     return inv.plan_rows(inv.inventory(tables), inv.key_profile(tables, profile),
                          inv.lob_profile(profile, PLAN_LOB_BYTES), PLAN_CHUNKS, PLAN_THRESHOLD)
 

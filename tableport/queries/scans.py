@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import chunking, order_stats
+from ..session import small_frame
 from ..sources.tables import full_scan
 from .common import CHUNKS, load
 
@@ -54,13 +55,13 @@ def q07_modulo_counts(spark, root):
 def q08_ntile_bounds(spark, root):
     edges = order_stats.ntile_edges(load(spark, root, "lineitem"), KEY, CHUNKS)
     rows = [(bucket, *edge) for bucket, edge in enumerate(edges, start=1)]
-    return spark.createDataFrame(rows, "bucket int, lo bigint, hi bigint, rows bigint")
+    return small_frame(spark, rows, "bucket int, lo bigint, hi bigint, rows bigint")
 
 
 def q09_ntile_disjoint(spark, root):
     plan = chunking.ntile_plan(load(spark, root, "lineitem"), KEY, CHUNKS)
     rows = [(part, lo, hi) for part, (lo, hi) in enumerate(plan.ranges)]
-    return spark.createDataFrame(rows, "part int, lo bigint, hi bigint")
+    return small_frame(spark, rows, "part int, lo bigint, hi bigint")
 
 
 def q10_ntile_counts(spark, root):

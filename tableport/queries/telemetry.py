@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.metrics import latest_average
+from ..functions.metrics import latest_average, parse_metrics
 from ..operators import statements, telemetry as tel, throughput as thr
 from ..sources import synthetic
 from ..streaming import slots as st
@@ -142,9 +142,9 @@ def q43_json_metric(spark, root):
         '{"value":[{"name":{"value":"%s"},"timeseries":[{"data":[{"average":%s},{"average":%s},{"average":null}]},'
         '{"data":[{"average":-1}]}]},{"name":{"value":"%s"},"timeseries":[]}]}',
         "event_type", F.col("value").cast("string"), F.get_json_object("props", "$.k"), "event_type")
-    events = load(spark, root, "events").select("event_id", document.alias("doc"))
-    return events.select("event_id", latest_average(F.col("doc"), "view").alias("view_average"),
-                         latest_average(F.col("doc"), "click").alias("click_average"))
+    events = load(spark, root, "events").select("event_id", parse_metrics(document).alias("m"))
+    return events.select("event_id", latest_average(F.col("m"), "view").alias("view_average"),
+                         latest_average(F.col("m"), "click").alias("click_average"))
 
 
 def q45_stream_heartbeat(spark, root):

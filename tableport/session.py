@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Settings the library is written for. ANSI casts are Spark 4's default and are relied on.
 SESSION_CONF = {
@@ -61,6 +62,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows, schema: str | T.StructType) -> DataFrame:
+    """A few metadata rows as a DataFrame of one task.
+
+    ``createDataFrame`` spreads a list over every core and carries no size, so joins with it shuffle;
+    a literal document is read in place and is known to be small.
+    """
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    records = [dict(zip(struct.names, row)) for row in rows]
+    document = F.from_json(F.lit(json.dumps(records)), T.ArrayType(struct))
+    return spark.range(0, 1, 1, 1).select(F.inline(document))
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """A metadata-sized result (rows per table, column or part) computed once and kept as literals."""
+    rows = [r.asDict(recursive=True) for r in df.collect()]
+    return small_frame(df.sparkSession, [tuple(r[n] for n in df.columns) for r in rows], df.schema)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

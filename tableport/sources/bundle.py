@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import is_valid_fqn, table_dir
-from ..session import path_exists, read_text, write_text
+from ..session import path_exists, pinned, read_text, small_frame, write_text
 
 # Manifest format.
 FORMAT_VERSION = 2
@@ -107,7 +107,7 @@ class Bundle:
 
 
 def open_bundle(spark: SparkSession, root: str) -> Bundle:
-    manifest = read_manifest(spark, root)
+    manifest = pinned(read_manifest(spark, root))
     schema_path = f"{root}/schema.json"
     if not path_exists(spark, schema_path):
         raise FileNotFoundError(schema_path)
@@ -141,23 +141,18 @@ def manifest_problems(manifest: DataFrame) -> DataFrame:
 
 def check_bundle(spark: SparkSession, bundle: Bundle) -> DataFrame:
     """One row per table: parts listed and missing, manifest rows against rows in the footers."""
-    files = stored_files(spark, bundle.root)
-    lost = missing_parts(bundle.tables, files).groupBy("table_fqn").agg(F.count(F.lit(1)).alias("parts_missing"))
-    parts = {fqn: p for fqn, p in bundle.parts().items() if p}
-    found = bundle.tables.select("table_fqn", "row_count", F.size("parts").alias("parts_listed"))
-    checked = found.join(lost, "table_fqn", "left")
-    if parts:
-        missing = {r[0] for r in missing_parts(bundle.tables, files).select("part").collect()}
-        readable = {fqn: kept for fqn, p in parts.items() if (kept := [x for x in p if x not in missing])}
-    else:
-        readable = {}
+    lost = {tuple(r) for r in missing_parts(bundle.tables, stored_files(spark, bundle.root))
+            .select("table_fqn", "part").collect()}
+    listed = bundle.parts()
+    readable = {fqn: kept for fqn, parts in listed.items()
+                if fqn in bundle.schemas and (kept := [p for p in parts if (fqn, p) not in lost])}
+    stored: dict[str, int] = {}
     if readable:
-        stored = stored_counts(spark, bundle.root, readable, bundle.schemas).groupBy("table_fqn").agg(
-            F.sum("rows").alias("stored_rows"))
-        checked = checked.join(stored, "table_fqn", "left")
-    else:
-        checked = checked.withColumn("stored_rows", F.lit(None).cast("bigint"))
-    return checked.select(
-        "table_fqn", "parts_listed", F.coalesce("parts_missing", F.lit(0)).cast("bigint").alias("parts_missing"),
-        "row_count", F.coalesce("stored_rows", F.lit(0)).cast("bigint").alias("stored_rows"),
-    ).withColumn("ok", (F.col("parts_missing") == 0) & (F.col("row_count") == F.col("stored_rows")))
+        counted = stored_counts(spark, bundle.root, readable, bundle.schemas)
+        for r in counted.collect():
+            stored[r["table_fqn"]] = stored.get(r["table_fqn"], 0) + r["rows"]
+    found = small_frame(
+        spark, [(fqn, len(parts), sum(f == fqn for f, _ in lost), stored.get(fqn, 0)) for fqn, parts in listed.items()],
+        "table_fqn string, parts_listed int, parts_missing bigint, stored_rows bigint")
+    return (bundle.tables.select("table_fqn", "row_count").join(found, "table_fqn")
+            .withColumn("ok", (F.col("parts_missing") == 0) & (F.col("row_count") == F.col("stored_rows"))))
