@@ -39,13 +39,11 @@ def missing_results(planned: DataFrame, results: DataFrame, key: str) -> DataFra
 
 
 def stem_collisions(names: DataFrame, fqn: str = "table_fqn") -> DataFrame:
-    """File stems claimed by more than one table, with the first two claimants by name."""
+    """File stems claimed by more than one table, with the first and last claimant by name."""
     stems = names.select(F.col(fqn).alias("fqn")).distinct().withColumn("stem", file_stem("fqn"))
-    firsts = stems.groupBy("stem").agg(F.min("fqn").alias("first_fqn"), F.count(F.lit(1)).alias("tables"))
-    shared = firsts.filter("tables > 1")
-    second = (stems.join(shared, "stem").filter("fqn > first_fqn")
-              .groupBy("stem").agg(F.min("fqn").alias("second_fqn")))
-    return shared.join(second, "stem")
+    return stems.groupBy("stem").agg(
+        F.min("fqn").alias("first_fqn"), F.max("fqn").alias("last_fqn"), F.count(F.lit(1)).alias("tables"),
+    ).filter("tables > 1")
 
 
 def merge_parts(parts: DataFrame, key: str = "table_fqn") -> DataFrame:
@@ -59,12 +57,10 @@ def merge_parts(parts: DataFrame, key: str = "table_fqn") -> DataFrame:
         F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["path"]).alias("file_names"))
 
 
-def _row_hash(df: DataFrame):
-    cells = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        cells += [c, c.isNull()]  # the hash skips NULLs, so their places are hashed too
-    return F.xxhash64(*cells)
+def _row_hash(df: DataFrame) -> str:
+    quoted = ["`" + name.replace("`", "``") + "`" for name in df.columns]
+    # the hash skips NULLs, so their places are hashed too
+    return "xxhash64(" + ", ".join(f"{c}, {c} IS NULL" for c in quoted) + ")"
 
 
 def fingerprints(tables: Mapping[str, DataFrame], sums: Mapping[str, str] | None = None) -> DataFrame:
@@ -76,7 +72,7 @@ def fingerprints(tables: Mapping[str, DataFrame], sums: Mapping[str, str] | None
     frames = []
     for name, df in tables.items():
         summed = F.col(f"`{sums[name]}`") if sums and name in sums else F.lit(None)
-        frames.append(df.select(F.lit(name).alias("table_name"), _row_hash(df).alias("h"),
+        frames.append(df.select(F.lit(name).alias("table_name"), F.expr(_row_hash(df)).alias("h"),
                                 summed.cast("bigint").alias("k")))
     return union_all(frames).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("row_count"),

@@ -48,7 +48,7 @@ def concrete_plans(tables: Mapping[str, DataFrame], chunks: int, threshold: int)
 def export_tables(
     spark: SparkSession, source: Mapping[str, DataFrame], out: str, exclude=(), schema_only: bool = False,
     level: int = 3, chunks: int = 8, chunk_threshold: int = LARGE_TABLE_ROWS, rows_per_group: int = 100_000,
-    validate: bool = False, layout: str = "scan", parallel: int = 4, schema: str = "main",
+    validate: bool = False, layout: str = "scan", parallel: int = 8, schema: str = "main",
     source_host: str = "", source_database: str = "", plans: Mapping[str, ChunkPlan] | None = None,
 ) -> DataFrame:
     """Write ``source`` (table name -> DataFrame) to ``out``; returns one row per stored part.
@@ -69,7 +69,7 @@ def export_tables(
     names = small_frame(spark, [(f,) for f in fqns.values()], "table_fqn string")
     clash = stem_collisions(names).first() if len(fqns) > 1 else None
     if clash:
-        raise ValueError(f"{clash['first_fqn']} and {clash['second_fqn']} share the file stem {clash['stem']}")
+        raise ValueError(f"{clash['first_fqn']} and {clash['last_fqn']} share the file stem {clash['stem']}")
 
     chosen = dict.fromkeys(tables, SINGLE)
     if layout == "key" and not schema_only:

@@ -24,7 +24,7 @@ def _shape(schema: T.StructType) -> list[tuple[str, str]]:
 
 def restore_tables(
     spark: SparkSession, bundle: str, target, data_only: bool = False, replace: bool = False,
-    constraints: Constraints | None = None, parallel: int = 4,
+    constraints: Constraints | None = None, parallel: int = 8,
 ) -> DataFrame:
     """Load every table of a bundle; returns (table_fqn, row_count, restored_rows).
 

@@ -107,8 +107,8 @@ def q25_manifest_check(spark, root):
     out = scratch_path(spark, "bundle")
     export_tables(spark, load_all(spark, root), out, validate=True)
     opened = bd.open_bundle(spark, out)
-    problems = bd.manifest_problems(opened.manifest).agg(F.count(F.lit(1)).alias("manifest_problems"))
-    return bd.check_bundle(spark, opened).join(F.broadcast(problems), F.lit(True))
+    problems = bd.manifest_problems(opened.manifest).count()
+    return bd.check_bundle(spark, opened).withColumn("manifest_problems", F.lit(problems).cast("bigint"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -149,7 +149,7 @@ ORACLES = {
         n AS (SELECT '[' || s || '].[' || t || ']' AS fqn FROM p
               UNION SELECT '[brand].[' || split_part(s, '_', 2) || '_' || t || ']' FROM p),
         k AS (SELECT fqn, trim(replace(replace(replace(fqn, '[', ''), ']', ''), '.', '_'), '_') AS stem FROM n)
-        SELECT stem, min(fqn) AS first_fqn, (list_sort(list(fqn)))[2] AS second_fqn, count(*) AS tables
+        SELECT stem, min(fqn) AS first_fqn, max(fqn) AS last_fqn, count(*) AS tables
         FROM k GROUP BY stem HAVING count(*) > 1""",
     "q25_manifest_check": " UNION ALL ".join(
         f"SELECT '[main].[{t}]' AS table_fqn, CAST(1 AS INTEGER) AS parts_listed, CAST(0 AS BIGINT) AS parts_missing, "

@@ -119,8 +119,8 @@ def open_bundle(spark: SparkSession, root: str) -> Bundle:
 def manifest_problems(manifest: DataFrame) -> DataFrame:
     """(scope, problem) for everything wrong with a manifest that needs no look at the data."""
     tables = manifest_tables(manifest)
-    summed = tables.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("summed"))
-    head = manifest.select("format_version", "total_rows").join(summed, F.lit(True))
+    summed = F.aggregate("tables", F.lit(0).cast("bigint"), lambda acc, t: acc + F.coalesce(t["row_count"], F.lit(0)))
+    head = manifest.select("format_version", "total_rows", F.coalesce(summed, F.lit(0)).alias("summed"))
     version_bad = ~F.coalesce(F.col("format_version").between(*READABLE_VERSIONS), F.lit(False))
     head_problems = head.select(F.lit("manifest").alias("scope"), F.explode(F.array_compact(F.array(
         F.when(version_bad, "unsupported format version"),
