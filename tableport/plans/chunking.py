@@ -51,6 +51,14 @@ class ChunkPlan:
     def cuts(self) -> list[int]:
         return [lo for lo, _ in self.ranges[1:]]
 
+    def _equal_width(self) -> bool:
+        """Part by one division: equal ranges whose whole width fits a bigint."""
+        lo, first_hi = self.ranges[0]
+        size = first_hi - lo + 1
+        starts = [a for a, _ in self.ranges]
+        return (starts == list(range(lo, lo + size * len(starts), size))
+                and lo + size * len(starts) > self.ranges[-1][1] and self.ranges[-1][1] - lo <= BIGINT_MAX)
+
     def part_column(self) -> Column:
         """Part number of a row, 0-based. One pass over the table labels every row."""
         if self.parts == 1:
@@ -59,7 +67,7 @@ class ChunkPlan:
         if self.strategy == "modulo":
             # remainder keeps the key's sign, so its absolute value is in 0..divisor-1
             part = F.abs(key % self.divisor).cast("int")
-        elif self.strategy == "range" and self.ranges[-1][1] - self.ranges[0][0] <= BIGINT_MAX:
+        elif self._equal_width():
             (lo, first_hi), hi = self.ranges[0], self.ranges[-1][1]
             inside = F.least(F.greatest(key, F.lit(lo)), F.lit(hi))
             part = F.call_function("div", inside - lo, F.lit(first_hi - lo + 1)).cast("int")

@@ -33,9 +33,9 @@ def restore_tables(
     checked after all data is in place, and any violation is an error.
     """
     opened = open_bundle(spark, bundle)
-    problem = manifest_problems(opened.manifest).first()
-    if problem:
-        raise ValueError(f"{problem['scope']}: {problem['problem']}")
+    problems = manifest_problems(opened.manifest).take(20)
+    if problems:
+        raise ValueError("; ".join(f"{p['scope']}: {p['problem']}" for p in problems))
     broken = check_bundle(spark, opened).filter("NOT ok").first()
     if broken:
         raise ValueError(f"{broken['table_fqn']}: {broken['parts_missing']} part(s) missing, "
