@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .times import utc_naive
+
 _DAY_MICROS = 86_400_000_000
 
 
@@ -74,7 +76,8 @@ def sql_literal(c: Column, dtype: T.DataType, time_of_day: bool = False) -> Colu
     elif isinstance(dtype, T.BinaryType):
         body = F.concat(F.lit("0x"), F.hex(c))
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        body = F.date_format(c, "''yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'''")
+        naive = utc_naive(c) if isinstance(dtype, T.TimestampType) else c
+        body = F.date_format(naive, "''yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'''")
     elif isinstance(dtype, T.DateType):
         body = F.date_format(c, "''yyyy-MM-dd''")
     else:

@@ -10,6 +10,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .times import utc_instant
+
 # Declared type -> Spark type. Types not listed become strings.
 SPARK_TYPES = {
     "bigint": T.LongType(),
@@ -93,6 +95,8 @@ def _to_declared(column: Column, source: T.DataType, target: T.StructField) -> C
         from .literals import micros_of_day
 
         return micros_of_day(column)
+    if isinstance(target.dataType, T.TimestampType) and isinstance(source, T.TimestampNTZType):
+        return utc_instant(column)
     return column.cast(target.dataType)
 
 

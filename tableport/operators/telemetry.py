@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.times import time_slice
 from .ranking import previous
 
 MIB = 1_048_576.0
@@ -22,13 +23,13 @@ GRADES = (
 
 
 def counter_rates(samples: DataFrame, counters, keys=("host",), ts: str = "ts", tie: str | None = None,
-                  slice_unit: str = "hour") -> DataFrame:
+                  slice_seconds: int = 3600) -> DataFrame:
     """MiB/s of growing counters between consecutive samples of a key; a reset counts as 0.
 
     The first sample, and one at the same instant as its predecessor, have no rate.
     """
     order = [ts] + ([tie] if tie else [])
-    lagged = previous(samples, keys, order, [ts, *counters], F.date_trunc(slice_unit, ts).cast("timestamp_ntz"))
+    lagged = previous(samples, keys, order, [ts, *counters], time_slice(F.col(ts), slice_seconds))
     micros = F.timestamp_diff("MICROSECOND", F.col(f"prev_{ts}"), F.col(ts))
     seconds = F.nullif(micros, F.lit(0)) / 1_000_000.0
     rates = {

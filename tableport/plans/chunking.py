@@ -91,9 +91,12 @@ class ChunkPlan:
 SINGLE = ChunkPlan("single")
 
 
-def range_plan(df: DataFrame, key: str, n: int) -> ChunkPlan:
-    """Equal-width ranges between MIN and MAX; one part when there is at most one distinct key."""
-    lo, hi, *_ = key_summary(df, key)
+def range_plan(df: DataFrame, key: str, n: int, bounds: tuple | None = None) -> ChunkPlan:
+    """Equal-width ranges between MIN and MAX; one part when there is at most one distinct key.
+
+    ``bounds`` starts with (min, max) when they are known already, e.g. from Parquet footers.
+    """
+    lo, hi, *_ = bounds or key_summary(df, key)
     if lo is None or lo >= hi or n <= 1:
         return SINGLE
     return ChunkPlan("range", key, tuple(split_key_range(lo, hi, n)))

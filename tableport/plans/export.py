@@ -16,16 +16,19 @@ from .chunking import ChunkPlan, SINGLE
 from .inventory import LARGE_TABLE_ROWS, chunk_plan, excluded_names, export_order, inventory, plan_tables
 
 
-def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_per_group: int = 100_000) -> int:
+def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_per_group: int = 100_000,
+               cluster: bool = False) -> int:
     """Write one table's data below ``path`` and return the rows that reached the writer.
 
-    One part: every scan task writes its own file and nothing is shuffled. Several parts: rows are
+    Without ``cluster`` every scan task writes its own files and nothing is shuffled. With it, rows are
     rebalanced by part first, which AQE cuts to even tasks, so a part with a third of the rows becomes
     several files rather than one task.
     """
     seen = Observation()
     single = plan.parts == 1
-    placed = df if single else df.withColumn("_part", plan.part_column()).hint("rebalance", "_part")
+    placed = df if single else df.withColumn("_part", plan.part_column())
+    if cluster and not single:
+        placed = placed.hint("rebalance", "_part")
     writer = (
         placed.observe(seen, F.count(F.lit(1)).alias("rows")).write
         .option("compression", "zstd")
@@ -53,9 +56,10 @@ def export_tables(
 ) -> DataFrame:
     """Write ``source`` (table name -> DataFrame) to ``out``; returns one row per stored part.
 
-    ``layout="scan"`` keeps the partitions the source is read in, with no shuffle; a table read by
-    chunk predicates already has one partition per chunk. ``layout="key"`` clusters large tables by
-    their chunk key into ``chunks`` parts. ``plans`` overrides the chosen plan of single tables.
+    ``layout="scan"`` keeps the partitions the source is read in, with no shuffle. ``layout="key"``
+    clusters large tables by their chunk key into ``chunks`` parts at the price of one. ``plans``
+    overrides the plan of single tables: with the scan layout it fits a table read by the same plan's
+    chunk predicates, where every task already holds one part.
     """
     if layout not in ("scan", "key"):
         raise ValueError(f"unknown layout {layout!r}")
@@ -79,7 +83,7 @@ def export_tables(
     def write(name: str) -> tuple[str, int]:
         df = tables[name].limit(0) if schema_only else tables[name]
         path = f"{out}/{bd.data_dir(fqns[name])}"
-        return fqns[name], write_part(df, path, chosen[name], level, rows_per_group)
+        return fqns[name], write_part(df, path, chosen[name], level, rows_per_group, layout == "key")
 
     # the jobs are independent; a few at a time keep the executors busy while a small one finishes
     with ThreadPoolExecutor(max(1, parallel)) as pool:

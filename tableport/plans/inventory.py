@@ -14,6 +14,8 @@ from .chunking import ChunkPlan, SINGLE, modulo_plan, ntile_plan, range_plan
 # large objects (the widest in-row value of the source engine).
 LARGE_TABLE_ROWS = 500_000
 IN_ROW_BYTES = 8000
+# Rows looked at before a column pays for a full duplicate count.
+PROBE_ROWS = 1_000_000
 
 Tables = Mapping[str, DataFrame]
 
@@ -133,6 +135,23 @@ def lob_profile(profile: DataFrame, limit: int = IN_ROW_BYTES) -> DataFrame:
         (F.coalesce("max_bytes", F.lit(0)) > limit).alias("is_lob"))
 
 
+def _column_of(r) -> tuple[str, str]:
+    return r["table_name"], r["column_name"]
+
+
+def _most_copies(tables: Tables, columns, first_rows: int | None = None) -> dict[tuple[str, str], int]:
+    """Largest number of rows sharing one value, per column; over the first rows only when asked."""
+    frames = []
+    for table, name in map(_column_of, columns):
+        keys = tables[table].select(F.col(f"`{name}`").alias("k"))
+        if first_rows is not None:
+            keys = keys.limit(first_rows)
+        frames.append(keys.groupBy("k").count().agg(
+            F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
+            F.coalesce(F.max("count"), F.lit(0)).alias("copies")))
+    return {_column_of(r): r["copies"] for r in union_all(frames).collect()} if frames else {}
+
+
 def key_profile(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
     """Integer columns with exact uniqueness, best chunk key first (``key_rank`` 1).
 
@@ -142,21 +161,15 @@ def key_profile(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
     """
     spark = _session(tables)
     stats = (column_profile(tables) if profile is None else profile).filter("key_type").collect()
-    verdicts = []
-    for r in stats:
-        possible = r["rows"] - r["nulls"] <= (r["hi"] - r["lo"] + 1 if r["lo"] is not None else 0)
-        if possible and r["nulls"] <= 1:
-            k = F.col(f"`{r['column_name']}`")
-            groups = tables[r["table_name"]].groupBy(k).count()
-            verdicts.append(groups.agg(
-                F.lit(r["table_name"]).alias("table_name"), F.lit(r["column_name"]).alias("column_name"),
-                F.coalesce(F.max("count"), F.lit(0)).alias("copies")))
-    unique = set()
-    if verdicts:
-        unique = {(r[0], r[1]) for r in union_all(verdicts).collect() if r[2] <= 1}
+    candidates = [r for r in stats if r["lo"] is not None and r["nulls"] == 0 and r["rows"] <= r["hi"] - r["lo"] + 1]
+    # a repeat among the first rows proves duplicates, so only keys without one are counted in full
+    large = [r for r in candidates if r["rows"] > PROBE_ROWS]
+    repeated = _most_copies(tables, large, PROBE_ROWS)
+    counted = _most_copies(tables, [r for r in candidates if repeated.get(_column_of(r), 1) <= 1])
+    unique = {column for column, copies in counted.items() if copies <= 1}
     order = {}
     for r in stats:
-        is_unique = (r["table_name"], r["column_name"]) in unique and r["nulls"] == 0
+        is_unique = _column_of(r) in unique or r["rows"] == 0
         order.setdefault(r["table_name"], []).append((not is_unique, r["nulls"] > 0, r["ordinal"], r))
     rows = []
     for entries in order.values():

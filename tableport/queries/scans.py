@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import chunking, order_stats
 from ..session import small_frame
-from ..sources.tables import full_scan
+from ..sources.tables import footer_bounds, full_scan, table_path
 from .common import CHUNKS, load
 
 COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -38,13 +38,19 @@ def q04_minmax(spark, root):
     return chunking.key_bounds(load(spark, root, "lineitem"), KEY)
 
 
+def q04b_footer_minmax(spark, root):
+    lo, hi, known, rows = footer_bounds(spark, table_path(root, "lineitem"), KEY)
+    return small_frame(spark, [(lo, hi, known, rows)], "lo bigint, hi bigint, known bigint, rows bigint")
+
+
 def q05_range_plan(spark, root):
     return chunking.range_table(load(spark, root, "lineitem"), KEY, CHUNKS)
 
 
 def q06_range_counts(spark, root):
+    bounds = footer_bounds(spark, table_path(root, "lineitem"), KEY)
     df = load(spark, root, "lineitem")
-    return chunking.part_counts(df, chunking.range_plan(df, KEY, CHUNKS))
+    return chunking.part_counts(df, chunking.range_plan(df, KEY, CHUNKS, bounds))
 
 
 def q07_modulo_counts(spark, root):
@@ -79,7 +85,7 @@ def q10b_cover(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (
-    q01_scan_full, q02_range_chunk, q03_modulo_chunk, q04_minmax, q05_range_plan, q06_range_counts,
+    q01_scan_full, q02_range_chunk, q03_modulo_chunk, q04_minmax, q04b_footer_minmax, q05_range_plan, q06_range_counts,
     q07_modulo_counts, q08_ntile_bounds, q09_ntile_disjoint, q10_ntile_counts, q10b_cover)}
 
 _RANGE = f"""
@@ -99,6 +105,8 @@ ORACLES = {
     "q03_modulo_chunk": f"""SELECT {', '.join(ROW)}, {_SIGNED} AS signed_key,
         CAST(abs({_SIGNED} % {CHUNKS}) AS INTEGER) AS part FROM lineitem""",
     "q04_minmax": f"""SELECT coalesce(min({KEY}), 0) AS lo, coalesce(max({KEY}), 0) AS hi FROM lineitem""",
+    "q04b_footer_minmax": f"""SELECT min({KEY}) AS lo, max({KEY}) AS hi, count({KEY}) AS known,
+        count(*) AS rows FROM lineitem""",
     "q05_range_plan": f"""{_RANGE}
         SELECT CAST(i AS INTEGER) AS part, lo + i * size AS lo, least(lo + (i + 1) * size - 1, hi) AS hi
         FROM s, range({CHUNKS}) r(i) WHERE lo + i * size <= hi""",

@@ -89,7 +89,7 @@ def _statement_stats(spark, root):
 def _top(spark, root):
     stats = _statement_stats(spark, root)
     newest = load(spark, root, "orders").agg(F.max("o_orderdate").alias("t")).first()["t"]
-    return statements.slowest(statements.recent(stats, F.lit(newest).cast("timestamp_ntz"), minutes=180 * 24 * 60))
+    return statements.slowest(statements.recent(stats, F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"), minutes=180 * 24 * 60))
 
 
 def q38_top10(spark, root):

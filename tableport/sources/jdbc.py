@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.names import split_fqn
-from ..plans.chunking import ChunkPlan
+from ..plans.chunking import ChunkPlan, SINGLE, modulo_plan, split_key_range
+from ..plans.order_stats import trim_overlaps
 
 
 def quoted_name(fqn: str) -> str:
@@ -15,6 +16,10 @@ def quoted_name(fqn: str) -> str:
     return ".".join('"' + part.replace('"', '""') + '"' for part in split_fqn(fqn))
 
 
+def quoted_column(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
 @dataclass(frozen=True)
 class JdbcDatabase:
     url: str
@@ -28,6 +33,35 @@ class JdbcDatabase:
             return spark.read.jdbc(self.url, name, properties=self.properties)
         return spark.read.jdbc(self.url, name, predicates=plan.predicates(), properties=self.properties)
 
+    def bounds_sql(self, fqn: str, key: str) -> str:
+        k = quoted_column(key)
+        return (f"SELECT MIN({k}) AS lo, MAX({k}) AS hi, COUNT({k}) AS known_rows, COUNT(*) AS all_rows "
+                f"FROM {quoted_name(fqn)}")
+
+    def ntile_sql(self, fqn: str, key: str, n: int) -> str:
+        k = quoted_column(key)
+        return (f"SELECT bk, MIN(k) AS lo, MAX(k) AS hi FROM (SELECT {k} AS k, NTILE({int(n)}) OVER (ORDER BY {k}) AS bk "
+                f"FROM {quoted_name(fqn)} WHERE {k} IS NOT NULL) t GROUP BY bk")
+
+    def _query(self, spark: SparkSession, sql: str):
+        return spark.read.format("jdbc").options(url=self.url, query=sql, **self.properties).load().collect()
+
+    def plan(self, spark: SparkSession, fqn: str, strategy: str, key: str | None, n: int) -> ChunkPlan:
+        """Cuts from a small aggregate that the database itself runs; at most n rows come back."""
+        if strategy == "modulo":
+            return modulo_plan(key, n)
+        if strategy == "range":
+            (row,) = self._query(spark, self.bounds_sql(fqn, key))
+            lo, hi = row[0], row[1]
+            if lo is None or lo >= hi or n <= 1:
+                return SINGLE
+            return ChunkPlan("range", key, tuple(split_key_range(int(lo), int(hi), n)))
+        if strategy == "ntile":
+            rows = sorted((int(r[0]), int(r[1]), int(r[2])) for r in self._query(spark, self.ntile_sql(fqn, key, n)))
+            ranges = trim_overlaps([(lo, hi) for _, lo, hi in rows])
+            return ChunkPlan("ntile", key, tuple(ranges)) if ranges else SINGLE
+        return SINGLE
+
     def append(self, df: DataFrame, fqn: str) -> None:
         df.write.mode("append").option("batchsize", self.batch_size).jdbc(
             self.url, quoted_name(fqn), properties=self.properties)

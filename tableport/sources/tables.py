@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
+def table_path(root: str, name: str) -> str:
+    return f"{root}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    return spark.read.parquet(table_path(root, name))
 
 
 def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
@@ -26,7 +31,8 @@ def footer_bounds(spark: SparkSession, path: str, key: str) -> tuple[int | None,
     """(min, max, non-null rows, all rows) of a key from Parquet footers, without reading the column.
 
     Aggregate pushdown needs the V2 Parquet reader; a second session keeps that switch out of the
-    caller's one. Only for a bare column of plain files: a filter would turn the pushdown off.
+    caller's one. Only for a bare column of plain files: a filter would turn the pushdown off. Files
+    written without column statistics are read instead.
     """
     footers = spark.newSession()
     footers.conf.set("spark.sql.sources.useV1SourceList", "")
@@ -34,6 +40,11 @@ def footer_bounds(spark: SparkSession, path: str, key: str) -> tuple[int | None,
     df = footers.read.parquet(path)
     df.createOrReplaceTempView("footer_source")
     quoted = "`" + key.replace("`", "``") + "`"
-    row = footers.sql(
-        f"SELECT min({quoted}), max({quoted}), count({quoted}), count(*) FROM footer_source").first()
+    summary = f"SELECT min({quoted}), max({quoted}), count({quoted}), count(*) FROM footer_source"
+    try:
+        row = footers.sql(summary).first()
+    except Py4JJavaError:
+        footers.conf.set("spark.sql.parquet.aggregatePushdown", "false")
+        footers.read.parquet(path).createOrReplaceTempView("footer_source")
+        row = footers.sql(summary).first()
     return row[0], row[1], row[2], row[3]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.times import utc_instant, utc_naive
 from ..operators.telemetry import MIB
 from ..session import scratch_path
 
@@ -17,12 +18,14 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern:
 
 
 def timed(stream: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
-    """Zone-free timestamps as instants (a watermark needs them), late by at most ``delay``."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    """Zone-free timestamps as UTC instants (a watermark needs instants), late by at most ``delay``."""
+    if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
+        stream = stream.withColumn(ts, utc_instant(F.col(ts)))
+    return stream.withWatermark(ts, delay)
 
 
 def _slot(keys, frame: DataFrame, *columns) -> DataFrame:
-    return frame.select(*keys, F.col("_w.start").cast("timestamp_ntz").alias("slot_start"), *columns)
+    return frame.select(*keys, utc_naive(F.col("_w.start")).alias("slot_start"), *columns)
 
 
 def heartbeat_stream(stream: DataFrame, keys, seconds: int = 30, delay: str = "1 hour", ts: str = "ts") -> DataFrame:
