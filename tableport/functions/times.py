@@ -23,6 +23,6 @@ def utc_naive(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
 
 
-def time_slice(naive: Column, seconds: int) -> Column:
+def time_slice(naive: Column, micros: int) -> Column:
     """Number of the fixed slice a timestamp_ntz falls in; never decreases with time."""
-    return F.call_function("div", F.timestamp_diff("SECOND", _epoch(), naive), F.lit(seconds))
+    return F.call_function("div", micros_since_epoch(naive), F.lit(micros))

@@ -82,8 +82,8 @@ def orphan_keys(child: DataFrame, child_cols, parent: DataFrame, parent_cols) ->
     """Foreign-key tuples without a parent row, with the number of child rows holding them.
 
     A tuple with any NULL passes. Child rows are counted per tuple before the join, so a tuple that
-    holds a third of the rows crosses the shuffle as a handful of partial counts, and the anti join
-    reuses that partitioning.
+    holds a third of the rows crosses the shuffle as a handful of partial counts; parent tuples are
+    made distinct for the same reason. The anti join reuses both partitionings.
     """
     keys = [f"_k{i}" for i in range(len(child_cols))]
     held = (
@@ -91,7 +91,7 @@ def orphan_keys(child: DataFrame, child_cols, parent: DataFrame, parent_cols) ->
         .dropna("any", subset=keys)
         .groupBy(*keys).agg(F.count(F.lit(1)).alias("child_rows"))
     )
-    known = parent.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(parent_cols, keys)])
+    known = parent.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(parent_cols, keys)]).distinct()
     orphans = held.join(known, keys, "left_anti")
     return orphans.select(*[F.col(k).alias(c) for c, k in zip(child_cols, keys)], "child_rows")
 

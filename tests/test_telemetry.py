@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tableport.operators import ranking, statements, telemetry as tel, throughput as thr
@@ -22,7 +23,8 @@ def test_global_row_number(spark):
     assert ranking.global_row_number(df.limit(0), ["id"]).count() == 0
 
 
-def test_rates_of_a_hot_host_across_slices(spark):
+@pytest.mark.parametrize("rows_per_slice", [1, 20, 10**6])
+def test_rates_of_a_hot_host_across_slices(spark, rows_per_slice):
     rng = random.Random(7)
     rows, at = [], {}
     for i in range(400):
@@ -30,7 +32,7 @@ def test_rates_of_a_hot_host_across_slices(spark):
         at[host] = at.get(host, T0) + dt.timedelta(minutes=rng.choice([0, 1, 50, 200]))
         rows.append((host, at[host], i, rng.randint(0, 1000) * 1_000_000))
     df = spark.createDataFrame(rows, "host string, ts timestamp_ntz, id int, rx bigint")
-    got = {r["id"]: r["rx_mib_s"] for r in tel.counter_rates(df, ["rx"], tie="id").collect()}
+    got = {r["id"]: r["rx_mib_s"] for r in tel.counter_rates(df, ["rx"], tie="id", slice_rows=rows_per_slice).collect()}
     want, last = {}, {}
     for host, ts, i, rx in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         want[i] = None
