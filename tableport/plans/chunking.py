@@ -20,13 +20,32 @@ def split_key_range(lo: int, hi: int, n: int) -> list[tuple[int, int]]:
     return [(start, min(start + size - 1, hi)) for start in range(lo, hi + 1, size)]
 
 
-def _interval_index(key: Column, cuts, base: int = 0) -> Column:
-    """Number of cuts at or below the key, as a balanced CASE: log2(n) comparisons per row."""
+# Above this many cuts the nested comparison outgrows what the JVM compiles to machine code.
+TREE_CUTS = 128
+
+
+def _interval_tree(key: str, cuts, base: int = 0) -> str:
+    """Number of cuts at or below the key, as nested comparisons: log2(n) of them per row."""
     if not cuts:
-        return F.lit(base)
+        return str(base)
     mid = len(cuts) // 2
-    return F.when(key < cuts[mid], _interval_index(key, cuts[:mid], base)).otherwise(
-        _interval_index(key, cuts[mid + 1:], base + mid + 1))
+    return (f"if({key} < {cuts[mid]}, {_interval_tree(key, cuts[:mid], base)}, "
+            f"{_interval_tree(key, cuts[mid + 1:], base + mid + 1)})")
+
+
+def _interval_search(df: DataFrame, key: str, cuts, name: str) -> DataFrame:
+    """The same number by binary search over a literal array, one small projection per halving.
+
+    A NULL key passes no comparison and stays at 0.
+    """
+    table = f"array({', '.join(str(c) for c in cuts)})"
+    step = 1 << (len(cuts).bit_length() - 1)
+    df = df.withColumn(name, F.lit(0))
+    part = "`" + name + "`"
+    while step:
+        df = df.withColumn(name, F.expr(f"if({key} >= get({table}, {part} + {step - 1}), {part} + {step}, {part})"))
+        step //= 2
+    return df
 
 
 @dataclass(frozen=True)
@@ -51,6 +70,14 @@ class ChunkPlan:
     def cuts(self) -> list[int]:
         return [lo for lo, _ in self.ranges[1:]]
 
+    @property
+    def _quoted_key(self) -> str:
+        return "`" + self.key.replace("`", "``") + "`"
+
+    def searches(self) -> bool:
+        """Too many unequal ranges for one expression; ``with_part`` looks the part up instead."""
+        return self.strategy in ("range", "ntile") and len(self.cuts) > TREE_CUTS and not self._equal_width()
+
     def _equal_width(self) -> bool:
         """Part by one division: equal ranges whose whole width fits a bigint."""
         lo, first_hi = self.ranges[0]
@@ -63,7 +90,7 @@ class ChunkPlan:
         """Part number of a row, 0-based. One pass over the table labels every row."""
         if self.parts == 1:
             return F.lit(0)
-        key = F.col(f"`{self.key}`").cast("bigint")
+        key = F.col(self._quoted_key).cast("bigint")
         if self.strategy == "modulo":
             # remainder keeps the key's sign, so its absolute value is in 0..divisor-1
             part = F.abs(key % self.divisor).cast("int")
@@ -72,7 +99,7 @@ class ChunkPlan:
             inside = F.least(F.greatest(key, F.lit(lo)), F.lit(hi))
             part = F.call_function("div", inside - lo, F.lit(first_hi - lo + 1)).cast("int")
         else:
-            part = _interval_index(key, self.cuts)
+            part = F.expr(_interval_tree(self._quoted_key, self.cuts))
         return F.when(key.isNull(), 0).otherwise(part)
 
     def predicates(self) -> list[str]:
@@ -122,11 +149,13 @@ def in_modulo(key: str, divisor: int, remainder: int) -> Column:
 
 
 def with_part(df: DataFrame, plan: ChunkPlan, name: str = "_part") -> DataFrame:
+    if plan.searches():
+        return _interval_search(df, plan._quoted_key, plan.cuts, name)
     return df.withColumn(name, plan.part_column())
 
 
 def part_counts(df: DataFrame, plan: ChunkPlan) -> DataFrame:
-    return df.groupBy(plan.part_column().alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    return with_part(df, plan, "part").groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def key_bounds(df: DataFrame, key: str) -> DataFrame:
@@ -171,5 +200,5 @@ def part_conditions(plan: ChunkPlan) -> list[Column]:
     """The plan's own predicates as Columns."""
     if plan.parts == 1:
         return [F.lit(True)]
-    return [F.expr(p.replace('"' + plan.key.replace('"', '""') + '"', f"`{plan.key}`"))
+    return [F.expr(p.replace('"' + plan.key.replace('"', '""') + '"', plan._quoted_key))
             for p in plan.predicates()]

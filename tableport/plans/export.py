@@ -12,7 +12,7 @@ from ..functions.names import make_fqn
 from ..operators.reconcile import assert_reconciled, merge_parts, missing_results, reconcile, stem_collisions
 from ..session import path_exists, pinned, small_frame
 from ..sources import bundle as bd
-from .chunking import ChunkPlan, SINGLE
+from .chunking import ChunkPlan, SINGLE, with_part
 from .inventory import LARGE_TABLE_ROWS, chunk_plan, excluded_names, export_order, inventory, plan_tables
 
 
@@ -26,7 +26,7 @@ def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_p
     """
     seen = Observation()
     single = plan.parts == 1
-    placed = df if single else df.withColumn("_part", plan.part_column())
+    placed = df if single else with_part(df, plan)
     if cluster and not single:
         placed = placed.hint("rebalance", "_part")
     writer = (

@@ -145,3 +145,15 @@ def test_footer_bounds(spark, lineitem_path):
     df = spark.read.parquet(lineitem_path)
     row = df.agg(F.min("l_orderkey"), F.max("l_orderkey"), F.count("l_orderkey"), F.count("*")).first()
     assert footer_bounds(spark, lineitem_path, "l_orderkey") == tuple(row)
+
+
+def test_many_unequal_ranges_are_searched(spark):
+    rng = random.Random(8)
+    keys = [rng.randint(MIN, MAX) for _ in range(400)] + [MIN, MAX]
+    df = keys_frame(spark, keys + [None])
+    for n in (130, 131, 257, 300):
+        plan = ch.ntile_plan(df, "k", n)
+        assert plan.searches()
+        expected = {k: sum(c <= k for c in plan.cuts) for k in keys} | {None: 0}
+        assert {r["k"]: r["_part"] for r in ch.with_part(df, plan).collect()} == expected
+        assert {r["k"]: r["p"] for r in df.select("k", plan.part_column().alias("p")).collect()} == expected
