@@ -44,8 +44,10 @@ def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_p
 def concrete_plans(tables: Mapping[str, DataFrame], chunks: int, threshold: int) -> dict[str, ChunkPlan]:
     """Chunk plan per table, keyed tables first."""
     rows = export_order(plan_tables(tables, chunks, threshold)).collect()  # one row per table
-    return {r["table_name"]: chunk_plan(tables[r["table_name"]], r["strategy"], r["chunk_key"], chunks)
-            for r in rows}
+    with ThreadPoolExecutor(8) as pool:
+        made = pool.map(lambda r: chunk_plan(tables[r["table_name"]], r["strategy"], r["chunk_key"], chunks,
+                                             (r["lo"], r["hi"])), rows)
+        return {r["table_name"]: plan for r, plan in zip(rows, made)}
 
 
 def export_tables(

@@ -202,7 +202,8 @@ def plan_rows(listing: DataFrame, keys: DataFrame, lobs: DataFrame, n: int, thre
         .otherwise("range"))
     planned = joined.withColumn("strategy", strategy)
     return planned.select(
-        "table_name", "ordinal", "row_count", "chunk_key", F.coalesce("indexed", F.lit(False)).alias("indexed"),
+        "table_name", "ordinal", "row_count", "chunk_key", "lo", "hi",
+        F.coalesce("indexed", F.lit(False)).alias("indexed"),
         has_lob.alias("has_lob"), "strategy",
         F.when(F.col("strategy") == "single", 1).otherwise(n).alias("chunks"),
         (has_lob & F.col("strategy").isin("range", "ntile")).alias("lob_range"),
@@ -221,10 +222,10 @@ def plan_tables(tables: Tables, n: int = 8, threshold: int = LARGE_TABLE_ROWS) -
     return plan_rows(listing, key_profile(tables, profile), lob_profile(profile), n, threshold)
 
 
-def chunk_plan(df: DataFrame, strategy: str, key: str | None, n: int) -> ChunkPlan:
-    """The concrete cuts for one table's strategy."""
+def chunk_plan(df: DataFrame, strategy: str, key: str | None, n: int, bounds: tuple | None = None) -> ChunkPlan:
+    """The concrete cuts for one table's strategy; ``bounds`` as profiled save a range plan its pass."""
     if strategy == "range":
-        return range_plan(df, key, n)
+        return range_plan(df, key, n, bounds)
     if strategy == "ntile":
         return ntile_plan(df, key, n)
     if strategy == "modulo":

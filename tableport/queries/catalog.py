@@ -187,7 +187,7 @@ ORACLES = {
         p AS (SELECT *, CASE WHEN chunk_key IS NULL OR row_count < {PLAN_THRESHOLD} THEN 'single'
             WHEN NOT indexed AND has_lob THEN 'ntile' WHEN NOT indexed THEN 'modulo'
             WHEN lo >= hi THEN 'single' ELSE 'range' END AS strategy FROM j)
-        SELECT table_name, ordinal, row_count, chunk_key, indexed, has_lob, strategy,
+        SELECT table_name, ordinal, row_count, chunk_key, lo, hi, indexed, has_lob, strategy,
             CASE WHEN strategy = 'single' THEN 1 ELSE {PLAN_CHUNKS} END AS chunks,
             has_lob AND strategy IN ('range', 'ntile') AS lob_range FROM p""",
     "q15_key_profile": _KEY_PROFILE,
