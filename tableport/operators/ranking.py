@@ -32,7 +32,8 @@ def previous(df: DataFrame, keys, order_by, columns, slice_of: Column) -> DataFr
 
     One key may own a third of the rows, so its window is cut into slices (``slice_of`` must not
     decrease along the order, e.g. the hour of a timestamp). Rows are shuffled once, by key and slice;
-    the value carried over a slice edge comes from a table of one row per key and slice.
+    the value carried over a slice edge comes from a table of one row per key and slice. Rows without
+    a key or a place in the order stay, and look back within their own slice only.
     """
     keys, order_by = list(keys), list(order_by)
     sliced = df.withColumn("_slice", slice_of)
@@ -42,6 +43,6 @@ def previous(df: DataFrame, keys, order_by, columns, slice_of: Column) -> DataFr
     last = sliced.groupBy(*keys, "_slice").agg(F.max_by(kept, F.struct(*order_by)).alias("_last"))
     carried = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")))
     found = F.coalesce("_prev", "_carry")
-    return (labelled.join(carried.drop("_last"), [*keys, "_slice"])
+    return (labelled.join(carried.drop("_last"), [*keys, "_slice"], "left")
             .withColumns({f"prev_{c}": found[c] for c in columns})
             .drop("_slice", "_prev", "_carry"))

@@ -85,5 +85,12 @@ def foreign_key_listing(fks: DataFrame) -> DataFrame:
                     referential_action(F.col("on_update")).alias("on_update")))
 
 
+def computed_listing(spark: SparkSession, columns: DataFrame, definitions) -> DataFrame:
+    """Computed columns (table -> column -> definition) with their place and type at the target."""
+    rows = [(table, name, text) for table, texts in definitions.items() for name, text in texts.items()]
+    defined = small_frame(spark, rows, "table_name string, name string, definition string")
+    return defined.join(columns.select("table_name", "name", "ordinal", "sql_type"), ["table_name", "name"])
+
+
 def check_listing(checks: DataFrame, listing: DataFrame) -> DataFrame:
     return checks.join(listing.select("table_name"), "table_name")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.constraints import with_computed
 from ..plans import dictionary as dd, inventory as inv
 from ..session import pinned
 from .common import TABLES, load, load_all
-from .declared import COLUMNS, CONSTRAINTS, FOREIGN_KEYS, KEYS, TYPE_TEXT
+from .declared import COLUMNS, COMPUTED, CONSTRAINTS, FOREIGN_KEYS, KEYS, TYPE_TEXT
 
 EXCLUDED = ("part*", "main.e[mv]*", "?egion", "*s[!t]")
 PLAN_THRESHOLD, PLAN_LOB_BYTES, PLAN_CHUNKS = 200, 300, 8
@@ -79,6 +80,15 @@ def q12f_foreign_key_listing(spark, root):
             .join(child, "child").join(parent, "parent"))
 
 
+def q12g_computed_listing(spark, root):
+    target = {"lineitem": with_computed(load(spark, root, "lineitem"), COMPUTED)}
+    listed = dd.computed_listing(spark, inv.dictionary(target), {"lineitem": COMPUTED})
+    known = target["lineitem"].agg(*[F.count(c).alias(c) for c in COMPUTED])
+    counts = known.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).alias("known_rows")) for c in COMPUTED])))
+    return listed.join(counts, "name")
+
+
 def q13_exclude(spark, root):
     kept = inv.exclude(inv.inventory(load_all(spark, root)), EXCLUDED)
     return kept.select("table_name", "row_count")
@@ -106,7 +116,7 @@ def q16_sample(spark, root):
 
 QUERIES = {f.__name__: f for f in (
     q11_inventory, q11b_inventory_totals, q12_dictionary, q12b_largest, q12c_star_joins, q12d_left_residual,
-    q12e_key_listing, q12f_foreign_key_listing, q13_exclude, q14_plan, q15_key_profile, q16_lob_profile,
+    q12e_key_listing, q12f_foreign_key_listing, q12g_computed_listing, q13_exclude, q14_plan, q15_key_profile, q16_lob_profile,
     q16_sample)}
 
 _COUNTS = " UNION ALL ".join(
@@ -176,6 +186,10 @@ ORACLES = {
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_shipdate > o_orderdate GROUP BY 1""",
     "q12e_key_listing": _KEY_TEXT,
     "q12f_foreign_key_listing": _FK_TEXT,
+    "q12g_computed_listing": " UNION ALL ".join(
+        f"SELECT 'lineitem' AS table_name, '{c}' AS name, '{text.replace(chr(39), chr(39) * 2)}' AS definition, "
+        f"{11 + i} AS ordinal, '{kind}' AS sql_type, count(*) AS known_rows FROM lineitem"
+        for i, ((c, text), kind) in enumerate(zip(COMPUTED.items(), ("double", "int", "string")))),
     "q13_exclude": f"""SELECT table_name, row_count FROM ({_COUNTS})
         WHERE NOT (table_name LIKE 'part%' OR table_name LIKE 'em%' OR table_name LIKE 'ev%'
         OR table_name LIKE '_egion' OR regexp_full_match(table_name, '.*s[^t]'))""",

@@ -49,3 +49,10 @@ CHECKS = (
 CONSTRAINTS = Constraints(
     KEYS, FOREIGN_KEYS, CHECKS,
     {"lineitem": ("l_orderkey", "l_shipdate"), "documents": ("text",)})
+
+# Computed columns of lineitem, rebuilt at the target.
+COMPUTED = {
+    "net_price": "l_extendedprice * (1 - l_discount)",
+    "lead_days": "datediff(l_shipdate, timestamp_ntz'1992-01-01')",
+    "line_label": "concat(l_returnflag, '/', l_linestatus)",
+}

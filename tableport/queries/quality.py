@@ -6,13 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import constraints as con
 from .common import load, load_all
-from .declared import CHECKS, CONSTRAINTS
-
-COMPUTED = {
-    "net_price": "l_extendedprice * (1 - l_discount)",
-    "lead_days": "datediff(l_shipdate, timestamp_ntz'1992-01-01')",
-    "line_label": "concat(l_returnflag, '/', l_linestatus)",
-}
+from .declared import CHECKS, COMPUTED, CONSTRAINTS
 
 
 def q26_pk(spark, root):

@@ -142,3 +142,10 @@ def test_stream_over_many_files_equals_the_batch(spark, tmp_path):
 def test_union_all_keeps_every_copy(spark):
     frames = [spark.range(i).select("id") for i in range(6)]
     assert union_all(frames).count() == 15
+
+
+def test_lag_keeps_rows_without_a_key_or_time(spark):
+    rows = [("a", at(0), 1, 10), ("a", at(60), 2, 20), (None, at(5), 3, 30), (None, at(6), 4, 40), ("a", None, 5, 50)]
+    df = spark.createDataFrame(rows, "host string, ts timestamp_ntz, id int, rx bigint")
+    out = tel.counter_rates(df, ["rx"], tie="id", slice_rows=1)
+    assert sorted(r["id"] for r in out.collect()) == [1, 2, 3, 4, 5]
