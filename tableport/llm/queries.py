@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import small_frame
 from ..sources.tables import read_table
-from . import maxscore, pieces, sharding, urlrules, warc
+from . import decontam, langid, licenses, linespread, maxscore, ordermin, pieces, sharding, urlrules, warc
 
 SHARD_BYTES = 1 << 20
 
@@ -27,6 +27,22 @@ def op1_sharding(spark, sf_dir):
     return sharding.assign_shards(docs, SHARD_BYTES)
 
 
+def op2_licenses(spark, sf_dir):
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_near_duplicates(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ordermin.near_classes(docs).select("doc_id", "class_id")
+
+
+def op4_language(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = langid.train_network(docs.where(~langid.held_out()))
+    named = langid.identify(docs.select("doc_id", "text"), network)
+    return named.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_url_filter(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     rules = small_frame(spark, URL_RULES, "host string, path string, verdict string")
@@ -38,6 +54,13 @@ def op6_warc(spark, sf_dir):
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_line_spread(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    cleaned = linespread.remove_boilerplate(docs)
+    return cleaned.select("doc_id", "n_lines", "n_spread", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+                          F.md5("text").alias("kept_md5"))
+
+
 def op8_topk(spark, sf_dir):
     vectors = maxscore.scaled(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return maxscore.top_k(vectors, F.col("id") % 100 == 0)
@@ -49,12 +72,23 @@ def op9_sentencepiece(spark, sf_dir):
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op10_decontamination(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_items(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("hits"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_licenses": op2_licenses,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_language": op4_language,
     "op5_url_filter": op5_url_filter,
     "op6_warc": op6_warc,
+    "op7_line_spread": op7_line_spread,
     "op8_topk": op8_topk,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES = {
@@ -91,6 +125,20 @@ ORACLES = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to FROM o
     """,
+    "op7_line_spread": """
+        WITH l AS (SELECT doc_id, source, md5(text) AS own, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+                          unnest(string_split(text, chr(10))) AS raw FROM documents),
+        t AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM l),
+        b AS (SELECT line FROM t WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+        m AS (SELECT t.*, b.line IS NOT NULL AS spread FROM t LEFT JOIN b ON t.line = b.line),
+        s AS (SELECT doc_id, own, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (spread) AS n_spread,
+                     coalesce(sum(length(line)) FILTER (spread), 0) AS chars,
+                     string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT spread) AS kept FROM m GROUP BY ALL)
+        SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_spread, 0) AS INTEGER) AS n_spread,
+               CAST(CASE WHEN chars <= 0.2 * length(text) THEN n_spread ELSE 0 END AS INTEGER) AS n_removed,
+               CASE WHEN chars <= 0.2 * length(text) AND n_spread > 0 THEN md5(coalesce(kept, '')) ELSE md5(text) END AS kept_md5
+        FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id AND s.own = md5(d.text)
+    """,
     "op8_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
                    FROM embeddings WHERE embedding IS NOT NULL AND
