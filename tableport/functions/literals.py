@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .names import column
 from .times import utc_naive
 
 _DAY_MICROS = 86_400_000_000
@@ -50,8 +51,9 @@ def time_text(micros: Column) -> Column:
     return _fail_when(~m.between(0, _DAY_MICROS - 1), "time of day outside 00:00..24:00", text)
 
 
-def micros_of_day(ts: Column) -> Column:
-    """Microseconds since midnight of a timestamp."""
+def micros_of_day(ts: Column, instant: bool = False) -> Column:
+    """Microseconds since midnight of a zone-free timestamp, or of an instant's UTC reading."""
+    ts = utc_naive(ts) if instant else ts
     return (
         (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * 1_000_000
         + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
@@ -89,7 +91,7 @@ def row_tuple(df: DataFrame, columns=None, time_columns=()) -> Column:
     """``(v1, v2, ...)`` over the chosen columns in order."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = [
-        sql_literal(F.col(f"`{name}`"), types[name], name in time_columns)
+        sql_literal(column(name), types[name], name in time_columns)
         for name in (columns or df.columns)
     ]
     return F.concat(F.lit("("), F.concat_ws(", ", *cells), F.lit(")"))

@@ -17,6 +17,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it holds."""
+    return F.col(quoted(name))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fresh(taken, *wanted: str) -> list[str]:
+    """Working names that no column in ``taken`` has, in any case."""
+    used = {t.lower() for t in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def quote_ident(name) -> Column:
     """``a]b`` -> ``[a]]b]``."""
     return F.concat(F.lit("["), F.replace(_col(name), F.lit("]"), F.lit("]]")), F.lit("]"))

@@ -22,7 +22,3 @@ def utc_naive(instant: Column) -> Column:
     """Instant -> its UTC reading as timestamp_ntz."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
 
-
-def time_slice(naive: Column, micros: int) -> Column:
-    """Number of the fixed slice a timestamp_ntz falls in; never decreases with time."""
-    return F.call_function("div", micros_since_epoch(naive), F.lit(micros))

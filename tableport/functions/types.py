@@ -10,6 +10,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .names import column
 from .times import utc_instant
 
 # Declared type -> Spark type. Types not listed become strings.
@@ -76,15 +77,17 @@ def build_schema(columns: Iterable[Mapping]) -> T.StructType:
 
 
 def guid_bytes(text: Column) -> Column:
-    """Canonical text GUID -> its 16 bytes in text order."""
-    return F.unhex(F.replace(text, F.lit("-"), F.lit("")))
+    """Canonical text GUID -> its 16 bytes in text order; NULL for a text of another length."""
+    value = F.unhex(F.replace(text, F.lit("-"), F.lit("")))
+    return F.when(F.octet_length(value) == 16, value)
 
 
 def guid_text(value: Column) -> Column:
+    """16 bytes -> canonical text; NULL for bytes of another length."""
     digits = F.lower(F.hex(value))
     pieces = [F.substring(digits, start, length)
               for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat_ws("-", *pieces)
+    return F.when(F.octet_length(value) == 16, F.concat_ws("-", *pieces))
 
 
 def _to_declared(column: Column, source: T.DataType, target: T.StructField) -> Column:
@@ -94,7 +97,7 @@ def _to_declared(column: Column, source: T.DataType, target: T.StructField) -> C
     if sql_type == "time" and isinstance(source, (T.TimestampType, T.TimestampNTZType)):
         from .literals import micros_of_day
 
-        return micros_of_day(column)
+        return micros_of_day(column, isinstance(source, T.TimestampType))
     if isinstance(target.dataType, T.TimestampType) and isinstance(source, T.TimestampNTZType):
         return utc_instant(column)
     return column.cast(target.dataType)
@@ -109,15 +112,15 @@ def normalise(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataF
     sources = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for target in schema.fields:
-        raw = F.col(f"`{target.name}`")
+        raw = column(target.name)
         if target.name not in sources:
             raise ValueError(f"column {target.name!r} is not in the source")
         source, value = sources[target.name], None
         special = target.metadata.get("sql_type") in ("uniqueidentifier", "time")
         if source == target.dataType and not special:
             value = raw
-        elif strict and not special and isinstance(source, T.StringType):
-            value = raw.try_cast(target.dataType)
+        elif strict and not special and not isinstance(source, T.TimestampNTZType):
+            value = raw.try_cast(target.dataType)            # the error below names the column
         else:
             value = _to_declared(raw, source, target)
         bad = raw.isNotNull() & value.isNull()
@@ -130,22 +133,27 @@ def normalise(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataF
     return df.select(*out)
 
 
+# What stands in the brackets of a declared type.
+SIZE_RULES = {
+    "precision, scale": ("decimal", "numeric"),
+    "scale": ("datetime2", "datetimeoffset", "time"),
+    "bytes": ("binary", "varbinary", "char", "varchar"),
+    "two-byte characters": ("nchar", "nvarchar"),
+}
+
+
 def declared_length(sql_type: Column, max_length: Column, precision: Column, scale: Column) -> Column:
     """Dictionary row -> declared type text: ``nvarchar(50)``, ``varchar(MAX)``, ``decimal(18,4)``."""
-    name = F.lower(sql_type)
-    chars = F.when(F.startswith(name, F.lit("n")), F.floor(max_length / 2)).otherwise(max_length)
-    length = F.when(max_length == -1, "MAX")
-    with_size = lambda size: F.concat(sql_type, F.lit("("), size, F.lit(")"))
-    return (
-        F.when(name.isin("decimal", "numeric"), F.concat(
-            sql_type, F.lit("("), precision.cast("string"), F.lit(","), scale.cast("string"), F.lit(")")))
-        .when(name.isin("varchar", "nvarchar", "char", "nchar"),
-              with_size(F.coalesce(length, chars.cast("bigint").cast("string"))))
-        .when(name.isin("varbinary", "binary"),
-              with_size(F.coalesce(length, max_length.cast("string"))))
-        .when(name.isin("datetime2", "time", "datetimeoffset"), with_size(scale.cast("string")))
-        .otherwise(sql_type)
-    )
+    def sized(units: int) -> Column:
+        whole = F.floor(max_length / units).cast("bigint").cast("string")
+        return F.when(max_length < 0, "MAX").otherwise(whole)
+
+    brackets = {"precision, scale": F.concat_ws(",", precision.cast("string"), scale.cast("string")),
+                "scale": scale.cast("string"), "bytes": sized(1), "two-byte characters": sized(2)}
+    kinds = F.create_map(*[F.lit(x) for rule, names in SIZE_RULES.items() for name in names for x in (name, rule)])
+    rule = kinds[F.lower(sql_type)]
+    size = F.coalesce(*[F.when(rule == name, text) for name, text in brackets.items()])
+    return F.when(rule.isNull(), sql_type).otherwise(F.concat(sql_type, F.lit("("), size, F.lit(")")))
 
 
 def referential_action(action: Column) -> Column:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.names import column
 from ..plans.inventory import union_all
 from ..session import small_frame
 
@@ -54,9 +55,21 @@ class Constraints:
     checks: tuple[Check, ...] = ()
     not_null: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
+    def within(self, tables) -> Constraints:
+        """Those whose tables are all among ``tables``."""
+        return Constraints(
+            tuple(k for k in self.keys if k.table in tables),
+            tuple(f for f in self.foreign_keys if f.child in tables and f.parent in tables),
+            tuple(c for c in self.checks if c.table in tables),
+            {t: c for t, c in self.not_null.items() if t in tables})
+
+    @property
+    def empty(self) -> bool:
+        return not (self.keys or self.foreign_keys or self.checks or self.not_null)
+
 
 def _cols(names) -> list[Column]:
-    return [F.col(f"`{n}`") for n in names]
+    return [column(n) for n in names]
 
 
 def _any_null(names) -> Column:
@@ -87,11 +100,11 @@ def orphan_keys(child: DataFrame, child_cols, parent: DataFrame, parent_cols) ->
     """
     keys = [f"_k{i}" for i in range(len(child_cols))]
     held = (
-        child.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(child_cols, keys)])
+        child.select(*[column(c).alias(k) for c, k in zip(child_cols, keys)])
         .dropna("any", subset=keys)
         .groupBy(*keys).agg(F.count(F.lit(1)).alias("child_rows"))
     )
-    known = parent.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(parent_cols, keys)]).distinct()
+    known = parent.select(*[column(c).alias(k) for c, k in zip(parent_cols, keys)]).distinct()
     orphans = held.join(known, keys, "left_anti")
     return orphans.select(*[F.col(k).alias(c) for c, k in zip(child_cols, keys)], "child_rows")
 
@@ -158,12 +171,15 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Constraints)
             skipped.append(("CHECK", check.table, check.name))
         else:
             active.setdefault(check.table, {})[check.name] = check.condition
-    for table, conditions in active.items():
-        parts.append(labelled("CHECK", table, check_counts(tables[table], conditions)))
-    for table, columns in constraints.not_null.items():
-        counted = null_counts(tables[table], columns).withColumnsRenamed(
-            {"column_name": "constraint_name", "nulls": "violations"})
-        parts.append(labelled("NOT NULL", table, counted))
+    for table in {**active, **constraints.not_null}:
+        # all row conditions of a table in one pass
+        tests = [("CHECK", name, check_fails(F.expr(text))) for name, text in active.get(table, {}).items()]
+        tests += [("NOT NULL", name, column(name).isNull()) for name in constraints.not_null.get(table, ())]
+        counted = tables[table].agg(*[F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(tests)])
+        cells = [F.struct(F.lit(KIND_ORDER.index(kind)).alias("seq"), F.lit(kind).alias("kind"), F.lit(table).alias("table_name"),
+                          F.lit(name).alias("constraint_name"), F.col(f"v{i}").cast("bigint").alias("violations"))
+                 for i, (kind, name, _) in enumerate(tests)]
+        parts.append(counted.select(F.inline(F.array(*cells))))
     for fk in constraints.foreign_keys:
         if fk.disabled or fk.untrusted:
             skipped.append(("FOREIGN KEY", fk.child, fk.name))

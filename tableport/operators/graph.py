@@ -29,7 +29,7 @@ def usable_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> Levels:
+def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> Levels:
     """Peel nodes whose parents are all placed, one level per round.
 
     ``nodes``: node, ordinal (unique, the input order). ``edges``: child, parent, ordinal (unique).
@@ -50,7 +50,7 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_0
 
     level = 0
     while True:
-        if level >= max_rounds:
+        if max_rounds is not None and level >= max_rounds:
             raise ValueError(f"dependency chain longer than {max_rounds} levels")
         seen = Observation()
         ready = F.col("need") == 0

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.names import column, fresh
 from ..session import materialize, small_frame
 
 
@@ -16,33 +17,39 @@ def global_row_number(df: DataFrame, order_by, name: str = "position") -> DataFr
     in the task, the result is written once, and the number of rows before each task (one row per sort
     task, so small) is added by a broadcast lookup.
     """
-    at = F.monotonically_increasing_id()
-    placed = materialize(df.orderBy(*order_by).withColumn("_at", at), "ordered")
-    task, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    at, number, ahead = fresh([*df.columns, name], "_at", "_task", "_before")
+    placed = materialize(df.orderBy(*order_by).withColumn(at, F.monotonically_increasing_id()), "ordered")
+    task, place = F.shiftright(at, 33), F.col(at).bitwiseAND((1 << 33) - 1)
     counts = sorted(tuple(r) for r in placed.groupBy(task.alias("task")).count().collect())
     before = [0, *accumulate(n for _, n in counts)]
     offsets = small_frame(
-        df.sparkSession, [(t, b) for (t, _), b in zip(counts, before)], "_task bigint, _before bigint")
-    return (placed.withColumn("_task", task).join(F.broadcast(offsets), "_task")
-            .withColumn(name, F.col("_before") + place + 1).drop("_at", "_task", "_before"))
+        df.sparkSession, [(t, b) for (t, _), b in zip(counts, before)], f"{number} bigint, {ahead} bigint")
+    return (placed.withColumn(number, task).join(F.broadcast(offsets), number)
+            .withColumn(name, F.col(ahead) + place + 1).drop(at, number, ahead))
 
 
-def previous(df: DataFrame, keys, order_by, columns, slice_of: Column) -> DataFrame:
-    """``lag`` of ``columns`` per key in ``order_by`` order, as ``prev_<column>``.
+def previous(df: DataFrame, keys, order_by, columns) -> DataFrame:
+    """``lag`` of ``columns`` per key in ``order_by`` order, as ``prev_<column>``; NULL keys compare equal.
 
-    One key may own a third of the rows, so its window is cut into slices (``slice_of`` must not
-    decrease along the order, e.g. the hour of a timestamp). Rows are shuffled once, by key and slice;
-    the value carried over a slice edge comes from a table of one row per key and slice. Rows without
-    a key or a place in the order stay, and look back within their own slice only.
+    One key may own a third of the rows, and they may all fall into one instant, so no key is a window of its
+    own. A global sort by key and order spreads the rows evenly over tasks and is written once; the lag runs
+    inside each sorted task, and the first row of a task looks at the last row of the task before it. That
+    carry is one row per sort task. ``order_by`` should be unique per key; NULLs come first.
     """
-    keys, order_by = list(keys), list(order_by)
-    sliced = df.withColumn("_slice", slice_of)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
-    kept = F.struct(*columns)
-    labelled = sliced.withColumn("_prev", F.lag(kept).over(inside))
-    last = sliced.groupBy(*keys, "_slice").agg(F.max_by(kept, F.struct(*order_by)).alias("_last"))
-    carried = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")))
-    found = F.coalesce("_prev", "_carry")
-    return (labelled.join(carried.drop("_last"), [*keys, "_slice"], "left")
-            .withColumns({f"prev_{c}": found[c] for c in columns})
-            .drop("_slice", "_prev", "_carry"))
+    keys, order_by, columns = list(keys), list(order_by), list(columns)
+    at, task, prev, carry, had = fresh(
+        [*df.columns, *(f"prev_{c}" for c in columns)], "_at", "_task", "_prev", "_carry", "_had")
+    cols = [column(c) for c in (*keys, *order_by)]
+    placed = materialize(df.orderBy(*cols).withColumn(at, F.monotonically_increasing_id()), "ordered")
+    placed = placed.withColumn(task, F.shiftright(at, 33))
+    kept = F.struct(*[column(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    own = F.struct(*[column(k).alias(f"k{i}") for i, k in enumerate(keys)], F.lit(0).alias("k"))
+    inside = Window.partitionBy(task, *[column(k) for k in keys]).orderBy(at)
+    labelled = placed.withColumns({prev: F.lag(kept).over(inside), had: F.row_number().over(inside) > 1})
+    last = placed.groupBy(task).agg(F.max_by(F.struct(own.alias("own"), kept.alias("kept")), at).alias(carry))
+    # one row per sort task, so this window and the broadcast are small whatever the table holds
+    carried = last.select(task, F.lag(carry).over(Window.orderBy(task)).alias(carry))
+    joined = labelled.join(F.broadcast(carried), task, "left")
+    same = ~F.col(had) & F.col(carry)["own"].eqNullSafe(own)
+    found = F.when(F.col(had), F.col(prev)).when(same, F.col(carry)["kept"])
+    return joined.withColumns({f"prev_{c}": found[f"v{i}"] for i, c in enumerate(columns)}).drop(at, task, prev, carry, had)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.names import file_stem
+from ..functions.names import column, file_stem
 from ..plans.inventory import union_all
 
 
@@ -71,7 +71,7 @@ def fingerprints(tables: Mapping[str, DataFrame], sums: Mapping[str, str] | None
     """
     frames = []
     for name, df in tables.items():
-        summed = F.col(f"`{sums[name]}`") if sums and name in sums else F.lit(None)
+        summed = column(sums[name]) if sums and name in sums else F.lit(None)
         frames.append(df.select(F.lit(name).alias("table_name"), F.expr(_row_hash(df)).alias("h"),
                                 summed.cast("bigint").alias("k")))
     return union_all(frames).groupBy("table_name").agg(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.times import time_slice
 from .ranking import previous
 
 MIB = 1_048_576.0
@@ -22,24 +21,14 @@ GRADES = (
 )
 
 
-def slice_micros(samples: DataFrame, keys, ts: str, rows: int) -> int:
-    """Slice length at which the key with the densest samples has about ``rows`` of them per slice."""
-    span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)) + 1
-    pace = samples.groupBy(*keys).agg((span / F.count(F.lit(1))).alias("micros_per_row"))
-    shortest = pace.agg(F.min("micros_per_row").alias("m")).first()["m"]
-    return max(1, int((shortest or 1) * rows))
-
-
-def counter_rates(samples: DataFrame, counters, keys=("host",), ts: str = "ts", tie: str | None = None,
-                  slice_rows: int = 1_000_000) -> DataFrame:
+def counter_rates(samples: DataFrame, counters, keys=("host",), ts: str = "ts", tie: str | None = None) -> DataFrame:
     """MiB/s of growing counters between consecutive samples of a key; a reset counts as 0.
 
-    The first sample, and one at the same instant as its predecessor, have no rate. Time is cut so that
-    the busiest key has about ``slice_rows`` samples per slice.
+    The first sample of a key, one at the same instant as its predecessor, and one without a time have no rate.
+    Samples without a key are one key of their own.
     """
     order = [ts] + ([tie] if tie else [])
-    lagged = previous(samples, keys, order, [ts, *counters],
-                      time_slice(F.col(ts), slice_micros(samples, keys, ts, slice_rows)))
+    lagged = previous(samples, keys, order, [ts, *counters])
     micros = F.timestamp_diff("MICROSECOND", F.col(f"prev_{ts}"), F.col(ts))
     seconds = F.nullif(micros, F.lit(0)) / 1_000_000.0
     rates = {

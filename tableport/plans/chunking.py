@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.names import column
 from .order_stats import key_summary, ntile_edges, trim_overlaps
 
 BIGINT_MAX = (1 << 63) - 1
@@ -141,11 +142,11 @@ def modulo_plan(key: str, n: int) -> ChunkPlan:
 
 def in_range(key: str, lo: int, hi: int) -> Column:
     """Closed range predicate; reaches the Parquet scan as a pushed filter."""
-    return F.col(f"`{key}`").between(lo, hi)
+    return column(key).between(lo, hi)
 
 
 def in_modulo(key: str, divisor: int, remainder: int) -> Column:
-    return F.abs(F.col(f"`{key}`") % divisor) == remainder
+    return F.abs(column(key) % divisor) == remainder
 
 
 def with_part(df: DataFrame, plan: ChunkPlan, name: str = "_part") -> DataFrame:
@@ -160,7 +161,7 @@ def part_counts(df: DataFrame, plan: ChunkPlan) -> DataFrame:
 
 def key_bounds(df: DataFrame, key: str) -> DataFrame:
     """One row (lo, hi), 0 and 0 for an empty table."""
-    k = F.col(f"`{key}`").cast("bigint")
+    k = column(key).cast("bigint")
     return df.agg(F.coalesce(F.min(k), F.lit(0)).cast("bigint").alias("lo"),
                   F.coalesce(F.max(k), F.lit(0)).cast("bigint").alias("hi"))
 
@@ -168,7 +169,7 @@ def key_bounds(df: DataFrame, key: str) -> DataFrame:
 def range_table(df: DataFrame, key: str, n: int) -> DataFrame:
     """The range plan as rows (part, lo, hi), computed in Spark with 128-bit safe widths."""
     wide = "decimal(38,0)"
-    k = F.col(f"`{key}`")
+    k = column(key)
     bounds = df.agg(F.min(k).cast(wide).alias("lo"), F.max(k).cast(wide).alias("hi"))
     size = F.ceil((F.col("hi") - F.col("lo") + 1) / n).cast(wide)
     start = F.col("lo") + F.col("part").cast(wide) * F.col("size")

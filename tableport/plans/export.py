@@ -8,12 +8,13 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.names import make_fqn
-from ..operators.reconcile import assert_reconciled, merge_parts, missing_results, reconcile, stem_collisions
+from ..functions.names import make_fqn, quoted
+from ..operators.reconcile import (
+    assert_reconciled, fingerprints, merge_parts, missing_results, reconcile, stem_collisions)
 from ..session import path_exists, pinned, small_frame
 from ..sources import bundle as bd
 from .chunking import ChunkPlan, SINGLE, with_part
-from .inventory import LARGE_TABLE_ROWS, chunk_plan, excluded_names, export_order, inventory, plan_tables
+from .inventory import LARGE_TABLE_ROWS, chunk_plan, excluded_names, export_order, plan_tables, row_counts
 
 
 def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_per_group: int = 100_000,
@@ -26,21 +27,27 @@ def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_p
     """
     seen = Observation()
     single = plan.parts == 1
-    placed = df if single else with_part(df, plan)
+    part = bd.part_name(df.columns)
+    placed = df if single else with_part(df, plan, part)
     if cluster and not single:
-        placed = placed.hint("rebalance", "_part")
+        placed = placed.hint("rebalance", quoted(part))
     writer = (
         placed.observe(seen, F.count(F.lit(1)).alias("rows")).write
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", min(max(level, 1), 22))
         .option("parquet.block.row.count.limit", rows_per_group))
     if single:
-        writer.parquet(f"{path}/_part=0")
+        writer.parquet(f"{path}/{part}=0")
     else:
-        writer.partitionBy("_part").parquet(path)
+        writer.partitionBy(part).parquet(path)
     return seen.get["rows"]
 
 
+def fqn_of(name, schema: str = "main") -> str:
+    """``table`` or (schema, table) -> the bracketed name."""
+    return make_fqn(*name) if isinstance(name, tuple) else make_fqn(schema, name)
+
+
 def concrete_plans(tables: Mapping[str, DataFrame], chunks: int, threshold: int) -> dict[str, ChunkPlan]:
     """Chunk plan per table, keyed tables first."""
     rows = export_order(plan_tables(tables, chunks, threshold)).collect()  # one row per table
@@ -52,26 +59,39 @@ def concrete_plans(tables: Mapping[str, DataFrame], chunks: int, threshold: int)
 
 def export_tables(
     spark: SparkSession, source: Mapping[str, DataFrame], out: str, exclude=(), schema_only: bool = False,
-    level: int = 3, chunks: int = 8, chunk_threshold: int = LARGE_TABLE_ROWS, rows_per_group: int = 100_000,
+    level: int = 3, chunks: int | None = None, chunk_threshold: int | None = None, rows_per_group: int = 100_000,
     validate: bool = False, layout: str = "scan", parallel: int = 8, schema: str = "main",
     source_host: str = "", source_database: str = "", plans: Mapping[str, ChunkPlan] | None = None,
 ) -> DataFrame:
     """Write ``source`` (table name -> DataFrame) to ``out``; returns one row per stored part.
 
+    A table of another schema than ``schema`` is named by a (schema, table) pair, so equal table names of two
+    schemas can share a bundle. ``exclude`` patterns match the table or ``schema.table``. ``validate`` compares the
+    content of what was stored with the source, not only its rows.
+
     ``layout="scan"`` keeps the partitions the source is read in, with no shuffle. ``layout="key"``
-    clusters large tables by their chunk key into ``chunks`` parts at the price of one. ``plans``
+    clusters large tables by their chunk key into ``chunks`` parts (8) at the price of one; ``chunks`` and
+    ``chunk_threshold`` belong to it and are refused with the other. ``plans``
     overrides the plan of single tables: with the scan layout it fits a table read by the same plan's
     chunk predicates, where every task already holds one part.
     """
     if layout not in ("scan", "key"):
         raise ValueError(f"unknown layout {layout!r}")
+    if layout == "scan" and (chunks is not None or chunk_threshold is not None):
+        raise ValueError("chunks and chunk_threshold need the key layout")
+    chunks, chunk_threshold = chunks or 8, LARGE_TABLE_ROWS if chunk_threshold is None else chunk_threshold
     if path_exists(spark, f"{out}/manifest.json") or path_exists(spark, f"{out}/data"):
         raise FileExistsError(f"{out} already holds a bundle or part of one")
-    skipped = excluded_names(source, exclude, schema)
-    tables = {name: df for name, df in source.items() if name not in skipped}
+    tables = {}
+    for name, df in source.items():
+        own, table = name if isinstance(name, tuple) else (schema, name)
+        if not excluded_names([table], exclude, own):
+            tables[name] = df
     if not tables:
         raise ValueError("no tables to export")
-    fqns = {name: make_fqn(schema, name) for name in tables}
+    fqns = {name: fqn_of(name, schema) for name in tables}
+    if len(set(fqns.values())) < len(fqns):
+        raise ValueError("a table is named twice")
     names = small_frame(spark, [(f,) for f in fqns.values()], "table_fqn string")
     clash = stem_collisions(names).first() if len(fqns) > 1 else None
     if clash:
@@ -79,7 +99,8 @@ def export_tables(
 
     chosen = dict.fromkeys(tables, SINGLE)
     if layout == "key" and not schema_only:
-        chosen = concrete_plans(tables, chunks, chunk_threshold)
+        by_fqn = concrete_plans({fqns[n]: df for n, df in tables.items()}, chunks, chunk_threshold)
+        chosen = {n: by_fqn[fqns[n]] for n in tables}
     chosen.update(plans or {})
 
     def write(name: str) -> tuple[str, int]:
@@ -94,9 +115,9 @@ def export_tables(
     schemas = {fqns[n]: df.schema for n, df in tables.items()}
     folders = {fqn: [bd.data_dir(fqn)] for fqn in fqns.values()}
     counted = bd.stored_counts(spark, out, folders, schemas)
-    path = F.concat(F.lit("data/"), F.col("folder"), F.lit("/_part="), F.col("part").cast("string"))
-    where = small_frame(spark, [(fqn, bd.data_dir(fqn).removeprefix("data/")) for fqn in fqns.values()],
-                                  "table_fqn string, folder string")
+    path = F.concat(F.col("folder"), F.lit("="), F.col("part").cast("string"))
+    first = {fqns[n]: f"{bd.data_dir(fqns[n])}/{bd.part_name(df.columns)}" for n, df in tables.items()}
+    where = small_frame(spark, first.items(), "table_fqn string, folder string")
     stats = counted.join(where, "table_fqn").select("table_fqn", "part", path.alias("path"), "rows")
     # at most tables x chunks rows: this is what goes into the manifest
     stats = pinned(stats)
@@ -105,7 +126,9 @@ def export_tables(
         stored = merged[fqn]["row_count"] if fqn in merged else 0
         if stored != rows:
             raise ValueError(f"{fqn}: {rows} rows read, {stored} rows stored")
-    results = small_frame(spark, [(f,) for f in written], "table_fqn string")
+    # every table has a result: a stored part, or no row seen by its write
+    empty = [(f,) for f, rows in written.items() if rows == 0]
+    results = stats.select("table_fqn").distinct().unionByName(small_frame(spark, empty, "table_fqn string"))
     if missing_results(names, results, "table_fqn").take(1):
         raise ValueError("some tables were not exported; refusing to write a partial bundle")
 
@@ -113,15 +136,23 @@ def export_tables(
     for name, df in tables.items():
         fqn = fqns[name]
         identity = [f.name for f in df.schema.fields if (f.metadata or {}).get("identity")]
-        files = list(merged[fqn]["file_names"]) if fqn in merged else [f"{bd.data_dir(fqn)}/_part=0"]
+        files = list(merged[fqn]["file_names"]) if fqn in merged else [f"{first[fqn]}=0"]
         entries.append({"table_fqn": fqn, "file_names": files,
                         "row_count": merged[fqn]["row_count"] if fqn in merged else 0,
                         "has_identity": bool(identity), "identity_columns": identity})
     if validate and not schema_only:
-        live = inventory(tables, schema).select("table_fqn", "row_count")
+        named = {fqns[n]: df for n, df in tables.items()}
+        counted = {r[0]: r[1] for r in row_counts(named).collect()}
+        live = small_frame(spark, [(f, counted.get(f, 0)) for f in named], "table_fqn string, row_count bigint")
         archive = small_frame(spark, [(e["table_fqn"], e["row_count"]) for e in entries],
                                         "table_fqn string, row_count bigint")
         assert_reconciled(reconcile(archive, live, "table_fqn"))
+        stored = {e["table_fqn"]: spark.read.schema(schemas[e["table_fqn"]]).parquet(
+            *[f"{out}/{p}" for p in e["file_names"]]) for e in entries}
+        both = [{r["table_name"]: r["fingerprint"] for r in fingerprints(t).collect()} for t in (named, stored)]
+        differing = sorted(f for f in named if both[0].get(f) != both[1].get(f))
+        if differing:
+            raise ValueError(f"stored content differs from the source: {', '.join(differing)}")
     bd.write_schemas(spark, out, schemas)
     bd.write_manifest(spark, out, {
         "writer_version": "1", "format_version": bd.FORMAT_VERSION,

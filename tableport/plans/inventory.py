@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.names import glob_to_regex, make_fqn, qualified_name
+from ..functions.names import column, glob_to_regex, make_fqn, qualified_name
 from ..session import pinned, small_frame
 from .chunking import ChunkPlan, SINGLE, modulo_plan, ntile_plan, range_plan
 
@@ -14,8 +14,6 @@ from .chunking import ChunkPlan, SINGLE, modulo_plan, ntile_plan, range_plan
 # large objects (the widest in-row value of the source engine).
 LARGE_TABLE_ROWS = 500_000
 IN_ROW_BYTES = 8000
-# Rows looked at before a column pays for a full duplicate count.
-PROBE_ROWS = 1_000_000
 
 Tables = Mapping[str, DataFrame]
 
@@ -104,12 +102,21 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def column_profile(tables: Tables) -> DataFrame:
-    """One row per column: rows, nulls, integer bounds and longest value, in one pass per table."""
+PROFILE = ("table_name string, rows bigint, ordinal int, column_name string, data_type string, key_type boolean, "
+           "nulls bigint, lo bigint, hi bigint, max_bytes bigint")
+
+
+def column_profile(tables: Tables, only=lambda f: True) -> DataFrame:
+    """One row per column: rows, nulls, integer bounds and longest value, in one pass per table.
+
+    ``only`` picks columns by their StructField; the others are not read.
+    """
     frames = []
     for name, df in tables.items():
         aggregates, cells = ["count(1) AS rows"], []
         for i, f in enumerate(df.schema.fields):
+            if not only(f):
+                continue
             c = _quoted(f.name)
             aggregates.append(f"count_if({c} IS NULL) AS n{i}")
             lo = hi = longest = "CAST(NULL AS BIGINT)"
@@ -123,9 +130,11 @@ def column_profile(tables: Tables) -> DataFrame:
                 f"struct({i} AS ordinal, {_text(f.name)} AS column_name, "
                 f"{_text(f.dataType.simpleString())} AS data_type, {str(_is_key_type(f.dataType))} AS key_type, "
                 f"n{i} AS nulls, {lo} AS lo, {hi} AS hi, {longest} AS max_bytes)")
+        if not cells:
+            continue
         frames.append(df.agg(*[F.expr(a) for a in aggregates]).selectExpr(
             f"{_text(name)} AS table_name", "rows", f"inline(array({', '.join(cells)}))"))
-    return union_all(frames)
+    return union_all(frames) if frames else small_frame(_session(tables), [], PROFILE)
 
 
 def lob_profile(profile: DataFrame, limit: int = IN_ROW_BYTES) -> DataFrame:
@@ -139,19 +148,22 @@ def _column_of(r) -> tuple[str, str]:
     return r["table_name"], r["column_name"]
 
 
-def _most_copies(tables: Tables, columns, first_rows: int | None = None) -> dict[tuple[str, str], int]:
-    """Largest number of rows sharing one value, per column; over the first rows only when asked."""
+def _most_copies(tables: Tables, columns) -> dict[tuple[str, str], int]:
+    """Largest number of rows sharing one value, per column."""
     frames = []
     for table, name in map(_column_of, columns):
-        keys = tables[table].select(F.col(f"`{name}`").alias("k"))
-        if first_rows is not None:
-            keys = keys.limit(first_rows)
+        keys = tables[table].select(column(name).alias("k"))
         frames.append(keys.groupBy("k").count().agg(
             F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
             F.coalesce(F.max("count"), F.lit(0)).alias("copies")))
     return {_column_of(r): r["copies"] for r in union_all(frames).collect()} if frames else {}
 
 
+KEYS = ("table_name string, column_name string, ordinal int, rows bigint, nulls bigint, lo bigint, hi bigint, "
+        "is_unique boolean, key_rank int")
+LOBS = "table_name string, column_name string, max_bytes bigint, is_lob boolean"
+
+
 def key_profile(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
     """Integer columns with exact uniqueness, best chunk key first (``key_rank`` 1).
 
@@ -162,10 +174,7 @@ def key_profile(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
     spark = _session(tables)
     stats = (column_profile(tables) if profile is None else profile).filter("key_type").collect()
     candidates = [r for r in stats if r["lo"] is not None and r["nulls"] == 0 and r["rows"] <= r["hi"] - r["lo"] + 1]
-    # a repeat among the first rows proves duplicates, so only keys without one are counted in full
-    large = [r for r in candidates if r["rows"] > PROBE_ROWS]
-    repeated = _most_copies(tables, large, PROBE_ROWS)
-    counted = _most_copies(tables, [r for r in candidates if repeated.get(_column_of(r), 1) <= 1])
+    counted = _most_copies(tables, candidates)
     unique = {column for column, copies in counted.items() if copies <= 1}
     order = {}
     for r in stats:
@@ -176,9 +185,7 @@ def key_profile(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
         for rank, (not_unique, _, _, r) in enumerate(sorted(entries, key=lambda e: e[:3]), start=1):
             rows.append((r["table_name"], r["column_name"], r["ordinal"], r["rows"], r["nulls"], r["lo"],
                          r["hi"], not not_unique, rank))
-    return small_frame(
-        spark, rows, "table_name string, column_name string, ordinal int, rows bigint, nulls bigint, lo bigint, "
-              "hi bigint, is_unique boolean, key_rank int")
+    return small_frame(spark, rows, KEYS)
 
 
 def plan_rows(listing: DataFrame, keys: DataFrame, lobs: DataFrame, n: int, threshold: int) -> DataFrame:
@@ -215,11 +222,51 @@ def export_order(plan: DataFrame) -> DataFrame:
     return plan.orderBy(F.col("chunk_key").isNull(), "ordinal")
 
 
-def plan_tables(tables: Tables, n: int = 8, threshold: int = LARGE_TABLE_ROWS) -> DataFrame:
-    listing = inventory(tables)
-    # one row per column: small whatever the tables hold, and needed three times below
-    profile = pinned(column_profile(tables))
-    return plan_rows(listing, key_profile(tables, profile), lob_profile(profile), n, threshold)
+def _declared_keys(tables: Tables, profile, declared) -> list:
+    """Chunk keys that need no look at the data: a sole identity column, else the first single-column declared key
+    of an integer type, else a NOT NULL column called ``id``."""
+    stats = {_column_of(r): r for r in profile}
+    found = []
+    for name, df in tables.items():
+        fields = [f for f in df.schema.fields if _is_key_type(f.dataType)]
+        identity = [f.name for f in fields if (f.metadata or {}).get("identity")]
+        keyed = [k.columns[0] for k in sorted((k for k in declared if k.table == name), key=lambda k: not k.primary)
+                 if len(k.columns) == 1 and k.columns[0] in {f.name for f in fields}]
+        named = [f.name for f in fields if f.name.lower() == "id" and not f.nullable]
+        chosen = identity if len(identity) == 1 else keyed or named
+        if chosen and stats[name, chosen[0]]["nulls"] == 0:
+            found.append(stats[name, chosen[0]])
+    return found
+
+
+def plan_tables(tables: Tables, n: int = 8, threshold: int = LARGE_TABLE_ROWS, declared=()) -> DataFrame:
+    """The plan an export follows, from as little data as decides it.
+
+    Row counts come from footers. Only tables of at least ``threshold`` rows are looked at, and of those only the
+    integer columns; uniqueness is measured only where no identity column, declared key (``declared``: ``Key``s) or
+    NOT NULL ``id`` settles it, and value widths only for tables without a unique key, since nothing else depends on
+    them. ``has_lob`` is False where it was not needed.
+    """
+    spark = _session(tables)
+    listing = pinned(inventory(tables))
+    large = {r["table_name"] for r in listing.collect() if r["row_count"] >= threshold} if n > 1 else set()
+    large = {name: df for name, df in tables.items() if name in large}
+    if not large:
+        return plan_rows(listing, small_frame(spark, [], KEYS), small_frame(spark, [], LOBS), n, threshold)
+    profile = pinned(column_profile(large, lambda f: _is_key_type(f.dataType)))
+    settled = _declared_keys(large, profile.collect(), declared)
+    done = {r["table_name"] for r in settled}
+    open_tables = {name: df for name, df in large.items() if name not in done}
+    keys = small_frame(spark, [(r["table_name"], r["column_name"], r["ordinal"], r["rows"], r["nulls"], r["lo"], r["hi"],
+                                True, 1) for r in settled], KEYS)
+    if open_tables:
+        keys = keys.unionByName(key_profile(open_tables, profile.where(F.col("table_name").isin(*open_tables))))
+    keys = pinned(keys)
+    unsure = {r[0] for r in keys.filter("key_rank = 1 AND NOT is_unique").select("table_name").collect()}
+    wide = {name: df for name, df in large.items() if name in unsure}
+    lobs = lob_profile(column_profile(wide, lambda f: isinstance(f.dataType, (T.StringType, T.BinaryType)))) \
+        if wide else small_frame(spark, [], LOBS)
+    return plan_rows(listing, keys, lobs, n, threshold)
 
 
 def chunk_plan(df: DataFrame, strategy: str, key: str | None, n: int, bounds: tuple | None = None) -> ChunkPlan:
@@ -257,12 +304,12 @@ def sample(df: DataFrame, columns=None, max_rows: int | None = None, key: str |
     if key_range is not None:
         if key is None:
             raise ValueError("a key range needs a chunk key")
-        df = df.filter(F.col(f"`{key}`").between(*key_range))
+        df = df.filter(column(key).between(*key_range))
     if order_by:
         df = df.orderBy(*order_by)
     if max_rows is not None:
         df = df.limit(max_rows)
-    return df.select(*[f"`{c}`" for c in chosen])
+    return df.select(*[column(c) for c in chosen])
 
 
 def dictionary(tables: Tables, schema: str = "main") -> DataFrame:

@@ -15,26 +15,38 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.names import column
+
 
 def key_summary(df: DataFrame, key: str) -> tuple[int | None, int | None, int, int]:
     """(min, max, non-null rows, all rows) of the key."""
-    k = F.col(f"`{key}`").cast("bigint")
+    k = column(key).cast("bigint")
     row = df.agg(F.min(k), F.max(k), F.count(k), F.count(F.lit(1))).first()
     return row[0], row[1], row[2], row[3]
 
 
 def _in_cells(k: Column, shift: int, cells: list[int]) -> Column:
-    member = F.shiftright(k, shift).isin(cells)
-    if len(cells) > 64:
-        return member
-    # closed ranges reach the Parquet scan, so clustered files skip their other row groups
-    spans = [k.between(cell << shift, ((cell + 1) << shift) - 1) for cell in cells]
-    return reduce(lambda a, b: a | b, spans)
+    """Keys inside ``cells`` (ascending), as closed ranges that reach the Parquet scan.
+
+    Neighbouring cells share a range and one range covers them all, so clustered files skip their other
+    row groups even where the single ranges are too many for the scan.
+    """
+    spans = []
+    for cell in cells:
+        if spans and spans[-1][1] == cell - 1:
+            spans[-1][1] = cell
+        else:
+            spans.append([cell, cell])
+    inside = [k.between(a << shift, ((b + 1) << shift) - 1) for a, b in spans]
+    whole = k.between(cells[0] << shift, ((cells[-1] + 1) << shift) - 1)
+    while len(inside) > 1:                               # as a tree: many ranges must not nest deeply
+        inside = [reduce(lambda a, b: a | b, inside[i:i + 2]) for i in range(0, len(inside), 2)]
+    return whole & inside[0] if len(spans) > 1 else whole
 
 
 def keys_at_ranks(df: DataFrame, key: str, ranks, lo: int, hi: int, cells: int = 1 << 16) -> dict[int, int]:
     """Key at each 1-based rank of the non-null keys in ascending order; keys lie in lo..hi."""
-    k = F.col(f"`{key}`").cast("bigint")
+    k = column(key).cast("bigint")
     keyed = df.filter(k.isNotNull())
     # wanted: cell -> [(rank within the cell, original rank)]; one cell covers everything at first
     wanted = {None: [(rank, rank) for rank in sorted(set(ranks))]}
@@ -85,10 +97,10 @@ def ntile_edges(df: DataFrame, key: str, n: int) -> list[tuple[int, int, int]]:
 
 
 def trim_overlaps(edges) -> list[tuple[int, int]]:
-    """Disjoint ranges from bucket edges: a key on an edge stays with the first bucket that has it."""
-    ranges: list[tuple[int, int]] = []
-    for lo, hi, *_ in edges:
-        start = max(lo, ranges[-1][1] + 1) if ranges else lo
-        if start <= hi:
-            ranges.append((start, hi))
-    return ranges
+    """Disjoint ranges from bucket edges: a key on an edge stays with the first bucket that has it.
+
+    So each different upper edge ends one range, and the next range starts behind it.
+    """
+    edges = list(edges)
+    tops = sorted({e[1] for e in edges})
+    return list(zip([edges[0][0], *[t + 1 for t in tops]], tops)) if edges else []

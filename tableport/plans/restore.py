@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.names import split_fqn
+from ..functions.names import column, split_fqn
 from ..operators.constraints import Constraints, constraint_report
 from ..session import small_frame
 from ..sources.bundle import check_bundle, manifest_problems, open_bundle
@@ -22,6 +22,14 @@ def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
 
 
+def names_of(restored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tables by ``schema.table``, and by the bare name where only one schema has it."""
+    names = [(*split_fqn(fqn), df) for fqn, df in restored.items()]
+    bare = [table for _, table, _ in names]
+    out = {f"{schema}.{table}": df for schema, table, df in names}
+    return out | {table: df for _, table, df in names if bare.count(table) == 1}
+
+
 def restore_tables(
     spark: SparkSession, bundle: str, target, data_only: bool = False, replace: bool = False,
     constraints: Constraints | None = None, parallel: int = 8,
@@ -30,16 +38,17 @@ def restore_tables(
 
     Nothing is touched until the manifest, the names and every part have been checked. Identity
     values and NULLs are written as they are; defaults never apply. Keys, checks and foreign keys are
-    checked after all data is in place, and any violation is an error.
+    checked after all data is in place, and any violation is an error. Constraints of tables the bundle does not
+    hold, and references to such tables, are left out; tables are named ``table`` or ``schema.table`` in them.
     """
     opened = open_bundle(spark, bundle)
-    problems = manifest_problems(opened.manifest).take(20)
+    problems = manifest_problems(opened.manifest).collect()  # at most a few per listed table
     if problems:
         raise ValueError("; ".join(f"{p['scope']}: {p['problem']}" for p in problems))
-    broken = check_bundle(spark, opened).filter("NOT ok").first()
+    broken = check_bundle(spark, opened).filter("NOT ok").collect()
     if broken:
-        raise ValueError(f"{broken['table_fqn']}: {broken['parts_missing']} part(s) missing, "
-                         f"{broken['stored_rows']} of {broken['row_count']} rows stored")
+        raise ValueError("; ".join(f"{b['table_fqn']}: {b['parts_missing']} part(s) missing, "
+                                   f"{b['stored_rows']} of {b['row_count']} rows stored" for b in broken))
     expected = {r[0]: r[1] for r in opened.tables.select("table_fqn", "row_count").collect()}
     absent = set(expected) - set(opened.schemas)
     if absent:
@@ -70,7 +79,7 @@ def restore_tables(
         if data_only and expected[fqn] == 0:
             return
         df = opened.read(fqn, parts[fqn])
-        target.append(df.select(*[f"`{c}`" for c in _supplied(opened.schemas[fqn])]), fqn)
+        target.append(df.select(*[column(c) for c in _supplied(opened.schemas[fqn])]), fqn)
 
     with ThreadPoolExecutor(max(1, parallel)) as pool:
         list(pool.map(load, expected))
@@ -82,8 +91,9 @@ def restore_tables(
         if n != got:
             raise ValueError(f"{fqn}: {got} rows restored, {n} expected")
     if constraints is not None:
-        by_name = {split_fqn(fqn)[1]: df for fqn, df in restored.items()}
-        violated = constraint_report(by_name, constraints).filter("status = 'VIOLATED'").first()
+        by_name = names_of(restored)
+        kept = constraints.within(by_name)
+        violated = [] if kept.empty else constraint_report(by_name, kept).filter("status = 'VIOLATED'").collect()
         if violated:
-            raise ValueError(f"{violated['constraint_name']}: {violated['violations']} violation(s)")
+            raise ValueError("; ".join(f"{v['constraint_name']}: {v['violations']} violation(s)" for v in violated))
     return small_frame(spark, rows, "table_fqn string, row_count bigint, restored_rows bigint")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import make_fqn, part_path, split_fqn
 from ..operators import reconcile as rec
+from ..operators.constraints import Constraints, ForeignKey, Key
 from ..plans import chunking
 from ..plans.export import export_tables
 from ..plans.inventory import inventory
@@ -22,8 +23,8 @@ from .declared import COLUMNS
 FIRST = {t: cols[0][0] for t, cols in COLUMNS.items()}
 
 
-def _roundtrip(spark, root, **options):
-    tables = load_all(spark, root)
+def _roundtrip(spark, root, tables=None, **options):
+    tables = tables or load_all(spark, root)
     out, back = scratch_path(spark, "bundle"), PathTarget(scratch_path(spark, "restored"))
     export_tables(spark, tables, out, **options)
     restored = restore_tables(spark, out, back)
@@ -46,6 +47,29 @@ def q21b_roundtrip_by_key(spark, root):
     return _roundtrip(spark, root, layout="key", chunks=PLAN_CHUNKS, chunk_threshold=PLAN_THRESHOLD)
 
 
+def q21c_roundtrip_odd_columns(spark, root):
+    # columns called like the folder level and the working columns of an export
+    tables = {t: df.withColumns({"_part": F.col(FIRST[t]) % 7, "_Slice": F.lit("x"), "_prev": F.col(FIRST[t])})
+              for t, df in load_all(spark, root).items()}
+    done = _roundtrip(spark, root, tables, layout="key", chunks=PLAN_CHUNKS, chunk_threshold=PLAN_THRESHOLD)
+    return done.select("table_name", "rows_restored", "key_sum", "content_equal")
+
+
+def q21d_two_schemas(spark, root):
+    """Two schemas that share a table name, one table excluded, its foreign keys left out of the report."""
+    lines = load(spark, root, "lineitem")
+    tables = {"orders": load(spark, root, "orders"), ("history", "orders"): load(spark, root, "orders").filter("o_orderstatus = 'F'"),
+              "lineitem": lines, ("history", "lineitem"): lines.filter("l_linestatus = 'F'"), "part": load(spark, root, "part")}
+    out, back = scratch_path(spark, "bundle"), PathTarget(scratch_path(spark, "restored"))
+    export_tables(spark, tables, out, exclude=["main.part"], validate=True)
+    key = lambda t: Key(t, ("o_orderkey",))
+    refers = lambda name, parent, column: ForeignKey(name, "main.lineitem", (column,), parent, (column,))
+    restored = restore_tables(spark, out, back, constraints=Constraints(
+        (key("main.orders"), key("history.orders")),
+        (refers("fk_part", "part", "l_partkey"), ForeignKey("fk_orders", "main.lineitem", ("l_orderkey",), "main.orders", ("o_orderkey",)))))
+    return restored.select("table_fqn", F.col("restored_rows").alias("rows"))
+
+
 def q22_schema_only(spark, root):
     tables = load_all(spark, root)
     out = scratch_path(spark, "schemas")
@@ -112,7 +136,7 @@ def q25_manifest_check(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (
-    q21_roundtrip, q21b_roundtrip_by_key, q22_schema_only, q22b_merge_parts, q23_reconcile,
+    q21_roundtrip, q21b_roundtrip_by_key, q21c_roundtrip_odd_columns, q21d_two_schemas, q22_schema_only, q22b_merge_parts, q23_reconcile,
     q23b_reconcile_keys, q24_collisions, q25_manifest_check)}
 
 _ROUNDTRIP = " UNION ALL ".join(
@@ -123,6 +147,11 @@ _FQN = "'[main].[{t}]'"
 ORACLES = {
     "q21_roundtrip": _ROUNDTRIP,
     "q21b_roundtrip_by_key": _ROUNDTRIP,
+    "q21c_roundtrip_odd_columns": f"SELECT table_name, rows_restored, key_sum, content_equal FROM ({_ROUNDTRIP})",
+    "q21d_two_schemas": """SELECT '[main].[orders]' AS table_fqn, count(*) AS rows FROM orders
+        UNION ALL SELECT '[history].[orders]', count(*) FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT '[main].[lineitem]', count(*) FROM lineitem
+        UNION ALL SELECT '[history].[lineitem]', count(*) FROM lineitem WHERE l_linestatus = 'F'""",
     "q22_schema_only": " UNION ALL ".join(
         f"SELECT '[main].[{t}]' AS table_fqn, count(*) AS bundle_rows, 'loaded' AS entry, true AS same_columns FROM {t} "
         f"UNION ALL SELECT '[main].[{t}]', 0, 'schema only', true" for t in TABLES),

@@ -101,6 +101,11 @@ def q14_plan(spark, root):
                          inv.lob_profile(profile, PLAN_LOB_BYTES), PLAN_CHUNKS, PLAN_THRESHOLD)
 
 
+def q14b_plan_of_an_export(spark, root):
+    return inv.plan_tables(load_all(spark, root), PLAN_CHUNKS, PLAN_THRESHOLD, KEYS).select(
+        "table_name", "row_count", "chunk_key", "indexed", "strategy")
+
+
 def q15_key_profile(spark, root):
     return inv.key_profile(load_all(spark, root))
 
@@ -116,7 +121,7 @@ def q16_sample(spark, root):
 
 QUERIES = {f.__name__: f for f in (
     q11_inventory, q11b_inventory_totals, q12_dictionary, q12b_largest, q12c_star_joins, q12d_left_residual,
-    q12e_key_listing, q12f_foreign_key_listing, q12g_computed_listing, q13_exclude, q14_plan, q15_key_profile, q16_lob_profile,
+    q12e_key_listing, q12f_foreign_key_listing, q12g_computed_listing, q13_exclude, q14_plan, q14b_plan_of_an_export, q15_key_profile, q16_lob_profile,
     q16_sample)}
 
 _COUNTS = " UNION ALL ".join(
@@ -157,6 +162,11 @@ def _lob_sql(limit):
         for t, cols in COLUMNS.items() for c, k in cols if k == "s")
 
 
+def _plan_key(table):
+    """The declared single-column key, else the first integer column."""
+    return COLUMNS[table][0][0]
+
+
 _KEY_TEXT = " UNION ALL ".join(
     f"SELECT '{k.table}' AS table_name, '{', '.join(c + ' ASC' for c in k.columns)}' AS key_columns, "
     f"{str(len(k.columns) == 1).upper()} AS single, count(*) AS row_count FROM {k.table}" for k in KEYS)
@@ -204,6 +214,11 @@ ORACLES = {
         SELECT table_name, ordinal, row_count, chunk_key, lo, hi, indexed, has_lob, strategy,
             CASE WHEN strategy = 'single' THEN 1 ELSE {PLAN_CHUNKS} END AS chunks,
             has_lob AND strategy IN ('range', 'ntile') AS lob_range FROM p""",
+    "q14b_plan_of_an_export": " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, count(*) AS row_count, CASE WHEN count(*) >= {PLAN_THRESHOLD} THEN '{_plan_key(t)}' END AS chunk_key,
+        count(*) >= {PLAN_THRESHOLD} AND {_plan_key(t) == cols[0][0] and t not in ('lineitem', 'conversations')} AS indexed,
+        CASE WHEN count(*) < {PLAN_THRESHOLD} THEN 'single' WHEN {t not in ('lineitem', 'conversations')} THEN 'range' ELSE 'modulo' END AS strategy FROM {t}"""
+        for t, cols in COLUMNS.items()),
     "q15_key_profile": _KEY_PROFILE,
     "q16_lob_profile": _lob_sql(8000),
     "q16_sample": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import chunking, order_stats
+from ..plans.inventory import union_all
 from ..session import small_frame
 from ..sources.tables import footer_bounds, full_scan, table_path
 from .common import CHUNKS, load
@@ -84,8 +85,21 @@ def q10b_cover(spark, root):
     return proofs[0].unionByName(proofs[1]).unionByName(proofs[2])
 
 
+def q03b_predicate_scans(spark, root):
+    """Every part of three plans read by its own predicate; together they are the whole tables."""
+    frames = []
+    for table, key, make in (("lineitem", "l_orderkey", chunking.range_plan), ("orders", "o_custkey", chunking.ntile_plan),
+                             ("events", "user_id", lambda df, key, n: chunking.modulo_plan(key, n))):
+        df = load(spark, root, table)
+        for i, condition in enumerate(chunking.part_conditions(make(df, key, CHUNKS))):
+            frames.append(df.filter(condition).agg(F.count(F.lit(1)).alias("rows"), F.sum(key).alias("key_sum")).select(
+                F.lit(table).alias("table_name"), F.lit(i).alias("part"), "rows", "key_sum"))
+    return union_all(frames).groupBy("table_name").agg(
+        F.count_if(F.col("rows") > 0).alias("parts"), F.sum("rows").alias("rows"), F.sum("key_sum").alias("key_sum"))
+
+
 QUERIES = {f.__name__: f for f in (
-    q01_scan_full, q02_range_chunk, q03_modulo_chunk, q04_minmax, q04b_footer_minmax, q05_range_plan, q06_range_counts,
+    q01_scan_full, q02_range_chunk, q03_modulo_chunk, q03b_predicate_scans, q04_minmax, q04b_footer_minmax, q05_range_plan, q06_range_counts,
     q07_modulo_counts, q08_ntile_bounds, q09_ntile_disjoint, q10_ntile_counts, q10b_cover)}
 
 _RANGE = f"""
@@ -99,6 +113,9 @@ e AS (SELECT bk, min(k) AS lo, max(k) AS hi, count(*) AS rows FROM t GROUP BY bk
 _SIGNED = "(l_orderkey - l_partkey * 5)"
 
 ORACLES = {
+    "q03b_predicate_scans": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST({CHUNKS} AS BIGINT) AS parts, count(*) AS rows, CAST(sum({k}) AS BIGINT) AS key_sum FROM {t}"
+        for t, k in (("lineitem", "l_orderkey"), ("orders", "o_custkey"), ("events", "user_id"))),
     "q01_scan_full": f"SELECT {', '.join(COLUMNS)} FROM lineitem",
     "q02_range_chunk": f"""{_RANGE}
         SELECT {', '.join(ROW)}, CAST(({KEY} - lo) // size AS INTEGER) AS part FROM lineitem, s""",

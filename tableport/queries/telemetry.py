@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import latest_average, parse_metrics
 from ..operators import statements, telemetry as tel, throughput as thr
-from ..sources import synthetic
 from ..streaming import slots as st
 from .common import load
 
@@ -20,6 +19,8 @@ SOURCES = {
 }
 # a growing counter with resets, in whole bytes
 _COUNTER = "CAST(round(value * 100) AS BIGINT) * 10000"
+# the events cover a month and come in no order
+_DELAY = "60 days"
 
 
 def _samples(events):
@@ -40,6 +41,16 @@ def q34_rate(spark, root):
     return rates.select("host", "event_id", "rx_bytes_mib_s", "tx_bytes_mib_s")
 
 
+def q34b_rate_odd_hosts(spark, root):
+    # users below 20 have no host, each sample of user 20 is a host of its own, and the views of a day are one burst
+    samples = load(spark, root, "events").select(
+        F.when(F.col("user_id") == 20, F.concat(F.lit("only "), F.col("event_id").cast("string")))
+        .when(F.col("user_id") > 20, F.lit("busy")).alias("host"),
+        F.when(F.col("event_type") == "view", F.date_trunc("DAY", "ts").cast("timestamp_ntz")).otherwise(F.col("ts")).alias("ts"),
+        "event_id", F.expr(_COUNTER).alias("rx_bytes"))
+    return tel.counter_rates(samples, ["rx_bytes"], tie="event_id").select("host", "event_id", "rx_bytes_mib_s")
+
+
 def q35_slots(spark, root):
     return _timeline(spark, root)
 
@@ -128,15 +139,6 @@ def q41c_chunk_summary(spark, root):
     return thr.chunk_summary(load(spark, root, "events"), ["user_id"], size=F.octet_length("props").cast("bigint"))
 
 
-def q42_synthetic(spark, root):
-    rows = load(spark, root, "lineitem").count()
-    return synthetic.wide_table(spark, rows, 4)
-
-
-def q42b_synthetic_probe(spark, root):
-    return synthetic.probe_table(spark, load(spark, root, "lineitem").count())
-
-
 def q43_json_metric(spark, root):
     document = F.format_string(
         '{"value":[{"name":{"value":"%s"},"timeseries":[{"data":[{"average":%s},{"average":%s},{"average":null}]},'
@@ -149,33 +151,32 @@ def q43_json_metric(spark, root):
 
 def q45_stream_heartbeat(spark, root):
     events = st.read_stream(spark, root, load(spark, root, "events").schema, "events.parquet")
-    return st.drain(st.heartbeat_stream(events, ["event_type"], seconds=3600))
+    return st.drain(st.heartbeat_stream(events, ["event_type"], _DELAY, seconds=3600), ["event_type"]).windows
 
 
 def q45b_stream_slots(spark, root):
     events = st.read_stream(spark, root, load(spark, root, "events").schema, "events.parquet")
-    return st.drain(st.timeline_stream(_samples(events), MEASURES, "1 hour", tie="event_id"))
+    return st.drain(st.timeline_stream(_samples(events), MEASURES, "1 hour", _DELAY, tie="event_id"), ["host"]).windows
 
 
 def q45c_stream_rate(spark, root):
     events = st.read_stream(spark, root, load(spark, root, "events").schema, "events.parquet")
     samples = events.select(F.col("user_id").alias("host"), "ts", "event_id",
                             F.expr(_COUNTER).alias("rx_bytes"))
-    return st.drain(st.rate_stream(samples, "rx_bytes", "1 day", tie="event_id"))
+    return st.drain(st.rate_stream(samples, "rx_bytes", "1 day", _DELAY, tie="event_id"), ["host"]).windows
 
 
 def q46_compare_runs(spark, root):
     results = load(spark, root, "lineitem").groupBy(
-        F.col("l_suppkey").alias("run"), F.col("l_returnflag").alias("tool")).agg(
+        F.col("l_suppkey").alias("run"), F.col("l_linestatus").alias("tool")).agg(
         F.sum("l_quantity").alias("wall"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("bigint").alias("bytes"),
         (F.count(F.lit(1)) % 7 == 0).alias("failed"))
-    return thr.compare_runs(results, "A", "R")
+    return thr.compare_runs(results, "O", "F")
 
 
 QUERIES = {f.__name__: f for f in (
-    q34_rate, q35_slots, q36_summary, q36b_summary_zero_fill, q37_verdict, q37b_grade, q38_top10, q38b_insights,
-    q39_ramp, q40_knee, q41_heartbeat, q41b_progress, q41c_chunk_summary, q42_synthetic, q42b_synthetic_probe,
-    q43_json_metric, q45_stream_heartbeat, q45b_stream_slots, q45c_stream_rate, q46_compare_runs)}
+    q34_rate, q34b_rate_odd_hosts, q35_slots, q36_summary, q36b_summary_zero_fill, q37_verdict, q37b_grade, q38_top10, q38b_insights,
+    q39_ramp, q40_knee, q41_heartbeat, q41b_progress, q41c_chunk_summary, q43_json_metric, q45_stream_heartbeat, q45b_stream_slots, q45c_stream_rate, q46_compare_runs)}
 
 
 def _slots_sql(keys, width):
@@ -217,8 +218,6 @@ _RAMP = """
     lagged AS (SELECT *, lag(rows_per_sec) OVER (PARTITION BY run ORDER BY step) AS p FROM rated),
     ramped AS (SELECT run, step, rows, elapsed, rows_per_sec, rows_per_sec / step AS per_connection,
         CASE WHEN p > 0 THEN (rows_per_sec - p) / p * 100 ELSE 100 END AS gain_pct FROM lagged)"""
-# append output holds the windows that end at or before the watermark (newest event minus one hour)
-_CLOSED = "<= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 ORACLES = {
     "q34_rate": f"""WITH c AS (SELECT user_id AS host, event_id, ts, {_COUNTER} AS rx, epoch_us(ts) AS us FROM events),
@@ -229,6 +228,11 @@ ORACLES = {
             nullif(us - pus, 0) / 1000000.0::DOUBLE AS sec FROM l)
         SELECT host, event_id, drx / sec / 1048576.0::DOUBLE AS rx_bytes_mib_s,
             dtx / sec / 1048576.0::DOUBLE AS tx_bytes_mib_s FROM d""",
+    "q34b_rate_odd_hosts": f"""WITH c AS (SELECT CASE WHEN user_id = 20 THEN 'only ' || event_id WHEN user_id > 20 THEN 'busy' END AS host,
+            event_id, {_COUNTER} AS rx, epoch_us(CASE WHEN event_type = 'view' THEN date_trunc('day', ts) ELSE ts END) AS us FROM events),
+        l AS (SELECT *, lag(rx) OVER w AS prx, lag(us) OVER w AS pus FROM c WINDOW w AS (PARTITION BY host ORDER BY us, event_id))
+        SELECT host, event_id, CASE WHEN pus IS NOT NULL THEN greatest(rx - prx, 0) END
+            / (nullif(us - pus, 0) / 1000000.0::DOUBLE) / 1048576.0::DOUBLE AS rx_bytes_mib_s FROM l""",
     "q35_slots": _slots_sql("host", "1 hour"),
     "q36_summary": _summary_sql("host", "1 hour", False),
     "q36b_summary_zero_fill": _summary_sql("host", "1 hour", True),
@@ -257,25 +261,20 @@ ORACLES = {
             (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE AS seconds FROM events GROUP BY 1)
         SELECT *, rows / greatest(seconds, 0.001) AS rows_per_sec, bytes / greatest(seconds, 0.001) / 1048576.0::DOUBLE
         AS mib_per_sec FROM g""",
-    "q42_synthetic": """SELECT i % 100000 AS col_int_0, 'val_' || i % 100000 AS col_str_1, i % 100000 AS col_int_2,
-        'val_' || i % 100000 AS col_str_3 FROM range((SELECT count(*) FROM lineitem)) r(i)""",
-    "q42b_synthetic_probe": """SELECT i % 100000 AS a, i % 100000 * 7 AS b, 'str_' || i % 100000 AS c,
-        'val_' || i % 100000 AS d, i % 100000 % 1000 AS e FROM range((SELECT count(*) FROM lineitem)) r(i)""",
     "q43_json_metric": """SELECT event_id,
         CASE WHEN event_type = 'view' THEN CAST(json_extract(props, '$.k') AS DOUBLE) ELSE 0 END AS view_average,
         CASE WHEN event_type = 'click' THEN CAST(json_extract(props, '$.k') AS DOUBLE) ELSE 0 END AS click_average FROM events""",
-    "q45_stream_heartbeat": f"""WITH g AS (SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS slot_start,
-            count(*) AS rows, count(*) / 3600.0::DOUBLE AS rows_per_sec FROM events GROUP BY ALL)
-        SELECT * FROM g WHERE slot_start + INTERVAL 1 HOUR {_CLOSED}""",
-    "q45b_stream_slots": f"SELECT * FROM ({_slots_sql('host', '1 hour')}) WHERE slot_start + INTERVAL 1 HOUR {_CLOSED}",
+    "q45_stream_heartbeat": """SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS slot_start,
+        count(*) AS rows, count(*) / 3600.0::DOUBLE AS rows_per_sec FROM events GROUP BY ALL""",
+    "q45b_stream_slots": _slots_sql("host", "1 hour"),
     "q45c_stream_rate": f"""WITH g AS (SELECT user_id AS host, time_bucket(INTERVAL '1 day', ts) AS slot_start,
             arg_min({_COUNTER}, (ts, event_id)) AS a, arg_max({_COUNTER}, (ts, event_id)) AS b,
             nullif(epoch_us(max(ts)) - epoch_us(min(ts)), 0) AS us FROM events GROUP BY ALL)
         SELECT host, slot_start, greatest(b - a, 0) / (us / 1000000.0::DOUBLE) / 1048576.0::DOUBLE AS mib_per_sec
-        FROM g WHERE slot_start + INTERVAL 1 DAY {_CLOSED}""",
-    "q46_compare_runs": """WITH r AS (SELECT l_suppkey AS run, l_returnflag AS tool, sum(l_quantity) AS wall,
+        FROM g""",
+    "q46_compare_runs": """WITH r AS (SELECT l_suppkey AS run, l_linestatus AS tool, sum(l_quantity) AS wall,
             CAST(trunc(sum(CAST(l_extendedprice AS DECIMAL(18,2)))) AS BIGINT) AS bytes, count(*) % 7 = 0 AS failed FROM lineitem GROUP BY ALL),
-        a AS (SELECT * FROM r WHERE tool = 'A'), b AS (SELECT * FROM r WHERE tool = 'R')
+        a AS (SELECT * FROM r WHERE tool = 'O'), b AS (SELECT * FROM r WHERE tool = 'F')
         SELECT run, a.wall AS our_wall, a.bytes AS our_bytes, a.failed AS our_failed, b.wall AS other_wall,
         b.bytes AS other_bytes, b.failed AS other_failed, a.bytes / greatest(a.wall, 0.001) AS our_bytes_per_sec,
         b.bytes / greatest(b.wall, 0.001) AS other_bytes_per_sec,

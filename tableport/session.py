@@ -70,7 +70,7 @@ def small_frame(spark: SparkSession, rows, schema: str | T.StructType) -> DataFr
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     records = [dict(zip(struct.names, row)) for row in rows]
-    document = F.from_json(F.lit(json.dumps(records)), T.ArrayType(struct))
+    document = F.from_json(F.lit(json.dumps(records)), T.ArrayType(struct), {"mode": "FAILFAST"})
     return spark.range(0, 1, 1, 1).select(F.inline(document))
 
 

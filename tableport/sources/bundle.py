@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.names import is_valid_fqn, table_dir
+from ..functions.names import column, fresh, is_valid_fqn, table_dir
 from ..session import path_exists, pinned, read_text, small_frame, write_text
 
 # Manifest format.
@@ -28,6 +28,15 @@ def data_dir(fqn: str) -> str:
     return f"data/{table_dir(fqn)}"
 
 
+def part_name(columns) -> str:
+    """Name of the folder level that numbers the parts: ``_part``, or a longer name if the table has such a column.
+
+    Partition values live in folder names, so a table column of that name would be lost. Readers take the
+    part folders from the manifest and never need the name.
+    """
+    return fresh(columns, "_part")[0]
+
+
 def write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
     write_text(spark, f"{root}/manifest.json", json.dumps(manifest, indent=1))
 
@@ -80,10 +89,10 @@ def stored_counts(spark: SparkSession, root: str, tables: dict[str, list[str]],
 
     frames = []
     for fqn, parts in tables.items():
-        folder = f"{root}/{data_dir(fqn)}"
-        df = (spark.read.schema(T.StructType([*schemas[fqn].fields, T.StructField("_part", T.IntegerType())]))
+        folder, part = f"{root}/{data_dir(fqn)}", part_name(schemas[fqn].names)
+        df = (spark.read.schema(T.StructType([*schemas[fqn].fields, T.StructField(part, T.IntegerType())]))
               .option("basePath", folder).parquet(*[f"{root}/{p}" for p in parts]))
-        frames.append(df.select(F.lit(fqn).alias("table_fqn"), F.col("_part").alias("part")))
+        frames.append(df.select(F.lit(fqn).alias("table_fqn"), column(part).alias("part")))
     return union_all(frames).groupBy("table_fqn", "part").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -7,6 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.names import column
+
 
 def table_path(root: str, name: str) -> str:
     return f"{root}/{name}.parquet"
@@ -24,7 +26,7 @@ def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
 
 def full_scan(df: DataFrame, columns=None) -> DataFrame:
     """Every row, columns named one by one in catalog order (never ``*``)."""
-    return df.select(*[f"`{c}`" for c in (columns or df.columns)])
+    return df.select(*[column(c) for c in (columns or df.columns)])
 
 
 def footer_bounds(spark: SparkSession, path: str, key: str) -> tuple[int | None, int | None, int, int]:

@@ -41,10 +41,13 @@ class CatalogTarget:
     """Tables of one catalog database."""
 
     database: str
+    default_schema: str = "main"
 
     def name(self, fqn: str) -> str:
-        table = split_fqn(fqn)[1].replace("`", "``")
-        return f"`{self.database}`.`{table}`"
+        schema, table = split_fqn(fqn)
+        # the database has no schemas below it, so other schemas than the default one stay in the name
+        name = (table if schema == self.default_schema else f"{schema}__{table}").replace("`", "``")
+        return f"`{self.database}`.`{name}`"
 
     def exists(self, spark: SparkSession, fqn: str) -> bool:
         return spark.catalog.tableExists(self.name(fqn))

@@ -1,12 +1,14 @@
-"""The batch telemetry reports on unbounded input: watermark, tumbling windows, append output."""
+"""The batch telemetry reports on unbounded input: watermark, tumbling windows, update output."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import utc_instant, utc_naive
 from ..operators.telemetry import MIB
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -28,13 +30,13 @@ def _slot(keys, frame: DataFrame, *columns) -> DataFrame:
     return frame.select(*keys, utc_naive(F.col("_w.start")).alias("slot_start"), *columns)
 
 
-def heartbeat_stream(stream: DataFrame, keys, seconds: int = 30, delay: str = "1 hour", ts: str = "ts") -> DataFrame:
+def heartbeat_stream(stream: DataFrame, keys, delay: str, seconds: int = 30, ts: str = "ts") -> DataFrame:
     counted = timed(stream, delay, ts).groupBy(*keys, F.window(ts, f"{seconds} seconds").alias("_w")).agg(
         F.count(F.lit(1)).alias("rows"))
     return _slot(keys, counted, "rows", (F.col("rows") / float(seconds)).alias("rows_per_sec"))
 
 
-def timeline_stream(stream: DataFrame, measures, slot: str, keys=("host",), delay: str = "1 hour", ts: str = "ts",
+def timeline_stream(stream: DataFrame, measures, slot: str, delay: str, keys=("host",), ts: str = "ts",
                     tie: str | None = None) -> DataFrame:
     """Latest known value of each measure per slot."""
     order = F.struct(ts, tie) if tie else F.col(ts)
@@ -43,7 +45,7 @@ def timeline_stream(stream: DataFrame, measures, slot: str, keys=("host",), dela
     return _slot(keys, merged, *measures)
 
 
-def rate_stream(stream: DataFrame, counter: str, slot: str, keys=("host",), delay: str = "1 hour", ts: str = "ts",
+def rate_stream(stream: DataFrame, counter: str, slot: str, delay: str, keys=("host",), ts: str = "ts",
                 tie: str | None = None) -> DataFrame:
     """MiB/s of a counter per slot, from its first and last sample there; no state beyond the window."""
     order = F.struct(ts, tie) if tie else F.col(ts)
@@ -55,16 +57,36 @@ def rate_stream(stream: DataFrame, counter: str, slot: str, keys=("host",), dela
     return _slot(keys, edges, rate.alias("mib_per_sec"))
 
 
-def drain(stream: DataFrame, name: str = "stream") -> DataFrame:
-    """Run everything available once and return what the query emitted.
+@dataclass(frozen=True)
+class Drained:
+    """``windows``: the last state of every window, closed or still open. ``late_rows``: rows that came after the
+    watermark had passed their window and were left out; 0 means the windows hold all input."""
+
+    windows: DataFrame
+    late_rows: int
+
 
-    Append output into files of the shared folder: a window is written once, when the watermark has
-    passed its end, so state is bounded by the open windows and nothing passes through the driver.
+def drain(stream: DataFrame, keys, name: str = "stream") -> Drained:
+    """Run everything available and return every window it fed, one row per ``keys`` and ``slot_start``.
+
+    Update output: a micro-batch writes the windows it changed to the shared folder, under its number, and the
+    newest version of a window counts. State is bounded by the windows the watermark has not passed. A batch that
+    is run again after a failure overwrites its own folder, so nothing counts twice.
     """
-    spark = stream.sparkSession
+    spark, columns = stream.sparkSession, stream.columns
     out = scratch_path(spark, name)
-    query = (stream.writeStream.format("parquet").outputMode("append")
-             .option("path", f"{out}/data").option("checkpointLocation", f"{out}/checkpoint")
-             .trigger(availableNow=True).start())
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/data/batch={number}")
+
+    query = (stream.writeStream.outputMode("update").foreachBatch(store)
+             .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/data")
+    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    if not path_exists(spark, f"{out}/data"):
+        return Drained(spark.createDataFrame([], stream.schema), late)
+    stored = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{out}/data")
+    values = [c for c in columns if c not in (*keys, "slot_start")]
+    newest = stored.groupBy(*keys, "slot_start").agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
+    windows = newest.select(*keys, "slot_start", *[F.col("_newest")[v].alias(v) for v in values]).select(*columns)
+    return Drained(windows, late)

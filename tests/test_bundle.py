@@ -59,7 +59,8 @@ def edit_manifest(root, change):
 
 @pytest.mark.parametrize("layout", ["scan", "key"])
 def test_roundtrip(spark, tables, tmp_path, layout):
-    stats = export_tables(spark, tables, f"{tmp_path}/b", layout=layout, chunks=4, chunk_threshold=100, validate=True)
+    cuts = {"chunks": 4, "chunk_threshold": 100} if layout == "key" else {}
+    stats = export_tables(spark, tables, f"{tmp_path}/b", layout=layout, validate=True, **cuts)
     parts = {r["table_fqn"]: 0 for r in stats.collect()}
     for r in stats.collect():
         parts[r["table_fqn"]] += 1
@@ -74,6 +75,49 @@ def test_roundtrip(spark, tables, tmp_path, layout):
     assert target.read(spark, "[main].[all_types]").schema["ti"].metadata["sql_type"] == "tinyint"
 
 
+@pytest.mark.parametrize("layout", ["scan", "key"])
+def test_columns_named_like_the_export_s_own(spark, tmp_path, layout):
+    df = spark.range(1000).select("id", F.lit(7).alias("_part"), F.lit("x").alias("_PART_"), F.col("id").alias("a`b"), F.col("id").alias("part"))
+    cuts = {"chunks": 4, "chunk_threshold": 100} if layout == "key" else {}
+    export_tables(spark, {"t": df}, f"{tmp_path}/b", layout=layout, validate=True, **cuts)
+    target = PathTarget(f"{tmp_path}/t")
+    restore_tables(spark, f"{tmp_path}/b", target)
+    assert same_bag(target.read(spark, "[main].[t]", df.schema), df)
+
+
+def test_cuts_need_the_key_layout(spark, tables, tmp_path):
+    for cuts in ({"chunks": 8}, {"chunk_threshold": 10}):
+        with pytest.raises(ValueError, match="key layout"):
+            export_tables(spark, tables, f"{tmp_path}/b", **cuts)
+
+
+def test_two_schemas_and_an_excluded_parent(spark, tmp_path):
+    from tableport.operators.constraints import Constraints, ForeignKey, Key
+
+    a, b, p = spark.range(5), spark.range(7), spark.range(2)
+    export_tables(spark, {"t": a, ("old", "t"): b, "p": p}, f"{tmp_path}/b", exclude=["p"], validate=True)
+    rules = Constraints((Key("main.t", ("id",)), Key("p", ("id",))), (ForeignKey("f", "main.t", ("id",), "p", ("id",)),))
+    done = {r[0]: r[2] for r in restore_tables(spark, f"{tmp_path}/b", PathTarget(f"{tmp_path}/t"), constraints=rules).collect()}
+    assert done == {"[main].[t]": 5, "[old].[t]": 7}
+    broken = Constraints(foreign_keys=(ForeignKey("f1", "old.t", ("id",), "main.t", ("id",)), ForeignKey("f2", "main.t", ("id",), "old.t", ("id",))))
+    with pytest.raises(ValueError, match="f1: 2 violation"):
+        restore_tables(spark, f"{tmp_path}/b", PathTarget(f"{tmp_path}/t2"), constraints=broken)
+
+
+def test_plan_of_tables_with_declared_keys_reads_no_text(spark, lineitem_path, monkeypatch):
+    from tableport.operators.constraints import Key
+    from tableport.plans import inventory as inv
+
+    asked = []
+    profile = inv.column_profile
+    monkeypatch.setattr(inv, "column_profile", lambda tables, only: asked.append(profile(tables, only)) or asked[-1])
+    orders = spark.read.parquet(lineitem_path.replace("lineitem", "orders"))
+    plan = inv.plan_tables({"orders": orders}, 8, 10, (Key("orders", ("o_orderkey",)),)).first()
+    assert (plan["chunk_key"], plan["strategy"], len(asked)) == ("o_orderkey", "range", 1)
+    text = asked[0]._jdf.queryExecution().executedPlan().toString()
+    assert "o_orderkey" in text and "o_orderstatus" not in text and "o_orderpriority" not in text
+
+
 def test_key_parts_match_the_plan(spark, tables, tmp_path):
     plan = ChunkPlan("range", "k", ((-10, 9), (10, 39)))
     export_tables(spark, tables, f"{tmp_path}/b", plans={"big": plan})

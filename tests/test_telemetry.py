@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tableport.operators import ranking, statements, telemetry as tel, throughput as thr
 from tableport.plans.inventory import union_all
 from tableport.session import small_frame
-from tableport.sources import synthetic
 from tableport.streaming import slots as st
 
 T0 = dt.datetime(2024, 1, 1)
@@ -23,18 +22,25 @@ def test_global_row_number(spark):
     assert ranking.global_row_number(df.limit(0), ["id"]).count() == 0
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 20, 10**6])
-def test_rates_of_a_hot_host_across_slices(spark, rows_per_slice):
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_rates_of_hot_odd_and_missing_hosts(spark, tasks):
     rng = random.Random(7)
     rows, at = [], {}
     for i in range(400):
-        host = "hot" if i % 3 else f"h{i % 5}"
-        at[host] = at.get(host, T0) + dt.timedelta(minutes=rng.choice([0, 1, 50, 200]))
+        host = "hot" if i % 3 else None if i % 2 else f"h{i % 5}" if i < 390 else f"once{i}"
+        at[host] = at.get(host, T0) + dt.timedelta(minutes=0 if 100 < i < 250 else rng.choice([0, 1, 50, 200]))
         rows.append((host, at[host], i, rng.randint(0, 1000) * 1_000_000))
     df = spark.createDataFrame(rows, "host string, ts timestamp_ntz, id int, rx bigint")
-    got = {r["id"]: r["rx_mib_s"] for r in tel.counter_rates(df, ["rx"], tie="id", slice_rows=rows_per_slice).collect()}
+    df = df.withColumns({"_prev": F.lit(1), "_TASK": F.lit(2)})
+    spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    try:
+        rated = tel.counter_rates(df, ["rx"], tie="id")
+        got = {r["id"]: r["rx_mib_s"] for r in rated.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert rated.columns == [*df.columns, "rx_mib_s"]
     want, last = {}, {}
-    for host, ts, i, rx in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+    for host, ts, i, rx in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
         want[i] = None
         if host in last:
             seconds = (ts - last[host][0]).total_seconds()
@@ -119,26 +125,30 @@ def test_slow_statements(spark):
     assert statements.insights(top).first()["healthy"]
 
 
-def test_synthetic_values_restart(spark):
-    rows = synthetic.wide_table(spark, 100_002, 2).tail(2)
-    assert [tuple(r) for r in rows] == [(0, "val_0"), (1, "val_1")]
-    assert tuple(synthetic.probe_table(spark, 1500).tail(1)[0]) == (1499, 10493, "str_1499", "val_1499", 499)
-
-
 def test_stream_over_many_files_equals_the_batch(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("day", F.to_date("ts"))
     for i, day in enumerate(sorted(r["day"] for r in events.select("day").distinct().collect())[:6]):
         events.filter(F.col("day") == day).drop("day").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     seen = spark.read.parquet(f"{tmp_path}/in")
     stream = st.read_stream(spark, f"{tmp_path}/in", seen.schema, files_per_batch=2)
-    got = st.drain(st.heartbeat_stream(stream, ["event_type"], seconds=3600))
-    newest = seen.agg(F.max("ts")).first()[0]
-    want = thr.heartbeat(seen, ["event_type"], seconds=3600).filter(
-        F.col("slot_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(newest - dt.timedelta(hours=1)).cast("timestamp_ntz"))
-    assert want.count() > 0
+    drained = st.drain(st.heartbeat_stream(stream, ["event_type"], "10 days", seconds=3600), ["event_type"])
+    got, want = drained.windows, thr.heartbeat(seen, ["event_type"], seconds=3600)
+    assert want.count() > 0 and drained.late_rows == 0
     assert got.exceptAll(want.select(got.columns)).count() == 0 and want.select(got.columns).exceptAll(got).count() == 0
 
 
+def test_rows_behind_the_watermark_are_reported(spark, tmp_path):
+    for i, days in enumerate((20, 1, 0)):
+        spark.createDataFrame([(T0 + dt.timedelta(days=days, seconds=s), "a") for s in range(3)], "ts timestamp_ntz, k string").coalesce(
+            1).write.mode("append").parquet(f"{tmp_path}/in")
+        import time
+        time.sleep(1.1)                                  # files are read in the order of their times
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    stream = st.read_stream(spark, f"{tmp_path}/in", schema, files_per_batch=1)
+    drained = st.drain(st.heartbeat_stream(stream, ["k"], "1 hour"), ["k"])
+    assert drained.late_rows > 0 and drained.windows.agg(F.sum("rows")).first()[0] < 9
+
+
 def test_union_all_keeps_every_copy(spark):
     frames = [spark.range(i).select("id") for i in range(6)]
     assert union_all(frames).count() == 15
@@ -147,5 +157,5 @@ def test_union_all_keeps_every_copy(spark):
 def test_lag_keeps_rows_without_a_key_or_time(spark):
     rows = [("a", at(0), 1, 10), ("a", at(60), 2, 20), (None, at(5), 3, 30), (None, at(6), 4, 40), ("a", None, 5, 50)]
     df = spark.createDataFrame(rows, "host string, ts timestamp_ntz, id int, rx bigint")
-    out = tel.counter_rates(df, ["rx"], tie="id", slice_rows=1)
+    out = tel.counter_rates(df, ["rx"], tie="id")
     assert sorted(r["id"] for r in out.collect()) == [1, 2, 3, 4, 5]
