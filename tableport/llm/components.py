@@ -23,7 +23,8 @@ def connected(edges: DataFrame) -> DataFrame:
         hooked = roots.join(seen, "node").select("node", "root", F.least("root", "near").alias("low"))
         # the old root learns of the lower one as well, which joins whole trees in one step
         told = hooked.select(F.col("root").alias("node"), "low").union(hooked.select("node", "low"))
-        lowest = told.groupBy("node").agg(F.min("low").alias("low"))
+        # written, so that the join below is between two plain shuffles: AQE can then split a large component
+        lowest = materialize(told.groupBy("node").agg(F.min("low").alias("low")), "lowest")
         jump = lowest.select(F.col("node").alias("low"), F.col("low").alias("lower"))
         moved = (lowest.join(jump, "low", "left").select("node", F.least("low", F.coalesce("lower", "low")).alias("root")))
         moved = materialize(moved, "roots")

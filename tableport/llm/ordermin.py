@@ -273,7 +273,9 @@ def classify(base: DataFrame, repetitions: int = 20, length: int = 3, threshold:
     rooted = least.join(roots, least["key"] == roots["node"], "left").select(
         "key", "own", F.coalesce("root", "key").alias("root"))
     rooted = materialize(rooted, "omh-roots")
-    moved = rooted.groupBy("root").agg(F.min("own").alias("class_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written, so that AQE can split a large class in the join
+    moved = materialize(rooted.groupBy("root").agg(F.min("own").alias("class_id"), F.count("*").alias("n"))
+                        .where("n > 1").drop("n"), "omh-least")
     classes = rooted.join(moved, "root", "left").select("key", F.coalesce("class_id", "own").alias("class_id"))
     rows = base.select("doc_id", "text_md5", "key")
     return rows.join(classes, "key", "left").select(
