@@ -32,8 +32,8 @@ def captures(pages: DataFrame, id_col: str = "page_id", url: str = "url", payloa
 
     Of pages with equal payloads of at least ``min_bytes`` the one with the largest id is the original; the others
     refer to it. A null payload counts as empty, a null id as smaller than any other. Rows repeated with the largest
-    id are all originals. Only digests that occur more than once are joined back, so that side is small, and AQE
-    splits the pages of a digest that holds a large part of the rows.
+    id are all originals. Only digests that occur more than once are joined back; that side is written first, so
+    the join is between two plain shuffles and AQE can split a digest that holds a large part of the pages.
     """
     text = F.coalesce(F.col(quoted(payload)), F.lit(""))
     narrow = pages.select(F.col(quoted(id_col)).cast("long").alias("page_id"), F.col(quoted(url)).alias("url"),
@@ -42,6 +42,7 @@ def captures(pages: DataFrame, id_col: str = "page_id", url: str = "url", payloa
     repeated = (narrow.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
                 .agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
                 .where((F.col("n") > 1) & F.col("original").isNotNull()).drop("n"))
+    repeated = materialize(repeated, "warc-originals")
     refers = F.when(F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")), F.col("original"))
     return (narrow.join(repeated, "payload_digest", "left").withColumn("refers_to", refers).drop("original"))
 
