@@ -65,6 +65,7 @@ def mark_boilerplate(docs: DataFrame, min_sites: int = 10, max_share: float = 0.
     hits = found.join(spread, "hash").select("own_id", "own_md5", "pos", "chars").distinct()
     by_doc = hits.groupBy("own_id", "own_md5").agg(
         F.sort_array(F.collect_list("pos")).alias("places"), F.sum("chars").alias("chars"))
+    by_doc = materialize(by_doc, "line-places")          # so that AQE can split rows repeated very often
     keyed = docs.withColumn("_op_md5", F.md5(F.col(quoted(text))))
     joined = keyed.join(
         by_doc, keyed[quoted(doc_id)].eqNullSafe(by_doc["own_id"]) & (keyed["_op_md5"] == by_doc["own_md5"]), "left")
