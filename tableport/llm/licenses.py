@@ -91,7 +91,7 @@ class Scanner:
 
         self.alone = zstandard.ZstdCompressor(level=3)
         self.templates = [(name, words_of(text), zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(
-            text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, text in templates]
+            text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, text in templates]
         self.min_reduction, self.max_differences, self.gap, self.seen = min_reduction, max_differences, gap, {}
 
     def judge(self, block: str):
@@ -103,7 +103,7 @@ class Scanner:
         return self.seen[block]
 
     def _judge(self, block: str):
-        data = block.encode()
+        data = block.lower().encode()                     # wording is compared without case
         size = len(self.alone.compress(data))
         ranked = sorted(((size - len(c.compress(data))) / size, -n) for n, (_, _, c) in enumerate(self.templates))
         words, best = words_of(block), None
@@ -131,7 +131,7 @@ class Scanner:
                 runs.append([i])
         for run in runs:
             # the words of a notice may run on to lines without a cue
-            spans = [(run[0], min(len(lines) - 1, run[-1] + reach)) for reach in (0, 1, 2)] if len(run) > 1 else []
+            spans = sorted({(run[0], min(len(lines) - 1, run[-1] + reach)) for reach in (0, 1, 2)})
             whole = [(self.judge("\n".join(lines[a:b + 1])), a, b) for a, b in spans]
             whole = [w for w in whole if w[0]]
             if whole:
