@@ -73,7 +73,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     new = ("host", "path", "rule", "verdict")
     parsed_host, parsed_path = url_parts(url)
     urls = without(pages.withColumns({"_op_host": parsed_host, "_op_path": parsed_path}), *new)
-    salt = F.hex(F.xxhash64(*[F.col(quoted(c)) for c in pages.columns if not _is_map(pages, c)]))
+    salt = F.hex(F.xxhash64(*[F.col(quoted(c)) for c in urls.columns if not _is_map(urls, c)]))
     key = F.concat_ws("\x01", host_key(F.col("_op_host")), "_op_path", salt)
     urls = urls.withColumns({"_op_key": key, "_op_kind": F.lit(1)})
     partitions = partitions_of(pages)
