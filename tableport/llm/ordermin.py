@@ -255,7 +255,9 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, bloc
 
 def classify(base: DataFrame, repetitions: int = 20, length: int = 3, threshold: float = THRESHOLD,
              block: int = 512, seed: int = 7) -> DataFrame:
-    """(doc_id, text_md5, class_id) for each row of ``tokenized``: the least id of the row's class.
+    """(doc_id, text_md5, root, class_id) for each row of ``tokenized``: the least id of the row's class.
+
+    ``root`` tells classes apart whose ids are repeated or null; it is null for a text without a word.
 
     Two texts are linked if their labelled five-word shingles have a Jaccard similarity and their words an edit
     similarity of at least ``threshold``; a class is a connected set of links, and texts with equal words are in one.
@@ -276,10 +278,10 @@ def classify(base: DataFrame, repetitions: int = 20, length: int = 3, threshold:
     # written, so that AQE can split a large class in the join
     moved = materialize(rooted.groupBy("root").agg(F.min("own").alias("class_id"), F.count("*").alias("n"))
                         .where("n > 1").drop("n"), "omh-least")
-    classes = rooted.join(moved, "root", "left").select("key", F.coalesce("class_id", "own").alias("class_id"))
+    classes = rooted.join(moved, "root", "left").select("key", "root", F.coalesce("class_id", "own").alias("class_id"))
     rows = base.select("doc_id", "text_md5", "key")
-    return rows.join(classes, "key", "left").select(
-        "doc_id", "text_md5", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
+    return rows.join(classes, "key", "left").select("doc_id", "text_md5", "root", own.alias("class_id"))
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
@@ -288,24 +290,25 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
 
 
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``docs`` with one row of each class: that with the least id.
+    """``docs`` with one row of each class: that with the least id, of several the one with the least MD5.
 
-    Rows without a word stay. Rows repeated with one id and one text leave one row. A class whose ids are all null
-    keeps its rows, for nothing tells them apart.
+    A null id counts as larger than any other. Rows without a word stay. Rows repeated with one id and one text leave
+    one row. Columns stay as they are. Only ids and MD5s are shuffled besides the documents.
     """
-    named = materialize(near_classes(docs, doc_id, text, **settings), "omh-classes")
-    extra = named.where(F.col("class_id") != F.col("doc_id")).select("doc_id", "text_md5").distinct()
-    # other texts of the id that stays
-    again = (named.where(F.col("class_id") == F.col("doc_id")).groupBy("class_id")
-             .agg(F.count("*").alias("n"), F.min("text_md5").alias("text_md5")).where("n > 1"))
+    named = materialize(near_classes(docs, doc_id, text, **settings).where(F.col("root").isNotNull()), "omh-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")
+    first = materialize(named.groupBy("root").agg(F.min(order).alias("first")), "omh-first")
+    placed = named.join(first, "root").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_md5") == F.col("first.text_md5")))
+    rows = materialize(placed.groupBy("doc_id", "text_md5", "stays").agg(F.count("*").alias("n")), "omh-stays")
     mark = docs.withColumn("_op_md5", F.md5(F.col(quoted(text))))
-    same = (mark[quoted(doc_id)].eqNullSafe(extra["doc_id"])) & (mark["_op_md5"] == extra["text_md5"])
-    kept = mark.join(extra, same, "left_anti")
-    if again.isEmpty():
-        return kept.drop("_op_md5")
-    again = materialize(again.select(F.col("class_id").alias("_op_id"), F.col("text_md5").alias("_op_first")), "omh-again")
-    worded = F.col(quoted(text)).rlike(r"[\p{L}\p{N}_]")
-    once = kept.join(again, (kept[quoted(doc_id)] == again["_op_id"]) & worded, "left_semi")
-    rest = kept.join(again, (kept[quoted(doc_id)] == again["_op_id"]) & worded, "left_anti")
-    firsts = once.join(again, (once[quoted(doc_id)] == again["_op_id"]) & (once["_op_md5"] == again["_op_first"]), "left_semi")
-    return rest.unionByName(firsts.dropDuplicates([doc_id])).drop("_op_md5")
+
+    def of(pairs):
+        return mark[quoted(doc_id)].eqNullSafe(pairs["doc_id"]) & (mark["_op_md5"] == pairs["text_md5"])
+
+    extra, repeated = rows.where("NOT stays"), rows.where("stays AND n > 1")
+    if repeated.isEmpty():
+        return mark.join(extra, of(extra), "left_anti").drop("_op_md5")
+    both = extra.unionByName(repeated)
+    once = mark.join(repeated, of(repeated), "left_semi").dropDuplicates([doc_id, "_op_md5"])
+    return mark.join(both, of(both), "left_anti").unionByName(once).drop("_op_md5")
