@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,20 @@ from tableport.sources.tables import read_table  # noqa: E402
 MIN_LANGUAGE_SCORE = 0.35
 
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage):
+    """Columns beyond those of ``DOCUMENT`` pass through a stage under names that no operator uses."""
+    @wraps(stage)
+    def guarded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        own = docs.columns
+        return stage(spark, docs.toDF(*[c if c in DOCUMENT else f"extra_{i}" for i, c in enumerate(own)]), sf_dir).toDF(*own)
+
+    return guarded
+
+
+@keeps_columns
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is recognised; texts without a letter and strange ones go."""
     network = langid.train_network(docs.where(~langid.held_out()))
@@ -25,6 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
+@keeps_columns
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes cross-site boilerplate lines out of the texts and counts their characters again."""
     cleaned = linespread.remove_boilerplate(docs)
@@ -32,11 +48,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
+@keeps_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near-duplicates."""
     return ordermin.first_of_each(docs).select(*docs.columns)
 
 
+@keeps_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item."""
     found = decontam.find_items(docs, read_table(spark, sf_dir, "benchmark"))
