@@ -49,6 +49,15 @@ SPARK_TYPES = {
     "geography": T.BinaryType(),
     "geometry": T.BinaryType(),
 }
+# What a relational source computes itself, because a driver cannot read the type or reads it inexactly.
+SOURCE_CASTS = {
+    "CAST({} AS NVARCHAR(MAX))": ("xml", "sql_variant"),
+    "CAST({} AS DECIMAL(19,4))": ("money",),
+    "CAST({} AS DECIMAL(10,4))": ("smallmoney",),
+    "{}.ToString()": ("hierarchyid",),
+    "{}.STAsBinary()": ("geography", "geometry"),
+    "CAST({} AS VARBINARY(8))": ("timestamp", "rowversion"),
+}
 # Types the source server must generate itself; a restore does not supply them.
 GENERATED_TYPES = ("timestamp", "rowversion")
 # Declared types without a length limit.

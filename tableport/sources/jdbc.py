@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..functions.names import split_fqn
+from ..functions.types import SOURCE_CASTS
 from ..plans.chunking import ChunkPlan, SINGLE, modulo_plan, split_key_range
 from ..plans.order_stats import trim_overlaps
 
@@ -26,9 +27,33 @@ class JdbcDatabase:
     properties: dict = field(default_factory=dict)
     batch_size: int = 1000  # rows per INSERT batch
 
-    def read(self, spark: SparkSession, fqn: str, plan: ChunkPlan | None = None) -> DataFrame:
-        """One partition per chunk: each task runs one query with that chunk's predicate."""
-        name = quoted_name(fqn)
+    def source_sql(self, fqn: str, schema: T.StructType) -> str:
+        """The declared columns one by one, with the casts their types need; computed and hidden ones are left out."""
+        casts = {kind: cast for cast, kinds in SOURCE_CASTS.items() for kind in kinds}
+        cells = []
+        for f in schema.fields:
+            meta = f.metadata or {}
+            if not (meta.get("computed") or meta.get("hidden")):
+                own = quoted_column(f.name)
+                cast = casts.get(meta.get("sql_type", ""))
+                cells.append(f"{cast.format(own)} AS {own}" if cast else own)
+        return f"(SELECT {', '.join(cells)} FROM {quoted_name(fqn)}) source"
+
+    def exists_sql(self, fqn: str) -> str:
+        schema, table = ("'" + part.replace("'", "''") + "'" for part in split_fqn(fqn))
+        return f"SELECT COUNT(*) AS n FROM information_schema.tables WHERE table_schema = {schema} AND table_name = {table}"
+
+    def exists(self, spark: SparkSession, fqn: str) -> bool:
+        """Asks the database's catalog; any failure to ask is an error, not a missing table."""
+        return self._query(spark, self.exists_sql(fqn))[0][0] > 0
+
+    def read(self, spark: SparkSession, fqn: str, plan: ChunkPlan | None = None,
+             schema: T.StructType | None = None) -> DataFrame:
+        """One partition per chunk: each task runs one query with that chunk's predicate.
+
+        ``schema`` (declared columns) names the columns to read; without it the table is read as the driver sees it.
+        """
+        name = quoted_name(fqn) if schema is None else self.source_sql(fqn, schema)
         if plan is None or plan.parts == 1:
             return spark.read.jdbc(self.url, name, properties=self.properties)
         return spark.read.jdbc(self.url, name, predicates=plan.predicates(), properties=self.properties)

@@ -45,7 +45,9 @@ def footer_bounds(spark: SparkSession, path: str, key: str) -> tuple[int | None,
     summary = f"SELECT min({quoted}), max({quoted}), count({quoted}), count(*) FROM footer_source"
     try:
         row = footers.sql(summary).first()
-    except Py4JJavaError:
+    except Py4JJavaError as error:
+        if "min/max" not in str(error):                  # what a file without statistics is refused with
+            raise
         footers.conf.set("spark.sql.parquet.aggregatePushdown", "false")
         footers.read.parquet(path).createOrReplaceTempView("footer_source")
         row = footers.sql(summary).first()

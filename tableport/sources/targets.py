@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..functions.names import check_database_name, split_fqn, table_dir
 from ..session import delete_path, path_exists
-from .jdbc import JdbcDatabase, quoted_name
+from .jdbc import JdbcDatabase
 
 
 @dataclass(frozen=True)
@@ -77,12 +77,7 @@ class JdbcTarget:
         return JdbcDatabase(self.url, self.properties, self.batch_size)
 
     def exists(self, spark: SparkSession, fqn: str) -> bool:
-        probe = f"(SELECT * FROM {quoted_name(fqn)} WHERE 1 = 0) probe"
-        try:
-            spark.read.jdbc(self.url, probe, properties=self.properties)
-            return True
-        except Exception:  # the driver's own error class differs per database
-            return False
+        return self.database.exists(spark, fqn)
 
     def reset(self, spark: SparkSession, fqns) -> None:
         raise NotImplementedError("drop tables of a relational database with its own tools")

@@ -2,10 +2,13 @@
 
 import duckdb
 import pytest
+from pyspark.sql import types as T
 
+from tableport.functions.types import field
 from tableport.plans import chunking as ch, order_stats as os_
 from tableport.session import small_frame
 from tableport.sources.jdbc import JdbcDatabase, quoted_name
+from tableport.sources.targets import JdbcTarget
 
 KEYS = [None, -9, -9, -9, -9, 0, 1, 1, 2, 5, 8, 13, 21, 21, 21, 34]
 FQN = '[main].[odd "name"]'
@@ -51,3 +54,27 @@ def test_names_cannot_break_out():
     with pytest.raises(ValueError):
         quoted_name("[a].[b]; DROP TABLE x")
     assert os_.bucket_sizes(10, 4) == [3, 3, 2, 2]
+
+
+def test_existence_is_read_from_the_catalog(spark, duck, database):
+    assert database.exists(spark, FQN)
+    assert not database.exists(spark, "[main].[it's not there]") and not database.exists(spark, FQN.replace("main", "other"))
+
+
+def test_failure_to_ask_is_an_error(spark, monkeypatch):
+    def broken(self, spark, sql):
+        raise ConnectionError("no route")
+
+    monkeypatch.setattr(JdbcDatabase, "_query", broken)
+    with pytest.raises(ConnectionError):
+        JdbcTarget("jdbc:none").exists(spark, FQN)
+
+
+def test_columns_a_source_casts_and_leaves_out(duck):
+    schema = T.StructType([field('the "key', "bigint"), field("x", "xml"), field("r", "rowversion"), field("m", "money"),
+                           field("h", "hierarchyid"), field("c", "int", computed=True), field("v", "int", hidden=True)])
+    text = JdbcDatabase("jdbc:none").source_sql("[s].[t]", schema)
+    assert text == ('(SELECT "the ""key", CAST("x" AS NVARCHAR(MAX)) AS "x", CAST("r" AS VARBINARY(8)) AS "r", '
+                    'CAST("m" AS DECIMAL(19,4)) AS "m", "h".ToString() AS "h" FROM "s"."t") source')
+    plain = T.StructType([field('the "key', "bigint")])
+    assert len(duck.sql(f"SELECT * FROM {JdbcDatabase('jdbc:none').source_sql(FQN, plain)}").fetchall()) == len(KEYS)
