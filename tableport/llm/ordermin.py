@@ -254,7 +254,7 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, bloc
 
 
 def classify(base: DataFrame, repetitions: int = 20, length: int = 3, threshold: float = THRESHOLD,
-             block: int = 512, seed: int = 7) -> DataFrame:
+             block: int = 256, seed: int = 7) -> DataFrame:
     """(doc_id, text_md5, root, class_id) for each row of ``tokenized``: the least id of the row's class.
 
     ``root`` tells classes apart whose ids are repeated or null; it is null for a text without a word.
