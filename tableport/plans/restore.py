@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import column, split_fqn
-from ..operators.constraints import Constraints, constraint_report
+from ..operators.constraints import Constraints, constraint_report, with_computed
 from ..session import small_frame
 from ..sources.bundle import check_bundle, manifest_problems, open_bundle
 from .inventory import row_counts
@@ -30,9 +31,21 @@ def names_of(restored: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out | {table: df for _, table, df in names if bare.count(table) == 1}
 
 
+def load_rounds(tables, references) -> list[list[str]]:
+    """Tables in rounds, each after the tables its (child, parent) pairs refer to; a cycle loads together, last."""
+    waiting = {t: {p for c, p in references if c == t and p != t} for t in tables}
+    rounds = []
+    while waiting:
+        ready = [t for t, parents in waiting.items() if not parents & waiting.keys()] or list(waiting)
+        rounds.append(ready)
+        waiting = {t: p for t, p in waiting.items() if t not in ready}
+    return rounds
+
+
 def restore_tables(
     spark: SparkSession, bundle: str, target, data_only: bool = False, replace: bool = False,
-    constraints: Constraints | None = None, parallel: int = 8,
+    constraints: Constraints | None = None, parallel: int = 8, parents_first: bool = False,
+    computed: Mapping[str, Mapping[str, str]] | None = None,
 ) -> DataFrame:
     """Load every table of a bundle; returns (table_fqn, row_count, restored_rows).
 
@@ -40,6 +53,8 @@ def restore_tables(
     values and NULLs are written as they are; defaults never apply. Keys, checks and foreign keys are
     checked after all data is in place, and any violation is an error. Constraints of tables the bundle does not
     hold, and references to such tables, are left out; tables are named ``table`` or ``schema.table`` in them.
+    ``parents_first`` loads tables after those their foreign keys refer to, for a target that enforces them.
+    ``computed`` (table -> column -> expression) adds columns the target has to hold rebuilt.
     """
     opened = open_bundle(spark, bundle)
     problems = manifest_problems(opened.manifest).collect()  # at most a few per listed table
@@ -78,11 +93,19 @@ def restore_tables(
         # empty tables are created as well; appending no rows to an existing one is skipped
         if data_only and expected[fqn] == 0:
             return
-        df = opened.read(fqn, parts[fqn])
-        target.append(df.select(*[column(c) for c in _supplied(opened.schemas[fqn])]), fqn)
-
+        df = opened.read(fqn, parts[fqn]).select(*[column(c) for c in _supplied(opened.schemas[fqn])])
+        target.append(with_computed(df, added.get(fqn, {})), fqn)
+
+    fqns = {name: fqn for fqn in expected for name in names_of({fqn: None})}
+    fqns = {name: fqn for name, fqn in fqns.items() if name in names_of(dict.fromkeys(expected))}
+    added = {fqns[name]: texts for name, texts in (computed or {}).items()}
+    rounds = [list(expected)]
+    if parents_first and constraints is not None:
+        kept = constraints.within(fqns).foreign_keys
+        rounds = load_rounds(expected, [(fqns[k.child], fqns[k.parent]) for k in kept if not k.disabled])
     with ThreadPoolExecutor(max(1, parallel)) as pool:
-        list(pool.map(load, expected))
+        for tables in rounds:
+            list(pool.map(load, tables))
 
     restored = {fqn: target.read(spark, fqn) for fqn in expected}
     after = {r[0]: r[1] for r in row_counts(restored).collect()}

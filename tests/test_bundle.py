@@ -104,6 +104,27 @@ def test_two_schemas_and_an_excluded_parent(spark, tmp_path):
         restore_tables(spark, f"{tmp_path}/b", PathTarget(f"{tmp_path}/t2"), constraints=broken)
 
 
+def test_parents_load_first_and_computed_columns_are_rebuilt(spark, tmp_path):
+    from tableport.operators.constraints import Constraints, ForeignKey
+    from tableport.plans.restore import load_rounds
+
+    assert load_rounds("abcdz", [("a", "b"), ("b", "c"), ("c", "c"), ("d", "a"), ("z", "d")]) == [["c"], ["b"], ["a"], ["d"], ["z"]]
+    assert load_rounds("abc", [("a", "b"), ("b", "a")]) == [["c"], ["a", "b"]]
+    export_tables(spark, {"child": spark.range(6), "parent": spark.range(9)}, f"{tmp_path}/b")
+    order = []
+
+    class Watched(PathTarget):
+        def append(self, df, fqn):
+            order.append(fqn)
+            super().append(df, fqn)
+
+    target = Watched(f"{tmp_path}/t")
+    restore_tables(spark, f"{tmp_path}/b", target, parents_first=True, computed={"child": {"twice": "id * 2"}},
+                   constraints=Constraints(foreign_keys=(ForeignKey("f", "child", ("id",), "parent", ("id",)),)))
+    assert order == ["[main].[parent]", "[main].[child]"]
+    assert target.read(spark, "[main].[child]").agg(F.sum("twice")).first()[0] == 30
+
+
 def test_plan_of_tables_with_declared_keys_reads_no_text(spark, lineitem_path, monkeypatch):
     from tableport.operators.constraints import Key
     from tableport.plans import inventory as inv
