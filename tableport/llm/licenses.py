@@ -92,10 +92,19 @@ class Scanner:
         self.alone = zstandard.ZstdCompressor(level=3)
         self.templates = [(name, words_of(text), zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(
             text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, text in templates]
+        self.longest = max((len(text) for _, text in templates), default=1)
         self.min_reduction, self.max_differences, self.gap, self.seen = min_reduction, max_differences, gap, {}
 
     def judge(self, block: str):
-        """(license, reduction, differences) of the best confirmed template, or None."""
+        """(license, reduction, differences) of the best confirmed template, or None.
+
+        A block far longer than any notice is judged in overlapping windows, those with a cue in them.
+        """
+        if len(block) > 4 * self.longest:
+            step = 2 * self.longest
+            parts = (block[i:i + 2 * step] for i in range(0, len(block) - step, step))
+            found = [self.judge(p) for p in parts if any(cue in p.lower() for cue in CUES)]
+            return min((f for f in found if f), key=lambda f: (f[2], -f[1]), default=None)
         if block not in self.seen:
             if len(self.seen) >= 20_000:                 # the verdict of a block does not depend on the others
                 self.seen.clear()

@@ -92,6 +92,16 @@ def test_wording_decides_between_close_templates():
     assert not list(scanner.scan("permission to enter the hall is licensed by nobody at all"))
 
 
+def test_notice_inside_a_very_long_line():
+    import time
+
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.15, 0.1, 6)
+    filler = " ".join(f"word{i}" for i in range(40_000))
+    start = time.time()
+    found = list(scanner.scan(f"{filler} {licenses.TEMPLATES[0][1]} {filler} a license of another kind {filler}"))
+    assert [(f[0], f[4]) for f in found] == [("MIT", 0)] and time.time() - start < 20
+
+
 def plain_notices(text):
     """The best template of each cue line by wording alone."""
     for n, line in enumerate((text or "").split("\n")):
