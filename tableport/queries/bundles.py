@@ -82,6 +82,16 @@ def q22_schema_only(spark, root):
     return loaded.unionByName(listed).join(same, "table_fqn")
 
 
+def q22c_identity(spark, root):
+    """Identity columns and rows as the manifest of an export lists them."""
+    tables = {t: df.select(*[F.col(c).alias(c, metadata={"identity": c == FIRST[t] and t in ("orders", "part")}) for c in df.columns])
+              for t, df in load_all(spark, root).items() if t in ("orders", "part", "nation")}
+    out = scratch_path(spark, "bundle")
+    export_tables(spark, tables, out)
+    return bd.open_bundle(spark, out).tables.select(
+        "table_fqn", "row_count", "has_identity", F.concat_ws(",", "identity_columns").alias("identity_columns"))
+
+
 def _parts(spark, root):
     """Per-part rows of three tables under three strategies, as an export would report them."""
     plans = []
@@ -136,7 +146,7 @@ def q25_manifest_check(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (
-    q21_roundtrip, q21b_roundtrip_by_key, q21c_roundtrip_odd_columns, q21d_two_schemas, q22_schema_only, q22b_merge_parts, q23_reconcile,
+    q21_roundtrip, q21b_roundtrip_by_key, q21c_roundtrip_odd_columns, q21d_two_schemas, q22_schema_only, q22b_merge_parts, q22c_identity, q23_reconcile,
     q23b_reconcile_keys, q24_collisions, q25_manifest_check)}
 
 _ROUNDTRIP = " UNION ALL ".join(
@@ -155,6 +165,9 @@ ORACLES = {
     "q22_schema_only": " UNION ALL ".join(
         f"SELECT '[main].[{t}]' AS table_fqn, count(*) AS bundle_rows, 'loaded' AS entry, true AS same_columns FROM {t} "
         f"UNION ALL SELECT '[main].[{t}]', 0, 'schema only', true" for t in TABLES),
+    "q22c_identity": " UNION ALL ".join(
+        f"SELECT '[main].[{t}]' AS table_fqn, count(*) AS row_count, {t != 'nation'} AS has_identity, "
+        f"'{'' if t == 'nation' else FIRST[t]}' AS identity_columns FROM {t}" for t in ("orders", "part", "nation")),
     "q22b_merge_parts": f"""WITH ob AS (SELECT min(o_orderkey) lo, max(o_orderkey) hi FROM orders),
         os AS (SELECT lo, CAST(ceil((hi - lo + 1) / {CHUNKS}.0) AS BIGINT) AS size FROM ob),
         t AS (SELECT l_orderkey AS k, ntile({CHUNKS}) OVER (ORDER BY l_orderkey) AS bk FROM lineitem),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators.constraints import with_computed
 from ..plans import dictionary as dd, inventory as inv
 from ..session import pinned
 from .common import TABLES, load, load_all
-from .declared import COLUMNS, COMPUTED, CONSTRAINTS, FOREIGN_KEYS, KEYS, TYPE_TEXT
+from .declared import CHECKS, COLUMNS, COMPUTED, CONSTRAINTS, FOREIGN_KEYS, KEYS, TYPE_TEXT
 
 EXCLUDED = ("part*", "main.e[mv]*", "?egion", "*s[!t]")
 PLAN_THRESHOLD, PLAN_LOB_BYTES, PLAN_CHUNKS = 200, 300, 8
@@ -22,6 +22,13 @@ def q11b_inventory_totals(spark, root):
     return inv.inventory_totals(inv.inventory(load_all(spark, root)), large_rows=5_000)
 
 
+def q11c_two_schemas(spark, root):
+    tables = load_all(spark, root)
+    listing = inv.inventory(tables).unionByName(inv.inventory(
+        {t: tables[t].filter(F.col(COLUMNS[t][0][0]) < 100) for t in ("orders", "lineitem", "events")}, "history"))
+    return inv.inventory_totals(listing, large_rows=5_000)
+
+
 def q12_dictionary(spark, root):
     tables = load_all(spark, root)
     described = dd.describe(inv.dictionary(tables), dd.key_columns(spark, CONSTRAINTS),
@@ -89,6 +96,12 @@ def q12g_computed_listing(spark, root):
     return listed.join(counts, "name")
 
 
+def q12h_check_listing(spark, root):
+    listing = inv.inventory(load_all(spark, root)).filter("table_name <> 'events'")
+    checks = dd.check_listing(dd.check_rows(spark, CONSTRAINTS), listing)
+    return checks.join(listing.select("table_name", "row_count"), "table_name")
+
+
 def q13_exclude(spark, root):
     kept = inv.exclude(inv.inventory(load_all(spark, root)), EXCLUDED)
     return kept.select("table_name", "row_count")
@@ -106,6 +119,14 @@ def q14b_plan_of_an_export(spark, root):
         "table_name", "row_count", "chunk_key", "indexed", "strategy")
 
 
+def q14c_export_order(spark, root):
+    plan = inv.plan_tables(load_all(spark, root), PLAN_CHUNKS, PLAN_THRESHOLD, KEYS)
+    # one row per table, numbered in the order an export takes them
+    placed = inv.export_order(plan).select("table_name", F.monotonically_increasing_id().alias("at"))
+    return placed.join(plan.select("table_name", "row_count"), "table_name").select(
+        "table_name", "row_count", F.row_number().over(Window.orderBy("at")).alias("position"))
+
+
 def q15_key_profile(spark, root):
     return inv.key_profile(load_all(spark, root))
 
@@ -120,8 +141,9 @@ def q16_sample(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (
-    q11_inventory, q11b_inventory_totals, q12_dictionary, q12b_largest, q12c_star_joins, q12d_left_residual,
-    q12e_key_listing, q12f_foreign_key_listing, q12g_computed_listing, q13_exclude, q14_plan, q14b_plan_of_an_export, q15_key_profile, q16_lob_profile,
+    q11_inventory, q11b_inventory_totals, q11c_two_schemas, q12_dictionary, q12b_largest, q12c_star_joins, q12d_left_residual,
+    q12e_key_listing, q12f_foreign_key_listing, q12g_computed_listing,
+    q12h_check_listing, q13_exclude, q14_plan, q14b_plan_of_an_export, q14c_export_order, q15_key_profile, q16_lob_profile,
     q16_sample)}
 
 _COUNTS = " UNION ALL ".join(
@@ -184,6 +206,17 @@ ORACLES = {
     "q11b_inventory_totals": f"""SELECT count(*) AS tables, CAST(1 AS BIGINT) AS schemas,
         CAST(sum(row_count) AS BIGINT) AS total_rows, count(*) FILTER (WHERE row_count > 5000) AS large_tables
         FROM ({_COUNTS})""",
+    "q11c_two_schemas": f"""WITH l AS (SELECT 'main' AS schema_name, row_count FROM ({_COUNTS}) UNION ALL
+        SELECT 'history', count(*) FROM orders WHERE o_orderkey < 100 UNION ALL
+        SELECT 'history', count(*) FROM lineitem WHERE l_orderkey < 100 UNION ALL
+        SELECT 'history', count(*) FROM events WHERE event_id < 100)
+        SELECT count(*) AS tables, count(DISTINCT schema_name) AS schemas, CAST(sum(row_count) AS BIGINT) AS total_rows,
+        count(*) FILTER (WHERE row_count > 5000) AS large_tables FROM l""",
+    "q12h_check_listing": " UNION ALL ".join(
+        f"""SELECT '{c.table}' AS table_name, '{c.name}' AS name, '{c.condition}' AS condition, {c.disabled} AS is_disabled,
+        {c.untrusted} AS is_not_trusted, count(*) AS row_count FROM {c.table}""" for c in CHECKS if c.table != "events"),
+    "q14c_export_order": f"""SELECT table_name, row_count, CAST(row_number() OVER (
+        ORDER BY row_count < {PLAN_THRESHOLD}, ordinal) AS INTEGER) AS position FROM ({_COUNTS})""",
     "q12_dictionary": _DICTIONARY,
     "q12b_largest": f"SELECT table_name, row_count FROM ({_COUNTS}) ORDER BY row_count DESC, ordinal LIMIT 1",
     "q12c_star_joins": """SELECT b.n_name AS buyer_nation, s.n_name AS seller_nation, count(*) AS rows,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import constraints as con
+from ..plans.inventory import inventory
+from ..session import small_frame
 from .common import load, load_all
 from .declared import CHECKS, COMPUTED, CONSTRAINTS
 
@@ -78,9 +80,18 @@ def q33_retain(spark, root):
     return con.retained(edges, kept)
 
 
+def q33b_retained_constraints(spark, root):
+    """Checks whose table is kept; with the rows they stand on."""
+    listing = inventory(load_all(spark, root)).filter("row_count > 5000 AND table_name <> 'events'")
+    rows = [(c.name, c.table, c.condition) for c in CHECKS]
+    checks = small_frame(spark, rows, "name string, table_name string, condition string")
+    kept = con.retained_constraints(checks, listing.select("table_name", "row_count"), name="table_name")
+    return kept.join(listing.select("table_name", "row_count"), "table_name")
+
+
 QUERIES = {f.__name__: f for f in (
     q26_pk, q26b_pk_null, q27_unique, q28_fk_orphans, q28b_fk_composite, q29_checks, q29b_check_rows,
-    q30_not_null, q31_computed, q32_report, q33_retain)}
+    q30_not_null, q31_computed, q32_report, q33_retain, q33b_retained_constraints)}
 
 _LINE_NULLS = {"l_returnflag": "nullif(l_returnflag, 'N')", "l_tax": "nullif(l_tax, 0)",
                "l_linenumber": "nullif(l_linenumber, 7)"}
@@ -140,6 +151,9 @@ ORACLES = {
         CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS INTEGER) AS lead_days,
         l_returnflag || '/' || l_linestatus AS line_label FROM lineitem""",
     "q32_report": _report(),
+    "q33b_retained_constraints": " UNION ALL ".join(
+        f"SELECT '{c.table}' AS table_name, '{c.name}' AS name, '{c.condition}' AS condition, count(*) AS row_count "
+        f"FROM {c.table} HAVING count(*) > 5000" for c in CHECKS if c.table != "events"),
     "q33_retain": """SELECT 'orders/' || o_orderkey AS child, 'customer/' || o_custkey AS parent
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_orderstatus = 'F' AND c_mktsegment <> 'BUILDING'""",
