@@ -36,6 +36,21 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Worker processes live on after a task, and the allocators keep what it freed."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):                    # another C library; nothing to trim
+        pass
+
+
 def sub_batches(batch, column: str, max_bytes: int):
     """Slices of an Arrow batch holding at most ``max_bytes`` of ``column`` each, and one row at least."""
     import pyarrow.compute as pc

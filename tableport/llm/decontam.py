@@ -13,7 +13,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import quoted, sub_batches, without
+from .common import give_back, quoted, sub_batches, without
 
 N, WINDOW = 3, 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -142,6 +142,7 @@ def corpus_counts(docs: DataFrame, items: Items, text: str = "text"):
                 np.add.at(totals, which, 1)
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(totals[seen])], names=["gram", "n"])
+        give_back()
 
     counted = docs.select(F.col(quoted(text))).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n"))
     counts = np.zeros(len(items.known), "i8")
@@ -176,12 +177,13 @@ def _search(docs: DataFrame, items: Items, text: str, min_score: float) -> DataF
         import pyarrow as pa
 
         for whole in batches:
-            for batch in sub_batches(whole, text, 16_000_000):
+            for batch in sub_batches(whole, text, 2_000_000):
                 at = batch.schema.get_field_index("hits")
                 kind, hits = batch.schema.field(at).type, batch.column(at).to_pylist()
                 for own, value in zip(hits, batch.column(text).to_pylist()):
                     own += [{"item_id": i, "score": s, "end_word": e} for i, s, e in items.search(value, min_score)]
                 columns = [c if k != at else pa.array(hits, kind) for k, c in enumerate(batch.columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+        give_back()
 
     return docs.mapInArrow(search, schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import quoted, sub_batches, with_fields, without
+from .common import give_back, quoted, sub_batches, with_fields, without
 
 WIDTHS, FILTERS, EMBEDDED, SPAN, PAD = (2, 3, 4), 12, 8, 128, 256
 UNKNOWN = "und"
@@ -174,5 +174,6 @@ def identify(docs: DataFrame, network: ByteNetwork, text: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())],
                     names=[f.name for f in schema])
+        give_back()
 
     return docs.withColumn("_op_lettered", lettered).mapInArrow(predict, schema)

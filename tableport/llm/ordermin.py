@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .common import partitions_of, quoted
+from .common import give_back, partitions_of, quoted
 from .components import connected
 
 K = 5
@@ -197,6 +197,7 @@ def _buckets(base: DataFrame, repetitions: int, length: int, seed: int) -> DataF
                 rows = np.repeat(np.arange(len(found)), repetitions)
                 yield pa.RecordBatch.from_arrays(
                     [keys.take(pa.array(rows)), pa.array(np.concatenate(found))], names=["key", "bucket"])
+        give_back()
 
     worded = base.where(F.col("key").isNotNull()).select("key", "tokens")
     return worded.mapInArrow(sketches, "key binary, bucket long").distinct()
@@ -249,6 +250,8 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, bloc
                     at, group = place, []
                 group.append((keys[row], sides[row], flat[offsets[row]:offsets[row + 1]].copy()))
         yield from found(group)
+        del group
+        give_back()
 
     return laid.mapInArrow(compare, "a binary, b binary")
 

@@ -14,7 +14,7 @@ from array import array
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import quoted, sub_batches, with_fields, without
+from .common import give_back, quoted, sub_batches, with_fields, without
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -44,7 +44,7 @@ class ChunkTable:
     Starting anew costs time only: every chunk is segmented by the library in any case.
     """
 
-    def __init__(self, model: bytes, max_chunks: int = 400_000, max_chars: int = 32_000_000):
+    def __init__(self, model: bytes, max_chunks: int = 100_000, max_chars: int = 8_000_000):
         self.processor = _processor(model)
         self.max_chunks, self.max_chars = max_chunks, max_chars
         self.clear()
@@ -120,7 +120,7 @@ class ChunkTable:
 
 
 def encode_texts(docs: DataFrame, model: bytes, text: str = "text", eos: bool = True,
-                 batch_bytes: int = 8_000_000) -> DataFrame:
+                 batch_bytes: int = 2_000_000) -> DataFrame:
     """``docs`` with ``ids`` (array of int, as the library's ``encode``) and ``decoded`` (its ``decode`` of them).
 
     A null text counts as empty: only the end id, decoded to an empty text. Rows are independent, so ties
@@ -145,6 +145,9 @@ def encode_texts(docs: DataFrame, model: bytes, text: str = "text", eos: bool =
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 decoded = pa.array([table.text_of(row) for row in codes], pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], names=[f.name for f in schema])
+                del codes, flat, offsets, ids, decoded, batch
+            del whole
+            give_back()
 
     return docs.mapInArrow(encode, schema)
 
