@@ -50,7 +50,7 @@ def fqn_of(name, schema: str = "main") -> str:
 
 def concrete_plans(tables: Mapping[str, DataFrame], chunks: int, threshold: int) -> dict[str, ChunkPlan]:
     """Chunk plan per table, keyed tables first."""
-    rows = export_order(plan_tables(tables, chunks, threshold)).collect()  # one row per table
+    rows = export_order(plan_tables(tables, chunks, threshold, lean=True)).collect()  # one row per table
     with ThreadPoolExecutor(8) as pool:
         made = pool.map(lambda r: chunk_plan(tables[r["table_name"]], r["strategy"], r["chunk_key"], chunks,
                                              (r["lo"], r["hi"])), rows)

@@ -239,16 +239,20 @@ def _declared_keys(tables: Tables, profile, declared) -> list:
     return found
 
 
-def plan_tables(tables: Tables, n: int = 8, threshold: int = LARGE_TABLE_ROWS, declared=()) -> DataFrame:
-    """The plan an export follows, from as little data as decides it.
+def plan_tables(tables: Tables, n: int = 8, threshold: int = LARGE_TABLE_ROWS, declared=(),
+                lean: bool = False) -> DataFrame:
+    """Strategy per table, with every table's best key and value widths; ``lean`` looks only at what decides.
 
-    Row counts come from footers. Only tables of at least ``threshold`` rows are looked at, and of those only the
+    Lean, as an export plans: row counts come from footers. Only tables of at least ``threshold`` rows are looked at, and of those only the
     integer columns; uniqueness is measured only where no identity column, declared key (``declared``: ``Key``s) or
-    NOT NULL ``id`` settles it, and value widths only for tables without a unique key, since nothing else depends on
-    them. ``has_lob`` is False where it was not needed.
+    NOT NULL ``id`` settles it, and value widths only for tables without a unique key, since no other strategy depends on
+    them. Keys of small tables and ``has_lob`` of the others stay empty then.
     """
     spark = _session(tables)
     listing = pinned(inventory(tables))
+    if not lean:
+        profile = pinned(column_profile(tables))
+        return plan_rows(listing, key_profile(tables, profile), lob_profile(profile), n, threshold)
     large = {r["table_name"] for r in listing.collect() if r["row_count"] >= threshold} if n > 1 else set()
     large = {name: df for name, df in tables.items() if name in large}
     if not large:

@@ -115,12 +115,12 @@ def q14_plan(spark, root):
 
 
 def q14b_plan_of_an_export(spark, root):
-    return inv.plan_tables(load_all(spark, root), PLAN_CHUNKS, PLAN_THRESHOLD, KEYS).select(
+    return inv.plan_tables(load_all(spark, root), PLAN_CHUNKS, PLAN_THRESHOLD, KEYS, lean=True).select(
         "table_name", "row_count", "chunk_key", "indexed", "strategy")
 
 
 def q14c_export_order(spark, root):
-    plan = inv.plan_tables(load_all(spark, root), PLAN_CHUNKS, PLAN_THRESHOLD, KEYS)
+    plan = inv.plan_tables(load_all(spark, root), PLAN_CHUNKS, PLAN_THRESHOLD, KEYS, lean=True)
     # one row per table, numbered in the order an export takes them
     placed = inv.export_order(plan).select("table_name", F.monotonically_increasing_id().alias("at"))
     return placed.join(plan.select("table_name", "row_count"), "table_name").select(

@@ -133,7 +133,7 @@ def test_plan_of_tables_with_declared_keys_reads_no_text(spark, lineitem_path, m
     profile = inv.column_profile
     monkeypatch.setattr(inv, "column_profile", lambda tables, only: asked.append(profile(tables, only)) or asked[-1])
     orders = spark.read.parquet(lineitem_path.replace("lineitem", "orders"))
-    plan = inv.plan_tables({"orders": orders}, 8, 10, (Key("orders", ("o_orderkey",)),)).first()
+    plan = inv.plan_tables({"orders": orders}, 8, 10, (Key("orders", ("o_orderkey",)),), lean=True).first()
     assert (plan["chunk_key"], plan["strategy"], len(asked)) == ("o_orderkey", "range", 1)
     text = asked[0]._jdf.queryExecution().executedPlan().toString()
     assert "o_orderkey" in text and "o_orderstatus" not in text and "o_orderpriority" not in text
