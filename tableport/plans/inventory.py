@@ -243,10 +243,10 @@ def plan_tables(tables: Tables, n: int = 8, threshold: int = LARGE_TABLE_ROWS, d
                 lean: bool = False) -> DataFrame:
     """Strategy per table, with every table's best key and value widths; ``lean`` looks only at what decides.
 
-    Lean, as an export plans: row counts come from footers. Only tables of at least ``threshold`` rows are looked at, and of those only the
-    integer columns; uniqueness is measured only where no identity column, declared key (``declared``: ``Key``s) or
-    NOT NULL ``id`` settles it, and value widths only for tables without a unique key, since no other strategy depends on
-    them. Keys of small tables and ``has_lob`` of the others stay empty then.
+    Lean, as an export plans: row counts come from footers. Only tables of at least ``threshold`` rows are looked at,
+    and of those only the integer columns; uniqueness is measured only where no identity column, declared key
+    (``declared``: ``Key``s) or NOT NULL ``id`` settles it, and value widths only for tables without a unique key,
+    since no other strategy depends on them. Keys of small tables and ``has_lob`` of the others stay empty then.
     """
     spark = _session(tables)
     listing = pinned(inventory(tables))
