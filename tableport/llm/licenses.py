@@ -1,20 +1,24 @@
 """License notices in documents, by conditional compression.
 
-Lines with a word that notices use form candidate blocks. A block is compressed alone and with each license template
-as zstandard raw dictionary; the better a template foretells the block, the more its size falls. Templates are ranked
-by that reduction and confirmed by the exact differences in wording.
+A word that notices use is looked up in the license templates. Where a template has it too, the words around it that
+the template would cover form a candidate block, which is compressed alone and with the template as zstandard raw
+dictionary; the better the template foretells the block, the more its size falls. What is left is confirmed by the
+exact differences in wording. Blocks are of the template's own length, so the text around a notice cannot hide it.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_right
+from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, functions as F
 
 from .common import quoted, sub_batches, with_fields, without
 
-# Words that start a candidate block, and the wording of well-known public notices.
+# Words that candidate blocks lie around, and the wording of well-known public notices.
 CUES = ("licens", "licenc", "copyright", "permission", "redistribut", "rights reserved", "warrant", "public domain",
         "creative commons", "spdx")
 
@@ -62,25 +66,44 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
-_WORD = re.compile(r"[\w.\-/:]*\w")
+_RUN = re.compile(r"[\w.\-/:]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w for w in (run.rstrip(".-/:") for run in _RUN.findall(text.lower())) if w]
 
 
-def differences(template: list[str], block: list[str]) -> int:
-    """Words of ``template`` that ``block`` lacks, and words of ``block`` in between that ``template`` lacks.
+def cue_places(words: list[str]) -> dict[str, list[int]]:
+    """{cue: numbers of the words in which it begins}."""
+    joined, starts = " ".join(words), list(accumulate((len(w) + 1 for w in words), initial=0))
+    found = {}
+    for cue in CUES:
+        at = joined.find(cue)
+        while at >= 0:
+            found.setdefault(cue, {})[bisect_right(starts, at) - 1] = None
+            at = joined.find(cue, at + 1)
+    return {cue: list(places) for cue, places in found.items()}
+
 
-    What stands before or after the notice in its block does not count.
+def compared(template: list[str], block: list[str]) -> tuple[int, int, int]:
+    """(differences, first word, word after the last) of ``template`` in ``block``.
+
+    Differences are words of ``template`` that ``block`` lacks, and words of ``block`` in between that ``template``
+    lacks. What stands before or after the notice in its block does not count.
     """
     steps = difflib.SequenceMatcher(None, template, block, autojunk=False).get_opcodes()
-    count = 0
+    count, equal = 0, []
     for n, (kind, a, b, c, d) in enumerate(steps):
         if kind != "equal":
             outside = n in (0, len(steps) - 1)
             count += b - a if outside else max(b - a, d - c)
-    return count
+        else:
+            equal += c, d
+    return count, min(equal, default=0), max(equal, default=0)
+
+
+def differences(template: list[str], block: list[str]) -> int:
+    return compared(template, block)[0]
 
 
 class Scanner:
@@ -92,78 +115,84 @@ class Scanner:
         self.alone = zstandard.ZstdCompressor(level=3)
         self.templates = [(name, words_of(text), zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(
             text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, text in templates]
-        self.longest = max((len(text) for _, text in templates), default=1)
+        self.bags = [Counter(wording) for _, wording, _ in self.templates]
+        self.places = {}                                 # cue: (template, number of its word with the cue)
+        for n, (_, wording, _) in enumerate(self.templates):
+            for cue, places in cue_places(wording).items():
+                self.places.setdefault(cue, []).extend((n, place) for place in places)
         self.min_reduction, self.max_differences, self.gap, self.seen = min_reduction, max_differences, gap, {}
 
-    def judge(self, block: str):
-        """(license, reduction, differences) of the best confirmed template, or None.
-
-        A block far longer than any notice is judged in overlapping windows, those with a cue in them.
-        """
-        if len(block) > 4 * self.longest:
-            step = 2 * self.longest
-            parts = (block[i:i + 2 * step] for i in range(0, len(block) - step, step))
-            found = [self.judge(p) for p in parts if any(cue in p.lower() for cue in CUES)]
-            return min((f for f in found if f), key=lambda f: (f[2], -f[1]), default=None)
-        if block not in self.seen:
+    def judge(self, n: int, block: list[str]):
+        """(reduction, differences, first word, word after the last) if the block holds template ``n``, or None."""
+        key = n, " ".join(block)
+        if key not in self.seen:
             if len(self.seen) >= 20_000:                 # the verdict of a block does not depend on the others
                 self.seen.clear()
-            self.seen[block] = self._judge(block)
-        return self.seen[block]
-
-    def _judge(self, block: str):
-        data = block.lower().encode()                     # wording is compared without case
+            self.seen[key] = self._judge(n, block, key[1].encode())
+        return self.seen[key]
+
+    def _judge(self, n: int, block: list[str], data: bytes):
+        _, wording, compressor = self.templates[n]
+        most = int(self.max_differences * len(wording))
+        if (self.bags[n] - Counter(block)).total() > most:
+            return None                                  # more words are missing in any order
         size = len(self.alone.compress(data))
-        ranked = sorted(((size - len(c.compress(data))) / size, -n) for n, (_, _, c) in enumerate(self.templates))
-        words, best = words_of(block), None
-        for reduction, n in reversed(ranked):
-            if reduction < self.min_reduction:
-                break
-            name, wording, _ = self.templates[-n]
-            off = differences(wording, words)
-            if off <= int(self.max_differences * len(wording)) and (best is None or off < best[2]):
-                best = name, round(reduction, 6), off
-        return best
+        reduction = (size - len(compressor.compress(data))) / size
+        if reduction < self.min_reduction:
+            return None
+        off, first, end = compared(wording, block)
+        return (round(reduction, 6), off, first, end) if off <= most else None
+
+    def candidates(self, words: list[str]):
+        """(words in common less differences, reduction, -template, first word, word after the last, differences)."""
+        met = set()
+        for cue, places in cue_places(words).items():
+            for place in places:
+                for n, own in self.places.get(cue, ()):
+                    if (n, place - own) in met:
+                        continue
+                    met.add((n, place - own))
+                    size = len(self.templates[n][1])
+                    # words that are missing or mixed in move the ends of the notice by as many
+                    most = int(self.max_differences * size)
+                    begin = max(0, place - own - most)
+                    found = self.judge(n, words[begin:max(0, place - own + size + most)])
+                    if found:
+                        reduction, off, first, end = found
+                        yield size - 2 * off, reduction, -n, begin + first, begin + end, off
 
     def scan(self, text: str | None):
         """(license, first line, last line, reduction, differences) of each notice, lines counted from 0."""
         low = (text or "").lower()
-        if not any(cue in low for cue in CUES):
+        if not any(cue.split()[0] in low for cue in CUES):
             return
-        lines = text.split("\n")
-        marked = [i for i, line in enumerate(lines) if any(cue in line.lower() for cue in CUES)]
+        words, line_of = [], []
+        for i, line in enumerate(text.split("\n")):
+            own = words_of(line)
+            words += own
+            line_of += [i] * len(own)
         runs = []
-        for i in marked:
-            if runs and i - runs[-1][-1] <= self.gap:
-                runs[-1].append(i)
+        for found in sorted(self.candidates(words), key=lambda f: f[3:5]):
+            first, last = line_of[found[3]], line_of[found[4] - 1]
+            if runs and first - runs[-1][-1] <= self.gap:
+                runs[-1][0], runs[-1][1] = max(runs[-1][0], found), max(runs[-1][1], last)
             else:
-                runs.append([i])
-        for run in runs:
-            # the words of a notice may run on to lines without a cue
-            spans = sorted({(run[0], min(len(lines) - 1, run[-1] + reach)) for reach in (0, 1, 2)})
-            whole = [(self.judge("\n".join(lines[a:b + 1])), a, b) for a, b in spans]
-            whole = [w for w in whole if w[0]]
-            if whole:
-                found, a, b = min(whole, key=lambda w: (w[0][2], w[2]))
-                yield found[0], a, b, found[1], found[2]
-                continue
-            for i in run:
-                found = self.judge(lines[i])
-                if found:
-                    yield found[0], i, i, found[1], found[2]
-
+                runs.append([found, last])
+        for (_, reduction, n, first, end, off), _ in runs:
+            yield self.templates[-n][0], line_of[first], line_of[end - 1], reduction, off
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, min_reduction: float = 0.15, max_differences: float = 0.1,
                   gap: int = 6, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, one row per notice: ``license``, ``first_line``, ``last_line``, ``reduction``,
     ``differences``.
 
-    ``templates`` are (name, wording) pairs, several per license if need be. A template is considered if it lowers the
-    compressed size of the block by ``min_reduction``, and confirmed if at most ``max_differences`` of its words are
-    missing, replaced or mixed with others; the fewest differences win, then the larger reduction. Cue lines at most
-    ``gap`` apart are tried as one block first, then one by one. Null, empty and unlicensed texts give no row; repeated
-    rows repeat their notices; columns named like a new one are replaced. Nothing is shuffled, so a notice on a third
-    of all documents makes no hot task.
+    ``templates`` are (name, wording) pairs, several per license if need be. A template is considered where it shares
+    a cue word with the text and if it lowers the compressed size of the words it would cover there by
+    ``min_reduction``, and confirmed if at most ``max_differences`` of its words are missing, replaced or mixed with
+    others. Line breaks and the text before and after do not matter. Of notices at most ``gap`` lines apart the one with
+    the most words in common less differences gives a row.
+    Null, empty and unlicensed texts give no row; repeated rows repeat their notices; columns named like a new one are
+    replaced. Nothing is shuffled, so a notice on a third of all documents makes no hot task.
     """
     new = (("license", "string"), ("first_line", "int"), ("last_line", "int"), ("reduction", "double"), ("differences", "int"))
     docs = without(docs, *[n for n, _ in new])

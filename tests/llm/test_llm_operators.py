@@ -102,6 +102,15 @@ def test_notice_inside_a_very_long_line():
     assert [(f[0], f[4]) for f in found] == [("MIT", 0)] and time.time() - start < 20
 
 
+@pytest.mark.parametrize("number", range(len(licenses.TEMPLATES)))
+def test_text_around_a_notice_does_not_hide_it(number, small_docs):
+    name, text = licenses.TEMPLATES[number]
+    prose = " ".join(" ".join(t.split()) for _, t, *_ in small_docs if t and not any(c.split()[0] in t.lower() for c in licenses.CUES))
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.15, 0.1, 6)
+    for size in (0, 145, 400, 1600, 9000):
+        assert [(f[0], f[4]) for f in scanner.scan(f"{prose[:size]} {text} {prose[-size:]}")] == [(name, 0)]
+
+
 def plain_notices(text):
     """The best template of each cue line by wording alone."""
     for n, line in enumerate((text or "").split("\n")):
