@@ -107,7 +107,7 @@ def differences(template: list[str], block: list[str]) -> int:
 
 
 class Scanner:
-    """Compressors for the templates, and the verdicts on blocks already seen."""
+    """Compressors for the templates, and the verdicts on blocks already seen. ``gap`` has no effect."""
 
     def __init__(self, templates, min_reduction: float, max_differences: float, gap: int):
         import zstandard
@@ -120,7 +120,7 @@ class Scanner:
         for n, (_, wording, _) in enumerate(self.templates):
             for cue, places in cue_places(wording).items():
                 self.places.setdefault(cue, []).extend((n, place) for place in places)
-        self.min_reduction, self.max_differences, self.gap, self.seen = min_reduction, max_differences, gap, {}
+        self.min_reduction, self.max_differences, self.seen = min_reduction, max_differences, {}
 
     def judge(self, n: int, block: list[str]):
         """(reduction, differences, first word, word after the last) if the block holds template ``n``, or None."""
@@ -171,14 +171,12 @@ class Scanner:
             own = words_of(line)
             words += own
             line_of += [i] * len(own)
-        runs = []
-        for found in sorted(self.candidates(words), key=lambda f: f[3:5]):
-            first, last = line_of[found[3]], line_of[found[4] - 1]
-            if runs and first - runs[-1][-1] <= self.gap:
-                runs[-1][0], runs[-1][1] = max(runs[-1][0], found), max(runs[-1][1], last)
-            else:
-                runs.append([found, last])
-        for (_, reduction, n, first, end, off), _ in runs:
+        taken, notices = bytearray(len(words)), []
+        for _, reduction, n, first, end, off in sorted(self.candidates(words), reverse=True):
+            if not any(taken[first:end]):
+                taken[first:end] = b"\1" * (end - first)
+                notices.append((first, end, n, reduction, off))
+        for first, end, n, reduction, off in sorted(notices):
             yield self.templates[-n][0], line_of[first], line_of[end - 1], reduction, off
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, min_reduction: float = 0.15, max_differences: float = 0.1,
@@ -189,8 +187,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, min_reduction: float = 0
     ``templates`` are (name, wording) pairs, several per license if need be. A template is considered where it shares
     a cue word with the text and if it lowers the compressed size of the words it would cover there by
     ``min_reduction``, and confirmed if at most ``max_differences`` of its words are missing, replaced or mixed with
-    others. Line breaks and the text before and after do not matter. Of notices at most ``gap`` lines apart the one with
-    the most words in common less differences gives a row.
+    others. Line breaks and the text before and after do not matter. Each notice gives a row; where confirmed templates overlap,
+    the one with the most words in common less differences is the notice. ``gap`` has no effect and is kept for callers.
     Null, empty and unlicensed texts give no row; repeated rows repeat their notices; columns named like a new one are
     replaced. Nothing is shuffled, so a notice on a third of all documents makes no hot task.
     """

@@ -111,6 +111,15 @@ def test_text_around_a_notice_does_not_hide_it(number, small_docs):
         assert [(f[0], f[4]) for f in scanner.scan(f"{prose[:size]} {text} {prose[-size:]}")] == [(name, 0)]
 
 
+def test_each_neighbouring_notice_gives_a_row():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.15, 0.1, 6)
+    pair = "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."
+    assert [(f[0], f[1], f[2], f[4]) for f in scanner.scan(pair)] == [("Apache-2.0", 0, 0, 0), ("MIT", 1, 1, 0)]
+    assert [f[0] for f in scanner.scan(pair.replace("\n", " "))] == ["Apache-2.0", "MIT"]
+    every = [(name, n, n, 0) for n, (name, _) in enumerate(licenses.TEMPLATES)]
+    assert [(*f[:3], f[4]) for f in scanner.scan("\n".join(t for _, t in licenses.TEMPLATES))] == every
+
+
 def plain_notices(text):
     """The best template of each cue line by wording alone."""
     for n, line in enumerate((text or "").split("\n")):
