@@ -56,7 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @keeps_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark item."""
+    """Drops the documents that hold a benchmark item or a long excerpt of one."""
     found = decontam.find_items(docs, read_table(spark, sf_dir, "benchmark"))
     return found.where(F.size("hits") == 0).select(*docs.columns)
 

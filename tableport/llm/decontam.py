@@ -3,7 +3,8 @@
 Word n-grams of the test items that are rare in the corpus are the seeds: among every few neighbouring n-grams of an
 item the one with the fewest occurrences is taken, so any run of ``n + window - 1`` words an edited copy keeps holds a
 seed, however common its item is. A seed joins a passage of a document to an item; Smith-Waterman alignment of the
-words around it with the item gives the score.
+words around it with the item gives the score. An excerpt too short for the score but long in itself is found by a second
+alignment in which an edited word costs as much as four kept ones give.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from .common import give_back, quoted, sub_batches, without
 
 N, WINDOW = 3, 3
 MATCH, MISMATCH, GAP = 2, -1, -1
+EDIT = -4                                                # of an excerpt; a kept word is 1
 _WORD = re.compile(r"\w+")
 
 
@@ -24,14 +26,14 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def local_alignment(item, passage) -> tuple[int, int]:
+def local_alignment(item, passage, match=MATCH, mismatch=MISMATCH, gap=GAP) -> tuple[int, int]:
     """Smith-Waterman over words: (best score, place in ``passage`` where it ends). Linear gaps; a row at a time, gaps
     along the row by a running maximum."""
-    steps = np.arange(1, len(passage) + 1) * -GAP
+    steps = np.arange(1, len(passage) + 1) * -gap
     row, best, end = np.zeros(len(passage), "i8"), 0, 0
     for word in item:
-        diagonal = np.concatenate(([0], row[:-1])) + np.where(passage == word, MATCH, MISMATCH)
-        cell = np.maximum(np.maximum(diagonal, row + GAP), 0)
+        diagonal = np.concatenate(([0], row[:-1])) + np.where(passage == word, match, mismatch)
+        cell = np.maximum(np.maximum(diagonal, row + gap), 0)
         row = np.maximum.accumulate(cell + steps) - steps
         at = int(row.argmax())
         if row[at] > best:
@@ -89,10 +91,11 @@ class Items:
         self.is_seed[list(self.seeds)] = True
         return self
 
-    def search(self, text: str | None, min_score: float):
+    def search(self, text: str | None, min_score: float, min_excerpt: int):
         """(item id, score from 0 to 1, number of the word where it ends) of the items found in a text."""
         words = self.numbered(text)
-        places, which = self.known_places(self.grams_of(words))
+        all_grams = self.grams_of(words)
+        places, which = self.known_places(all_grams)
         seeded = self.is_seed[which]
         windows = {}
         for place, gram in zip(places[seeded].tolist(), which[seeded].tolist()):
@@ -105,17 +108,34 @@ class Items:
                 else:
                     spans.append([begin, end])
         for item, spans in sorted(windows.items()):
-            own, best, at = self.words[item], 0, 0
+            own = self.words[item]
             least = min_score * MATCH * len(own)
-            for begin, end in spans:
-                passage = words[begin:end]
-                if MATCH * np.isin(own, passage).sum() < least:
-                    continue                             # too few of the item's words for that score
-                score, place = local_alignment(own, passage)
-                if score > best:
-                    best, at = score, begin + place
-            if best and best >= least - 1e-9:
-                yield self.ids[item], round(best / (MATCH * len(own)), 6), int(at)
+            # too few of the item's words in the others for that score
+            likely = [s for s in spans if MATCH * np.isin(own, words[s[0]:s[1]]).sum() >= least]
+            score, at = self.best_of(item, words, likely)
+            if score < least - 1e-9 or not score:
+                if not self.has_excerpt(item, words, all_grams, spans, min_excerpt):
+                    continue
+                score, at = self.best_of(item, words, spans)
+            yield self.ids[item], round(score / (MATCH * len(own)), 6), int(at)
+
+    def best_of(self, item: int, words, spans):
+        best, at = 0, 0
+        for begin, end in spans:
+            score, place = local_alignment(self.words[item], words[begin:end])
+            if score > best:
+                best, at = score, begin + place
+        return best, at
+
+    def has_excerpt(self, item: int, words, grams, spans, least: int) -> bool:
+        """Whether an alignment has ``least`` kept words more than ``-EDIT`` times its edited ones."""
+        for begin, end in spans:
+            # e edits leave at most e + 1 runs of least - EDIT * e words, each with N - 1 n-grams fewer than words
+            if np.isin(grams[begin:max(begin, end - N + 1)], self.grams[item]).sum() <= least - N:
+                continue
+            if local_alignment(self.words[item], words[begin:end], 1, EDIT, EDIT)[0] >= least:
+                return True
+        return False
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int):
@@ -152,11 +172,14 @@ def corpus_counts(docs: DataFrame, items: Items, text: str = "text"):
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, item_id: str = "item_id",
-               item_text: str = "text", text: str = "text", block_bytes: int = 4_000_000) -> DataFrame:
+               item_text: str = "text", text: str = "text", block_bytes: int = 4_000_000,
+               min_excerpt: int = 13) -> DataFrame:
     """``docs`` with ``hits``: array of (item_id, score, end_word) of the test items found in the text.
 
     The score is the alignment's share of the score of a full copy (2 a match, -1 a mismatch or a gap), so 1 is a
-    whole copy and 0.5 one with a third of its words replaced. Words are compared in lower case, without punctuation.
+    whole copy and 0.5 one with a third of its words replaced. An item is found if its score is ``min_score`` or more,
+    or if the text has an excerpt of it: an alignment whose kept words are ``min_excerpt`` more than four times its
+    edited ones (13 words as they are, 17 around an edited one), however small a share of the item that is. Words are compared in lower case, without punctuation.
     Only items of at least three words are looked for. Null and empty texts hold nothing; repeated rows get equal
     hits; repeated items count once; an empty table or benchmark gives no hits; a column named ``hits`` is replaced.
 
@@ -166,11 +189,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, it
     found = without(docs, "hits").withColumn("hits", F.array().cast("array<struct<item_id:bigint,score:double,end_word:bigint>>"))
     for items in item_blocks(benchmark, item_id, item_text, block_bytes):
         items.seed(corpus_counts(docs, items, text))
-        found = _search(found, items, text, min_score)
+        found = _search(found, items, text, min_score, min_excerpt)
     return found
 
 
-def _search(docs: DataFrame, items: Items, text: str, min_score: float) -> DataFrame:
+def _search(docs: DataFrame, items: Items, text: str, min_score: float, min_excerpt: int) -> DataFrame:
     schema = docs.schema
 
     def search(batches):
@@ -181,7 +204,7 @@ def _search(docs: DataFrame, items: Items, text: str, min_score: float) -> DataF
                 at = batch.schema.get_field_index("hits")
                 kind, hits = batch.schema.field(at).type, batch.column(at).to_pylist()
                 for own, value in zip(hits, batch.column(text).to_pylist()):
-                    own += [{"item_id": i, "score": s, "end_word": e} for i, s, e in items.search(value, min_score)]
+                    own += [{"item_id": i, "score": s, "end_word": e} for i, s, e in items.search(value, min_score, min_excerpt)]
                 columns = [c if k != at else pa.array(hits, kind) for k, c in enumerate(batch.columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
         give_back()

@@ -468,6 +468,20 @@ def test_items_against_every_alignment(spark):
         assert score == round(brute.smith_waterman(dict(items)[i], docs[d][1]) / (2 * len(dict(items)[i])), 6)
 
 
+def test_long_excerpt_of_a_longer_item(spark):
+    item = [f"w{i}" for i in range(56)]
+    around = [f"own{i}" for i in range(40)]
+    edited = item[5:23]
+    edited[8] = "other"
+    texts = [around + item[10:35] + around, around + item[20:33] + around, around + edited + around,
+             around + item[20:32] + around, around + item[::2] + around]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = decontam.find_items(docs, bench).select("doc_id", F.inline("hits"))
+    want = [(d, 7, round(brute.smith_waterman(item, texts[d]) / 112, 6)) for d in (0, 1, 2)]
+    assert sorted(rows(found, "doc_id", "item_id", "score")) == want and all(w[2] < 0.5 for w in want)
+
+
 def test_items_in_odd_tables(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, "the same words in this row")], "item_id long, text string")
     found = decontam.find_items(odd_docs, bench)
