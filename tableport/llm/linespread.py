@@ -44,14 +44,15 @@ def spread_lines(docs: DataFrame, min_sites: int, text: str = "text", site: str
     return materialize(clear.select("hash").union(exact.where(F.col("sites") >= min_sites).select("hash")), "line-spread")
 
 
-def mark_boilerplate(docs: DataFrame, min_sites: int = 10, max_share: float = 0.2, doc_id: str = "doc_id",
+def mark_boilerplate(docs: DataFrame, min_sites: int = 10, max_share: float | None = 0.2, doc_id: str = "doc_id",
                      text: str = "text", site: str = "source") -> DataFrame:
     """``docs`` with ``n_lines`` (with something in them), ``n_spread`` (boilerplate among them), ``removed`` (places).
 
     A line is boilerplate if it is found on at least ``min_sites`` sites. It is removed from a document unless such
     lines make up more than ``max_share`` of the document's characters: then the document as a whole is a copy that
-    many sites hold, which is the near-duplicate operator's business, and it is left as it is. ``removed`` is null or
-    the places of the lines that go. A null or empty text has no lines; rows repeated with one id and text are
+    many sites hold, which is the near-duplicate operator's business, and it is left as it is. That keeps boilerplate
+    in short documents with lines of their own; with ``max_share`` None only a document that has no other lines is
+    left as it is, and boilerplate goes from all others. ``removed`` is null or the places of the lines that go. A null or empty text has no lines; rows repeated with one id and text are
     treated alike; columns named like a new one are replaced.
 
     A line on very many pages is one sketch per task before the shuffle; the join of the lines with the boilerplate
@@ -70,7 +71,10 @@ def mark_boilerplate(docs: DataFrame, min_sites: int = 10, max_share: float = 0.
     joined = keyed.join(
         by_doc, keyed[quoted(doc_id)].eqNullSafe(by_doc["own_id"]) & (keyed["_op_md5"] == by_doc["own_md5"]), "left")
     lines = F.filter(F.split(F.col(quoted(text)), "\n"), lambda x: line_text(x) != "")
-    small = F.col("chars") <= max_share * F.char_length(F.col(quoted(text)))
+    if max_share is None:
+        small = F.size("places") < F.size(lines)
+    else:
+        small = F.col("chars") <= max_share * F.char_length(F.col(quoted(text)))
     return joined.select(
         *[F.col(quoted(c)) for c in docs.columns], F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("places"), F.lit(0)).alias("n_spread"), F.when(small, F.col("places")).alias("removed"))

@@ -350,6 +350,15 @@ def test_lines_against_plain_counts(spark):
     assert any(got[d] != t for d, t, _ in data) and all(got[d] == t for d, t, _ in data if d >= 1000)
 
 
+def test_only_whole_copies_keep_their_lines(spark):
+    copy = "the notice line of many sites\n\nand another line of them"
+    data = [(i, f"the notice line of many sites\nown {i}", f"s{i}") for i in range(12)]
+    data += [(100 + i, copy, f"s{i}") for i in range(12)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = dict(rows(linespread.remove_boilerplate(docs, max_share=None), "doc_id", "text"))
+    assert got == {i: f"own {i}" for i in range(12)} | {100 + i: copy for i in range(12)}
+
+
 def test_lines_of_odd_tables(odd_docs, no_docs):
     assert linespread.remove_boilerplate(no_docs).count() == 0
     got = linespread.remove_boilerplate(odd_docs, min_sites=1, max_share=1.0)
