@@ -2,7 +2,8 @@
 
 Word n-grams of the test items that are rare in the corpus are the seeds: among every few neighbouring n-grams of an
 item the one with the fewest occurrences is taken, so any run of ``n + window - 1`` words an edited copy keeps holds a
-seed, however common its item is. A seed joins a passage of a document to an item; Smith-Waterman alignment of the
+seed, however common its item is. So does any n-gram that few items share, and any three of four neighbouring words that
+few items share, for copies whose kept runs are shorter. A seed joins a passage of a document to an item; Smith-Waterman alignment of the
 words around it with the item gives the score. An excerpt too short for the score but long in itself is found by a second
 alignment in which an edited word costs as much as four kept ones give.
 """
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import give_back, quoted, sub_batches, without
 
 N, WINDOW = 3, 3
+SHAPES = ((0, 1, 2), (0, 1, 3), (0, 2, 3))               # words of an n-gram, and of four words without one
+FEW = 16                                                 # items that may share a seed which is not the rarest around
 MATCH, MISMATCH, GAP = 2, -1, -1
 EDIT = -4                                                # of an excerpt; a kept word is 1
 _WORD = re.compile(r"\w+")
@@ -41,6 +44,32 @@ def local_alignment(item, passage, match=MATCH, mismatch=MISMATCH, gap=GAP) -> t
     return best, end
 
 
+def _matches(known, grams):
+    """Where ``grams`` holds one of ``known``, and which one."""
+    if not len(known):
+        return np.zeros(0, "i8"), np.zeros(0, "i8")
+    candidates = np.flatnonzero(grams >= 0)
+    at = np.searchsorted(known, grams[candidates])
+    hit = known[np.minimum(at, len(known) - 1)] == grams[candidates]
+    return candidates[hit], at[hit]
+
+
+def _seed_table(grams, rarest=None):
+    """Seeds as (n-grams, start of each one's holders, items, places): those in few items, and the ``rarest`` places."""
+    items = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    places = np.concatenate([np.zeros(0, "i8"), *[np.arange(len(g)) for g in grams]]).astype("i8")
+    flat = np.concatenate([np.zeros(0, "i8"), *grams])
+    _, number = np.unique(flat, return_inverse=True)
+    holders = np.bincount(np.unique(np.stack((number, items)), axis=1)[0]) if len(flat) else np.zeros(0, "i8")
+    keep = holders[number] <= FEW
+    if rarest is not None:
+        keep |= np.array([p in rarest[i] for i, p in zip(items.tolist(), places.tolist())], bool)
+    flat, items, places = flat[keep], items[keep], places[keep]
+    order = np.argsort(flat, kind="stable")
+    seeds, starts = np.unique(flat[order], return_index=True)
+    return seeds, np.append(starts, len(flat)), items[order], places[order]
+
+
 class Items:
     """A block of test items with their words as numbers and their n-grams as one number each."""
 
@@ -49,17 +78,19 @@ class Items:
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
         self.words = [np.array([self.vocabulary[w] for w in t], "i8") for t in texts]
         self.base = len(self.vocabulary) + 1
+        self.flags = np.zeros(self.base, bool)
         if self.base ** N >= 1 << 62:
             raise ValueError("too many different words in one block of items")
         self.grams = [self.grams_of(w) for w in self.words]
         self.known = np.unique(np.concatenate([np.zeros(0, "i8"), *self.grams]))
 
-    def grams_of(self, words):
-        if len(words) < N:
+    def grams_of(self, words, shape=SHAPES[0]):
+        size = len(words) - shape[-1]
+        if size < 1:
             return np.zeros(0, "i8")
-        out = np.zeros(len(words) - N + 1, "i8")
-        for i in range(N):
-            part = words[i:len(words) - N + 1 + i]
+        out = np.zeros(size, "i8")
+        for i in shape:
+            part = words[i:size + i]
             out = np.where((part < 0) | (out < 0), -1, out * self.base + part)
         return out
 
@@ -69,56 +100,61 @@ class Items:
 
     def known_places(self, grams):
         """Where ``grams`` holds an n-gram of an item, and which one."""
-        if not len(self.known):
-            return np.zeros(0, "i8"), np.zeros(0, "i8")
-        candidates = np.flatnonzero(grams >= 0)
-        at = np.searchsorted(self.known, grams[candidates])
-        hit = self.known[np.minimum(at, len(self.known) - 1)] == grams[candidates]
-        return candidates[hit], at[hit]
+        return _matches(self.known, grams)
 
     def seed(self, counts):
         """Seeds from the corpus counts of ``known``: {index of the n-gram: [(item, place in it)]}."""
-        self.seeds = {}
+        rarest = []
         for item, grams in enumerate(self.grams):
-            at = np.searchsorted(self.known, grams)
-            chosen = set()
+            at, chosen = np.searchsorted(self.known, grams), set()
             for start in range(max(1, len(at) - WINDOW + 1) if len(at) else 0):
                 near = range(start, min(start + WINDOW, len(at)))
                 chosen.add(min(near, key=lambda p: (counts[at[p]], at[p], p)))
-            for place in sorted(chosen):
-                self.seeds.setdefault(int(at[place]), []).append((item, place))
-        self.is_seed = np.zeros(len(self.known), bool)
-        self.is_seed[list(self.seeds)] = True
+            rarest.append(chosen)
+        skipping = [[self.grams_of(w, shape) for w in self.words] for shape in SHAPES[1:]]
+        self.tables = [_seed_table(self.grams, rarest), *map(_seed_table, skipping)]
         return self
 
     def search(self, text: str | None, min_score: float, min_excerpt: int):
         """(item id, score from 0 to 1, number of the word where it ends) of the items found in a text."""
         words = self.numbered(text)
-        all_grams = self.grams_of(words)
-        places, which = self.known_places(all_grams)
-        seeded = self.is_seed[which]
-        windows = {}
-        for place, gram in zip(places[seeded].tolist(), which[seeded].tolist()):
-            for item, own in self.seeds[gram]:
-                size = len(self.words[item])
-                begin, end = max(0, place - own - size), min(len(words), place - own + 2 * size)
-                spans = windows.setdefault(item, [])
-                if spans and begin <= spans[-1][1]:
-                    spans[-1][1] = max(end, spans[-1][1])
-                else:
-                    spans.append([begin, end])
+        all_grams, seeded = self.grams_of(words), []
+        for shape, (grams, starts, items, owns) in zip(SHAPES, self.tables):
+            there = all_grams if shape is SHAPES[0] else self.grams_of(words, shape)
+            places, which = _matches(grams, there)
+            many = starts[which + 1] - starts[which]
+            at = np.repeat(starts[which] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            seeded.append((items[at], np.repeat(places, many), owns[at]))
+        items, places, owns = (np.concatenate(column) for column in zip(*seeded))
+        order, windows = np.lexsort((owns, places, items)), {}
+        for item, place, own in zip(items[order].tolist(), places[order].tolist(), owns[order].tolist()):
+            size = len(self.words[item])
+            begin, end = max(0, place - own - size), min(len(words), place - own + 2 * size)
+            spans = windows.setdefault(item, [])
+            if spans and begin <= spans[-1][1]:
+                spans[-1][:] = min(begin, spans[-1][0]), max(end, spans[-1][1])
+            else:
+                spans.append([begin, end])
         for item, spans in sorted(windows.items()):
             own = self.words[item]
             least = min_score * MATCH * len(own)
-            # too few of the item's words in the others for that score
-            likely = [s for s in spans if MATCH * np.isin(own, words[s[0]:s[1]]).sum() >= least]
-            score, at = self.best_of(item, words, likely)
+            # too few of the item's words in the others for that score, or for that excerpt
+            common = [self.common(own, words[begin:end]) for begin, end in spans]
+            score, at = self.best_of(item, words, [s for s, n in zip(spans, common) if MATCH * n >= least])
             if score < least - 1e-9 or not score:
-                if not self.has_excerpt(item, words, all_grams, spans, min_excerpt):
+                long = [s for s, n in zip(spans, common) if n >= min_excerpt]
+                if not self.has_excerpt(item, words, all_grams, long, min_excerpt):
                     continue
                 score, at = self.best_of(item, words, spans)
             yield self.ids[item], round(score / (MATCH * len(own)), 6), int(at)
 
+    def common(self, own, passage) -> int:
+        """Words of an item that are somewhere in the passage."""
+        self.flags[passage] = True                       # an unknown word, -1, flags the last place, which no word has
+        count = np.count_nonzero(self.flags[own])
+        self.flags[passage] = False
+        return count
+
     def best_of(self, item: int, words, spans):
         best, at = 0, 0
         for begin, end in spans:
@@ -177,7 +213,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5, it
     """``docs`` with ``hits``: array of (item_id, score, end_word) of the test items found in the text.
 
     The score is the alignment's share of the score of a full copy (2 a match, -1 a mismatch or a gap), so 1 is a
-    whole copy and 0.5 one with a third of its words replaced. An item is found if its score is ``min_score`` or more,
+    whole copy and 0.5 one with a third of its words replaced. A copy is looked at if it has a seed: five kept words in a
+    row, or three of four neighbouring words that at most ``FEW`` items share. With a third of its words replaced or
+    fewer, and none put in or left out, a copy of seven or more words has three of four; with words put in between
+    every two or so, a copy of the same score may have none and is not found. An item is found if its score is ``min_score`` or more,
     or if the text has an excerpt of it: an alignment whose kept words are ``min_excerpt`` more than four times its
     edited ones (13 words as they are, 17 around an edited one), however small a share of the item that is. Words are compared in lower case, without punctuation.
     Only items of at least three words are looked for. Null and empty texts hold nothing; repeated rows get equal

@@ -477,6 +477,18 @@ def test_items_against_every_alignment(spark):
         assert score == round(brute.smith_waterman(dict(items)[i], docs[d][1]) / (2 * len(dict(items)[i])), 6)
 
 
+@pytest.mark.parametrize("step", (3, 4))
+def test_copy_with_each_nth_word_replaced(spark, step):
+    random.seed(13)
+    items = [[f"w{random.randint(0, 900)}" for _ in range(7 + i)] for i in range(40)]
+    texts = [" ".join(f"new{n}" if n % step == step - 1 else w for n, w in enumerate(item)) for item in items]
+    docs = spark.createDataFrame([(i, f"before it {t} after it") for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    found = rows(decontam.find_items(docs, bench).select("doc_id", F.inline("hits")), "doc_id", "item_id", "score")
+    high = {i: brute.smith_waterman(t, texts[i].split()) / (2 * len(t)) for i, t in enumerate(items)}
+    assert {(d, i) for d, i, _ in found} == {(i, i) for i, s in high.items() if s >= 0.5} and len(found) >= 30
+
+
 def test_long_excerpt_of_a_longer_item(spark):
     item = [f"w{i}" for i in range(56)]
     around = [f"own{i}" for i in range(40)]
