@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import small_frame
 from ..sources.tables import read_table
-from . import decontam, langid, licenses, linespread, maxscore, ordermin, pieces, sharding, urlrules, warc
+from . import decontam, langid, licenses, linespread, maxscore, ordermin, pieces, sharding, substrings, urlrules, warc
 
 SHARD_BYTES = 1 << 20
 
@@ -78,6 +78,12 @@ def op10_decontamination(spark, sf_dir):
     return found.select("doc_id", F.inline("hits"))
 
 
+def op11_substring_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substrings.remove_repeats(docs, window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_licenses": op2_licenses,
@@ -89,6 +95,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_decontamination": op10_decontamination,
+    "op11_substring_dedup": op11_substring_dedup,
 }
 
 ORACLES = {
@@ -149,4 +156,17 @@ ORACLES = {
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op11_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        w AS (SELECT doc_id, unnest(list_transform(range(1, len(words) - 48), lambda i: md5(array_to_string(words[i:i + 49], ' ')))) AS code,
+                     unnest(range(1, len(words) - 48)) AS pos FROM d),
+        f AS (SELECT code, min(doc_id) AS least FROM w GROUP BY code HAVING min(doc_id) < max(doc_id)),
+        h AS (SELECT doc_id, list(pos) AS hits FROM w JOIN f USING (code) WHERE least < doc_id GROUP BY doc_id),
+        g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM (SELECT doc_id, unnest(hits) AS pos FROM h)),
+        t AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d),
+        k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+              FROM t ANTI JOIN g USING (doc_id, pos) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
 }
