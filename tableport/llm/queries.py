@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import small_frame
 from ..sources.tables import read_table
-from . import decontam, langid, licenses, linespread, maxscore, ordermin, pieces, sharding, substrings, urlrules, warc
+from . import decontam, langid, licenses, linespread, maxscore, ordermin, phrases, pieces, sharding, substrings, urlrules, warc
 
 SHARD_BYTES = 1 << 20
 
@@ -84,6 +84,11 @@ def op11_substring_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_collocations(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.collocations(docs, min_count=100, longest=5, top=2000)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_licenses": op2_licenses,
@@ -96,6 +101,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_decontamination": op10_decontamination,
     "op11_substring_dedup": op11_substring_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -169,4 +175,24 @@ ORACLES = {
         SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)
     """,
+    "op13_collocations": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+        t AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+        o AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS w
+              FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+        g AS (SELECT lang, k, w, count(*) AS f FROM o GROUP BY ALL HAVING count(*) >= 100),
+        c AS (SELECT x.lang, x.k, x.w, x.f AS a, t.n, j, l.f AS l, r.f AS r,
+                     (1000::HUGEINT * x.f * t.n) // (l.f::HUGEINT * r.f) AS score
+              FROM g AS x JOIN t ON t.lang = x.lang, (SELECT unnest(range(1, 5)) AS j), g AS l, g AS r
+              WHERE j < x.k AND l.lang = x.lang AND l.w = x.w[1:j] AND r.lang = x.lang AND r.w = x.w[j + 1:]),
+        b AS (SELECT lang, k, w, any_value(a) AS a, any_value(n) AS n, arg_min(l, (score, j)) AS l, arg_min(r, (score, j)) AS r,
+                     min(score) AS score FROM c GROUP BY lang, k, w),
+        kept AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM g AS y WHERE y.lang = b.lang AND y.f >= b.a AND y.k = b.k + 1
+                     AND (y.w[1:b.k] = b.w OR y.w[2:] = b.w))),
+        s AS (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM kept)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM s QUALIFY rank <= 2000
+    """,
 }
