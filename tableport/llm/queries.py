@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import small_frame
 from ..sources.tables import read_table
-from . import decontam, langid, licenses, linespread, maxscore, ordermin, phrases, pieces, sharding, substrings, urlrules, warc
+from . import alignment, decontam, langid, licenses, linespread, maxscore, ordermin, phrases, pieces, sharding, substrings, urlrules, warc
 
 SHARD_BYTES = 1 << 20
 
@@ -84,6 +84,16 @@ def op11_substring_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align_texts(docs, alignment.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json")), piece_model())
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    scored = alignment.score_links(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "links"))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_collocations(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("lang", "text")
     return phrases.collocations(docs, min_count=100, longest=5, top=2000)
@@ -101,6 +111,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_decontamination": op10_decontamination,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_token_alignment": op12_token_alignment,
     "op13_collocations": op13_collocations,
 }
 

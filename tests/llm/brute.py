@@ -75,3 +75,81 @@ def without_boilerplate(rows, min_sites=10, max_share=0.2):
         size = sum(len(line.strip(" \t\r")) for line, g in zip(lines, gone) if g)
         out.append("\n".join(line for line, g in zip(lines, gone) if not g) if size and size <= max_share * len(text) else text)
     return out
+
+
+def without_repeats(rows, window):
+    """[(words, kept words)] of (id, text) rows: windows that start in a row with a smaller id lose their words."""
+    split = [re.findall("[^\x20\x09-\x0D]+", text or "") for _, text in rows]
+    least = {}
+    for (own, _), words in zip(rows, split):
+        for i in range(len(words) - window + 1):
+            gram = tuple(words[i:i + window])
+            if own is not None and own <= least.get(gram, own):
+                least[gram] = own
+    out = []
+    for (own, _), words in zip(rows, split):
+        gone = set()
+        for i in range(len(words) - window + 1):
+            if own is not None and least[tuple(words[i:i + window])] < own:
+                gone |= set(range(i, i + window))
+        out.append((words, [w for i, w in enumerate(words) if i not in gone]))
+    return out
+
+
+def collocations(rows, min_count, longest, top):
+    """(lang, rank, phrase, a, l, r, n, score) of (text, lang) rows, by the definition."""
+    counts, total = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0A-\x0D]", lower):
+            words = re.findall("[^\x20\x09]+", piece)
+            total[lang or ("und" if lang is None else lang)] += len(words)
+            for k in range(1, longest + 1):
+                counts["und" if lang is None else lang].update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        n, found = total[lang], []
+        candidates = {p: a for p, a in f.items() if len(p) >= 2 and a >= min_count}
+        for p, a in candidates.items():
+            inside = any(len(q) > len(p) and b >= a and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))
+                         for q, b in candidates.items())
+            if not inside:
+                score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                found.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return out
+
+
+def alignment(rows, a, b, a_bytes, b_bytes):
+    """{id: (A ids, B ids, groups, links)} of (id, text) rows, walking along both token lists."""
+    out = {}
+    for own, text in rows:
+        out[own] = ([], [], "", [])
+        if not text:
+            continue
+        first, second = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        whole = (" " + text).encode()
+        if b"".join(a_bytes[i] for i in first) != whole or b"".join(b_bytes[i] for i in second) != whole:
+            continue
+        i = j = 0
+        a_end, b_end = len(a_bytes[first[0]]), len(b_bytes[second[0]])
+        links, groups, parts = [], [], ([first[0]], [second[0]])
+        while True:
+            links.append((first[i], second[j]))
+            if a_end == b_end:
+                groups.append("|".join(",".join(map(str, p)) for p in parts))
+                parts = ([], [])
+                if a_end == len(whole):
+                    break
+            go_a, go_b = a_end <= b_end, b_end <= a_end
+            if go_a:
+                i += 1
+                a_end += len(a_bytes[first[i]])
+                parts[0].append(first[i])
+            if go_b:
+                j += 1
+                b_end += len(b_bytes[second[j]])
+                parts[1].append(second[j])
+        out[own] = (first, second, ";".join(groups), links)
+    return out

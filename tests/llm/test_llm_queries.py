@@ -28,9 +28,9 @@ def duck():
     return con
 
 
-def test_ten_operators_and_the_pipeline():
+def test_all_operators_and_the_pipeline():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in contract.queries()
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
