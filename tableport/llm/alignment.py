@@ -94,83 +94,116 @@ class Pair:
 
 
 class AlignedChunks:
-    """Alignments of the distinct chunks met; starts anew when it grows too large, which costs time only."""
+    """Alignments of the distinct chunks met. When it grows too large, chunks met once go; that costs time only."""
+
+    def __init__(self, pair: Pair, max_chunks: int = 150_000, max_chars: int = 4_000_000):
+        import numpy as np
 
-    def __init__(self, pair: Pair, max_chunks: int = 250_000, max_chars: int = 8_000_000):
         self.pair, self.max_chunks, self.max_chars = pair, max_chunks, max_chars
+        # each id as text with what follows it: nothing, another one of its tokenizer, the other side, the next group
+        self.a_text, self.b_text = (
+            [np.array([f"{i}{sign}" for i in range(len(ids))], object) for sign in signs]
+            for ids, signs in ((pair.a_bytes, ",|"), (pair.b_bytes, (",", ";", ""))))
         self.clear()
 
     def clear(self):
-        self.codes, self.chars, self.groups = {}, 0, []
-        self.counts, self.first, self.links = array("q"), array("q", [0]), array("q")
+        self.codes, self.chars, self.groups, self.odd = {}, 0, [], set()
+        self.counts, self.first, self.links, self.met = array("q"), array("q", [0]), array("q"), array("q")
 
     def full(self) -> bool:
         return len(self.codes) > self.max_chunks or self.chars > self.max_chars
 
-    def _put(self, chunks: list[str], found) -> None:
+    def trim(self) -> None:
+        """Keeps the chunks met most often, half of the table at most."""
+        import numpy as np
+
+        met, times, chunks = np.frombuffer(self.met, "i8"), 2, list(self.codes)
+        sizes = np.fromiter(map(len, chunks), "i8", len(chunks))
+        while np.count_nonzero(met >= times) > self.max_chunks // 2 or sizes[met >= times].sum() > self.max_chars // 2:
+            times *= 2
+        kept = np.flatnonzero(met >= times)
+        counts, first = np.frombuffer(self.counts, "i8").reshape(-1, 4)[kept], np.frombuffer(self.first, "i8")[kept]
+        n = counts[:, 3]
+        links = np.frombuffer(self.links, "i8")[np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)]
+        groups, odd = [self.groups[i] for i in kept], [i for i, k in enumerate(kept) if int(k) in self.odd]
+        self.clear()
+        self.codes = {chunks[k]: i for i, k in enumerate(kept)}
+        self.chars, self.groups, self.odd = int(sizes[kept].sum()), groups, set(odd)
+        self.counts.frombytes(counts.tobytes())
+        self.first.frombytes(np.cumsum(n).astype("i8").tobytes())
+        self.links.frombytes(links.tobytes())
+        self.met.frombytes(np.ones(len(kept), "i8").tobytes())
+
+    def _put(self, chunks: list[str], stops, found) -> None:
         """Adds chunks from the token ends over all of them, joined by single spaces; None for one that differs."""
         import numpy as np
 
+        for chunk in chunks:
+            self.codes[chunk] = len(self.codes)
+            self.chars += len(chunk)
+        self.met.extend([0] * len(chunks))
         if found is None:
-            for _ in chunks:
-                self.counts.extend((-1, 0, 0, 0))
-                self.first.append(len(self.links))
-                self.groups.append("")
+            self.odd.add(len(self.groups))
+            self.counts.extend((0, 0, 0, 0))
+            self.first.append(len(self.links))
+            self.groups.append("")
             return
         a_ids, a_ends, b_ids, b_ends = found
-        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        parts = np.union1d(a_ends, b_ends)               # each part lies in one A and one B token: a link
+        both = np.sort(np.concatenate((a_ends, b_ends)), kind="stable")
+        again = both[1:] == both[:-1]
+        cuts = both[1:][again]                           # where tokens of both end
+        parts = both[np.append(True, ~again)]            # each part lies in one A and one B token: a link
         links = (a_ids[np.searchsorted(a_ends, parts)] << 32) | b_ids[np.searchsorted(b_ends, parts)]
-        stops = np.cumsum([1 + len(c.encode()) for c in chunks])
         upto = [np.searchsorted(x, stops, "right") for x in (a_ends, b_ends, cuts, parts)]
-        a_to, b_to = (np.searchsorted(x, cuts, "right").tolist() for x in (a_ends, b_ends))
-        a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        groups, a, b = [], 0, 0
-        for a_end, b_end in zip(a_to, b_to):
-            groups.append(",".join(a_text[a:a_end]) + "|" + ",".join(b_text[b:b_end]))
-            a, b = a_end, b_end
-        g = 0
-        for end in upto[2].tolist():
-            self.groups.append(";".join(groups[g:end]))
-            g = end
+        a_to, b_to = (np.searchsorted(x, cuts, "right") for x in (a_ends, b_ends))
+        a_out, b_out = self.a_text[0][a_ids], self.b_text[0][b_ids]
+        a_out[a_to - 1], b_out[b_to - 1] = self.a_text[1][a_ids[a_to - 1]], self.b_text[1][b_ids[b_to - 1]]
+        b_out[upto[1] - 1] = self.b_text[2][b_ids[upto[1] - 1]]
+        # tokens in the order of groups, those of A first
+        order = np.argsort(np.concatenate((np.searchsorted(cuts, a_ends) * 2, np.searchsorted(cuts, b_ends) * 2 + 1)), kind="stable")
+        written, start = np.concatenate((a_out, b_out))[order].tolist(), 0
+        for stop in (upto[0] + upto[1]).tolist():
+            self.groups.append("".join(written[start:stop]))
+            start = stop
         self.counts.frombytes(np.diff(np.stack(upto, 1), axis=0, prepend=0).astype("i8").tobytes())
         self.first.frombytes((len(self.links) + upto[3]).astype("i8").tobytes())
         self.links.frombytes(links.tobytes())
 
-    def add(self, chunks: list[str]) -> None:
+    def add(self, chunks) -> None:
         """Chunks that begin and end with other characters than white space are encoded together, the rest alone."""
         import numpy as np
 
-        plain = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace() and MARK not in c]
-        others = [c for c in chunks if not (c and not c[0].isspace() and not c[-1].isspace() and MARK not in c)]
-        for chunk in [*plain, *others]:
-            self.codes[chunk] = len(self.codes)
-            self.chars += len(chunk)
+        plain, others = [], []
+        for chunk in chunks:
+            (plain if chunk.strip() == chunk != "" and MARK not in chunk else others).append(chunk)
         for lo in range(0, len(plain), 5_000):
             some = plain[lo:lo + 5_000]
             found = self.pair.ends(" ".join(some))
-            stops = np.cumsum([1 + len(c.encode()) for c in some])
-            if found is not None and all(np.isin(stops, ends).all() for ends in (found[1], found[3])):
-                self._put(some, found)
+            stops = np.cumsum(np.fromiter(map(len, map(str.encode, some)), "i8", len(some)) + 1)
+            if found is not None and all((ends[np.searchsorted(ends, stops)] == stops).all() for ends in (found[1], found[3])):
+                self._put(some, stops, found)
             else:
-                for chunk in some:
-                    self._put([chunk], self.pair.ends(chunk))
+                others += some
         for chunk in others:
-            self._put([chunk], self.pair.ends(chunk))
+            self._put([chunk], np.array([len(chunk.encode()) + 1]), self.pair.ends(chunk))
 
     def code(self, texts: list[str]) -> list[list[int]]:
         """The chunk numbers of each text; none for an empty text and one whose tokens do not give its bytes."""
+        import numpy as np
+
         split = [_CUT.split(t) if t else [] for t in texts]
-        codes = self.codes
-        new = dict.fromkeys(c for chunks in split for c in chunks if c not in codes)
-        self.add(list(new))
-        rows = [[codes[c] for c in chunks] for chunks in split]
-        for i, row in enumerate(rows):
-            if any(self.counts[4 * c] < 0 for c in row):
-                if texts[i] not in codes:
-                    self.add([texts[i]])
-                own = codes[texts[i]]
-                rows[i] = [own] if self.counts[4 * own] >= 0 else []
+        new, codes = set(), self.codes
+        for chunks in split:
+            new.update(set(chunks).difference(codes))
+        self.add(new)
+        rows = [list(map(codes.__getitem__, chunks)) for chunks in split]
+        if self.odd:
+            for i, row in enumerate(rows):
+                if not self.odd.isdisjoint(row):
+                    if texts[i] not in codes:
+                        self.add([texts[i]])
+                    rows[i] = [] if codes[texts[i]] in self.odd else [codes[texts[i]]]
+        np.add.at(np.frombuffer(self.met, "i8"), [c for row in rows for c in row], 1)
         return rows
 
 
@@ -198,7 +231,7 @@ def align_texts(docs: DataFrame, a_json: str, b_model: bytes, text: str = "text"
         for whole in batches:
             for batch in sub_batches(whole, text, batch_bytes):
                 if table.full():
-                    table.clear()
+                    table.trim()
                 rows = table.code([t or "" for t in batch.column(text).to_pylist()])
                 sizes = np.array([len(r) for r in rows], "i8")
                 flat = np.fromiter((c for row in rows for c in row), "i8", int(sizes.sum()))
@@ -214,7 +247,7 @@ def align_texts(docs: DataFrame, a_json: str, b_model: bytes, text: str = "text"
                     [*batch.columns, *[pa.array(totals[:, i]) for i in range(4)], pa.array(groups, pa.string()),
                      pa.ListArray.from_arrays(pa.array(sums[:, 3].astype("i4")), pa.array(links))],
                     names=[f.name for f in schema])
-                del counts, first, links, places, rows, groups, batch
+                del counts, sums, totals, first, n, links, places, rows, flat, groups, batch
             del whole
             give_back()
 
