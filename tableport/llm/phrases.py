@@ -162,7 +162,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, te
         F.monotonically_increasing_id().alias("id"), "lang", F.array("word").alias("words"), "f",
         F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("p"), none.alias("s"))
     levels = [materialize(singles, "phrases")]
-    names = levels[0].select("id", "lang", F.col("words")[0].alias("word"))
+    # a narrow table, so that Spark sees how small it is and sends it to the occurrences while it can
+    names = materialize(levels[0].select("id", "lang", F.col("words")[0].alias("word")), "frequent-words")
     relation = _relation(first.join(names, ["lang", "word"]).select("block", "id", "places"), "occurrences")
     for length in range(2, longest + 1):
         groups = _extended(relation, False).groupBy("p", "s").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
@@ -174,7 +175,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, te
             F.array_append("heads", F.col("f")).alias("heads"), F.array_append("tails", F.col("f")).alias("tails"), "p", "s")
         levels.append(materialize(longer, "phrases"))
         if length < longest:
-            kept = _extended(relation, True).join(levels[-1].select("p", "s", "id"), ["p", "s"])
+            pairs = materialize(levels[-1].select("p", "s", "id"), "frequent-pairs")
+            kept = _extended(relation, True).join(pairs, ["p", "s"])
             relation = _relation(kept.select("block", "id", "places"), "occurrences")
     return levels, totals
 
