@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.names import fresh
 from ..session import materialize
-from .common import give_back, quoted, sub_batches, with_fields, without
+from .common import give_back, quoted, sub_batches, with_fields, without, written
 from .pieces import MARK, chunkable
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -96,7 +96,7 @@ class Pair:
 class AlignedChunks:
     """Alignments of the distinct chunks met. When it grows too large, chunks met once go; that costs time only."""
 
-    def __init__(self, pair: Pair, max_chunks: int = 150_000, max_chars: int = 4_000_000):
+    def __init__(self, pair: Pair, max_chunks: int = 300_000, max_chars: int = 6_000_000):
         import numpy as np
 
         self.pair, self.max_chunks, self.max_chars = pair, max_chunks, max_chars
@@ -284,7 +284,7 @@ def score_links(aligned: DataFrame, max_broadcast: int = 1 << 20) -> DataFrame:
     spark = aligned.sparkSession
     aligned = without(aligned, "n_best", "count_sum")
     row, best, total, rare = fresh(aligned.columns, "_row", "_best", "_total", "_rare")
-    aligned = materialize(aligned.withColumn(row, F.monotonically_increasing_id()), "aligned")
+    aligned = written(aligned.withColumn(row, F.monotonically_increasing_id()), "aligned")
     counts = link_counts(aligned)
     level = F.floor(F.log2("n") * 8)
     held, least = 0, None

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import scratch_path
+
 
 def quoted(name: str) -> str:
     """A column name as an expression, whatever characters it holds."""
@@ -64,3 +66,10 @@ def sub_batches(batch, column: str, max_bytes: int):
         held += size
     if len(sizes) > start:
         yield batch.slice(start)
+
+
+def written(df: DataFrame, name: str, group_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` written to the shared folder and read again, in row groups small enough for long arrays in many tasks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("parquet.block.size", group_bytes).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
