@@ -1,18 +1,20 @@
 """Phrase collocations by set-oriented mining (SETM).
 
-Occurrences are a persisted relation, sorted by place within blocks of documents. A relation of frequent phrases is
-merge-joined with itself at the next place, which makes the phrases one word longer whose both ends are frequent; these
-are counted by group, and only occurrences of frequent groups (a semi-join) make the relation of the next length.
+Occurrences are a persisted relation, sorted by piece and place within blocks of documents. A relation of frequent
+phrases is merge-joined with itself at the next place, which makes the phrases one word longer whose both ends are
+frequent; these are counted by group, and occurrences semi-joined with the frequent groups make the relation of the
+next length. The semi-join is a Bloom filter of fixed size: a group it lets through by mistake only costs time, since
+no phrase that holds it can be counted often enough.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import give_back, quoted, sub_batches
+from .common import give_back, quoted, sub_batches, written
 
 # What separates pieces, and the code of a piece end among word codes.
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -30,159 +32,238 @@ def tokens_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_SIGNS).replace(_END, b" " + _END + b" ").split()
 
 
-def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang", block_words: int = 1_000_000,
-                batch_bytes: int = 2_000_000) -> DataFrame:
-    """(block, lang, word, places): where each word stands in a block of documents of one language.
+def _hash_start(spark, salt: int) -> int:
+    """What ``xxhash64`` starts from after the salt, for hashing in tasks as Spark does."""
+    return spark.range(1).select(F.xxhash64(F.lit(salt))).first()[0] & (1 << 64) - 1
 
-    A place counts piece ends too, so places of neighbouring words differ by one exactly within a piece.
-    """
 
-    def scan(batches):
+def word_counts(docs: DataFrame, text: str, lang: str, block_words: int) -> DataFrame:
+    """(lang, word, n) of each block of words; nothing is shuffled."""
+
+    def count(batches):
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        task, number = TaskContext.get().partitionId(), 0
-        codes, held, size = {_END: 0}, {}, 0
+        codes, held, size = {}, {}, 0
 
         def flush():
-            nonlocal number, size
+            nonlocal size
             words = pa.array(list(codes), pa.binary()).cast(pa.string())
             for name, parts in held.items():
-                flat = np.concatenate(parts)
-                order = np.argsort(flat, kind="stable").astype("i4")
-                order = order[np.count_nonzero(flat == 0):]          # piece ends come first
-                if not len(order):
-                    continue
-                code = flat[order]
-                starts = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-                for lo in range(0, len(starts), 50_000):
-                    part = starts[lo:lo + 50_000]
-                    stop = starts[lo + 50_000] if lo + 50_000 < len(starts) else len(code)
-                    offsets = pa.array(np.append(part, stop) - part[0], pa.int32())
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(part), (task << 32) + number)), pa.array([name] * len(part), pa.string()),
-                        words.take(pa.array(code[part])), pa.ListArray.from_arrays(offsets, pa.array(order[part[0]:stop]))],
-                        names=["block", "lang", "word", "places"])
-                number += 1
+                found, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(found), pa.string()), words.take(pa.array(found)), pa.array(n)], names=["lang", "word", "n"])
             codes.clear()
-            codes[_END] = 0
             held.clear()
             size = 0
             give_back()
 
         for whole in batches:
-            for batch in sub_batches(whole, "text", batch_bytes):
+            for batch in sub_batches(whole, "text", 2_000_000):
                 for name, own in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                    found = tokens_of(own)
-                    found.append(_END)
-                    for word in found:
-                        if word not in codes:
-                            codes[word] = len(codes)
+                    found = [w for w in tokens_of(own) if w != _END]
+                    for word in set(found).difference(codes):
+                        codes[word] = len(codes)
                     held.setdefault(name, []).append(np.fromiter(map(codes.__getitem__, found), "i4", len(found)))
                     size += len(found)
                     if size >= block_words:
                         yield from flush()
         yield from flush()
 
-    named = docs.select(F.coalesce(F.col(quoted(lang)), F.lit("und")).alias("lang"), F.col(quoted(text)).alias("text"))
-    return named.mapInArrow(scan, "block bigint, lang string, word string, places array<int>")
+    return _named(docs, text, lang).mapInArrow(count, "lang string, word string, n bigint")
+
 
+def _named(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(quoted(lang)), F.lit("und")).alias("lang"), F.col(quoted(text)).alias("text"))
 
-def _relation(kept: DataFrame, name: str) -> DataFrame:
-    """(block, places, ids): the kept occurrences (block, id, places) of each block, sorted by place; written once."""
-    grouped = kept.groupBy("block").agg(F.collect_list(F.struct("id", "places")).alias("found"))
 
-    def arrange(batches):
+class Filter:
+    """Bloom filter of ``2 ** bits`` bits over 64-bit ids, put together by Spark; a broadcast of fixed size."""
+
+    def __init__(self, ids: DataFrame, bits: int):
+        # three places from the bits of an id and of its hash; positions of Spark's bitmaps are counted within buckets
+        self.bits, mask = bits, (1 << bits) - 1
+        places = F.array(*[F.shiftrightunsigned(F.col("id"), i).bitwiseAND(mask) for i in (0, 19, 37)])
+        at = ids.select(F.explode(places).alias("at")).select(
+            F.shiftright("at", 15).alias("bucket"), F.col("at").bitwiseAND(32767).alias("bit"))
+        buckets = at.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map")).collect()
+        whole = bytearray(1 << max(bits - 3, 12))
+        for bucket, part in buckets:
+            whole[bucket * 4096:bucket * 4096 + len(part)] = part
+        self.sent = ids.sparkSession.sparkContext.broadcast(bytes(whole))
+
+    def lets(self, ids):
+        import numpy as np
+
+        whole, out = np.frombuffer(self.sent.value, "u1"), np.ones(len(ids), bool)
+        for shift in (0, 19, 37):
+            at = (ids.view("u8") >> np.uint64(shift)) & np.uint64((1 << self.bits) - 1)
+            out &= (whole[at >> np.uint64(3)] >> (at & np.uint64(7)).astype("u1")) & 1 == 1
+        return out
+
+
+def word_relation(docs: DataFrame, text: str, lang: str, start: int, frequent: Filter, block_words: int) -> DataFrame:
+    """(places, ids): occurrences of frequent words of a block, sorted by place. A place counts piece ends too, so places
+    of neighbouring words differ by one exactly within a piece. Written once."""
+
+    def scan(batches):
         import numpy as np
         import pyarrow as pa
+        import xxhash
+
+        codes, held, size = {}, [], 0
+
+        def known(name, found):
+            own = codes.get(name)
+            if own is None:
+                own = codes[name] = {_END: 0}
+            seed = xxhash.xxh64_intdigest(name.encode(), start)
+            for word in set(found).difference(own):
+                own[word] = xxhash.xxh64_intdigest(word, seed)
+            return np.fromiter(map(own.__getitem__, found), "u8", len(found)).view("i8")
+
+        def block():
+            nonlocal size
+            ids = np.concatenate(held)
+            # piece ends have the id 0, which no word has
+            places = np.flatnonzero((ids != 0) & frequent.lets(ids)).astype("i4")
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+            held.clear()
+            size = 0
+            return pa.RecordBatch.from_arrays([one(places), one(ids[places])], names=["places", "ids"])
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                found = batch.column("found").slice(i, 1).flatten()
-                lists = found.field("places")
-                places = lists.flatten().to_numpy(zero_copy_only=False)
-                ids = np.repeat(found.field("id").to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False))
-                order = np.argsort(places, kind="stable")
-                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("block").slice(i, 1), one(places[order]), one(ids[order])], names=["block", "places", "ids"])
+        for whole in batches:
+            for batch in sub_batches(whole, "text", 2_000_000):
+                if sum(map(len, codes.values())) > 500_000:
+                    codes.clear()
+                for name, own in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                    found = tokens_of(own)
+                    found.append(_END)
+                    held.append(known(name, found))
+                    size += len(found)
+                    if size >= block_words:
+                        yield block()
             give_back()
+        if held:
+            yield block()
 
-    return materialize(grouped.mapInArrow(arrange, "block bigint, places array<int>, ids array<bigint>"), name)
+    return written(_named(docs, text, lang).mapInArrow(scan, _RELATION), "occurrences")
 
 
-def _extended(relation: DataFrame, with_places: bool) -> DataFrame:
-    """Pairs of neighbouring occurrences of each block, by group: (p, s, n), or (block, p, s, places)."""
+_RELATION = "places array<int>, ids array<bigint>"
 
-    def extend(batches):
+
+def _neighbours(batch):
+    """(places, p, s) of neighbouring occurrences of each block of a batch: the merge join with the next place."""
+    for i in range(batch.num_rows):
+        places = batch.column("places").slice(i, 1).flatten().to_numpy(zero_copy_only=False)
+        ids = batch.column("ids").slice(i, 1).flatten().to_numpy(zero_copy_only=False)
+        next_to = places[1:] == places[:-1] + 1
+        yield places[:-1][next_to], ids[:-1][next_to], ids[1:][next_to]
+
+
+def pair_id(p, s):
+    """64-bit id of the phrase made of the phrases ``p`` and ``s``, as an array."""
+    import numpy as np
+
+    with np.errstate(over="ignore"):
+        mixed = p.view("u8") * np.uint64(_ODD[0]) + s.view("u8") * np.uint64(_ODD[1])
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(_ODD[0])
+        return (mixed ^ (mixed >> np.uint64(29))).view("i8")
+
+
+# Odd 64-bit multipliers.
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def pair_counts(relation: DataFrame) -> DataFrame:
+    """(p, s, n) of each block."""
+
+    def count(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                places = batch.column("places").slice(i, 1).flatten().to_numpy(zero_copy_only=False)
-                ids = batch.column("ids").slice(i, 1).flatten().to_numpy(zero_copy_only=False)
-                known, code = np.unique(ids, return_inverse=True)
-                next_to = places[1:] == places[:-1] + 1
-                pair = (code[:-1][next_to] * len(known)) + code[1:][next_to]
-                if not len(pair):
-                    continue
-                if not with_places:
-                    pairs, n = np.unique(pair, return_counts=True)
+            for _, p, s in _neighbours(batch):
+                known, code = np.unique(np.concatenate((p, s)), return_inverse=True)
+                pairs, n = np.unique(code[:len(p)] * len(known) + code[len(p):], return_counts=True)
+                if len(pairs):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(known[pairs // len(known)]), pa.array(known[pairs % len(known)]), pa.array(n)], names=["p", "s", "n"])
-                    continue
-                order = np.argsort(pair, kind="stable")
-                pair, at = pair[order], places[:-1][next_to][order]
-                starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
-                pairs, offsets = pair[starts], pa.array(np.append(starts, len(pair)), pa.int32())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(pairs), batch.column("block")[i].as_py())), pa.array(known[pairs // len(known)]),
-                    pa.array(known[pairs % len(known)]), pa.ListArray.from_arrays(offsets, pa.array(at))],
-                    names=["block", "p", "s", "places"])
             give_back()
 
-    shape = "block bigint, p bigint, s bigint, places array<int>" if with_places else "p bigint, s bigint, n bigint"
-    return relation.mapInArrow(extend, shape)
+    return relation.mapInArrow(count, "p bigint, s bigint, n bigint")
+
+
+def with_pair_id(pairs: DataFrame) -> DataFrame:
+    def name(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            p, s = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("p", "s"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair_id(p, s))], names=["p", "s", "f", "id"])
+
+    return pairs.select("p", "s", "f").mapInArrow(name, "p bigint, s bigint, f bigint, id bigint")
+
+
+def next_relation(relation: DataFrame, frequent: Filter) -> DataFrame:
+    """The relation of the phrases one word longer, semi-joined with the frequent ones; written once."""
+
+    def extend(batches):
+        import pyarrow as pa
+
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+        for batch in batches:
+            for places, p, s in _neighbours(batch):
+                ids = pair_id(p, s)
+                kept = frequent.lets(ids)
+                yield pa.RecordBatch.from_arrays([one(places[kept]), one(ids[kept])], names=["places", "ids"])
+            give_back()
+
+    return written(relation.mapInArrow(extend, _RELATION), "occurrences")
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, text: str = "text", lang: str = "lang",
-                     block_words: int = 1_000_000) -> tuple[list[DataFrame], DataFrame]:
+                     block_words: int = 1_000_000, filter_bits: int = 26) -> tuple[list[DataFrame], DataFrame]:
     """Phrases of 1, 2, ... ``longest`` words found ``min_count`` times in a language, and (lang, n) of all words.
 
     Each is (id, lang, words, f, heads, tails, p, s): ``heads[i]`` counts the first i + 1 words, ``tails[i]`` the last
-    i + 1, ``p`` and ``s`` are the phrases without the last and without the first word. Occurrences overlap.
+    i + 1, ``p`` and ``s`` are the phrases without the last and without the first word. Occurrences overlap. Groups are
+    counted by the ids of both, words by their text. Ids of words are hashes that no two words of the table share
+    (another salt is taken otherwise); two frequent phrases of one id are an error.
     """
-    first = materialize(occurrences(docs, text, lang, block_words), "words")
-    counted = materialize(first.groupBy("lang", "word").agg(F.sum(F.size("places")).alias("f")), "word-counts")
+    spark = docs.sparkSession
+    counted = materialize(word_counts(docs, text, lang, block_words).groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
     totals = materialize(counted.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
+    words, salt = counted.count(), 0
+    while counted.select(F.xxhash64(F.lit(salt), "lang", "word").alias("id")).where("id <> 0").distinct().count() < words:
+        salt += 1
     none = F.lit(None).cast("bigint")
     singles = counted.where(F.col("f") >= min_count).select(
-        F.monotonically_increasing_id().alias("id"), "lang", F.array("word").alias("words"), "f",
+        F.xxhash64(F.lit(salt), "lang", "word").alias("id"), "lang", F.array("word").alias("words"), "f",
         F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("p"), none.alias("s"))
     levels = [materialize(singles, "phrases")]
-    # a narrow table, so that Spark sees how small it is and sends it to the occurrences while it can
-    names = materialize(levels[0].select("id", "lang", F.col("words")[0].alias("word")), "frequent-words")
-    relation = _relation(first.join(names, ["lang", "word"]).select("block", "id", "places"), "occurrences")
+    relation = word_relation(docs, text, lang, _hash_start(spark, salt), Filter(levels[0].select("id"), filter_bits), block_words)
     for length in range(2, longest + 1):
-        groups = _extended(relation, False).groupBy("p", "s").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        groups = pair_counts(relation).groupBy("p", "s").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
         known = levels[-1]
         heads = known.select(F.col("id").alias("p"), "lang", "words", "heads")
         tails = known.select(F.col("id").alias("s"), F.element_at("words", -1).alias("last"), "tails")
-        longer = groups.join(heads, "p").join(tails, "s").select(
-            F.monotonically_increasing_id().alias("id"), "lang", F.array_append("words", F.col("last")).alias("words"), "f",
+        longer = with_pair_id(groups).join(heads, "p").join(tails, "s").select(
+            "id", "lang", F.array_append("words", F.col("last")).alias("words"), "f",
             F.array_append("heads", F.col("f")).alias("heads"), F.array_append("tails", F.col("f")).alias("tails"), "p", "s")
         levels.append(materialize(longer, "phrases"))
+        ids = levels[-1].select("id")
+        found, different = ids.agg(F.count("id"), F.countDistinct("id")).first()
+        if found != different:
+            raise ValueError("two frequent phrases have one 64-bit id")
         if length < longest:
-            pairs = materialize(levels[-1].select("p", "s", "id"), "frequent-pairs")
-            kept = _extended(relation, True).join(pairs, ["p", "s"])
-            relation = _relation(kept.select("block", "id", "places"), "occurrences")
+            relation = next_relation(relation, Filter(ids, filter_bits))
     return levels, totals
 
 
 def collocations(docs: DataFrame, min_count: int = 100, longest: int = 5, top: int = 2000, text: str = "text",
-                 lang: str = "lang", block_words: int = 1_000_000) -> DataFrame:
+                 lang: str = "lang", block_words: int = 1_000_000, filter_bits: int = 26) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
     A-Z count as a-z, pieces end at ``.,;:!?`` and line ends (U+000A to U+000D), words are parted by spaces and tabs; a
@@ -196,7 +277,7 @@ def collocations(docs: DataFrame, min_count: int = 100, longest: int = 5, top: i
     A word or phrase of a third of all places is one row per block before any shuffle, and only a language's
     best ``top`` of each task come together.
     """
-    levels, totals = frequent_phrases(docs, min_count, longest, text, lang, block_words)
+    levels, totals = frequent_phrases(docs, min_count, longest, text, lang, block_words, filter_bits)
     kept = []
     for i, level in enumerate(levels[1:], 1):
         if i + 1 < len(levels):

@@ -184,11 +184,11 @@ def spoken(seed, n):
              rnd.choice(["en", "fr", None, "und"]), "s", 1) for i in range(n)]
 
 
-@pytest.mark.parametrize("least,longest,top,block", [(3, 5, 2000, 50), (8, 3, 4, 1_000_000), (20, 5, 10, 7)])
-def test_collocations_against_plain_counts(spark, least, longest, top, block):
+@pytest.mark.parametrize("least,longest,top,block,bits", [(3, 5, 2000, 50, 26), (8, 3, 4, 1_000_000, 15), (20, 5, 10, 7, 5)])
+def test_collocations_against_plain_counts(spark, least, longest, top, block, bits):
     rows = spoken(least, 300)
     docs = spark.createDataFrame(rows, DOCS).withColumn("rank", F.lit(1)).withColumn("n", F.lit("x"))
-    got = phrases.collocations(docs, least, longest, top, block_words=block)
+    got = phrases.collocations(docs, least, longest, top, block_words=block, filter_bits=bits)
     assert got.dtypes == [(c, "string" if c in ("lang", "phrase") else "bigint") for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")]
     want = brute.collocations([(r[1], r[2]) for r in rows], least, longest, top)
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
@@ -201,6 +201,23 @@ def test_collocations_of_odd_tables(spark, odd_docs, no_docs):
     assert sorted(map(tuple, phrases.collocations(odd_docs, 2).collect())) == sorted(brute.collocations(rows, 2, 5, 2000))
 
 
+def test_hashes_in_tasks_are_those_of_spark(spark):
+    import xxhash
+
+    rows = [("en", "word"), ("und", ""), ("fr", "été" * 30), ("", "x")]
+    start = phrases._hash_start(spark, 3)
+    got = spark.createDataFrame(rows, "lang string, word string").select("lang", "word", F.xxhash64(F.lit(3), "lang", "word")).collect()
+    for lang, word, value in got:
+        assert xxhash.xxh64_intdigest(word.encode(), xxhash.xxh64_intdigest(lang.encode(), start)) == value & (1 << 64) - 1
+
+
+def test_filter_lets_its_ids_through(spark):
+    ids = np.random.default_rng(2).integers(-2**63, 2**63, 5000)
+    known = spark.createDataFrame([(int(i),) for i in ids[:2500]], "id long")
+    lets = phrases.Filter(known, 20).lets(ids)
+    assert lets[:2500].all() and lets[2500:].mean() < 0.05
+
+
 def test_scores_beyond_64_bits(spark):
     big = 4_000_000_000
     expr = "(CAST(1000 AS DECIMAL(38, 0)) * f * n) div (CAST(l AS DECIMAL(38, 0)) * r)"
