@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.names import fresh
 from ..session import materialize
-from .common import give_back, quoted, sub_batches, with_fields, without, written
+from .common import give_back, quoted, small_batches, sub_batches, with_fields, without, written
 from .pieces import MARK, chunkable
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -284,8 +284,9 @@ def score_links(aligned: DataFrame, max_broadcast: int = 1 << 20) -> DataFrame:
     spark = aligned.sparkSession
     aligned = without(aligned, "n_best", "count_sum")
     row, best, total, rare = fresh(aligned.columns, "_row", "_best", "_total", "_rare")
-    aligned = written(aligned.withColumn(row, F.monotonically_increasing_id()), "aligned")
-    counts = link_counts(aligned)
+    with small_batches(spark):
+        aligned = written(aligned.withColumn(row, F.monotonically_increasing_id()), "aligned")
+        counts = link_counts(aligned)
     level = F.floor(F.log2("n") * 8)
     held, least = 0, None
     for at, pairs in sorted(map(tuple, counts.groupBy(level.alias("level")).count().collect()), reverse=True):
@@ -319,7 +320,8 @@ def score_links(aligned: DataFrame, max_broadcast: int = 1 << 20) -> DataFrame:
             del lists, flat, at, missing, batch
             give_back()
 
-    scored = materialize(aligned.mapInArrow(look_up, schema), "scored")
+    with small_batches(spark):
+        scored = materialize(aligned.mapInArrow(look_up, schema), "scored")
     others = scored.select(F.col(row).alias("own"), F.explode(rare).alias("link")).groupBy("own", "link").agg(F.count(F.lit(1)).alias("times"))
     others = others.join(counts, "link").groupBy("own").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import scratch_path
 
@@ -73,3 +75,18 @@ def written(df: DataFrame, name: str, group_bytes: int = 16 << 20) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("parquet.block.size", group_bytes).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20):
+    """Queries run within send at most ``size`` bytes at a time to Python (or one row): for rows with long arrays."""
+    key, unset = "spark.sql.execution.arrow.maxBytesPerBatch", ""
+    before = spark.conf.get(key, unset)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before == unset:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

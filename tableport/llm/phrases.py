@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import give_back, quoted, sub_batches, written
+from .common import give_back, quoted, small_batches, sub_batches, written
 
 # What separates pieces, and the code of a piece end among word codes.
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -134,7 +134,7 @@ def word_relation(docs: DataFrame, text: str, lang: str, start: int, frequent: F
 
         for whole in batches:
             for batch in sub_batches(whole, "text", 2_000_000):
-                if sum(map(len, codes.values())) > 500_000:
+                if sum(map(len, codes.values())) > 200_000:
                     codes.clear()
                 for name, own in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                     found = tokens_of(own)
@@ -224,7 +224,7 @@ def next_relation(relation: DataFrame, frequent: Filter) -> DataFrame:
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, text: str = "text", lang: str = "lang",
-                     block_words: int = 1_000_000, filter_bits: int = 26) -> tuple[list[DataFrame], DataFrame]:
+                     block_words: int = 500_000, filter_bits: int = 26) -> tuple[list[DataFrame], DataFrame]:
     """Phrases of 1, 2, ... ``longest`` words found ``min_count`` times in a language, and (lang, n) of all words.
 
     Each is (id, lang, words, f, heads, tails, p, s): ``heads[i]`` counts the first i + 1 words, ``tails[i]`` the last
@@ -263,7 +263,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, te
 
 
 def collocations(docs: DataFrame, min_count: int = 100, longest: int = 5, top: int = 2000, text: str = "text",
-                 lang: str = "lang", block_words: int = 1_000_000, filter_bits: int = 26) -> DataFrame:
+                 lang: str = "lang", block_words: int = 500_000, filter_bits: int = 26) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
     A-Z count as a-z, pieces end at ``.,;:!?`` and line ends (U+000A to U+000D), words are parted by spaces and tabs; a
@@ -277,7 +277,8 @@ def collocations(docs: DataFrame, min_count: int = 100, longest: int = 5, top: i
     A word or phrase of a third of all places is one row per block before any shuffle, and only a language's
     best ``top`` of each task come together.
     """
-    levels, totals = frequent_phrases(docs, min_count, longest, text, lang, block_words, filter_bits)
+    with small_batches(docs.sparkSession):
+        levels, totals = frequent_phrases(docs, min_count, longest, text, lang, block_words, filter_bits)
     kept = []
     for i, level in enumerate(levels[1:], 1):
         if i + 1 < len(levels):
