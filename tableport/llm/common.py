@@ -80,13 +80,13 @@ def written(df: DataFrame, name: str, group_bytes: int = 16 << 20) -> DataFrame:
 @contextmanager
 def small_batches(spark: SparkSession, size: int = 4 << 20):
     """Queries run within send at most ``size`` bytes at a time to Python (or one row): for rows with long arrays."""
-    key, unset = "spark.sql.execution.arrow.maxBytesPerBatch", ""
-    before = spark.conf.get(key, unset)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
     spark.conf.set(key, size)
     try:
         yield
     finally:
-        if before == unset:
+        if before is None:
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
