@@ -6,7 +6,7 @@ estimate is clear of the threshold are decided by it, lines near it get an exact
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .common import quoted, without
@@ -44,16 +44,14 @@ def spread_lines(docs: DataFrame, min_sites: int, text: str = "text", site: str
     return materialize(clear.select("hash").union(exact.where(F.col("sites") >= min_sites).select("hash")), "line-spread")
 
 
-def mark_boilerplate(docs: DataFrame, min_sites: int = 10, max_share: float | None = 0.2, doc_id: str = "doc_id",
-                     text: str = "text", site: str = "source") -> DataFrame:
+def mark_boilerplate(docs: DataFrame, min_sites: int = 10, doc_id: str = "doc_id", text: str = "text",
+                     site: str = "source") -> DataFrame:
     """``docs`` with ``n_lines`` (with something in them), ``n_spread`` (boilerplate among them), ``removed`` (places).
 
-    A line is boilerplate if it is found on at least ``min_sites`` sites. It is removed from a document unless such
-    lines make up more than ``max_share`` of the document's characters: then the document as a whole is a copy that
-    many sites hold, which is the near-duplicate operator's business, and it is left as it is. That keeps boilerplate
-    in short documents with lines of their own; with ``max_share`` None only a document that has no other lines is
-    left as it is, and boilerplate goes from all others. ``removed`` is null or the places of the lines that go. A null or empty text has no lines; rows repeated with one id and text are
-    treated alike; columns named like a new one are replaced.
+    A line is boilerplate if it is found on at least ``min_sites`` sites; it is removed whatever its share of the text.
+    Only a document that has no other lines is left as it is: that is a copy which many sites hold as a whole, and so the
+    near-duplicate operator's business. ``removed`` is null or the places of the lines that go. A null or empty text has
+    no lines; rows repeated with one id and text are treated alike; columns named like a new one are replaced.
 
     A line on very many pages is one sketch per task before the shuffle; the join of the lines with the boilerplate
     hashes is one that AQE can split, and only lines that are boilerplate come out of it.
@@ -61,39 +59,23 @@ def mark_boilerplate(docs: DataFrame, min_sites: int = 10, max_share: float | No
     docs = without(docs, "n_lines", "n_spread", "removed")
     spread = spread_lines(docs, min_sites, text, site)
     own = [F.col(quoted(doc_id)).alias("own_id"), F.md5(F.col(quoted(text))).alias("own_md5")]
-    found = _lines(docs, text, *own).select(
-        "own_id", "own_md5", "pos", F.char_length("line").alias("chars"), _hash("line").alias("hash"))
-    hits = found.join(spread, "hash").select("own_id", "own_md5", "pos", "chars").distinct()
-    by_doc = hits.groupBy("own_id", "own_md5").agg(
-        F.sort_array(F.collect_list("pos")).alias("places"), F.sum("chars").alias("chars"))
+    found = _lines(docs, text, *own).select("own_id", "own_md5", "pos", _hash("line").alias("hash"))
+    hits = found.join(spread, "hash").select("own_id", "own_md5", "pos").distinct()
+    by_doc = hits.groupBy("own_id", "own_md5").agg(F.sort_array(F.collect_list("pos")).alias("places"))
     by_doc = materialize(by_doc, "line-places")          # so that AQE can split rows repeated very often
     keyed = docs.withColumn("_op_md5", F.md5(F.col(quoted(text))))
     joined = keyed.join(
         by_doc, keyed[quoted(doc_id)].eqNullSafe(by_doc["own_id"]) & (keyed["_op_md5"] == by_doc["own_md5"]), "left")
     lines = F.filter(F.split(F.col(quoted(text)), "\n"), lambda x: line_text(x) != "")
-    if max_share is None:
-        small = F.size("places") < F.size(lines)
-    else:
-        small = F.col("chars") <= max_share * F.char_length(F.col(quoted(text)))
+    small = F.size("places") < F.size(lines)
     return joined.select(
         *[F.col(quoted(c)) for c in docs.columns], F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("places"), F.lit(0)).alias("n_spread"), F.when(small, F.col("places")).alias("removed"))
 
 
-@F.pandas_udf(T.StringType())
-def _cut(texts, places):
-    import pandas as pd
-
-    out = []
-    for text, gone in zip(texts, places):
-        if gone is not None:
-            gone = set(gone)
-            text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
-        out.append(text)
-    return pd.Series(out, dtype=object)
-
-
 def remove_boilerplate(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
     """``mark_boilerplate`` with the lines taken out of ``text``."""
     marked = mark_boilerplate(docs, text=text, **settings)
-    return marked.withColumn(text, _cut(F.col(quoted(text)), F.col("removed")))
+    kept = F.filter(F.split(F.col(quoted(text)), "\n"), lambda line, i: ~F.array_contains(F.col("removed"), i))
+    cut = F.when(F.col("removed").isNull(), F.col(quoted(text))).otherwise(F.array_join(kept, "\n"))
+    return marked.withColumn(text, cut)

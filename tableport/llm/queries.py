@@ -156,11 +156,10 @@ ORACLES = {
         b AS (SELECT line FROM t WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
         m AS (SELECT t.*, b.line IS NOT NULL AS spread FROM t LEFT JOIN b ON t.line = b.line),
         s AS (SELECT doc_id, own, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (spread) AS n_spread,
-                     coalesce(sum(length(line)) FILTER (spread), 0) AS chars,
                      string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT spread) AS kept FROM m GROUP BY ALL)
         SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_spread, 0) AS INTEGER) AS n_spread,
-               CAST(CASE WHEN chars <= 0.2 * length(text) THEN n_spread ELSE 0 END AS INTEGER) AS n_removed,
-               CASE WHEN chars <= 0.2 * length(text) AND n_spread > 0 THEN md5(coalesce(kept, '')) ELSE md5(text) END AS kept_md5
+               CAST(CASE WHEN n_spread < n_lines THEN n_spread ELSE 0 END AS INTEGER) AS n_removed,
+               CASE WHEN n_spread < n_lines AND n_spread > 0 THEN md5(coalesce(kept, '')) ELSE md5(text) END AS kept_md5
         FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id AND s.own = md5(d.text)
     """,
     "op8_topk": """

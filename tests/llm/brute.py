@@ -61,7 +61,7 @@ def smith_waterman(a, b, match=2, mismatch=-1, gap=-1):
     return best
 
 
-def without_boilerplate(rows, min_sites=10, max_share=0.2):
+def without_boilerplate(rows, min_sites=10):
     """Texts of (text, site) rows with the lines of many sites taken out."""
     sites = defaultdict(set)
     for text, site in rows:
@@ -72,8 +72,8 @@ def without_boilerplate(rows, min_sites=10, max_share=0.2):
     for text, _ in rows:
         lines = text.split("\n") if text is not None else []
         gone = [line.strip(" \t\r") and len(sites[line.strip(" \t\r")]) >= min_sites for line in lines]
-        size = sum(len(line.strip(" \t\r")) for line, g in zip(lines, gone) if g)
-        out.append("\n".join(line for line, g in zip(lines, gone) if not g) if size and size <= max_share * len(text) else text)
+        own = any(line.strip(" \t\r") and not g for line, g in zip(lines, gone))
+        out.append("\n".join(line for line, g in zip(lines, gone) if not g) if own else text)
     return out
 
 
