@@ -1,4 +1,4 @@
-"""Dependency order of tables (or of anything with parent edges), peeled level by level with joins."""
+"""Dependency order of tables (or of anything with parent edges): chains are contracted, then peeled with joins."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
-from ..session import materialize, scratch_path
+from ..session import materialize, path_exists, scratch_path
 from .ranking import global_row_number
 
 
@@ -29,54 +29,105 @@ def usable_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _chains(links: DataFrame) -> DataFrame:
+    """(node, head, dist) of every node behind the head of its chain.
+
+    An edge is a chain link if its parent has no other child and its child no other parent. Every round doubles the
+    pointers, so a chain of L nodes takes log L rounds, over chain nodes only. Rings of chain links have no head
+    and are left out: no pointer of theirs ever ends.
+    """
+    lone_child = links.groupBy("child").agg(F.count(F.lit(1)).alias("n"), F.any_value("parent").alias("parent")).where("n = 1")
+    lone_parent = links.groupBy("parent").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("parent")
+    steps = lone_child.join(lone_parent, "parent").select(
+        F.col("child").alias("node"), F.col("parent").alias("head"), F.lit(1).cast("bigint").alias("dist"))
+    steps = materialize(steps, "chains")
+    reach, total = 1, steps.count()
+    while True:
+        ahead = steps.select(F.col("node").alias("head"), F.col("head").alias("further"), F.col("dist").alias("more"))
+        seen = Observation()
+        doubled = steps.join(ahead, "head", "left").observe(seen, F.count("further").alias("open")).select(
+            "node", F.coalesce("further", "head").alias("head"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"))
+        steps = materialize(doubled, "chains")
+        reach *= 2
+        if not seen.get["open"]:
+            return steps
+        if reach > total:                                # only rings are still open
+            return materialize(steps.join(ahead.select("head"), "head", "left_anti").select("node", "head", "dist"), "chains")
+
+
 def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> Levels:
-    """Peel nodes whose parents are all placed, one level per round.
+    """Peel nodes whose parents are all placed: the frontier of a round is joined with its edges only.
 
     ``nodes``: node, ordinal (unique, the input order). ``edges``: child, parent, ordinal (unique).
-    Every round writes its waiting and newly placed nodes to the shared folder, so lineage stays one
-    round long and a lost executor costs one round. ``sort_key`` makes (level, sort_key) the order a
-    first-in-first-out placement gives: the key of the parent placed last, then its edge's ordinal.
+    Chains are contracted first, so a round places whole chains, and as many rounds are needed as a path has chains.
+    A round writes the nodes that some placed parent has reached, ready or not; nodes not yet reached are not touched,
+    and how many parents a node needs stands on its edges. Lineage stays one round long, and a lost executor costs one
+    round. ``sort_key`` makes (level, sort_key) the order a first-in-first-out placement gives: the key of the parent
+    placed last, then its edge's ordinal. Nodes of one chain have one key: at any level, two nodes differ by the edges
+    where their paths part, and those lead to heads. ``max_rounds`` bounds the chains of a path.
     """
     spark = nodes.sparkSession
     links = materialize(usable_edges(nodes, edges), "edges")
+    chains = _chains(links)
     root = scratch_path(spark, "levels")
-    need = links.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("need"))
-    state = nodes.select("node", F.col("ordinal").cast("bigint")).join(need, "node", "left").select(
-        "node", "ordinal", F.coalesce("need", F.lit(0)).cast("bigint").alias("need"),
-        F.array("ordinal").alias("sort_key"))
-    schema = T.StructType([
-        T.StructField("node", nodes.schema["node"].dataType), T.StructField("ordinal", T.LongType()),
-        T.StructField("need", T.LongType()), T.StructField("sort_key", T.ArrayType(T.LongType()))])
-
-    level = 0
+    node_type, long = nodes.schema["node"].dataType, T.LongType()
+
+    # edges between chains, from the last node of one to the head of another
+    ends = links.join(chains.select(F.col("node").alias("child")), "child", "left_anti")
+    lengths = chains.groupBy("head").agg(F.max("dist").alias("length"))
+    of_parent = chains.select(F.col("node").alias("parent"), F.col("head").alias("from"))
+    need = ends.groupBy("child").agg(F.count(F.lit(1)).alias("need"))
+    jumps = materialize(ends.join(of_parent, "parent", "left").join(need, "child").join(
+        lengths.withColumnRenamed("head", "child"), "child", "left").select(
+        F.col("child").alias("node"), F.coalesce("from", "parent").alias("from"), F.col("ordinal").cast("bigint").alias("edge"),
+        "need", F.coalesce("length", F.lit(0)).cast("bigint").alias("length")), "jumps")
+    numbered = nodes.select("node", F.col("ordinal").cast("bigint"))
+    starts = numbered.join(need.select(F.col("child").alias("node")), "node", "left_anti").join(
+        chains.select("node"), "node", "left_anti").join(lengths.withColumnRenamed("head", "node"), "node", "left")
+    state = starts.select(
+        "node", F.lit(0).cast("bigint").alias("need"), F.lit(0).cast("bigint").alias("met"),
+        F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+        F.struct(F.lit(-1).cast("bigint").alias("level"), F.array().cast("array<bigint>").alias("sort_key"), F.col("ordinal").alias("edge")).alias("last"))
+    last_type = T.StructType([T.StructField("level", long), T.StructField("sort_key", T.ArrayType(long)), T.StructField("edge", long)])
+    schema = T.StructType([T.StructField("node", node_type), *[T.StructField(c, long) for c in ("need", "met", "length")],
+                           T.StructField("last", last_type)])
+
+    done = 0
     while True:
-        if max_rounds is not None and level >= max_rounds:
-            raise ValueError(f"dependency chain longer than {max_rounds} levels")
         seen = Observation()
-        ready = F.col("need") == 0
-        (state.withColumn("ready", ready)
-         .observe(seen, F.count_if(ready).alias("placed"), F.count_if(~ready).alias("waiting"))
-         .write.partitionBy("ready").parquet(f"{root}/level={level}"))
-        counts = seen.get
-        if not counts["placed"] or not counts["waiting"]:
+        ready = F.col("met") == F.col("need")
+        (state.withColumn("ready", ready).observe(seen, F.count_if(ready).alias("placed"))
+         .write.partitionBy("ready").parquet(f"{root}/round={done}"))
+        if not seen.get["placed"]:
             break
-        here = spark.read.schema(schema).option("recursiveFileLookup", True)
-        placed = here.parquet(f"{root}/level={level}/ready=true")
-        waiting = here.parquet(f"{root}/level={level}/ready=false")
-        last = F.max(F.struct("sort_key", links["ordinal"].alias("edge")))
-        hits = (links.join(placed.select(F.col("node").alias("parent"), "sort_key"), "parent")
-                .groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("met"), last.alias("last")))
-        state = waiting.join(hits, "node", "left").select(
-            "node", "ordinal", (F.col("need") - F.coalesce("met", F.lit(0))).alias("need"),
-            F.array_append("last.sort_key", F.col("last.edge")).alias("sort_key"))
-        level += 1
-
-    everything = spark.read.schema(
-        T.StructType([*schema.fields, T.StructField("level", T.IntegerType()), T.StructField("ready", T.BooleanType())])
-    ).option("basePath", root).parquet(*[f"{root}/level={i}" for i in range(level + 1)])
-    return Levels(
-        everything.filter("ready").select("node", "ordinal", "level", "sort_key"),
-        everything.filter((F.col("level") == level) & ~F.col("ready")).select("node", "ordinal"))
+        if max_rounds is not None and done >= max_rounds:
+            raise ValueError(f"dependency path longer than {max_rounds} chains")
+        here = spark.read.schema(schema)
+        placed = here.parquet(f"{root}/round={done}/ready=true")
+        hits = jumps.join(placed.select(
+            F.col("node").alias("from"), F.struct(
+                (F.col("last.level") + 1 + F.col("length")).alias("level"),
+                F.array_append("last.sort_key", F.col("last.edge")).alias("sort_key")).alias("parent")), "from").select(
+            "node", "need", F.lit(1).cast("bigint").alias("met"), "length",
+            F.struct("parent.level", "parent.sort_key", "edge").alias("last"))
+        waiting = f"{root}/round={done}/ready=false"
+        if path_exists(spark, waiting):
+            hits = hits.unionByName(here.parquet(waiting))
+        state = hits.groupBy("node").agg(
+            F.max("need").alias("need"), F.sum("met").alias("met"), F.max("length").alias("length"), F.max("last").alias("last"))
+        done += 1
+
+    if done:
+        heads = spark.read.schema(schema).parquet(*[f"{root}/round={i}/ready=true" for i in range(done)])
+    else:
+        heads = spark.createDataFrame([], schema)
+    heads = heads.select(F.col("node").alias("head"), (F.col("last.level") + 1).alias("start"),
+                         F.array_append("last.sort_key", F.col("last.edge")).alias("sort_key"))
+    members = numbered.join(chains, "node", "left").withColumns(
+        {"head": F.coalesce("head", "node"), "dist": F.coalesce("dist", F.lit(0))})
+    known = materialize(members.join(heads, "head", "left").select(
+        "node", "ordinal", (F.col("start") + F.col("dist")).cast("int").alias("level"), "sort_key"), "levels")
+    return Levels(known.where("level IS NOT NULL"), known.where("level IS NULL").select("node", "ordinal"))
 
 
 def topological_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .ranking import previous
+from ..functions.names import column, fresh
+from ..functions.times import micros_since_epoch
+from .ranking import preceding, previous
 
 MIB = 1_048_576.0
 # Verdict limits in percent, and the network floor in MiB/s.
@@ -54,11 +56,51 @@ def timeline(samples: DataFrame, measures, slot: str = "5 seconds", keys=("host"
             .select(*keys, F.col("_w.start").alias("slot_start"), *measures))
 
 
+def full_grid(slots: DataFrame, measures, slot: str = "5 seconds", keys=("host",), carry=(), max_age: int | None = None) -> DataFrame:
+    """Every slot of each key from its first to its last, with ``sampled``: whether the timeline has it.
+
+    ``slots`` is a ``timeline`` (one row per key and slot). Slots between have NULL measures, but those named in
+    ``carry`` (sources slower than the slot) keep their last known value, for at most ``max_age`` slots where given.
+    Each row makes the silent slots before it, so nothing is joined; the value known before a row comes over task
+    edges as in ``preceding``, and a long silence is made piece by piece.
+    """
+    keys, measures, carry = list(keys), list(measures), list(carry)
+    naive = isinstance(slots.schema["slot_start"].dataType, T.TimestampNTZType)
+    micros = micros_since_epoch if naive else F.unix_micros
+    zero = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    step = F.timestamp_diff("MICROSECOND", zero, zero + F.expr(f"INTERVAL {slot}"))
+    number, gap, piece, at, *marks = fresh(
+        [*slots.columns, "sampled"], "_number", "_gap", "_piece", "_at", *[f"_mark{i}" for i in range(len(carry))])
+    numbered = slots.select(*map(column, keys), "slot_start", *map(column, measures), F.expr("0L").alias(number))
+    numbered = numbered.withColumn(number, F.floor(micros(F.col("slot_start")) / step).cast("long"))
+    marked = numbered.withColumns({
+        m: F.when(column(c).isNotNull(), F.struct(F.col(number).alias("at"), column(c).alias("value"))) for m, c in zip(marks, carry)})
+    ahead = preceding(marked, keys, [number], [number], marks)
+    ahead = ahead.withColumn(gap, F.coalesce(F.col(number) - F.col(f"prev_{number}"), F.lit(1)))
+    some = 4096
+    pieces = ahead.withColumn(piece, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(gap) - 1) / some))))
+    made = pieces.withColumn(at, F.explode(F.sequence(F.col(piece) * some + 1, F.least(F.col(gap), (F.col(piece) + 1) * some))))
+    own = F.col(at) == F.col(gap)
+
+    def value(name: str) -> Column:
+        here = F.when(own, column(name))
+        if name not in carry:
+            return here
+        known = F.col(f"known_{marks[carry.index(name)]}")
+        age = F.col(number) - F.col(gap) + F.col(at) - known["at"]
+        fresh_enough = F.lit(True) if max_age is None else age <= max_age
+        return F.coalesce(here, F.when(fresh_enough, known["value"]))
+
+    start = F.timestamp_add("MICROSECOND", (F.col(at) - F.col(gap)) * step, F.col("slot_start"))
+    return made.select(*map(column, keys), start.alias("slot_start"), *[value(m).alias(m) for m in measures], own.alias("sampled"))
+
+
 def summary(slots: DataFrame, keys=(), zero_fill: bool = False) -> DataFrame:
     """Averages and peaks of a timeline (cpu_pct, rx_mib_s and the server's srv_cpu, srv_workers, srv_io).
 
-    Slots without a sample are left out of an average; ``zero_fill`` counts them as 0 for the local
-    measures, as a sampler with pre-zeroed slots does. Peaks start from 0.
+    Slots without a value are left out of an average; ``zero_fill`` counts them as 0 for the local measures. A
+    timeline holds only slots with a sample: for an average over all slots, as of a sampler that makes a zero slot
+    at every tick, give the ``full_grid``. Peaks start from 0.
     """
     def known(name: str) -> Column:
         return F.coalesce(name, F.lit(0.0)) if zero_fill else F.col(name)

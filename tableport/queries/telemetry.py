@@ -55,6 +55,20 @@ def q35_slots(spark, root):
     return _timeline(spark, root)
 
 
+def _grid(spark, root):
+    # purchases carry the server's values: a slow source, known for a day at most
+    carry = ["srv_cpu", "srv_workers", "srv_io"]
+    return tel.full_grid(_timeline(spark, root), MEASURES, "1 hour", ["host"], carry, max_age=24)
+
+
+def q35c_full_grid(spark, root):
+    return _grid(spark, root)
+
+
+def q36c_summary_of_all_slots(spark, root):
+    return tel.summary(_grid(spark, root), ["host"], zero_fill=True)
+
+
 def q36_summary(spark, root):
     return tel.summary(_timeline(spark, root), ["host"])
 
@@ -166,6 +180,15 @@ def q45c_stream_rate(spark, root):
     return st.drain(st.rate_stream(samples, "rx_bytes", "1 day", _DELAY, tie="event_id"), ["host"]).windows
 
 
+def q45d_stream_rate_over_edges(spark, root):
+    """q34 from a stream: each sample has a rate, over every edge of days and micro-batches."""
+    events = st.read_stream(spark, root, load(spark, root, "events").schema, "events.parquet")
+    samples = events.select(F.col("user_id").alias("host"), "ts", "event_id", F.expr(_COUNTER).alias("rx_bytes"),
+                            F.col("event_id").alias("tx_bytes"))
+    rates = st.drain_rates(samples, ["rx_bytes", "tx_bytes"], 86_400, tie="event_id").rates
+    return rates.select("host", "event_id", "rx_bytes_mib_s", "tx_bytes_mib_s")
+
+
 def q46_compare_runs(spark, root):
     results = load(spark, root, "lineitem").groupBy(
         F.col("l_suppkey").alias("run"), F.col("l_linestatus").alias("tool")).agg(
@@ -175,8 +198,8 @@ def q46_compare_runs(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (
-    q34_rate, q34b_rate_odd_hosts, q35_slots, q36_summary, q36b_summary_zero_fill, q37_verdict, q37b_grade, q38_top10, q38b_insights,
-    q39_ramp, q40_knee, q41_heartbeat, q41b_progress, q41c_chunk_summary, q43_json_metric, q45_stream_heartbeat, q45b_stream_slots, q45c_stream_rate, q46_compare_runs)}
+    q34_rate, q34b_rate_odd_hosts, q35_slots, q35c_full_grid, q36_summary, q36c_summary_of_all_slots, q36b_summary_zero_fill, q37_verdict, q37b_grade, q38_top10, q38b_insights,
+    q39_ramp, q40_knee, q41_heartbeat, q41b_progress, q41c_chunk_summary, q43_json_metric, q45_stream_heartbeat, q45b_stream_slots, q45c_stream_rate, q45d_stream_rate_over_edges, q46_compare_runs)}
 
 
 def _slots_sql(keys, width):
@@ -187,7 +210,21 @@ def _slots_sql(keys, width):
             f"FROM (SELECT user_id AS host, CAST(ts AS DATE) AS day, * FROM events) GROUP BY ALL")
 
 
-def _summary_sql(keys, width, zero):
+def _grid_sql(max_age):
+    """Every hour of each host; the server's values carried for ``max_age`` hours at most."""
+    server = [m for m, (source, _) in SOURCES.items() if source == "purchase"]
+    local = ", ".join(m for m in SOURCES if m not in server)
+    carried = ", ".join(
+        f"""CASE WHEN slot_start - last_value(CASE WHEN {m} IS NOT NULL THEN slot_start END IGNORE NULLS) OVER w
+            <= INTERVAL {max_age} HOUR THEN last_value({m} IGNORE NULLS) OVER w END AS {m}""" for m in server)
+    return f"""WITH s AS ({_slots_sql("host", "1 hour")}),
+        g AS (SELECT host, unnest(generate_series(min(slot_start), max(slot_start), INTERVAL 1 HOUR)) AS slot_start FROM s GROUP BY host),
+        j AS (SELECT g.host, g.slot_start, s.host IS NOT NULL AS sampled, s.* EXCLUDE (host, slot_start)
+              FROM g LEFT JOIN s ON g.host = s.host AND g.slot_start = s.slot_start)
+        SELECT host, slot_start, sampled, {local}, {carried} FROM j WINDOW w AS (PARTITION BY host ORDER BY slot_start)"""
+
+
+def _summary_sql(keys, width, zero, slots=None):
     fill = (lambda c: f"coalesce({c}, 0)") if zero else (lambda c: c)
     server = "count(coalesce(srv_cpu, srv_workers, srv_io)) > 0"
     peaks = ", ".join(f"CASE WHEN {server} THEN greatest(coalesce(max({c}), 0), 0) END AS peak_{c}"
@@ -195,7 +232,7 @@ def _summary_sql(keys, width, zero):
     return f"""SELECT {keys}, count(*) AS slots, avg({fill('cpu_pct')}) AS avg_cpu,
         greatest(coalesce(max(rx_mib_s), 0), 0) AS peak_rx, avg({fill('rx_mib_s')}) AS avg_rx,
         {server} AS has_server, avg(srv_cpu) AS avg_srv_cpu, {peaks}
-        FROM ({_slots_sql(keys, width)}) GROUP BY {keys}"""
+        FROM ({slots or _slots_sql(keys, width)}) GROUP BY {keys}"""
 
 
 _STATS = """
@@ -234,6 +271,8 @@ ORACLES = {
         SELECT host, event_id, CASE WHEN pus IS NOT NULL THEN greatest(rx - prx, 0) END
             / (nullif(us - pus, 0) / 1000000.0::DOUBLE) / 1048576.0::DOUBLE AS rx_bytes_mib_s FROM l""",
     "q35_slots": _slots_sql("host", "1 hour"),
+    "q35c_full_grid": _grid_sql(24),
+    "q36c_summary_of_all_slots": _summary_sql("host", "1 hour", True, _grid_sql(24)),
     "q36_summary": _summary_sql("host", "1 hour", False),
     "q36b_summary_zero_fill": _summary_sql("host", "1 hour", True),
     "q37_verdict": f"""SELECT host, day, has_server, CASE WHEN has_server AND peak_srv_cpu > 80 THEN 'server cpu'
@@ -281,3 +320,4 @@ ORACLES = {
         CASE WHEN NOT a.failed AND NOT b.failed THEN b.wall / greatest(a.wall, 0.001) END AS speedup
         FROM a FULL JOIN b USING (run)""",
 }
+ORACLES["q45d_stream_rate_over_edges"] = ORACLES["q34_rate"]

@@ -90,6 +90,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in a folder; none if it does not exist."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _hadoop_path(spark, path)
     fs.delete(hadoop_path, True)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import utc_instant, utc_naive
-from ..operators.telemetry import MIB
-from ..session import path_exists, scratch_path
+from ..operators.telemetry import MIB, counter_rates
+from ..session import list_folders, materialize, path_exists, scratch_path
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -66,6 +67,28 @@ class Drained:
     late_rows: int
 
 
+def _run(writer, store, out: str) -> int:
+    """Runs ``store`` over all available micro-batches; the number of rows that state operators refused as late.
+
+    A query remembers only its last hundred reports, so they are read at every batch and counted by its number.
+    """
+    late: dict[int, int] = {}
+    running = []
+
+    def note() -> None:
+        for progress in running[0].recentProgress if running else ():
+            late[progress.batchId] = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+
+    def noted(batch: DataFrame, number: int) -> None:
+        note()
+        store(batch, number)
+
+    running.append(writer.foreachBatch(noted).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    running[0].awaitTermination()
+    note()
+    return sum(late.values())
+
+
 def drain(stream: DataFrame, keys, name: str = "stream") -> Drained:
     """Run everything available and return every window it fed, one row per ``keys`` and ``slot_start``.
 
@@ -79,10 +102,7 @@ def drain(stream: DataFrame, keys, name: str = "stream") -> Drained:
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/data/batch={number}")
 
-    query = (stream.writeStream.outputMode("update").foreachBatch(store)
-             .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
-    query.awaitTermination()
-    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    late = _run(stream.writeStream.outputMode("update"), store, out)
     if not path_exists(spark, f"{out}/data"):
         return Drained(spark.createDataFrame([], stream.schema), late)
     stored = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{out}/data")
@@ -90,3 +110,79 @@ def drain(stream: DataFrame, keys, name: str = "stream") -> Drained:
     newest = stored.groupBy(*keys, "slot_start").agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
     windows = newest.select(*keys, "slot_start", *[F.col("_newest")[v].alias(v) for v in values]).select(*columns)
     return Drained(windows, late)
+
+
+@dataclass(frozen=True)
+class DrainedRates:
+    """``rates``: the samples with a rate per counter, as ``counter_rates`` gives them. ``late_rows``: samples that
+    came after the watermark had passed them and were left out; 0 means the rates hold all input."""
+
+    rates: DataFrame
+    late_rows: int
+
+
+def drain_rates(stream: DataFrame, counters, delay_seconds: int, keys=("host",), ts: str = "ts", tie: str | None = None,
+                path: str | None = None) -> DrainedRates:
+    """``counter_rates`` over a stream, steps over every edge of windows and micro-batches included.
+
+    Samples may come in any order within ``delay_seconds`` of the newest one seen: those behind that watermark are put
+    in order, and each key's last sample is carried to the next micro-batch. What is not yet behind it waits; the end
+    of the input settles all of it. A sample without a time has no rate and settles at once.
+
+    Waiting samples and carried ones (one per key) are a table with a version for each micro-batch, written under its
+    number: a batch run again after a failure reads the version before its own and overwrites its own, so nothing counts
+    twice. ``path`` keeps that table and the query's checkpoint, so a further run goes on where the last one ended;
+    samples that wait between two runs are settled for the first result and taken up again by the second.
+    """
+    spark, keys, columns = stream.sparkSession, list(keys), stream.columns
+    out = path or scratch_path(spark, "rates")
+    order = [ts] + ([tie] if tie else [])
+    role, at = "_role", F.col(ts)                        # 0: carried over from an earlier batch, 1: waiting
+    held = T.StructType([*stream.schema.fields, T.StructField(role, T.IntegerType())])
+    clock = "passed timestamp_ntz, newest timestamp_ntz, late bigint"
+    naive = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    point = (lambda c: c) if naive else utc_naive
+
+    def moment(t):
+        return F.lit(None if t is None else t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+    def version_before(number: int):
+        """The newest version below ``number``: (held rows, watermark passed, newest time, late rows so far)."""
+        for n in range(number - 1, -1, -1):
+            if path_exists(spark, f"{out}/clock/batch={n}"):
+                row = spark.read.schema(clock).parquet(f"{out}/clock/batch={n}").first()
+                return spark.read.schema(held).parquet(f"{out}/held/batch={n}"), row["passed"], row["newest"], row["late"]
+        return spark.createDataFrame([], held), None, None, 0
+
+    def settle(rows: DataFrame) -> DataFrame:
+        """Rates of the waiting rows, each after the row before it, which may be a carried one."""
+        return counter_rates(rows, counters, keys, ts, tie).where(F.col(role) == 1).drop(role)
+
+    def store(batch: DataFrame, number: int) -> None:
+        before, passed, newest, late = version_before(number)
+        arrived = batch.withColumn(role, F.lit(1)).persist()
+        try:
+            seen = arrived.agg(F.max(point(at)).alias("newest"), F.count_if(point(at) <= moment(passed)).alias("late")).first()
+            newest = max((t for t in (newest, seen["newest"]) if t is not None), default=None)
+            limit = None if newest is None else newest - timedelta(seconds=delay_seconds)
+            limit = max((t for t in (passed, limit) if t is not None), default=None)
+            behind = at.isNull() | (point(at) <= moment(limit))
+            on_time = arrived if passed is None else arrived.where(at.isNull() | (point(at) > moment(passed)))
+            known = materialize(before.unionByName(on_time).withColumn("_behind", F.coalesce(behind, F.lit(False))), "rates-batch")
+            ready, waiting = known.where("_behind").drop("_behind"), known.where("NOT _behind").drop("_behind")
+            settle(ready).write.mode("overwrite").parquet(f"{out}/data/batch={number}")
+            last = ready.where(at.isNotNull()).groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
+            carried = last.select("_last.*").withColumn(role, F.lit(0))
+            carried.unionByName(waiting).write.mode("overwrite").parquet(f"{out}/held/batch={number}")
+            spark.createDataFrame([(limit, newest, late + seen["late"])], clock).coalesce(1).write.mode("overwrite").parquet(
+                f"{out}/clock/batch={number}")
+        finally:
+            arrived.unpersist()
+
+    _run(stream.writeStream.outputMode("append"), store, out)
+    numbers = [int(p.rsplit("=", 1)[1]) for p in list_folders(spark, f"{out}/clock")]
+    rest, _, _, late = version_before(max(numbers, default=-1) + 1)
+    settled = settle(rest)
+    if numbers:
+        settled = spark.read.schema(settled.schema).parquet(*[f"{out}/data/batch={n}" for n in numbers]).unionByName(settled)
+    return DrainedRates(settled, late)

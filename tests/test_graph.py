@@ -58,6 +58,22 @@ def test_levels_and_cycle_report(spark):
     found = dependency_levels(nodes, edges)
     assert [tuple(r) for r in found.placed.select("node", "level").collect()] == [("d", 0)]
     assert sorted(r["node"] for r in found.cyclic.collect()) == ["a", "b", "c"]
+    fork = small_frame(spark, [("a", "b", 0), ("b", "c", 1), ("d", "b", 2)], "child string, parent string, ordinal bigint")
+    assert dependency_levels(nodes, fork, max_rounds=2).placed.count() == 4
     with pytest.raises(ValueError, match="longer than 1"):
-        chain = small_frame(spark, [("a", "b", 0), ("b", "c", 1)], "child string, parent string, ordinal bigint")
-        dependency_levels(nodes, chain, max_rounds=1)
+        dependency_levels(nodes, fork, max_rounds=1)
+
+
+def test_long_chain_takes_few_rounds(spark):
+    """A chain of 2000 levels, a second one of 700 beside it, a branch off the middle, and a ring that never starts."""
+    n = 2000
+    edges = [(i + 1, i) for i in range(n - 1)] + [(3000 + i + 1, 3000 + i) for i in range(699)] + [(5000, 1000)]
+    edges += [(6000 + (i + 1) % 50, 6000 + i) for i in range(50)] + [(7000, 6000)]
+    names = [*range(n), *range(3000, 3700), 5000, *range(6000, 6050), 7000]
+    nodes = spark.createDataFrame([(v, i) for i, v in enumerate(names)], "node long, ordinal long")
+    links = spark.createDataFrame([(c, p, i) for i, (c, p) in enumerate(edges)], "child long, parent long, ordinal long")
+    rows = topological_order(nodes, links).orderBy("position").collect()
+    level = {v: v for v in range(n)} | {3000 + i: i for i in range(700)} | {5000: 1001}
+    assert {r["node"]: r["level"] for r in rows} == level | {v: None for v in names if v >= 6000}
+    assert [r["node"] for r in rows] == first_in_first_out(names, edges)
+    dependency_levels(nodes, links, max_rounds=2)

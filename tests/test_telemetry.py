@@ -1,10 +1,12 @@
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tableport.operators import ranking, statements, telemetry as tel, throughput as thr
+from tableport.operators.ranking import preceding
 from tableport.plans.inventory import union_all
 from tableport.session import small_frame
 from tableport.streaming import slots as st
@@ -78,6 +80,65 @@ def test_summary_skips_or_fills_missing_slots(spark):
     assert not plain["has_server"] and plain["peak_srv_cpu"] is None
 
 
+def plain_grid(rows, step, carry_age):
+    """{(host, slot): (cpu, srv, sampled)} of {(host, slot): (cpu, srv)}, slot by slot."""
+    out = {}
+    for host in {h for h, _ in rows}:
+        slots = sorted(s for h, s in rows if h == host)
+        known, seen = None, None
+        for n in range((slots[-1] - slots[0]) // step + 1):
+            slot = slots[0] + n * step
+            cpu, srv = rows.get((host, slot), (None, None))
+            known, seen = (srv, n) if srv is not None else (known, seen)
+            alive = known is not None and (carry_age is None or n - seen <= carry_age)
+            out[host, slot] = (cpu, known if alive else None, (host, slot) in rows)
+    return out
+
+
+@pytest.mark.parametrize("age", [None, 0, 3])
+def test_full_grid_against_a_plain_walk(spark, age):
+    rnd = random.Random(age)
+    rows = {(rnd.choice(["a", "b", None, "busy", "busy"]), 5 * rnd.randint(0, 400)): (
+        rnd.choice([None, 1.0 * rnd.randint(0, 9)]), rnd.choice([None, None, 1.0 * rnd.randint(0, 9)])) for _ in range(300)}
+    rows |= {("far", 0): (1.0, 2.0), ("far", 5 * 20_000): (3.0, None), ("one", 50): (None, None)}
+    df = spark.createDataFrame([(h, at(s), *v) for (h, s), v in rows.items()], "host string, slot_start timestamp_ntz, cpu double, srv double")
+    got = tel.full_grid(df.repartition(7), ["cpu", "srv"], "5 seconds", carry=["srv"], max_age=age).collect()
+    assert {(r["host"], int((r["slot_start"] - T0).total_seconds())): (r["cpu"], r["srv"], r["sampled"]) for r in got} == plain_grid(rows, 5, age)
+    assert len(got) == len(plain_grid(rows, 5, age))
+
+
+def test_full_grid_of_instants_and_of_nothing(spark):
+    df = spark.sql("SELECT 'a' AS host, TIMESTAMP'2024-01-01 00:00:00' AS slot_start, 1.0D AS v UNION ALL SELECT 'a', TIMESTAMP'2024-01-01 03:00:00', 2.0D")
+    got = tel.full_grid(df, ["v"], "1 hour", carry=["v"]).orderBy("slot_start").collect()
+    assert [(r["v"], r["sampled"]) for r in got] == [(1.0, True), (1.0, False), (1.0, False), (2.0, True)]
+    assert tel.full_grid(df.limit(0), ["v"], "1 hour").count() == 0
+
+
+def test_known_values_come_over_task_edges(spark):
+    """Keys that span many sort tasks, with their last known value far back."""
+    rows = [("a", i, 1 if i == 3 else None) for i in range(4000)] + [("b", i, i if i % 900 == 7 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, n int, v int").repartition(5)
+    got = {(r["k"], r["n"]): (r["known_v"], r["prev_v"]) for r in preceding(df, ["k"], ["n"], ["v"], ["v"]).collect()}
+    want, known, before = {}, {}, {}
+    for k, n, v in rows:
+        want[k, n] = (known.get(k), before.get(k))
+        before[k], known[k] = v, known.get(k) if v is None else v
+    assert got == want
+
+
+def test_a_burst_in_one_instant_is_spread(spark):
+    rows = spark.range(20_000).selectExpr("'a' AS host", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id AS rx")
+    lagged = preceding(rows, ["host"], ["ts"], ["rx"]).select("rx", "prev_rx").collect()
+    assert len(lagged) == 20_000 and sum(r["prev_rx"] is None for r in lagged) == 1
+    assert len({r["prev_rx"] for r in lagged}) == 20_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = preceding(rows, ["host"], ["ts"], ["rx"]).rdd.glom().map(len).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 10_000
+
+
 def test_verdict_takes_the_first_saturated_layer(spark):
     cases = [  # has_server, cpu, workers, io, rx, local cpu
         ((True, 81.0, 99.0, 99.0, 1.0, 99.0), "server cpu"), ((True, 80.0, 81.0, 99.0, 1.0, 99.0), "server workers"),
@@ -149,6 +210,82 @@ def test_rows_behind_the_watermark_are_reported(spark, tmp_path):
     assert drained.late_rows > 0 and drained.windows.agg(F.sum("rows")).first()[0] < 9
 
 
+def file_per_batch(rows, schema, folder, first=0):
+    """One Parquet file for each list of rows, in the order in which a stream reads them."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(folder, exist_ok=True)
+    for i, some in enumerate(rows, first):
+        path = f"{folder}/part-{i:04d}.parquet"
+        pq.write_table(pa.Table.from_pylist([dict(zip(schema.names, r)) for r in some], schema=schema), path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def test_late_rows_over_more_batches_than_a_query_remembers(spark, tmp_path):
+    import pyarrow as pa
+
+    schema = pa.schema([("ts", pa.timestamp("us")), ("k", pa.string())])
+    rows = [[(at(60 * i), "a")] + ([(at(0), "a")] if i in (5, 6, 7) else []) for i in range(112)]
+    file_per_batch(rows, schema, f"{tmp_path}/in")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = st.read_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, files_per_batch=1)
+        drained = st.drain(st.heartbeat_stream(stream, ["k"], "90 seconds"), ["k"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert drained.late_rows == 3 and drained.windows.agg(F.sum("rows")).first()[0] == 112
+
+
+LONG = pytest.mark.skipif("TABLEPORT_LONG_TESTS" not in os.environ, reason="over three minutes")
+
+
+@pytest.mark.parametrize("files,stop", [(12, 5), pytest.param(104, 103, marks=LONG)])
+def test_stream_rates_equal_the_batch_over_edges_and_a_restart(spark, tmp_path, files, stop):
+    import pyarrow as pa
+
+    rnd = random.Random(files)
+    schema = pa.schema([("host", pa.string()), ("ts", pa.timestamp("us")), ("id", pa.int64()), ("rx", pa.int64())])
+    samples = [(rnd.choice(["a", "b", None, "rare"] if i % 40 == 0 else ["a", "b", None]), None if i % 61 == 60 else at(i // 3), i, rnd.randint(0, 10**9))
+               for i in range(files * 6)]
+    mixed = sorted(samples, key=lambda r: r[2] + rnd.randint(0, 30))     # out of order by at most ten seconds
+    groups = [mixed[i * 6:i * 6 + 6] for i in range(files)]
+    late = ("a", at(-100), 10**6, 1)
+    groups[4].append(late)
+    file_per_batch(groups[:stop], schema, f"{tmp_path}/in")
+    spark_schema = spark.read.parquet(f"{tmp_path}/in").schema
+
+    def run():
+        stream = st.read_stream(spark, f"{tmp_path}/in", spark_schema, files_per_batch=1)
+        return st.drain_rates(stream, ["rx"], 12, tie="id", path=f"{tmp_path}/state")
+
+    def rates(df):
+        return sorted(((r["host"], r["id"], r["rx_mib_s"]) for r in df.collect()), key=lambda r: r[1])
+
+    def batch(rows):
+        return rates(tel.counter_rates(spark.createDataFrame(rows, spark_schema), ["rx"], tie="id"))
+
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        first = run()
+        assert rates(first.rates) == batch([r for g in groups[:stop] for r in g if r != late]) and first.late_rows == 1
+        file_per_batch(groups[stop:], schema, f"{tmp_path}/in", stop)
+        second = run()
+        assert rates(second.rates) == batch(samples) and second.late_rows == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_stream_rates_of_nothing(spark, tmp_path):
+    import pyarrow as pa
+
+    schema = pa.schema([("host", pa.string()), ("ts", pa.timestamp("us")), ("rx", pa.int64())])
+    file_per_batch([[]], schema, f"{tmp_path}/in")
+    stream = st.read_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
+    drained = st.drain_rates(stream, ["rx"], 5)
+    assert drained.rates.count() == 0 and drained.late_rows == 0
+
+
 def test_union_all_keeps_every_copy(spark):
     frames = [spark.range(i).select("id") for i in range(6)]
     assert union_all(frames).count() == 15
