@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
@@ -130,6 +131,91 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int | None
     return Levels(known.where("level IS NOT NULL"), known.where("level IS NULL").select("node", "ordinal"))
 
 
+def _rings(links: DataFrame) -> DataFrame:
+    """(id, component) of rings, whose nodes all have one parent and one child: pointers are doubled, the least id kept."""
+    steps = materialize(links.select(F.col("child").alias("id"), F.col("parent").alias("far"), F.col("child").alias("component")), "rings")
+    reach, total = 1, steps.count()
+    while reach <= total:
+        ahead = steps.select(F.col("id").alias("far"), F.col("far").alias("further"), F.col("component").alias("other"))
+        steps = materialize(steps.join(ahead, "far").select(
+            "id", F.col("further").alias("far"), F.least("component", "other").alias("component")), "rings")
+        reach *= 2
+    return steps.select("id", "component")
+
+
+def _components(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component, size) of the strongly connected parts of (child, parent) links, by colouring.
+
+    The greatest id that leads to a node colours it; a part is what leads back to the node that gave the colour. All
+    colours are done at once, found parts leave, and the rest starts again.
+    """
+    spark, found = ids.sparkSession, []
+    while not ids.isEmpty():
+        colours = ids.select("id", F.col("id").alias("colour"))
+        while True:
+            seen = Observation()
+            sent = links.join(colours, F.col("child") == F.col("id")).select(F.col("parent").alias("id"), "colour", F.lit(None).cast("bigint").alias("own"))
+            after = colours.withColumn("own", F.col("colour")).unionByName(sent).groupBy("id").agg(
+                F.max("colour").alias("colour"), F.max("own").alias("own"))
+            colours = materialize(after.observe(seen, F.count_if(F.col("colour") > F.col("own")).alias("changed")).select("id", "colour"), "colours")
+            if not seen.get["changed"]:
+                break
+        inside = links.join(colours.withColumnsRenamed({"id": "child"}), "child").join(
+            colours.withColumnsRenamed({"id": "parent", "colour": "other"}), "parent").where("colour = other").select("child", "parent")
+        inside = materialize(inside, "colour-links")
+        reached = fresh_ones = materialize(colours.where("id = colour").select("id"), "reached")
+        while not fresh_ones.isEmpty():
+            back = inside.join(fresh_ones, F.col("parent") == F.col("id"), "left_semi").select(F.col("child").alias("id")).distinct()
+            fresh_ones = materialize(back.join(reached, "id", "left_anti"), "reached")
+            reached = reached.union(fresh_ones)
+        part = materialize(colours.join(reached, "id", "left_semi"), "parts")
+        found.append(part)
+        ids = materialize(ids.join(part, "id", "left_anti"), "rest")
+        links = materialize(links.join(ids.withColumnRenamed("id", "child"), "child", "left_semi").join(
+            ids.withColumnRenamed("id", "parent"), "parent", "left_semi"), "rest-links")
+    if not found:
+        return spark.createDataFrame([], "id bigint, component bigint, size bigint")
+    whole = reduce(DataFrame.unionByName, found)
+    sizes = whole.groupBy("colour").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("size"))
+    return whole.join(sizes, "colour").select("id", "component", "size")
+
+
+def cycles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) of every node that cannot be placed: ``component`` is the least ordinal among the nodes of its
+    cycle (nodes that depend on each other), and NULL for a node that only hangs behind a cycle or between two.
+
+    What no cycle follows is peeled off from behind, again by chains and frontiers. Chains of the rest are contracted,
+    since a chain lies on a cycle as a whole or not at all; rings are found by pointer doubling and the
+    remaining core by colouring, whose rounds grow with the number of chains of its longest cycle.
+    """
+    left = materialize(dependency_levels(nodes, edges).cyclic, "cyclic")
+    links = materialize(usable_edges(left, edges), "cyclic-edges")
+    core = materialize(dependency_levels(
+        left, links.select(F.col("parent").alias("child"), F.col("child").alias("parent"), "ordinal")).cyclic, "core")
+    numbered = {end: core.select(F.col("node").alias(end), F.col("ordinal").alias(f"{end}_id")) for end in ("child", "parent")}
+    links = materialize(links.join(numbered["child"], "child").join(numbered["parent"], "parent").select(
+        F.col("child_id").cast("bigint").alias("child"), F.col("parent_id").cast("bigint").alias("parent")), "core-links")
+    chains = _chains(links)
+    alone = links.join(links.groupBy("child").count().where("count = 1").select("child"), "child", "left_semi").join(
+        links.groupBy("parent").count().where("count = 1").select("parent"), "parent", "left_semi")
+    rings = _rings(alone.join(chains.select(F.col("node").alias("child")), "child", "left_anti"))
+    rings = materialize(rings, "ring-parts")
+    of_parent = chains.select(F.col("node").alias("parent"), "head")
+    ends = materialize(
+        links.join(chains.select(F.col("node").alias("child")), "child", "left_anti")
+        .join(rings.select(F.col("id").alias("child")), "child", "left_anti").join(of_parent, "parent", "left")
+        .select("child", F.coalesce("head", "parent").alias("parent")).distinct(), "core-ends")
+    heads = core.select(F.col("ordinal").cast("bigint").alias("id")).join(chains.select(F.col("node").alias("id")), "id", "left_anti")
+    heads = materialize(heads.join(rings, "id", "left_anti"), "core-heads")
+    loops = ends.where("child = parent").select(F.col("child").alias("id"), F.lit(True).alias("loop"))
+    parts = _components(heads, ends.where("child <> parent")).join(loops, "id", "left").where("size > 1 OR loop").select("id", "component")
+    # a chain belongs to the component of its head, whose least ordinal may be one of the chain
+    members = parts.unionByName(chains.join(parts, F.col("head") == F.col("id")).select(F.col("node").alias("id"), "component"))
+    least = members.groupBy("component").agg(F.min("id").alias("least"))
+    members = members.join(least, "component").select("id", F.col("least").alias("component")).unionByName(rings)
+    return left.join(members, F.col("ordinal") == F.col("id"), "left").select("node", "component")
+
+
 def topological_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, level, position): parents first, first in first out; nodes on or behind a cycle last,
     in input order and without a level."""

@@ -40,7 +40,11 @@ def q44b_topo_order(spark, root):
     return graph.topological_order(*_graph(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (q44_topo_levels, q44b_topo_order)}
+def q44c_cycles(spark, root):
+    return graph.cycles(*_graph(spark, root))
+
+
+QUERIES = {f.__name__: f for f in (q44_topo_levels, q44b_topo_order, q44c_cycles)}
 
 _GRAPH = """WITH RECURSIVE
     n AS (SELECT o_orderkey AS node FROM orders),
@@ -68,4 +72,10 @@ ORACLES = {
             FROM ord JOIN e ON e.parent = ord.node JOIN lvl ON lvl.node = e.child AND lvl.level = ord.level + 1 GROUP BY e.child)
         SELECT node, CAST(level AS INTEGER) AS level, row_number() OVER (ORDER BY level IS NULL, level, path, node) AS position
         FROM n LEFT JOIN ord USING (node)""",
+    "q44c_cycles": f"""{_GRAPH},
+        inner_edges AS (SELECT child, parent FROM e WHERE child IN (FROM late) AND parent IN (FROM late)),
+        reach AS (SELECT child AS a, parent AS b FROM inner_edges
+            UNION SELECT reach.a, x.parent FROM reach JOIN inner_edges x ON x.child = reach.b),
+        mutual AS (SELECT r.a, min(r.b) AS component FROM reach r JOIN reach s ON s.a = r.b AND s.b = r.a GROUP BY r.a)
+        SELECT late.node, component FROM late LEFT JOIN mutual ON mutual.a = late.node""",
 }

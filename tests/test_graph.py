@@ -3,7 +3,7 @@ from collections import deque
 
 import pytest
 
-from tableport.operators.graph import dependency_levels, topological_order
+from tableport.operators.graph import cycles, dependency_levels, topological_order
 from tableport.session import small_frame
 
 
@@ -77,3 +77,43 @@ def test_long_chain_takes_few_rounds(spark):
     assert {r["node"]: r["level"] for r in rows} == level | {v: None for v in names if v >= 6000}
     assert [r["node"] for r in rows] == first_in_first_out(names, edges)
     dependency_levels(nodes, links, max_rounds=2)
+
+
+def mutual(nodes, edges):
+    """{node: least node that it leads to and that leads back, or None} of the nodes on or behind a cycle."""
+    links = {(c, p) for c, p in edges if c != p and c in nodes and p in nodes}
+    reach = {n: set() for n in nodes}
+    for n in nodes:
+        todo = [n]
+        while todo:
+            at = todo.pop()
+            new = {p for c, p in links if c == at} - reach[n]
+            reach[n] |= new
+            todo += new
+    stuck = [n for n in nodes if n in reach[n] or any(m in reach[m] for m in reach[n])]
+    return {n: min((m for m in reach[n] if n in reach[m]), default=None) for n in stuck}
+
+
+def found_cycles(spark, nodes, edges):
+    n = spark.createDataFrame([(v, v) for v in nodes], "node long, ordinal long")
+    e = spark.createDataFrame([(c, p, i) for i, (c, p) in enumerate(edges)], "child long, parent long, ordinal long")
+    return {r["node"]: r["component"] for r in cycles(n, e).collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cycles_against_mutual_reach(spark, seed):
+    rng = random.Random(seed)
+    nodes = list(range(30 + 10 * seed))
+    edges = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(len(nodes) + 6)]
+    assert found_cycles(spark, nodes, edges) == mutual(nodes, edges)
+
+
+def test_long_cycles_and_what_hangs_between(spark):
+    ring = [(100 + (i + 1) % 40, 100 + i) for i in range(40)]                  # a ring by itself
+    loop = [(200 + (i + 1) % 30, 200 + i) for i in range(30)]                  # with a tail in front and one behind
+    other = [(300, 301), (301, 300)]
+    edges = ring + loop + other + [(250, 205), (251, 250), (300, 251), (210, 260), (1, 1), (400, 300)]
+    nodes = [1, *range(100, 140), *range(200, 230), 250, 251, 260, 300, 301, 400]
+    got = found_cycles(spark, nodes, edges)
+    assert got == {n: 100 for n in range(100, 140)} | {n: 200 for n in range(200, 230)} | {300: 300, 301: 300, 250: None, 251: None, 400: None}
+    assert found_cycles(spark, [1, 2], [(1, 2)]) == {}
