@@ -94,6 +94,14 @@ def table_dir(fqn: str) -> str:
     return ".".join(encode(part) for part in split_fqn(fqn))
 
 
+def names_of(tables: dict) -> dict:
+    """Tables by ``schema.table``, and by the bare name where only one schema has it."""
+    names = [(*split_fqn(fqn), df) for fqn, df in tables.items()]
+    bare = [table for _, table, _ in names]
+    out = {f"{schema}.{table}": df for schema, table, df in names}
+    return out | {table: df for _, table, df in names if bare.count(table) == 1}
+
+
 def check_database_name(name: str) -> str:
     """Guard in front of a drop: plain word characters only, never a system database."""
     if not re.fullmatch(DATABASE_NAME_PATTERN, name, flags=re.ASCII):

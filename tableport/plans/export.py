@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.names import make_fqn, quoted
+from ..functions.names import make_fqn, names_of, quoted
+from ..operators.constraints import Constraints
 from ..operators.reconcile import (
     assert_reconciled, fingerprints, merge_parts, missing_results, reconcile, stem_collisions)
 from ..session import path_exists, pinned, small_frame
@@ -48,9 +50,9 @@ def fqn_of(name, schema: str = "main") -> str:
     return make_fqn(*name) if isinstance(name, tuple) else make_fqn(schema, name)
 
 
-def concrete_plans(tables: Mapping[str, DataFrame], chunks: int, threshold: int) -> dict[str, ChunkPlan]:
-    """Chunk plan per table, keyed tables first."""
-    rows = export_order(plan_tables(tables, chunks, threshold, lean=True)).collect()  # one row per table
+def concrete_plans(tables: Mapping[str, DataFrame], chunks: int, threshold: int, declared=()) -> dict[str, ChunkPlan]:
+    """Chunk plan per table, keyed tables first. ``declared`` keys settle uniqueness without a look at the data."""
+    rows = export_order(plan_tables(tables, chunks, threshold, declared, lean=True)).collect()  # one row per table
     with ThreadPoolExecutor(8) as pool:
         made = pool.map(lambda r: chunk_plan(tables[r["table_name"]], r["strategy"], r["chunk_key"], chunks,
                                              (r["lo"], r["hi"])), rows)
@@ -62,6 +64,7 @@ def export_tables(
     level: int = 3, chunks: int | None = None, chunk_threshold: int | None = None, rows_per_group: int = 100_000,
     validate: bool = False, layout: str = "scan", parallel: int = 8, schema: str = "main",
     source_host: str = "", source_database: str = "", plans: Mapping[str, ChunkPlan] | None = None,
+    constraints: Constraints | None = None,
 ) -> DataFrame:
     """Write ``source`` (table name -> DataFrame) to ``out``; returns one row per stored part.
 
@@ -73,7 +76,8 @@ def export_tables(
     clusters large tables by their chunk key into ``chunks`` parts (8) at the price of one; ``chunks`` and
     ``chunk_threshold`` belong to it and are refused with the other. ``plans``
     overrides the plan of single tables: with the scan layout it fits a table read by the same plan's
-    chunk predicates, where every task already holds one part.
+    chunk predicates, where every task already holds one part. The keys of ``constraints`` (tables named ``table`` or
+    ``schema.table``) choose chunk keys without measuring what is unique; they are not checked here.
     """
     if layout not in ("scan", "key"):
         raise ValueError(f"unknown layout {layout!r}")
@@ -99,7 +103,10 @@ def export_tables(
 
     chosen = dict.fromkeys(tables, SINGLE)
     if layout == "key" and not schema_only:
-        by_fqn = concrete_plans({fqns[n]: df for n, df in tables.items()}, chunks, chunk_threshold)
+        known = {name: fqn for fqn in fqns.values() for name in names_of({fqn: None})}
+        known = {name: fqn for name, fqn in known.items() if name in names_of(dict.fromkeys(fqns.values()))}
+        declared = [replace(k, table=known[k.table]) for k in (constraints.keys if constraints else ()) if k.table in known]
+        by_fqn = concrete_plans({fqns[n]: df for n, df in tables.items()}, chunks, chunk_threshold, declared)
         chosen = {n: by_fqn[fqns[n]] for n in tables}
     chosen.update(plans or {})
 

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.names import column, split_fqn
+from ..functions.names import column, names_of
 from ..operators.constraints import Constraints, constraint_report, with_computed
 from ..session import small_frame
 from ..sources.bundle import check_bundle, manifest_problems, open_bundle
@@ -23,14 +23,6 @@ def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
 
 
-def names_of(restored: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Tables by ``schema.table``, and by the bare name where only one schema has it."""
-    names = [(*split_fqn(fqn), df) for fqn, df in restored.items()]
-    bare = [table for _, table, _ in names]
-    out = {f"{schema}.{table}": df for schema, table, df in names}
-    return out | {table: df for _, table, df in names if bare.count(table) == 1}
-
-
 def load_rounds(tables, references) -> list[list[str]]:
     """Tables in rounds, each after the tables its (child, parent) pairs refer to; a cycle loads together, last."""
     waiting = {t: {p for c, p in references if c == t and p != t} for t in tables}
@@ -69,6 +61,12 @@ def restore_tables(
     if absent:
         raise ValueError(f"no schema for {sorted(absent)}")
     parts = opened.parts()
+    if hasattr(target, "name"):
+        places = {fqn: target.name(fqn).lower() for fqn in expected}
+        for fqn, place in places.items():
+            same = [f for f, p in places.items() if p == place]
+            if len(same) > 1:
+                raise ValueError(f"{' and '.join(sorted(same))} would both become {target.name(fqn)}")
 
     if replace:
         if data_only:

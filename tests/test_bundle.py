@@ -289,6 +289,36 @@ def test_catalog_target(spark, tables, tmp_path):
         restore_tables(spark, f"{tmp_path}/b", CatalogTarget("default"), replace=True)
 
 
+def test_catalog_names_that_meet_are_refused(spark, tmp_path):
+    one = spark.range(3)
+    export_tables(spark, {("a", "b__c"): one, ("a__b", "c"): one}, f"{tmp_path}/b")
+    with pytest.raises(ValueError, match="would both become"):
+        restore_tables(spark, f"{tmp_path}/b", CatalogTarget("clash_db"), replace=True)
+    assert not spark.catalog.databaseExists("clash_db")
+    restore_tables(spark, f"{tmp_path}/b", PathTarget(f"{tmp_path}/r"))
+
+
+def test_declared_keys_spare_an_export_the_look_for_unique_columns(spark, tmp_path, monkeypatch):
+    from tableport.plans import inventory
+
+    looked = []
+    real = inventory.key_profile
+    monkeypatch.setattr(inventory, "key_profile", lambda tables, profile: looked.append(sorted(tables)) or real(tables, profile))
+    rows = spark.range(1000).selectExpr("id % 7 AS group_id", "id AS number", "'x' AS v")
+    keys = Constraints(keys=(Key("rows", ("number",)), Key("other.rows", ("group_id", "number")), Key("gone", ("x",))))
+    source = {"rows": rows, ("other", "rows"): rows}
+    with pytest.raises(ValueError, match="key layout"):
+        export_tables(spark, source, f"{tmp_path}/x", chunks=4, constraints=keys)
+    plain = export_tables(spark, source, f"{tmp_path}/a", layout="key", chunks=4, chunk_threshold=10)
+    assert looked == [["[main].[rows]", "[other].[rows]"]]
+    looked.clear()
+    only = Constraints(keys=(Key("main.rows", ("number",)), Key("other.rows", ("number",))))
+    declared = export_tables(spark, source, f"{tmp_path}/b", layout="key", chunks=4, chunk_threshold=10, constraints=only)
+    assert looked == [] and sorted(map(tuple, declared.drop("path").collect())) == sorted(map(tuple, plain.drop("path").collect()))
+    export_tables(spark, {"rows": rows}, f"{tmp_path}/c", layout="key", chunks=4, chunk_threshold=10, constraints=keys)
+    assert looked == []
+
+
 def test_constraints_follow_the_data(spark, tmp_path):
     parent = small_frame(spark, [(1,), (2,)], "id int")
     child = small_frame(spark, [(1, 1), (2, 3), (3, None)], "id int, parent_id int")
