@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import constraints as con
-from ..plans.inventory import inventory
+from ..operators import bitmaps, constraints as con
+from ..plans.inventory import inventory, union_all
 from ..session import small_frame
 from .common import load, load_all
 from .declared import CHECKS, COMPUTED, CONSTRAINTS
@@ -22,6 +22,23 @@ def q26b_pk_null(spark, root):
     return con.key_violations(orders, ("o_orderkey", "status"))
 
 
+def q26c_key_counts(spark, root):
+    """Rows and different keys of integer columns; unique where they are the same."""
+    wanted = [("orders", "o_orderkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey"), ("events", "user_id"), ("documents", "doc_id")]
+    return union_all([bitmaps.key_counts(load(spark, root, t), c).select(
+        F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "rows", "keys") for t, c in wanted])
+
+
+def q26d_repeated_keys(spark, root):
+    return bitmaps.repeated_keys(load(spark, root, "lineitem"), "l_orderkey")
+
+
+def q28c_orphans_by_bitmap(spark, root):
+    """Lines whose order is not among the finished ones."""
+    finished = load(spark, root, "orders").where("o_orderstatus = 'F'")
+    return bitmaps.orphans(load(spark, root, "lineitem"), "l_orderkey", finished, "o_orderkey")
+
+
 def q27_unique(spark, root):
     orders = load(spark, root, "orders").select(
         "o_custkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"))
@@ -90,7 +107,7 @@ def q33b_retained_constraints(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (
-    q26_pk, q26b_pk_null, q27_unique, q28_fk_orphans, q28b_fk_composite, q29_checks, q29b_check_rows,
+    q26_pk, q26b_pk_null, q26c_key_counts, q26d_repeated_keys, q28c_orphans_by_bitmap, q27_unique, q28_fk_orphans, q28b_fk_composite, q29_checks, q29b_check_rows,
     q30_not_null, q31_computed, q32_report, q33_retain, q33b_retained_constraints)}
 
 _LINE_NULLS = {"l_returnflag": "nullif(l_returnflag, 'N')", "l_tax": "nullif(l_tax, 0)",
@@ -126,6 +143,13 @@ def _report():
 
 
 ORACLES = {
+    "q26c_key_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS rows, count(DISTINCT {c}) AS keys FROM {t}"
+        for t, c in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey"), ("events", "user_id"),
+                     ("documents", "doc_id"))),
+    "q26d_repeated_keys": "SELECT l_orderkey, count(*) AS copies FROM lineitem GROUP BY 1 HAVING count(*) > 1",
+    "q28c_orphans_by_bitmap": """SELECT l_orderkey, count(*) AS child_rows FROM lineitem
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1""",
     "q26_pk": """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
         GROUP BY ALL HAVING count(*) > 1""",
     "q26b_pk_null": """SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, count(*) AS copies FROM orders
