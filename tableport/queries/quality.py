@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import bitmaps, constraints as con
+from ..operators import bitmaps, constraints as con, difference
 from ..plans.inventory import inventory, union_all
 from ..session import small_frame
 from .common import load, load_all
@@ -22,6 +22,13 @@ def q26b_pk_null(spark, root):
     return con.key_violations(orders, ("o_orderkey", "status"))
 
 
+def q23c_located_differences(spark, root):
+    """A copy of lineitem with changed, lost and doubled rows; the keys are found again."""
+    lines, k = load(spark, root, "lineitem"), F.col("l_orderkey")
+    copy = lines.where(k % 1009 != 3).withColumn("l_quantity", F.when(k % 997 == 5, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    return difference.locate_differences(lines, copy.unionByName(copy.where(k % 1013 == 7)), "l_orderkey")
+
+
 def q26c_key_counts(spark, root):
     """Rows and different keys of integer columns; unique where they are the same."""
     wanted = [("orders", "o_orderkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey"), ("events", "user_id"), ("documents", "doc_id")]
@@ -107,7 +114,7 @@ def q33b_retained_constraints(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (
-    q26_pk, q26b_pk_null, q26c_key_counts, q26d_repeated_keys, q28c_orphans_by_bitmap, q27_unique, q28_fk_orphans, q28b_fk_composite, q29_checks, q29b_check_rows,
+    q23c_located_differences, q26_pk, q26b_pk_null, q26c_key_counts, q26d_repeated_keys, q28c_orphans_by_bitmap, q27_unique, q28_fk_orphans, q28b_fk_composite, q29_checks, q29b_check_rows,
     q30_not_null, q31_computed, q32_report, q33_retain, q33b_retained_constraints)}
 
 _LINE_NULLS = {"l_returnflag": "nullif(l_returnflag, 'N')", "l_tax": "nullif(l_tax, 0)",
@@ -143,6 +150,15 @@ def _report():
 
 
 ORACLES = {
+    "q23c_located_differences": """WITH changed AS (SELECT * REPLACE (CASE WHEN l_orderkey % 997 = 5 THEN l_quantity + 1 ELSE l_quantity END
+                AS l_quantity) FROM lineitem WHERE l_orderkey % 1009 <> 3),
+        copy AS (FROM changed UNION ALL FROM changed WHERE l_orderkey % 1013 = 7),
+        n AS (SELECT l_orderkey, md5(CAST(x AS VARCHAR)) AS h, count(*) FILTER (side = 0) AS l, count(*) FILTER (side = 1) AS r
+              FROM (SELECT l_orderkey, lineitem AS x, 0 AS side FROM lineitem UNION ALL SELECT l_orderkey, copy, 1 FROM copy) GROUP BY ALL),
+        d AS (SELECT l_orderkey, CAST(sum(greatest(l - r, 0)) AS BIGINT) AS missing, CAST(sum(greatest(r - l, 0)) AS BIGINT) AS extra,
+                     count(*) FILTER (r > l AND l = 0) AS new FROM n GROUP BY 1)
+        SELECT l_orderkey, missing, extra, CASE WHEN missing > 0 AND extra > 0 THEN 'changed' WHEN missing > 0 THEN 'lost'
+            WHEN new = 0 THEN 'doubled' ELSE 'added' END AS kind FROM d WHERE missing > 0 OR extra > 0""",
     "q26c_key_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS rows, count(DISTINCT {c}) AS keys FROM {t}"
         for t, c in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey"), ("events", "user_id"),
