@@ -97,8 +97,8 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str, key: str = "doc_id") -> None:
-    """``docs`` as Parquet folders ``shard=.../page=...``; ``key`` must be unique. Overflow needs no special case,
-    because the shuffle is by shard and page and AQE may split it."""
-    where = assigned.select(F.col(quoted(key)), "shard", "page").dropDuplicates()
-    keyed = docs.join(where, key)
+    """``docs`` as Parquet folders ``shard=.../page=...``; ``key`` must be unique (a row without one is a key too).
+    Overflow needs no special case, because the shuffle is by shard and page and AQE may split it."""
+    where = assigned.select(F.col(quoted(key)).alias("_op_key"), "shard", "page").dropDuplicates()
+    keyed = docs.join(where, docs[quoted(key)].eqNullSafe(where["_op_key"])).drop("_op_key")
     keyed.hint("rebalance", "shard", "page").write.partitionBy("shard", "page").parquet(path)
