@@ -3,8 +3,8 @@
 The k-mers of a text are its five-word shingles, each labelled with its occurrence number, so a text is a set even
 where it repeats itself. One repetition of the sketch takes the few labelled k-mers with the least hash values and
 keeps them in text order; two texts meet in a bucket when a repetition gives both the same sequence, which needs
-common k-mers in a common order. All texts of a bucket are then compared: labelled Jaccard similarity first, and
-banded alignment of the words for those that reach the threshold.
+common k-mers in a common order. The texts of a bucket are then compared: banded alignment verifies pairs that have
+as many shingles in common as their edits must leave, and equal shingles in any order count by their Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from .common import give_back, partitions_of, quoted
 from .components import connected
 
 K = 5
-THRESHOLD = 0.8
+THRESHOLD = 0.8                                          # of labelled shingles
+ALIKE = 0.9                                              # of words, by alignment
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -126,25 +127,32 @@ def edit_distance(a, b, most: int, max_cells: int = 8_000_000):
         band *= 4
 
 
-def similar(a, b, threshold: float = THRESHOLD) -> bool:
-    """Edit similarity of two word sequences: at most ``1 - threshold`` of the longer one is edited."""
-    most = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
-    return edit_distance(a, b, most) is not None
+def similar(a, b, alike: float) -> bool:
+    """Edit similarity of two word sequences: at most ``1 - alike`` of the longer one is edited."""
+    return edit_distance(a, b, most_edits(max(len(a), len(b)), alike)) is not None
 
 
-def compare_group(keys, tokens, side, threshold: float = THRESHOLD):
+def most_edits(words, alike: float):
+    """How many words of the longer text may be edited."""
+    return np.floor((1 - alike) * words + 1e-9).astype("i8")
+
+
+def compare_group(keys, tokens, side, classes, threshold: float = THRESHOLD, alike: float = ALIKE):
     """Links (i, j) that join the texts of a bucket into the classes all its similar pairs give.
 
     ``side`` tells which of two blocks a text is from (all 0 in one block); with two blocks only pairs across are
-    compared. A pair already joined needs no test, so the links form a forest. Each text's common shingles with all
-    others are counted at once.
+    compared. Texts of one of ``classes`` are joined already. A pair already joined needs no test, so the links form a
+    forest. Each text's common shingles with all others are counted at once. A pair is aligned only if it can be
+    alike: an edit changes at most ``K`` shingles, so texts of few edits have all others in common.
     """
     sets = [np.unique(labelled_shingles(t)) for t in tokens]
-    sizes = np.array([len(s) for s in sets])
+    sizes, words = np.array([len(s) for s in sets]), np.array([len(t) for t in tokens])
     _, codes = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    side, flags, root = np.asarray(side), np.zeros(codes.max() + 1, "i4"), list(range(len(keys)))
+    side, flags, root, first = np.asarray(side), np.zeros(codes.max() + 1, "i4"), list(range(len(keys))), {}
     two = side.min() != side.max()
+    for i, c in enumerate(classes):
+        root[i] = first.setdefault(c, i)
 
     def find(x):
         while root[x] != x:
@@ -160,9 +168,11 @@ def compare_group(keys, tokens, side, threshold: float = THRESHOLD):
         common = np.add.reduceat(flags[codes], starts)
         flags[own] = 0
         close = common >= threshold * (sizes + sizes[i] - common) - 1e-9
-        close &= (side == 1) if two else (np.arange(len(keys)) > i)
-        for j in np.flatnonzero(close):
-            if find(i) != find(j) and similar(tokens[i], tokens[j], threshold):
+        longer = np.maximum(words, words[i])
+        near = common >= np.maximum(1, np.maximum(sizes, sizes[i]) - K * most_edits(longer, alike))
+        others = (side == 1) if two else (np.arange(len(keys)) > i)
+        for j in np.flatnonzero((close | near) & others):
+            if find(i) != find(j) and (close[j] or similar(tokens[i], tokens[j], alike)):
                 root[find(j)] = find(i)
                 yield i, int(j)
 
@@ -203,27 +213,61 @@ def _buckets(base: DataFrame, repetitions: int, length: int, seed: int) -> DataF
     return worded.mapInArrow(sketches, "key binary, bucket long").distinct()
 
 
-def links(base: DataFrame, repetitions: int, length: int, threshold: float, block: int, seed: int) -> DataFrame:
-    """(a, b): verified links between different word sequences, enough to join each class."""
+def links(base: DataFrame, repetitions: int, length: int, threshold: float, alike: float, block: int,
+          seed: int) -> DataFrame:
+    """(a, b): verified links between different word sequences, enough to join each class.
+
+    First every text of a bucket is compared with the least one (``lead``), which joins a large group of copies in as
+    many comparisons as it has texts. Then all pairs of a bucket that are not joined yet: the texts outside the largest
+    joined set of their bucket are compared with one another and with that set, which is not compared within itself.
+    """
     members = materialize(_buckets(base, repetitions, length, seed), "omh-buckets")
     number = F.xxhash64("key")
-    sizes = (members.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(number).alias("x"),
-                                           F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+    sizes = (members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("lead"),
+                                           F.bit_xor(number).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
              .where(F.col("n") > 1))
     # the repetitions often bring the same texts together; each set of texts is compared once
-    chosen = sizes.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))
-    met = materialize(members.join(chosen.select("bucket", "n"), "bucket"), "omh-met")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    with_all = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
-        F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
-    dealt = (met.withColumn("blocks", blocks).withColumn("own", own)
-             .select("bucket", "key", "own", F.explode(with_all).alias("pair"))
-             .select("bucket", "key", "pair.i", "pair.j", (F.col("own") != F.col("pair.i")).cast("int").alias("side")))
+    chosen = sizes.groupBy("n", "lead", "x", "y").agg(F.min("bucket").alias("bucket"))
+    met = materialize(members.join(chosen.select("bucket", "n", "lead"), "bucket"), "omh-met")
     wanted = met.select("key").distinct()
-    texts = (base.where(F.col("key").isNotNull()).select("key", "tokens").join(wanted, "key", "left_semi")
-             .groupBy("key").agg(F.first("tokens").alias("tokens")))
-    laid = (dealt.join(texts, "key").repartition(partitions_of(base), "bucket", "i", "j")
+    texts = materialize(base.where(F.col("key").isNotNull()).select("key", "tokens").join(wanted, "key", "left_semi")
+                        .groupBy("key").agg(F.first("tokens").alias("tokens")), "omh-texts")
+
+    widest = chosen.groupBy("lead").agg(F.ceil(F.max("n") / block).cast("int").alias("blocks"))
+    widest = materialize(widest, "omh-leads")
+    apart = (met.where(F.col("key") != F.col("lead")).select("lead", "key").distinct().join(widest, "lead")
+             .select(F.col("lead").alias("bucket"), F.pmod(number, "blocks").cast("int").alias("i"), "key",
+                     F.lit(1).alias("side")))
+    leads = widest.select(F.col("lead").alias("bucket"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"),
+                          F.col("lead").alias("key"), F.lit(0).alias("side"))
+    stars = apart.unionByName(leads).withColumn("j", F.col("i")).withColumn("class", F.col("key"))
+    led = materialize(_compared(stars, texts, threshold, alike), "omh-led")
+
+    # two texts linked to one lead are joined
+    joined = led.select("a", "b").union(led.select("b", "a")).toDF("key", "other").groupBy("key").agg(F.min("other").alias("other"))
+    joined = materialize(joined.select("key", F.least("key", "other").alias("class")), "omh-joined")
+    known = materialize(met.select("bucket", "key").join(joined, "key", "left")
+                        .select("bucket", "key", F.coalesce("class", "key").alias("class")), "omh-known")
+    largest = (known.groupBy("bucket", "class").agg(F.count("*").alias("n")).groupBy("bucket")
+               .agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("m"), F.sum("n").alias("n"))
+               .where(F.col("n") > F.col("m")))
+    largest = materialize(largest.select(
+        "bucket", "main", F.ceil((F.col("n") - F.col("m")) / block).cast("int").alias("others"),
+        F.ceil(F.col("m") / block).cast("int").alias("mains")), "omh-largest")
+    in_main = F.col("class") == F.col("main")
+    own = F.when(in_main, F.col("others") + F.pmod(number, "mains")).otherwise(F.pmod(number, "others")).cast("int")
+    last = F.when(in_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    with_all = F.transform(F.sequence(F.lit(0), last.cast("int")), lambda o: F.struct(
+        F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
+    dealt = (known.join(largest, "bucket").withColumn("own", own)
+             .select("bucket", "key", "class", "own", F.explode(with_all).alias("pair"))
+             .select("bucket", "key", "class", "pair.i", "pair.j", (F.col("own") != F.col("pair.i")).cast("int").alias("side")))
+    return led.union(_compared(dealt, texts, threshold, alike))
+
+
+def _compared(dealt: DataFrame, texts: DataFrame, threshold: float, alike: float) -> DataFrame:
+    """(a, b): links within each (bucket, i, j) of ``dealt`` (bucket, i, j, key, class, side)."""
+    laid = (dealt.join(texts, "key").repartition(partitions_of(texts), "bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j", "key"))
 
     def compare(batches):
@@ -232,23 +276,24 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, bloc
         def found(group):
             if len(group) < 2:
                 return
-            keys, tokens = [g[0] for g in group], [g[2] for g in group]
-            pairs = [(keys[i], keys[j]) for i, j in compare_group(keys, tokens, [g[1] for g in group], threshold)]
+            keys, sides, classes, tokens = zip(*group)
+            pairs = [(keys[i], keys[j]) for i, j in compare_group(keys, tokens, sides, classes, threshold, alike)]
             if pairs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p[s] for p in pairs], pa.binary()) for s in (0, 1)], names=["a", "b"])
 
         at, group = None, []
         for batch in batches:
-            column = {n: batch.column(batch.schema.get_field_index(n)) for n in ("bucket", "i", "j", "key", "side", "tokens")}
+            column = {n: batch.column(batch.schema.get_field_index(n))
+                      for n in ("bucket", "i", "j", "key", "side", "class", "tokens")}
             flat, offsets = column["tokens"].values.to_numpy(), column["tokens"].offsets.to_numpy()
             places = zip(*[column[n].to_pylist() for n in ("bucket", "i", "j")])
-            keys, sides = column["key"].to_pylist(), column["side"].to_pylist()
+            keys, sides, classes = (column[n].to_pylist() for n in ("key", "side", "class"))
             for row, place in enumerate(places):
                 if place != at:
                     yield from found(group)
                     at, group = place, []
-                group.append((keys[row], sides[row], flat[offsets[row]:offsets[row + 1]].copy()))
+                group.append((keys[row], sides[row], classes[row], flat[offsets[row]:offsets[row + 1]].copy()))
         yield from found(group)
         del group
         give_back()
@@ -256,23 +301,24 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, bloc
     return laid.mapInArrow(compare, "a binary, b binary")
 
 
-def classify(base: DataFrame, repetitions: int = 20, length: int = 3, threshold: float = THRESHOLD,
-             block: int = 256, seed: int = 7) -> DataFrame:
+def classify(base: DataFrame, repetitions: int = 24, length: int = 2, threshold: float = THRESHOLD,
+             alike: float = ALIKE, block: int = 256, seed: int = 7) -> DataFrame:
     """(doc_id, text_md5, root, class_id) for each row of ``tokenized``: the least id of the row's class.
 
     ``root`` tells classes apart whose ids are repeated or null; it is null for a text without a word.
 
-    Two texts are linked if their labelled five-word shingles have a Jaccard similarity and their words an edit
-    similarity of at least ``threshold``; a class is a connected set of links, and texts with equal words are in one.
-    At similarity 0.8 a pair meets in one of 20 repetitions of 3 k-mers with probability over 0.999999. A text of
-    fewer than five words is one shingle, so it is linked to equal words only. A text without a word is a class of
-    its own. Ids that are null do not count for the least id; repeated rows share a class. An empty table gives none.
+    Two texts are linked if their labelled five-word shingles have a Jaccard similarity of at least ``threshold``
+    (wherever the shingles stand, so moved blocks count), or if banded alignment gives their words an edit similarity of
+    at least ``alike``; a class is a connected set of links, and texts with equal words are in one. A pair of shingle
+    similarity j meets in one of 24 repetitions of 2 k-mers with probability 1 - (1 - j * j) ** 24: 0.999 at 0.5, 0.98
+    at 0.4. A text of under ten words has no edit within 0.9, one of fewer than five words is one shingle. A text
+    without a word is a class of its own. Ids that are null do not count for the least id; repeated rows share a class. An empty table gives none.
 
     Texts that meet nobody never leave their sketch. A bucket is compared in blocks of about ``block`` texts, and
-    two blocks at a time, so a group with a third of all rows is spread over many tasks, none of which holds more
-    than two blocks, and only links that join classes come out.
+    two blocks at a time, so a group with a third of all rows is spread over many tasks, and only links that join
+    classes come out. Copies of one text cost a comparison each; different texts of one bucket all their pairs.
     """
-    edges = materialize(links(base, repetitions, length, threshold, block, seed), "omh-links")
+    edges = materialize(links(base, repetitions, length, threshold, alike, block, seed), "omh-links")
     roots = connected(edges)                             # (node, root), nodes with a link only
     least = base.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("own"))
     rooted = least.join(roots, least["key"] == roots["node"], "left").select(

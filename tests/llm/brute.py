@@ -23,7 +23,7 @@ def shingles(text):
     return words, out
 
 
-def classes(rows, threshold=0.8):
+def classes(rows, threshold=0.8, alike=0.9):
     """{row number: least id of its class} of (id, text) rows; None for a class without an id."""
     sets = [shingles(text) for _, text in rows]
     root, met = list(range(len(rows))), Counter()
@@ -41,8 +41,10 @@ def classes(rows, threshold=0.8):
         met.update((a, b) for n, a in enumerate(group) for b in group[n + 1:])
     for (a, b), n in met.items():
         (wa, sa), (wb, sb) = sets[a], sets[b]
-        if n >= threshold * (len(sa) + len(sb) - n) - 1e-9 and find(a) != find(b):
-            if wa == wb or edits(wa, wb) <= int((1 - threshold) * max(len(wa), len(wb)) + 1e-9):
+        if find(a) != find(b):
+            most = int((1 - alike) * max(len(wa), len(wb)) + 1e-9)
+            near = n >= threshold * (len(sa) + len(sb) - n) - 1e-9
+            if near or sum((Counter(wa) & Counter(wb)).values()) >= max(len(wa), len(wb)) - most and edits(wa, wb) <= most:
                 root[find(b)] = find(a)
     least = {}
     for i, (own, _) in enumerate(rows):

@@ -190,6 +190,36 @@ def test_large_group_in_blocks(spark):
     assert kept == sorted(set(want.values()))
 
 
+def test_edited_and_moved_copies_are_found(spark):
+    random.seed(6)
+    texts = []
+    for i in range(150):
+        base = [f"w{random.randint(0, 9000)}" for _ in range(random.randint(60, 400))]
+        copy = list(base)
+        for at in random.sample(range(len(base)), int(len(base) * (0.05 if i < 100 else 0.085)) if i < 140 else 0):
+            if random.random() < 0.6:
+                copy[at] = f"new{random.getrandbits(40)}"
+            else:
+                copy[at] = copy[at] + f" more{random.getrandbits(40)}"
+        if i >= 140:                                    # the first third moved to the end
+            copy = copy[len(copy) // 3:] + copy[:len(copy) // 3]
+        texts += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    got = dict(rows(ordermin.near_classes(spark.createDataFrame(texts, "doc_id long, text string")), "doc_id", "class_id"))
+    for low, high in ((0, 100), (100, 140), (140, 150)):
+        found = sum(got[2 * i + 1] == 2 * i for i in range(low, high))
+        assert found >= 0.98 * (high - low)
+    assert all(got[2 * i] == 2 * i for i in range(150))
+
+
+def test_joined_texts_are_not_compared_again():
+    base = np.arange(60)
+    group = [base, np.append(base[1:], 7), np.append(base[2:], [8, 9])]
+    every = list(ordermin.compare_group("abc", group, [0, 0, 0], "abc"))
+    assert every == [(0, 1), (0, 2)]
+    assert list(ordermin.compare_group("abc", group, [0, 0, 0], "xxc")) == [(0, 2)]
+    assert list(ordermin.compare_group("abc", group, [0, 1, 1], "axx")) == [(0, 1)]
+
+
 def test_classes_of_odd_tables(spark, odd_docs, no_docs):
     assert ordermin.near_classes(no_docs).count() == 0 == ordermin.first_of_each(no_docs).count()
     data = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
