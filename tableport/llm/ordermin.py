@@ -36,6 +36,11 @@ def labelled_shingles(tokens):
     h = np.zeros(len(t) - k + 1, "u8")
     for i in range(k):
         h = _mix(h * _P + t[i:len(t) - k + 1 + i] + np.uint64(k))
+    return labelled(h)
+
+
+def labelled(h):
+    """Each number joined with how often it has occurred before, so that a list becomes a set."""
     order = np.argsort(h, kind="stable")
     in_order = h[order]
     starts = np.flatnonzero(np.concatenate(([True], in_order[1:] != in_order[:-1])))
@@ -137,19 +142,35 @@ def most_edits(words, alike: float):
     return np.floor((1 - alike) * words + 1e-9).astype("i8")
 
 
+def _in_common(sets):
+    """A function of i: how many elements set i has in common with each of ``sets`` (none of them empty)."""
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum([len(s) for s in sets])
+    starts, flags = np.concatenate(([0], ends[:-1])), np.zeros(codes.max() + 1, "i4")
+
+    def of(i):
+        own = codes[starts[i]:ends[i]]
+        flags[own] = 1
+        found = np.add.reduceat(flags[codes], starts)
+        flags[own] = 0
+        return found
+
+    return of
+
+
 def compare_group(keys, tokens, side, classes, threshold: float = THRESHOLD, alike: float = ALIKE):
     """Links (i, j) that join the texts of a bucket into the classes all its similar pairs give.
 
     ``side`` tells which of two blocks a text is from (all 0 in one block); with two blocks only pairs across are
     compared. Texts of one of ``classes`` are joined already. A pair already joined needs no test, so the links form a
     forest. Each text's common shingles with all others are counted at once. A pair is aligned only if it can be
-    alike: an edit changes at most ``K`` shingles, so texts of few edits have all others in common.
+    alike: an edit changes at most ``K`` shingles and one word, so texts of few edits have all others in common.
     """
     sets = [np.unique(labelled_shingles(t)) for t in tokens]
     sizes, words = np.array([len(s) for s in sets]), np.array([len(t) for t in tokens])
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    side, flags, root, first = np.asarray(side), np.zeros(codes.max() + 1, "i4"), list(range(len(keys))), {}
+    common_shingles = _in_common(sets)
+    common_words = _in_common([labelled(np.asarray(t, "i8").astype("u8")) for t in tokens])
+    side, root, first = np.asarray(side), list(range(len(keys))), {}
     two = side.min() != side.max()
     for i, c in enumerate(classes):
         root[i] = first.setdefault(c, i)
@@ -163,14 +184,14 @@ def compare_group(keys, tokens, side, classes, threshold: float = THRESHOLD, ali
     for i in range(len(keys)):
         if two and side[i]:
             continue
-        own = codes[starts[i]:starts[i] + sizes[i]]
-        flags[own] = 1
-        common = np.add.reduceat(flags[codes], starts)
-        flags[own] = 0
+        common = common_shingles(i)
         close = common >= threshold * (sizes + sizes[i] - common) - 1e-9
         longer = np.maximum(words, words[i])
-        near = common >= np.maximum(1, np.maximum(sizes, sizes[i]) - K * most_edits(longer, alike))
+        most = most_edits(longer, alike)
+        near = common >= np.maximum(1, np.maximum(sizes, sizes[i]) - K * most)
         others = (side == 1) if two else (np.arange(len(keys)) > i)
+        if (near & others & ~close).any():
+            near &= common_words(i) >= longer - most
         for j in np.flatnonzero((close | near) & others):
             if find(i) != find(j) and (close[j] or similar(tokens[i], tokens[j], alike)):
                 root[find(j)] = find(i)
@@ -243,9 +264,8 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, alik
     stars = apart.unionByName(leads).withColumn("j", F.col("i")).withColumn("class", F.col("key"))
     led = materialize(_compared(stars, texts, threshold, alike), "omh-led")
 
-    # two texts linked to one lead are joined
-    joined = led.select("a", "b").union(led.select("b", "a")).toDF("key", "other").groupBy("key").agg(F.min("other").alias("other"))
-    joined = materialize(joined.select("key", F.least("key", "other").alias("class")), "omh-joined")
+    # copies of one text are often less alike than each is to some lead: what links join by any way is joined
+    joined = connected(led).select(F.col("node").alias("key"), F.col("root").alias("class"))
     known = materialize(met.select("bucket", "key").join(joined, "key", "left")
                         .select("bucket", "key", F.coalesce("class", "key").alias("class")), "omh-known")
     largest = (known.groupBy("bucket", "class").agg(F.count("*").alias("n")).groupBy("bucket")
