@@ -169,7 +169,13 @@ def compare_group(keys, tokens, side, classes, threshold: float = THRESHOLD, ali
     sets = [np.unique(labelled_shingles(t)) for t in tokens]
     sizes, words = np.array([len(s) for s in sets]), np.array([len(t) for t in tokens])
     common_shingles = _in_common(sets)
-    common_words = _in_common([labelled(np.asarray(t, "i8").astype("u8")) for t in tokens])
+    bags = [None] * len(keys)
+
+    def bag(x):
+        if bags[x] is None:
+            bags[x] = labelled(np.asarray(tokens[x], "i8").astype("u8"))
+        return bags[x]
+
     side, root, first = np.asarray(side), list(range(len(keys))), {}
     two = side.min() != side.max()
     for i, c in enumerate(classes):
@@ -190,10 +196,11 @@ def compare_group(keys, tokens, side, classes, threshold: float = THRESHOLD, ali
         most = most_edits(longer, alike)
         near = common >= np.maximum(1, np.maximum(sizes, sizes[i]) - K * most)
         others = (side == 1) if two else (np.arange(len(keys)) > i)
-        if (near & others & ~close).any():
-            near &= common_words(i) >= longer - most
         for j in np.flatnonzero((close | near) & others):
-            if find(i) != find(j) and (close[j] or similar(tokens[i], tokens[j], alike)):
+            if find(i) == find(j):
+                continue
+            if close[j] or (len(np.intersect1d(bag(i), bag(j), assume_unique=True)) >= longer[j] - most[j]
+                            and similar(tokens[i], tokens[j], alike)):
                 root[find(j)] = find(i)
                 yield i, int(j)
 
@@ -241,6 +248,7 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, alik
     First every text of a bucket is compared with the least one (``lead``), which joins a large group of copies in as
     many comparisons as it has texts. Then all pairs of a bucket that are not joined yet: the texts outside the largest
     joined set of their bucket are compared with one another and with that set, which is not compared within itself.
+    The repetitions bring one large set together in many buckets, so these are compared as one group if that is less.
     """
     members = materialize(_buckets(base, repetitions, length, seed), "omh-buckets")
     number = F.xxhash64("key")
@@ -270,16 +278,31 @@ def links(base: DataFrame, repetitions: int, length: int, threshold: float, alik
                         .select("bucket", "key", F.coalesce("class", "key").alias("class")), "omh-known")
     largest = (known.groupBy("bucket", "class").agg(F.count("*").alias("n")).groupBy("bucket")
                .agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("m"), F.sum("n").alias("n"))
-               .where(F.col("n") > F.col("m")))
-    largest = materialize(largest.select(
-        "bucket", "main", F.ceil((F.col("n") - F.col("m")) / block).cast("int").alias("others"),
-        F.ceil(F.col("m") / block).cast("int").alias("mains")), "omh-largest")
+               .where(F.col("n") > F.col("m")).select("bucket", "main", "m", (F.col("n") - F.col("m")).alias("o")))
+    largest = materialize(largest, "omh-largest")
+
+    def rows(m, o):                                      # laid out for m texts of the main set and o others
+        return m * F.ceil(o / block) + o * (F.ceil(o / block) + F.ceil(m / block))
+
+    # buckets with one main set are compared as one group where that lays out no more rows than each on its own
+    placed = materialize(known.join(largest, "bucket"), "omh-placed")
     in_main = F.col("class") == F.col("main")
+    whole = (placed.select("main", "key", "class").distinct().groupBy("main")
+             .agg(F.count_if(in_main).alias("m"), F.count_if(~in_main).alias("o")))
+    apart = largest.groupBy("main").agg(F.sum(rows(F.col("m"), F.col("o"))).alias("rows"))
+    one = materialize(whole.join(apart, "main").where(rows(F.col("m"), F.col("o")) <= F.col("rows"))
+                      .select("main", F.col("m").alias("all_m"), F.col("o").alias("all_o")), "omh-one")
+    own_group = F.when(F.col("all_m").isNotNull(), F.col("main")).otherwise(
+        F.unhex(F.lpad(F.hex("bucket"), 16, "0")))
+    grouped = (placed.join(one, "main", "left").select(
+        own_group.alias("bucket"), "key", "class", "main",
+        F.ceil(F.coalesce("all_o", "o") / block).cast("int").alias("others"),
+        F.ceil(F.coalesce("all_m", "m") / block).cast("int").alias("mains")).distinct())
     own = F.when(in_main, F.col("others") + F.pmod(number, "mains")).otherwise(F.pmod(number, "others")).cast("int")
     last = F.when(in_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
     with_all = F.transform(F.sequence(F.lit(0), last.cast("int")), lambda o: F.struct(
         F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
-    dealt = (known.join(largest, "bucket").withColumn("own", own)
+    dealt = (grouped.withColumn("own", own)
              .select("bucket", "key", "class", "own", F.explode(with_all).alias("pair"))
              .select("bucket", "key", "class", "pair.i", "pair.j", (F.col("own") != F.col("pair.i")).cast("int").alias("side")))
     return led.union(_compared(dealt, texts, threshold, alike))
