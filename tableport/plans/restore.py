@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import column, names_of
 from ..operators.constraints import Constraints, constraint_report, with_computed
-from ..session import small_frame
+from ..session import delete_path, small_frame
 from ..sources.bundle import check_bundle, manifest_problems, open_bundle
 from .inventory import row_counts
 
@@ -45,6 +45,8 @@ def restore_tables(
     values and NULLs are written as they are; defaults never apply. Keys, checks and foreign keys are
     checked after all data is in place, and any violation is an error. Constraints of tables the bundle does not
     hold, and references to such tables, are left out; tables are named ``table`` or ``schema.table`` in them.
+    A target that can stage (folders) is loaded and proven beside its tables and published by renames, so a restore
+    that fails leaves the old tables as they were; the others are replaced before the load.
     ``parents_first`` loads tables after those their foreign keys refer to, for a target that enforces them.
     ``computed`` (table -> column -> expression) adds columns the target has to hold rebuilt.
     """
@@ -68,10 +70,12 @@ def restore_tables(
             if len(same) > 1:
                 raise ValueError(f"{' and '.join(sorted(same))} would both become {target.name(fqn)}")
 
+    staged = target.staged() if hasattr(target, "staged") and not data_only else None
     if replace:
         if data_only:
             raise ValueError("a data-only restore cannot replace its target")
-        target.reset(spark, expected)
+        if staged is None:
+            target.reset(spark, expected)
     before: dict[str, int] = {}
     for fqn in expected:
         exists = target.exists(spark, fqn)
@@ -82,17 +86,19 @@ def restore_tables(
             there = T.StructType([f for f in kept.fields if f.name in _supplied(kept)])
             if _shape(target.read(spark, fqn).schema) != _shape(there):
                 raise ValueError(f"{fqn}: the target's columns differ from the bundle's")
-        elif exists:
+        elif exists and not (replace and staged):
             raise FileExistsError(f"{fqn} already exists in the target")
     if data_only:
         before = {r[0]: r[1] for r in row_counts({f: target.read(spark, f) for f in expected}).collect()}
 
+    place = staged or target
+
     def load(fqn: str) -> None:
         # empty tables are created as well; appending no rows to an existing one is skipped
         if data_only and expected[fqn] == 0:
             return
         df = opened.read(fqn, parts[fqn]).select(*[column(c) for c in _supplied(opened.schemas[fqn])])
-        target.append(with_computed(df, added.get(fqn, {})), fqn)
+        place.append(with_computed(df, added.get(fqn, {})), fqn)
 
     fqns = {name: fqn for fqn in expected for name in names_of({fqn: None})}
     fqns = {name: fqn for name, fqn in fqns.items() if name in names_of(dict.fromkeys(expected))}
@@ -101,20 +107,28 @@ def restore_tables(
     if parents_first and constraints is not None:
         kept = constraints.within(fqns).foreign_keys
         rounds = load_rounds(expected, [(fqns[k.child], fqns[k.parent]) for k in kept if not k.disabled])
-    with ThreadPoolExecutor(max(1, parallel)) as pool:
-        for tables in rounds:
-            list(pool.map(load, tables))
-
-    restored = {fqn: target.read(spark, fqn) for fqn in expected}
-    after = {r[0]: r[1] for r in row_counts(restored).collect()}
-    rows = [(fqn, n, after.get(fqn, 0) - before.get(fqn, 0)) for fqn, n in expected.items()]
-    for fqn, n, got in rows:
-        if n != got:
-            raise ValueError(f"{fqn}: {got} rows restored, {n} expected")
-    if constraints is not None:
-        by_name = names_of(restored)
-        kept = constraints.within(by_name)
-        violated = [] if kept.empty else constraint_report(by_name, kept).filter("status = 'VIOLATED'").collect()
-        if violated:
-            raise ValueError("; ".join(f"{v['constraint_name']}: {v['violations']} violation(s)" for v in violated))
+    try:
+        with ThreadPoolExecutor(max(1, parallel)) as pool:
+            for tables in rounds:
+                list(pool.map(load, tables))
+
+        restored = {fqn: place.read(spark, fqn) for fqn in expected}
+        after = {r[0]: r[1] for r in row_counts(restored).collect()}
+        rows = [(fqn, n, after.get(fqn, 0) - before.get(fqn, 0)) for fqn, n in expected.items()]
+        for fqn, n, got in rows:
+            if n != got:
+                raise ValueError(f"{fqn}: {got} rows restored, {n} expected")
+        if constraints is not None:
+            by_name = names_of(restored)
+            kept = constraints.within(by_name)
+            violated = [] if kept.empty else constraint_report(by_name, kept).filter("status = 'VIOLATED'").collect()
+            if violated:
+                raise ValueError("; ".join(f"{v['constraint_name']}: {v['violations']} violation(s)" for v in violated))
+    except Exception:
+        if staged is not None:
+            delete_path(spark, staged.root)
+        raise
+    if staged is not None:
+        target.publish(spark, staged, expected)
+        delete_path(spark, staged.root)                  # with the tables that were replaced
     return small_frame(spark, rows, "table_fqn string, row_count bigint, restored_rows bigint")

@@ -103,6 +103,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder. A target that exists already is an error."""
+    old, fs = _hadoop_path(spark, source)
+    new, _ = _hadoop_path(spark, target)
+    fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(old, new):
+        raise IOError(f"could not move {source} to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write one small metadata file; it appears under its name only when complete."""
     hadoop_path, fs = _hadoop_path(spark, path)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..functions.names import check_database_name, split_fqn, table_dir
-from ..session import delete_path, path_exists
+from ..session import delete_path, move_path, path_exists
 from .jdbc import JdbcDatabase
 
 
@@ -28,6 +29,28 @@ class PathTarget:
         for fqn in fqns:
             delete_path(spark, self.location(fqn))
 
+    def staged(self) -> PathTarget:
+        """A folder of its own beside the tables; readers of ``root`` skip its name."""
+        return replace(self, root=f"{self.root}/_restore-{uuid.uuid4().hex}")
+
+    def publish(self, spark: SparkSession, staged: PathTarget, fqns) -> None:
+        """Rename tables out of ``staged``; those they replace go into it. If a rename fails, all are taken back."""
+        aside, moved = replace(staged, root=f"{staged.root}/replaced"), []
+
+        def move(source: str, place: str) -> None:
+            move_path(spark, source, place)
+            moved.append((source, place))
+
+        try:
+            for fqn in fqns:
+                if self.exists(spark, fqn):
+                    move(self.location(fqn), aside.location(fqn))
+                move(staged.location(fqn), self.location(fqn))
+        except Exception:
+            for source, place in reversed(moved):
+                move_path(spark, place, source)
+            raise
+
     def append(self, df: DataFrame, fqn: str) -> None:
         df.write.mode("append").parquet(self.location(fqn))
 

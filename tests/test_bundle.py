@@ -14,7 +14,7 @@ from tableport.plans.chunking import ChunkPlan, modulo_plan
 from tableport.plans.export import export_tables
 from tableport.plans.restore import restore_tables
 from tableport.session import shared_dir, small_frame
-from tableport.sources import bundle as bd
+from tableport.sources import bundle as bd, targets
 from tableport.sources.targets import CatalogTarget, PathTarget
 
 ALL_TYPES = T.StructType([
@@ -279,6 +279,50 @@ def test_data_only_and_replace(spark, tables, tmp_path):
         restore_tables(spark, f"{tmp_path}/b", other, data_only=True)
 
 
+def test_a_failed_restore_leaves_the_old_tables(spark, tmp_path, monkeypatch):
+    root, path = tmp_path / "restored", str(tmp_path / "bundle")
+    old = {"a": spark.range(3), "b": spark.range(4)}
+    target = PathTarget(str(root))
+    for name, df in old.items():
+        target.append(df, f"[main].[{name}]")
+    export_tables(spark, {"a": spark.range(10), "b": spark.range(5).selectExpr("id % 2 AS id")}, path)
+
+    def untouched():
+        assert {n: target.read(spark, f"[main].[{n}]").count() for n in old} == {"a": 3, "b": 4}
+
+    with pytest.raises(ValueError, match="violation"):
+        restore_tables(spark, path, target, replace=True, constraints=Constraints(keys=(Key("b", ("id",)),)))
+    untouched()
+    append = PathTarget.append
+
+    def broken(self, df, fqn):
+        if fqn.endswith("[b]"):
+            raise IOError("disk is gone")
+        append(self, df, fqn)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(PathTarget, "append", broken)
+        with pytest.raises(IOError, match="disk is gone"):
+            restore_tables(spark, path, target, replace=True)
+    untouched()
+    assert len(list(root.iterdir())) == 2                # what was staged is gone
+    move, calls = targets.move_path, []
+
+    def stuck(session, source, place):
+        calls.append(place)
+        if len(calls) == 4:                              # the second table's rename, after its old one went aside
+            raise IOError("rename refused")
+        move(session, source, place)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(targets, "move_path", stuck)
+        with pytest.raises(IOError, match="rename refused"):
+            restore_tables(spark, path, target, replace=True)
+    untouched()
+    restore_tables(spark, path, target, replace=True)
+    assert {n: target.read(spark, f"[main].[{n}]").count() for n in old} == {"a": 10, "b": 5}
+
+
 def test_catalog_target(spark, tables, tmp_path):
     export_tables(spark, tables, f"{tmp_path}/b")
     target = CatalogTarget("restored_db")
