@@ -2,7 +2,9 @@ import random
 from collections import deque
 
 import pytest
+from pyspark.sql import functions as F
 
+from tableport.operators import graph
 from tableport.operators.graph import cycles, dependency_levels, topological_order
 from tableport.session import small_frame
 
@@ -117,3 +119,54 @@ def test_long_cycles_and_what_hangs_between(spark):
     got = found_cycles(spark, nodes, edges)
     assert got == {n: 100 for n in range(100, 140)} | {n: 200 for n in range(200, 230)} | {300: 300, 301: 300, 250: None, 251: None, 400: None}
     assert found_cycles(spark, [1, 2], [(1, 2)]) == {}
+
+
+def test_layers_from_behind_against_the_front(spark):
+    """Edges taken off in layers from behind give the levels and the order that peeling from the front gives."""
+    rng = random.Random(11)
+    names = list(range(30))
+    edges = [(rng.randrange(30), rng.randrange(30)) for _ in names] + [(v, v // 2) for v in names]
+    edges = list(dict.fromkeys([*[(max(e), min(e)) for e in edges], (3, 7), (20, 21)]))
+    nodes = spark.createDataFrame([(v, i) for i, v in enumerate(names)], "node long, ordinal long")
+    links = spark.createDataFrame([(c, p, i) for i, (c, p) in enumerate(edges)], "child long, parent long, ordinal long")
+    plain, layered = (dependency_levels(nodes, links, max_rounds=m, small=0) for m in (100, None))
+    rows = lambda f: sorted((r["node"], r["level"], *r["sort_key"]) for r in f.placed.collect())
+    assert rows(layered) == rows(plain)
+    assert sorted(layered.cyclic.collect()) == sorted(plain.cyclic.collect())
+    unordered = dependency_levels(nodes, links, ordered=False, small=0)
+    assert "sort_key" not in unordered.placed.columns
+    assert sorted(tuple(r) for r in unordered.placed.select("node", "level").collect()) == [r[:2] for r in rows(plain)]
+
+
+def test_layers_move_few_edges_and_few_rounds_are_left(spark):
+    """In a tree half of what is left leaves with each layer: few edges are left for the rounds from the front."""
+    jumps = spark.range(1, 4096).select(F.col("id").alias("node"), F.floor(F.col("id") / 2).alias("from")).where("id > 1")
+    layers, rest = graph._layers(jumps, 64)
+    assert [layer.count() for layer in layers] == [2048, 1024, 512, 256, 128, 64] and rest.count() == 62
+    chain = spark.range(1, 100).select(F.col("id").alias("node"), (F.col("id") - 1).alias("from"))
+    layers, rest = graph._layers(chain, 0)               # a layer of one edge is not worth a round
+    assert len(layers) == 1 and rest.count() == 98
+
+
+def test_cycles_behind_each_other_take_few_rounds(spark, monkeypatch):
+    """20 cycles, each hanging on all later ones: one repetition for each of them before."""
+    made = []
+    real = graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, name: made.append(name) or real(df, name))
+    nodes = list(range(40))
+    edges = [e for i in range(0, 40, 2) for e in ((i, i + 1), (i + 1, i))] + [(j, i) for i in range(0, 40, 2) for j in range(i + 2, 40, 2)]
+    n = spark.createDataFrame([(v,) for v in nodes], "id long")
+    e = spark.createDataFrame(edges, "child long, parent long")
+    parts = {r["id"]: (r["component"], r["size"]) for r in graph._components(n, e).collect()}
+    assert parts == {v: (v - v % 2, 2) for v in nodes}
+    assert made.count("rest-links") < 12
+
+
+def test_small_rings_take_few_rounds(spark, monkeypatch):
+    """300 rings of two: rounds grow with the longest ring and chain, not with how many there are."""
+    made = []
+    real = graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, name: made.append(name) or real(df, name))
+    edges = [e for i in range(0, 600, 2) for e in ((i, i + 1), (i + 1, i))]
+    assert found_cycles(spark, list(range(600)), edges) == {v: v - v % 2 for v in range(600)}
+    assert made.count("rings") <= 3
