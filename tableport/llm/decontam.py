@@ -11,6 +11,7 @@ alignment in which an edited word costs as much as four kept ones give.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -25,6 +26,20 @@ EDIT = -4                                                # of an excerpt; a kept
 _WORD = re.compile(r"\w+")
 
 
+# bytes of Latin-1 that are not part of a word, as spaces
+_LATIN = bytes(c if _WORD.fullmatch(chr(c)) else 32 for c in range(256))
+_BETWEEN = b"."                                          # no word
+
+
+def raw_words(text: str | None) -> bytes:
+    """The words of ``words_of`` with spaces between, in Latin-1; other signs as ``&#n;``, which no word holds."""
+    low = (text or "").lower()
+    try:
+        return low.encode("latin-1").translate(_LATIN)
+    except UnicodeEncodeError:
+        return " ".join(_WORD.findall(low)).encode("latin-1", "xmlcharrefreplace")
+
+
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
@@ -44,11 +59,27 @@ def local_alignment(item, passage, match=MATCH, mismatch=MISMATCH, gap=GAP) -> t
     return best, end
 
 
-def _matches(known, grams):
-    """Where ``grams`` holds one of ``known``, and which one."""
+class Sieve:
+    """Bits by hash of sorted numbers, 16 or more for each: most that are not among them fail here."""
+
+    def __init__(self, known):
+        self.known, self.shift = known, np.uint64(64 - max(10, (16 * len(known)).bit_length()))
+        self.bits = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.bits[self.place(known)] = True
+
+    def place(self, numbers):
+        return (numbers.view("u8") * np.uint64(_ODD)) >> self.shift
+
+
+_ODD = 0x9E3779B97F4A7C15                                # odd 64-bit multiplier
+
+
+def _matches(sieve, grams):
+    """Where ``grams`` holds one of the sieve's numbers, and which one."""
+    known = sieve.known
     if not len(known):
         return np.zeros(0, "i8"), np.zeros(0, "i8")
-    candidates = np.flatnonzero(grams >= 0)
+    candidates = np.flatnonzero(sieve.bits[sieve.place(grams)] & (grams >= 0))
     at = np.searchsorted(known, grams[candidates])
     hit = known[np.minimum(at, len(known) - 1)] == grams[candidates]
     return candidates[hit], at[hit]
@@ -67,7 +98,7 @@ def _seed_table(grams, rarest=None):
     flat, items, places = flat[keep], items[keep], places[keep]
     order = np.argsort(flat, kind="stable")
     seeds, starts = np.unique(flat[order], return_index=True)
-    return seeds, np.append(starts, len(flat)), items[order], places[order]
+    return Sieve(seeds), np.append(starts, len(flat)), items[order], places[order]
 
 
 class Items:
@@ -83,6 +114,8 @@ class Items:
             raise ValueError("too many different words in one block of items")
         self.grams = [self.grams_of(w) for w in self.words]
         self.known = np.unique(np.concatenate([np.zeros(0, "i8"), *self.grams]))
+        self.sieve = Sieve(self.known)
+        self.codes = {w.encode("latin-1", "xmlcharrefreplace"): i for w, i in self.vocabulary.items()} | {_BETWEEN: -2}
 
     def grams_of(self, words, shape=SHAPES[0]):
         size = len(words) - shape[-1]
@@ -94,13 +127,15 @@ class Items:
             out = np.where((part < 0) | (out < 0), -1, out * self.base + part)
         return out
 
-    def numbered(self, text: str | None):
-        get = self.vocabulary.get
-        return np.array([get(w, -1) for w in words_of(text)], "i8")
+    def numbered_texts(self, texts):
+        """(numbers, starts) of the words of many texts in one array; one number below zero between two texts, so no n-gram spans them."""
+        found = (b" " + _BETWEEN + b" ").join(map(raw_words, texts)).split()
+        words = np.fromiter(map(self.codes.get, found, repeat(-1)), "i8", len(found))
+        return words, np.concatenate(([0], np.flatnonzero(words == -2) + 1, [len(words) + 1]))
 
     def known_places(self, grams):
         """Where ``grams`` holds an n-gram of an item, and which one."""
-        return _matches(self.known, grams)
+        return _matches(self.sieve, grams)
 
     def seed(self, counts):
         """Seeds from the corpus counts of ``known``: {index of the n-gram: [(item, place in it)]}."""
@@ -115,9 +150,16 @@ class Items:
         self.tables = [_seed_table(self.grams, rarest), *map(_seed_table, skipping)]
         return self
 
-    def search(self, text: str | None, min_score: float, min_excerpt: int):
-        """(item id, score from 0 to 1, number of the word where it ends) of the items found in a text."""
-        words = self.numbered(text)
+    def search_texts(self, texts, min_score: float, min_excerpt: int):
+        """(place of the text, item id, score, end word) of the items found in texts; only texts with a seed are looked at alone."""
+        words, starts = self.numbered_texts(texts)
+        seeded = [_matches(table[0], self.grams_of(words, shape))[0] for shape, table in zip(SHAPES, self.tables)]
+        for at in np.unique(np.searchsorted(starts, np.concatenate(seeded), "right") - 1).tolist():
+            for item, score, end in self.search(words[starts[at]:starts[at + 1] - 1], min_score, min_excerpt):
+                yield at, item, score, end
+
+    def search(self, words, min_score: float, min_excerpt: int):
+        """(item id, score from 0 to 1, number of the word where it ends) of the items found in the words of a text."""
         all_grams, seeded = self.grams_of(words), []
         for shape, (grams, starts, items, owns) in zip(SHAPES, self.tables):
             there = all_grams if shape is SHAPES[0] else self.grams_of(words, shape)
@@ -192,10 +234,12 @@ def corpus_counts(docs: DataFrame, items: Items, text: str = "text"):
         import pyarrow as pa
 
         totals = np.zeros(len(items.known), "i8")
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                _, which = items.known_places(items.grams_of(items.numbered(value)))
-                np.add.at(totals, which, 1)
+        for whole in batches:
+            for batch in sub_batches(whole, text, 1_000_000):
+                words, _ = items.numbered_texts(batch.column(0).to_pylist())
+                _, which = items.known_places(items.grams_of(words))
+                seen, n = np.unique(which, return_counts=True)
+                totals[seen] += n
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(totals[seen])], names=["gram", "n"])
         give_back()
@@ -239,11 +283,11 @@ def _search(docs: DataFrame, items: Items, text: str, min_score: float, min_exce
         import pyarrow as pa
 
         for whole in batches:
-            for batch in sub_batches(whole, text, 2_000_000):
+            for batch in sub_batches(whole, text, 1_000_000):
                 at = batch.schema.get_field_index("hits")
                 kind, hits = batch.schema.field(at).type, batch.column(at).to_pylist()
-                for own, value in zip(hits, batch.column(text).to_pylist()):
-                    own += [{"item_id": i, "score": s, "end_word": e} for i, s, e in items.search(value, min_score, min_excerpt)]
+                for own, i, s, e in items.search_texts(batch.column(text).to_pylist(), min_score, min_excerpt):
+                    hits[own].append({"item_id": i, "score": s, "end_word": e})
                 columns = [c if k != at else pa.array(hits, kind) for k, c in enumerate(batch.columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
         give_back()

@@ -540,3 +540,16 @@ def test_items_in_odd_tables(spark, odd_docs, no_docs):
     assert [r[:3] for r in rows(found.select("doc_id", F.inline("hits")), "doc_id", "item_id", "score")] == [(5, 1, 1.0)] * 2
     assert decontam.find_items(no_docs, bench).count() == 0
     assert rows(decontam.find_items(odd_docs, bench.limit(0)).select(F.max(F.size("hits"))), "*") == [(0,)]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    """Decontamination numbers the words of a batch at once, by bytes where Latin-1 will do."""
+    from tableport.llm import decontam
+
+    texts = ["", None, "Über_Größe 12² naïve.café\xa0x\x85y", "ŁÓDŹ łódź · Σας ΣΑΣ", "plain . words, a.b", "&#322; 322", "日本 x", " "]
+    items = decontam.Items([(1, "łódź plain words 322 über_größe"), (2, "café x 12² σας naïve 日本")])
+    words, starts = items.numbered_texts(texts)
+    for i, text in enumerate(texts):
+        plain = [items.vocabulary.get(w, -1) for w in decontam.words_of(text)]
+        assert words[starts[i]:starts[i + 1] - 1].tolist() == plain
+    assert (words[starts[1:-1] - 1] < 0).all() and len(starts) == len(texts) + 1
