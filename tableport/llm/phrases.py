@@ -3,7 +3,8 @@
 Occurrences are a persisted relation, sorted by piece and place within blocks of documents. A relation of frequent
 phrases is merge-joined with itself at the next place, which makes the phrases one word longer whose both ends are
 frequent; these are counted by group, and occurrences semi-joined with the frequent groups make the relation of the
-next length. The semi-join is a Bloom filter of fixed size: a group it lets through by mistake only costs time, since
+next length. Before pairs are counted, bins of them are (the hash filter of Park, Chen and Yu, over 2^32 bins), and pairs
+of bins that are not frequent are left out. The semi-join is a Bloom filter of fixed size: a group it lets through by mistake only costs time, since
 no phrase that holds it can be counted often enough.
 """
 
@@ -176,8 +177,49 @@ def pair_id(p, s):
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def pair_counts(relation: DataFrame) -> DataFrame:
-    """(p, s, n) of each block."""
+def pair_bins(relation: DataFrame, min_count: int, held_pairs: int = 3_000_000) -> DataFrame:
+    """(id) of the bins that hold ``min_count`` pairs: a bin is 32 bits of a pair's id, so no frequent pair is outside.
+
+    The bins of many blocks are counted together and go out as sorted arrays by their first bits, a few bytes a pair
+    where a row of two ids takes 18. A count beyond ``min_count`` says no more than that.
+    """
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held, size = [], 0
+
+        def flush():
+            nonlocal size
+            bins, n = np.unique(np.concatenate(held), return_counts=True)
+            buckets, starts = np.unique(bins >> np.uint32(20), return_index=True)
+            offsets = pa.array(np.append(starts, len(bins)).astype("i4"))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (bins.view("i4"), np.minimum(n, min_count).astype("i4"))]
+            held.clear()
+            size = 0
+            give_back()
+            return pa.RecordBatch.from_arrays([pa.array(buckets.astype("i4")), *lists], names=["bucket", "bin", "n"])
+
+        for batch in batches:
+            for _, p, s in _neighbours(batch):
+                if len(p):
+                    held.append((pair_id(p, s).view("u8") >> np.uint64(32)).astype("u4"))
+                    size += len(p)
+                if size >= held_pairs:
+                    yield flush()
+        if held:
+            yield flush()
+
+    # counted where the buckets are, with no further shuffle
+    there = relation.mapInArrow(count, "bucket int, bin array<int>, n array<int>").repartition("bucket")
+    counted = there.select("bucket", F.inline(F.arrays_zip("bin", "n"))).groupBy("bucket", "bin").agg(F.sum("n").alias("n"))
+    low = F.col("bin").cast("bigint").bitwiseAND(0xFFFFFFFF)
+    return counted.where(F.col("n") >= min_count).select(F.shiftleft(low, 32).bitwiseOR(low).alias("id"))
+
+
+def pair_counts(relation: DataFrame, bins: Filter) -> DataFrame:
+    """(p, s, n) of each block, for pairs whose bin may be frequent."""
 
     def count(batches):
         import numpy as np
@@ -185,6 +227,9 @@ def pair_counts(relation: DataFrame) -> DataFrame:
 
         for batch in batches:
             for _, p, s in _neighbours(batch):
+                high = pair_id(p, s).view("u8") >> np.uint64(32)
+                kept = bins.lets((high << np.uint64(32)) | high)
+                p, s = p[kept], s[kept]
                 known, code = np.unique(np.concatenate((p, s)), return_inverse=True)
                 pairs, n = np.unique(code[:len(p)] * len(known) + code[len(p):], return_counts=True)
                 if len(pairs):
@@ -245,7 +290,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, te
     levels = [materialize(singles, "phrases")]
     relation = word_relation(docs, text, lang, _hash_start(spark, salt), Filter(levels[0].select("id"), filter_bits), block_words)
     for length in range(2, longest + 1):
-        groups = pair_counts(relation).groupBy("p", "s").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        bins = Filter(pair_bins(relation, min_count), filter_bits)
+        groups = pair_counts(relation, bins).groupBy("p", "s").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
         known = levels[-1]
         heads = known.select(F.col("id").alias("p"), "lang", "words", "heads")
         tails = known.select(F.col("id").alias("s"), F.element_at("words", -1).alias("last"), "tails")

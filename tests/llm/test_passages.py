@@ -223,3 +223,14 @@ def test_scores_beyond_64_bits(spark):
     expr = "(CAST(1000 AS DECIMAL(38, 0)) * f * n) div (CAST(l AS DECIMAL(38, 0)) * r)"
     row = spark.createDataFrame([(big, 9 * big, 2 * big, 3 * big)], "f long, n long, l long, r long").selectExpr(expr).first()
     assert row[0] == 1000 * big * 9 * big // (6 * big * big)
+
+
+def test_bins_of_frequent_pairs_hold_them_and_little_else(spark):
+    """Pairs are counted only in frequent bins: rare ones are left out before the shuffle, counts of the others are exact."""
+    ids = [1, 2, 3, 1, 2, 4, 1, 2, 5, 6]                 # the pair (1, 2) three times, the others once
+    relation = spark.createDataFrame([(list(range(10)), ids), ([0, 1, 5], [1, 2, 3])], phrases._RELATION).repartition(2)
+    for held in (1, 100):
+        bins = phrases.pair_bins(relation, 4, held)
+        assert bins.count() == 1
+        found = phrases.pair_counts(relation, phrases.Filter(bins, 20)).groupBy("p", "s").sum("n").collect()
+        assert [tuple(r) for r in found] == [(1, 2, 4)]
