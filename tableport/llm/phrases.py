@@ -218,37 +218,93 @@ def pair_bins(relation: DataFrame, min_count: int, held_pairs: int = 3_000_000)
     return counted.where(F.col("n") >= min_count).select(F.shiftleft(low, 32).bitwiseOR(low).alias("id"))
 
 
-def pair_counts(relation: DataFrame, bins: Filter) -> DataFrame:
-    """(p, s, n) of each block, for pairs whose bin may be frequent."""
+def pair_shares(relation: DataFrame, bins: Filter, held_pairs: int = 1_000_000) -> DataFrame:
+    """(bucket, p, s, n): arrays of the pairs whose bin may be frequent, by the first bits of their ids.
+
+    The pairs of many blocks are counted together, so rows grow with the blocks and not with the pairs that
+    ``min_count`` lets through, of which a larger table has more in every block.
+    """
 
     def count(batches):
         import numpy as np
         import pyarrow as pa
 
+        held, size = [], 0
+
+        def flush():
+            nonlocal size
+            p, s, ids, n = _summed(*[np.concatenate(x) for x in zip(*held)])
+            buckets, starts = np.unique(ids.view("u8") >> np.uint64(52), return_index=True)
+            offsets = pa.array(np.append(starts, len(ids)).astype("i4"))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (p, s, n)]
+            held.clear()
+            size = 0
+            give_back()
+            return pa.RecordBatch.from_arrays([pa.array(buckets.astype("i4")), *lists], names=["bucket", "p", "s", "n"])
+
         for batch in batches:
             for _, p, s in _neighbours(batch):
                 high = pair_id(p, s).view("u8") >> np.uint64(32)
                 kept = bins.lets((high << np.uint64(32)) | high)
-                p, s = p[kept], s[kept]
-                known, code = np.unique(np.concatenate((p, s)), return_inverse=True)
-                pairs, n = np.unique(code[:len(p)] * len(known) + code[len(p):], return_counts=True)
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(known[pairs // len(known)]), pa.array(known[pairs % len(known)]), pa.array(n)], names=["p", "s", "n"])
+                if kept.any():
+                    # each block on its own first, so what is held is at most a row a pair and block
+                    found = _summed(p[kept], s[kept], np.ones(int(kept.sum()), "i8"))
+                    held.append((found[0], found[1], found[3]))
+                    size += len(found[0])
+                if size >= held_pairs:
+                    yield flush()
             give_back()
+        if held:
+            yield flush()
 
-    return relation.mapInArrow(count, "p bigint, s bigint, n bigint")
+    return relation.mapInArrow(count, "bucket int, p array<bigint>, s array<bigint>, n array<bigint>")
 
 
-def with_pair_id(pairs: DataFrame) -> DataFrame:
-    def name(batches):
+def _summed(p, s, n):
+    """(p, s, id, n) of the different pairs, sorted by the first 12 bits of their ids."""
+    import numpy as np
+
+    order = np.lexsort((s, p))
+    p, s, n = p[order], s[order], n[order]
+    starts = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (s[1:] != s[:-1])))
+    p, s, n = p[starts], s[starts], np.add.reduceat(n, starts)
+    ids = pair_id(p, s)
+    order = np.argsort(ids.view("u8") >> np.uint64(52), kind="stable")
+    return p[order], s[order], ids[order], n[order]
+
+
+def pair_counts(relation: DataFrame, bins: Filter, min_count: int = 1) -> DataFrame:
+    """(p, s, n, id) of the pairs whose bin may be frequent, found ``min_count`` times: a row a pair.
+
+    A task adds up one bucket after the other; a pair stands in a bucket once for every flush of its blocks.
+    """
+
+    def add(batches):
+        import numpy as np
         import pyarrow as pa
 
+        held, bucket = [], None
+
+        def flush():
+            p, s, ids, n = _summed(*[np.concatenate(x) for x in zip(*held)])
+            held.clear()
+            kept = n >= min_count
+            return pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (p, s, n, ids)], names=["p", "s", "n", "id"])
+
         for batch in batches:
-            p, s = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("p", "s"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair_id(p, s))], names=["p", "s", "f", "id"])
+            buckets = batch.column("bucket").to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else []
+            for start, end in zip(starts, [*starts[1:], len(buckets)]):
+                if held and buckets[start] != bucket:
+                    yield flush()
+                bucket = buckets[start]
+                part = batch.slice(start, end - start)
+                held.append(tuple(part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("p", "s", "n")))
+        if held:
+            yield flush()
 
-    return pairs.select("p", "s", "f").mapInArrow(name, "p bigint, s bigint, f bigint, id bigint")
+    there = pair_shares(relation, bins).repartition("bucket").sortWithinPartitions("bucket")
+    return there.mapInArrow(add, "p bigint, s bigint, n bigint, id bigint")
 
 
 def next_relation(relation: DataFrame, frequent: Filter) -> DataFrame:
@@ -291,11 +347,11 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, te
     relation = word_relation(docs, text, lang, _hash_start(spark, salt), Filter(levels[0].select("id"), filter_bits), block_words)
     for length in range(2, longest + 1):
         bins = Filter(pair_bins(relation, min_count), filter_bits)
-        groups = pair_counts(relation, bins).groupBy("p", "s").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        groups = pair_counts(relation, bins, min_count).withColumnRenamed("n", "f")
         known = levels[-1]
         heads = known.select(F.col("id").alias("p"), "lang", "words", "heads")
         tails = known.select(F.col("id").alias("s"), F.element_at("words", -1).alias("last"), "tails")
-        longer = with_pair_id(groups).join(heads, "p").join(tails, "s").select(
+        longer = groups.join(heads, "p").join(tails, "s").select(
             "id", "lang", F.array_append("words", F.col("last")).alias("words"), "f",
             F.array_append("heads", F.col("f")).alias("heads"), F.array_append("tails", F.col("f")).alias("tails"), "p", "s")
         levels.append(materialize(longer, "phrases"))

@@ -234,3 +234,21 @@ def test_bins_of_frequent_pairs_hold_them_and_little_else(spark):
         assert bins.count() == 1
         found = phrases.pair_counts(relation, phrases.Filter(bins, 20)).groupBy("p", "s").sum("n").collect()
         assert [tuple(r) for r in found] == [(1, 2, 4)]
+
+
+def test_a_pair_is_one_row_however_many_blocks_hold_it(spark):
+    rnd = np.random.default_rng(5)
+    blocks = [rnd.integers(1, 9, 200).tolist() for _ in range(60)]
+    relation = spark.createDataFrame([(list(range(200)), ids) for ids in blocks], phrases._RELATION).repartition(4)
+    want = Counter(pair for ids in blocks for pair in zip(ids, ids[1:]))
+    bins = phrases.Filter(phrases.pair_bins(relation, 1), 20)
+    got = phrases.pair_counts(relation, bins).select("p", "s", "n").collect()
+    assert len(got) == len(want) and {(p, s): n for p, s, n in got} == want
+    shares = [phrases.pair_shares(relation, bins, held) for held in (1, 1_000_000)]
+    assert shares[0].count() > 60 * 32 and shares[1].count() <= 4 * 64    # a row a bucket and flush
+    for found in shares:
+        total = found.select(F.inline(F.arrays_zip("p", "s", "n"))).groupBy("p", "s").sum("n").collect()
+        assert {(p, s): n for p, s, n in total} == want
+    half = sorted(want.values())[32]
+    assert {tuple(r) for r in phrases.pair_counts(relation, bins, half).select("p", "s", "n").collect()} == {
+        (*pair, n) for pair, n in want.items() if n >= half}
