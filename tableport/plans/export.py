@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.names import make_fqn, names_of, quoted
+from ..functions.names import column, make_fqn, names_of, quoted
 from ..operators.constraints import Constraints
 from ..operators.reconcile import (
     assert_reconciled, fingerprints, merge_parts, missing_results, reconcile, stem_collisions)
@@ -18,6 +19,9 @@ from ..sources import bundle as bd
 from .chunking import ChunkPlan, SINGLE, with_part
 from .inventory import LARGE_TABLE_ROWS, chunk_plan, excluded_names, export_order, plan_tables, row_counts
 
+# files a task holds open at most; it sorts what belongs to further parts
+OPEN_FILES = 32
+
 
 def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_per_group: int = 100_000,
                cluster: bool = False) -> int:
@@ -25,13 +29,13 @@ def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_p
 
     Without ``cluster`` every scan task writes its own files and nothing is shuffled. With it, rows are
     rebalanced by part first, which AQE cuts to even tasks, so a part with a third of the rows becomes
-    several files rather than one task.
+    several files rather than one task. That is spared where the tasks' own files are large enough already.
     """
     seen = Observation()
     single = plan.parts == 1
     part = bd.part_name(df.columns)
     placed = df if single else with_part(df, plan, part)
-    if cluster and not single:
+    if cluster and not single and not _large_files(df, plan, rows_per_group):
         placed = placed.hint("rebalance", quoted(part))
     writer = (
         placed.observe(seen, F.count(F.lit(1)).alias("rows")).write
@@ -45,6 +49,34 @@ def write_part(df: DataFrame, path: str, plan: ChunkPlan, level: int = 3, rows_p
     return seen.get["rows"]
 
 
+def _large_files(df: DataFrame, plan: ChunkPlan, rows_per_group: int) -> bool:
+    """Whether files of one task and part hold half a row group or more on average; reads the key only.
+
+    Row groups end at ``rows_per_group`` rows whatever the file, so larger files would be cut no better.
+    """
+    if plan.searches():
+        return False
+    task = F.spark_partition_id().alias("task")
+    files = with_part(df.select(column(plan.key)), plan, "part").groupBy(task, "part").agg(F.count(F.lit(1)).alias("rows"))
+    seen = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    return seen["files"] * rows_per_group <= 2 * seen["rows"]
+
+
+@contextmanager
+def _open_writers(spark: SparkSession, parts: int):
+    """Writes within keep a file per part open instead of sorting a task's rows by part, which spills."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, max(parts, int(before or 0)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def fqn_of(name, schema: str = "main") -> str:
     """``table`` or (schema, table) -> the bracketed name."""
     return make_fqn(*name) if isinstance(name, tuple) else make_fqn(schema, name)
@@ -73,7 +105,8 @@ def export_tables(
     content of what was stored with the source, not only its rows.
 
     ``layout="scan"`` keeps the partitions the source is read in, with no shuffle. ``layout="key"``
-    clusters large tables by their chunk key into ``chunks`` parts (8) at the price of one; ``chunks`` and
+    clusters large tables by their chunk key into ``chunks`` parts (8), at the price of one where a task's rows of a
+    part would make small files; ``chunks`` and
     ``chunk_threshold`` belong to it and are refused with the other. ``plans``
     overrides the plan of single tables: with the scan layout it fits a table read by the same plan's
     chunk predicates, where every task already holds one part. The keys of ``constraints`` (tables named ``table`` or
@@ -116,7 +149,8 @@ def export_tables(
         return fqns[name], write_part(df, path, chosen[name], level, rows_per_group, layout == "key")
 
     # the jobs are independent; a few at a time keep the executors busy while a small one finishes
-    with ThreadPoolExecutor(max(1, parallel)) as pool:
+    most = max(plan.parts for plan in chosen.values())
+    with _open_writers(spark, min(most, OPEN_FILES)), ThreadPoolExecutor(max(1, parallel)) as pool:
         written = dict(pool.map(write, [n for n in chosen if n in tables]))
 
     schemas = {fqns[n]: df.schema for n, df in tables.items()}

@@ -363,6 +363,21 @@ def test_declared_keys_spare_an_export_the_look_for_unique_columns(spark, tmp_pa
     assert looked == []
 
 
+def test_a_key_layout_shuffles_only_where_files_would_be_small(spark, tmp_path):
+    """Tasks that hold enough rows of each part write them as they are, with all parts open and no sort."""
+    rows = spark.range(0, 16_000, 1, 4).selectExpr("id % 4000 AS k", "id AS v")
+    files = {}
+    for group in (1000, 100_000):
+        out = f"{tmp_path}/{group}"
+        plans = {"t": ChunkPlan("modulo", "k", divisor=4)}
+        stats = export_tables(spark, {"t": rows}, out, layout="key", plans=plans, rows_per_group=group, validate=True)
+        assert sorted((r["part"], r["rows"]) for r in stats.collect()) == [(i, 4000) for i in range(4)]
+        files[group] = glob.glob(f"{out}/data/main.t/_part=*/*.parquet")
+        assert spark.read.parquet(out + "/data/main.t").exceptAll(rows.withColumn("_part", F.abs(F.col("k") % 4).cast("int"))).count() == 0
+    assert len(files[1000]) == 16 and len(files[100_000]) < 16
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) in (None, "0")
+
+
 def test_constraints_follow_the_data(spark, tmp_path):
     parent = small_frame(spark, [(1,), (2,)], "id int")
     child = small_frame(spark, [(1, 1), (2, 3), (3, None)], "id int, parent_id int")
