@@ -13,10 +13,16 @@ from .ranking import global_row_number
 
 @dataclass(frozen=True)
 class Levels:
-    """``placed`` (node, ordinal, level and, if ordered, sort_key) and ``cyclic`` (node, ordinal): on or behind a cycle."""
+    """``found`` (node, level and, if ordered, sort_key), ``cyclic`` (node, ordinal): on or behind a cycle; ``placed`` is
+    ``found`` with ordinals, which cost a join of all nodes."""
 
-    placed: DataFrame
+    found: DataFrame
     cyclic: DataFrame
+    numbered: DataFrame
+
+    @property
+    def placed(self) -> DataFrame:
+        return self.found.join(self.numbered, "node").select("node", "ordinal", *self.found.columns[1:])
 
 
 def usable_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -102,7 +108,7 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int | None
 
     # edges between chains, from the last node of one to the head of another
     ends = links.join(chains.select(F.col("node").alias("child")), "child", "left_anti")
-    lengths = chains.groupBy("head").agg(F.max("dist").alias("length"))
+    lengths = materialize(chains.groupBy("head").agg(F.max("dist").alias("length")), "lengths")
     of_parent = chains.select(F.col("node").alias("parent"), F.col("head").alias("from"))
     edge = [F.col("ordinal").cast("bigint").alias("edge")] if ordered else []
     jumps = materialize(ends.join(of_parent, "parent", "left").select(
@@ -159,12 +165,12 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, max_rounds: int | None
         with_length(found).select(schema.names).write.parquet(f"{root}/layer={i}")
         placed.append(f"{root}/layer={i}")
     heads = spark.read.schema(schema).parquet(*placed) if placed else spark.createDataFrame([], schema)
-    heads = heads.select(F.col("node").alias("head"), (level + 1).alias("start"), *key)
-    members = numbered.join(chains, "node", "left").withColumns(
-        {"head": F.coalesce("head", "node"), "dist": F.coalesce("dist", F.lit(0))})
-    known = materialize(members.join(heads, "head", "left").select(
-        "node", "ordinal", (F.col("start") + F.col("dist")).cast("int").alias("level"), *(["sort_key"] if ordered else [])), "levels")
-    return Levels(known.where("level IS NOT NULL"), known.where("level IS NULL").select("node", "ordinal"))
+    # only keys of heads with a chain behind them move once more
+    columns = ["node", (F.col("start") + F.col("dist")).cast("int").alias("level"), *(["sort_key"] if ordered else [])]
+    heads = heads.select("node", "length", (level + 1).alias("start"), *key, F.lit(0).cast("bigint").alias("dist"))
+    behind = chains.join(heads.where("length > 0").drop("dist").withColumnRenamed("node", "head"), "head")
+    found = heads.select(*columns).unionByName(behind.select(*columns))
+    return Levels(found, materialize(numbered.join(found.select("node"), "node", "left_anti"), "cyclic"), numbered)
 
 
 def _rings(links: DataFrame) -> DataFrame:
@@ -259,6 +265,7 @@ def topological_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     in input order and without a level."""
     found = dependency_levels(nodes, edges)
     late = found.cyclic.select(
-        "node", "ordinal", F.lit(None).cast("int").alias("level"), F.lit(None).cast("array<bigint>").alias("sort_key"))
-    both = found.placed.unionByName(late).withColumn("late", F.col("level").isNull())
+        "node", F.lit(None).cast("int").alias("level"), F.lit(None).cast("array<bigint>").alias("sort_key"), "ordinal")
+    # no two placed nodes of a level have one key, so their ordinals are not needed
+    both = found.found.withColumn("ordinal", F.lit(None).cast("bigint")).unionByName(late).withColumn("late", F.col("level").isNull())
     return global_row_number(both, ["late", "level", "sort_key", "ordinal"]).select("node", "level", "position")

@@ -32,7 +32,7 @@ def _graph(spark, root):
 
 def q44_topo_levels(spark, root):
     found = graph.dependency_levels(*_graph(spark, root), ordered=False)
-    return found.placed.select("node", "level").unionByName(
+    return found.found.select("node", "level").unionByName(
         found.cyclic.select("node", F.lit(None).cast("int").alias("level")))
 
 

@@ -170,3 +170,19 @@ def test_small_rings_take_few_rounds(spark, monkeypatch):
     edges = [e for i in range(0, 600, 2) for e in ((i, i + 1), (i + 1, i))]
     assert found_cycles(spark, list(range(600)), edges) == {v: v - v % 2 for v in range(600)}
     assert made.count("rings") <= 3
+
+
+def test_order_keys_are_not_written_again_for_all_nodes(spark, monkeypatch):
+    """Keys stay where the rounds wrote them: only those of chains are joined, none are joined with all nodes."""
+    kept, real = [], graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, name: kept.append(df.columns) or real(df, name))
+    nodes = spark.createDataFrame([(i, 100 + i) for i in range(9)], "node long, ordinal long")
+    # 0 -> 1 -> 2 (a chain), 2 -> 3 and 4, 5 alone; 6 and 7 on a cycle, 8 behind it
+    links = [(1, 0), (2, 1), (3, 2), (4, 2), (6, 7), (7, 6), (8, 6)]
+    edges = spark.createDataFrame([(c, p, 10 - i) for i, (c, p) in enumerate(links)], "child long, parent long, ordinal long")
+    got = {r["node"]: (r["level"], r["position"]) for r in topological_order(nodes, edges).collect()}
+    assert got == {0: (0, 1), 5: (0, 2), 1: (1, 3), 2: (2, 4), 4: (3, 5), 3: (3, 6), 6: (None, 7), 7: (None, 8), 8: (None, 9)}
+    assert not any("sort_key" in columns for columns in kept)
+    found = dependency_levels(nodes, edges)
+    assert {r["node"]: r["ordinal"] for r in found.placed.collect()} == {i: 100 + i for i in range(6)}
+    assert {tuple(r) for r in found.cyclic.collect()} == {(6, 106), (7, 107), (8, 108)}
