@@ -70,10 +70,13 @@ def sub_batches(batch, column: str, max_bytes: int):
         yield batch.slice(start)
 
 
-def written(df: DataFrame, name: str, group_bytes: int = 16 << 20) -> DataFrame:
-    """``df`` written to the shared folder and read again, in row groups small enough for long arrays in many tasks."""
+def written(df: DataFrame, name: str, group_bytes: int = 16 << 20, **layout) -> DataFrame:
+    """``df`` written to the shared folder and read again, in row groups small enough for long arrays in many tasks.
+
+    Parquet looks at the size of a group or page only after 100 rows, unless ``layout`` (options of the writer) says otherwise.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("parquet.block.size", group_bytes).parquet(path)
+    df.write.options(**layout).option("parquet.block.size", group_bytes).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

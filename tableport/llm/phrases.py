@@ -1,6 +1,6 @@
 """Phrase collocations by set-oriented mining (SETM).
 
-Occurrences are a persisted relation, sorted by piece and place within blocks of documents. A relation of frequent
+Occurrences are a persisted relation, sorted by piece and place within rows, parts of blocks of documents. A relation of frequent
 phrases is merge-joined with itself at the next place, which makes the phrases one word longer whose both ends are
 frequent; these are counted by group, and occurrences semi-joined with the frequent groups make the relation of the
 next length. Before pairs are counted, bins of them are (the hash filter of Park, Chen and Yu, over 2^32 bins), and pairs
@@ -103,9 +103,19 @@ class Filter:
         return out
 
 
-def word_relation(docs: DataFrame, text: str, lang: str, start: int, frequent: Filter, block_words: int) -> DataFrame:
-    """(places, ids): occurrences of frequent words of a block, sorted by place. A place counts piece ends too, so places
-    of neighbouring words differ by one exactly within a piece. Written once."""
+def row_starts(places, size: int):
+    """Offsets of rows of about ``size`` occurrences, cut only where the next place is not held: no neighbours are parted."""
+    import numpy as np
+
+    gaps = np.flatnonzero(places[1:] != places[:-1] + 1) + 1
+    at = np.searchsorted(gaps, np.arange(size, len(places), size))
+    return np.concatenate([[0], np.unique(gaps[at[at < len(gaps)]]), [len(places)]]).astype("i4")
+
+
+def word_relation(docs: DataFrame, text: str, lang: str, start: int, frequent: Filter, block_words: int,
+                  row_words: int = 16_384) -> DataFrame:
+    """(places, ids): occurrences of frequent words, sorted by place, in rows of about ``row_words`` of a block. A place
+    counts piece ends too, so places of neighbouring words differ by one exactly within a piece. Written once."""
 
     def scan(batches):
         import numpy as np
@@ -128,10 +138,11 @@ def word_relation(docs: DataFrame, text: str, lang: str, start: int, frequent: F
             ids = np.concatenate(held)
             # piece ends have the id 0, which no word has
             places = np.flatnonzero((ids != 0) & frequent.lets(ids)).astype("i4")
-            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+            offsets = pa.array(row_starts(places, row_words))
             held.clear()
             size = 0
-            return pa.RecordBatch.from_arrays([one(places), one(ids[places])], names=["places", "ids"])
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (places, ids[places])],
+                                              names=["places", "ids"])
 
         for whole in batches:
             for batch in sub_batches(whole, "text", 2_000_000):
@@ -148,14 +159,25 @@ def word_relation(docs: DataFrame, text: str, lang: str, start: int, frequent: F
         if held:
             yield block()
 
-    return written(_named(docs, text, lang).mapInArrow(scan, _RELATION), "occurrences")
+    return _written(_named(docs, text, lang).mapInArrow(scan, _RELATION))
 
 
 _RELATION = "places array<int>, ids array<bigint>"
 
 
+def _written(relation: DataFrame) -> DataFrame:
+    """A relation written once, so that a task reads it again in a few MB at a time.
+
+    A reader holds up to 4096 rows of a row group at once, so sizes are looked at after every row. They are those of the
+    plain values: no dictionary, and no page is compressed before its group ends. Arrays of few words would look short else.
+    """
+    size = 4 << 20
+    return written(relation, "occurrences", size, **{
+        "parquet.page.size.row.check.min": 1, "parquet.page.size": size, "parquet.enable.dictionary": False, "compression": "zstd"})
+
+
 def _neighbours(batch):
-    """(places, p, s) of neighbouring occurrences of each block of a batch: the merge join with the next place."""
+    """(places, p, s) of neighbouring occurrences of each row of a batch: the merge join with the next place."""
     for i in range(batch.num_rows):
         places = batch.column("places").slice(i, 1).flatten().to_numpy(zero_copy_only=False)
         ids = batch.column("ids").slice(i, 1).flatten().to_numpy(zero_copy_only=False)
@@ -177,6 +199,12 @@ def pair_id(p, s):
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
+def _sliced(batch, rows: int = 512):
+    """A batch with long arrays in a few parts, as the JVM holds a whole one."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def pair_bins(relation: DataFrame, min_count: int, held_pairs: int = 3_000_000) -> DataFrame:
     """(id) of the bins that hold ``min_count`` pairs: a bin is 32 bits of a pair's id, so no frequent pair is outside.
 
@@ -199,7 +227,7 @@ def pair_bins(relation: DataFrame, min_count: int, held_pairs: int = 3_000_000)
             held.clear()
             size = 0
             give_back()
-            return pa.RecordBatch.from_arrays([pa.array(buckets.astype("i4")), *lists], names=["bucket", "bin", "n"])
+            yield from _sliced(pa.RecordBatch.from_arrays([pa.array(buckets.astype("i4")), *lists], names=["bucket", "bin", "n"]))
 
         for batch in batches:
             for _, p, s in _neighbours(batch):
@@ -207,9 +235,9 @@ def pair_bins(relation: DataFrame, min_count: int, held_pairs: int = 3_000_000)
                     held.append((pair_id(p, s).view("u8") >> np.uint64(32)).astype("u4"))
                     size += len(p)
                 if size >= held_pairs:
-                    yield flush()
+                    yield from flush()
         if held:
-            yield flush()
+            yield from flush()
 
     # counted where the buckets are, with no further shuffle
     there = relation.mapInArrow(count, "bucket int, bin array<int>, n array<int>").repartition("bucket")
@@ -229,7 +257,16 @@ def pair_shares(relation: DataFrame, bins: Filter, held_pairs: int = 1_000_000)
         import numpy as np
         import pyarrow as pa
 
-        held, size = [], 0
+        found, held, fresh, size = [], [], 0, 0
+
+        def add_up():
+            nonlocal fresh, size
+            p, s = [np.concatenate(x) for x in zip(*found)]
+            p, s, _, n = _summed(p, s, np.ones(len(p), "i8"))
+            held.append((p, s, n))
+            found.clear()
+            fresh = 0
+            size += len(p)
 
         def flush():
             nonlocal size
@@ -240,22 +277,25 @@ def pair_shares(relation: DataFrame, bins: Filter, held_pairs: int = 1_000_000)
             held.clear()
             size = 0
             give_back()
-            return pa.RecordBatch.from_arrays([pa.array(buckets.astype("i4")), *lists], names=["bucket", "p", "s", "n"])
+            yield from _sliced(pa.RecordBatch.from_arrays([pa.array(buckets.astype("i4")), *lists], names=["bucket", "p", "s", "n"]))
 
         for batch in batches:
             for _, p, s in _neighbours(batch):
                 high = pair_id(p, s).view("u8") >> np.uint64(32)
                 kept = bins.lets((high << np.uint64(32)) | high)
                 if kept.any():
-                    # each block on its own first, so what is held is at most a row a pair and block
-                    found = _summed(p[kept], s[kept], np.ones(int(kept.sum()), "i8"))
-                    held.append((found[0], found[1], found[3]))
-                    size += len(found[0])
+                    found.append((p[kept], s[kept]))
+                    fresh += len(found[-1][0])
+                # some rows on their own first, so what is held is less than a row an occurrence
+                if found and fresh >= held_pairs // 2:
+                    add_up()
                 if size >= held_pairs:
-                    yield flush()
+                    yield from flush()
             give_back()
+        if found:
+            add_up()
         if held:
-            yield flush()
+            yield from flush()
 
     return relation.mapInArrow(count, "bucket int, p array<bigint>, s array<bigint>, n array<bigint>")
 
@@ -311,17 +351,22 @@ def next_relation(relation: DataFrame, frequent: Filter) -> DataFrame:
     """The relation of the phrases one word longer, semi-joined with the frequent ones; written once."""
 
     def extend(batches):
+        import numpy as np
         import pyarrow as pa
 
-        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
         for batch in batches:
+            found = []
             for places, p, s in _neighbours(batch):
                 ids = pair_id(p, s)
                 kept = frequent.lets(ids)
-                yield pa.RecordBatch.from_arrays([one(places[kept]), one(ids[kept])], names=["places", "ids"])
+                found.append((places[kept], ids[kept]))
+            if found:
+                offsets = pa.array(np.cumsum([0, *[len(x) for x, _ in found]]).astype("i4"))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in zip(*found)],
+                                                 names=["places", "ids"])
             give_back()
 
-    return written(relation.mapInArrow(extend, _RELATION), "occurrences")
+    return _written(relation.mapInArrow(extend, _RELATION))
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, text: str = "text", lang: str = "lang",

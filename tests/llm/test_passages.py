@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,3 +253,41 @@ def test_a_pair_is_one_row_however_many_blocks_hold_it(spark):
     half = sorted(want.values())[32]
     assert {tuple(r) for r in phrases.pair_counts(relation, bins, half).select("p", "s", "n").collect()} == {
         (*pair, n) for pair, n in want.items() if n >= half}
+
+
+def test_occurrences_are_read_in_small_groups(spark):
+    """A task reads a row group as a whole, and a group ended only after 100 rows, each a block of half a million words."""
+    rnd = random.Random(1)
+    texts = [". ".join(" ".join(rnd.choices("abcd", k=8)) for _ in range(4_000)) for _ in range(40)]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").coalesce(1)
+    start = phrases._hash_start(spark, 0)
+    words = spark.createDataFrame([("en", w) for w in "abcd"], "lang string, word string")
+    frequent = phrases.Filter(words.select(F.xxhash64(F.lit(0), "lang", "word").alias("id")), 20)
+    relation = phrases.word_relation(docs, "text", "lang", start, frequent, 500_000)
+    pairs = phrases.pair_counts(relation, phrases.Filter(phrases.pair_bins(relation, 1), 20)).select("id")
+    for level in (relation, phrases.next_relation(relation, phrases.Filter(pairs, 20))):
+        groups = []
+        for name in level.inputFiles():
+            meta = pq.ParquetFile(name.removeprefix("file:")).metadata
+            groups += [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+        assert max(groups) < 8 << 20 < sum(groups)
+    held = relation.select(F.size("ids").alias("n")).agg(F.sum("n"), F.max("n")).first()
+    assert held[0] == 40 * 4_000 * 8 and held[1] < 20_000
+
+
+def test_rows_are_cut_between_pieces_only(spark):
+    """Neighbours stay in one row, so pairs are the same however long the rows are."""
+    places = np.array([0, 1, 2, 4, 5, 6, 7, 8, 10, 12, 13], "i4")
+    for size, want in ((1, [0, 3, 8, 9, 11]), (4, [0, 8, 11]), (9, [0, 9, 11]), (50, [0, 11])):
+        assert phrases.row_starts(places, size).tolist() == want
+    assert phrases.row_starts(places[:0], 4).tolist() == [0, 0] and phrases.row_starts(places[:3], 1).tolist() == [0, 3]
+    docs = spark.createDataFrame([(r[1], r[2]) for r in spoken(9, 200)], "text string, lang string").coalesce(2)
+    start = phrases._hash_start(spark, 0)
+    words = phrases.word_counts(docs, "text", "lang", 1_000).select("lang", "word").distinct()
+    frequent = phrases.Filter(words.select(F.xxhash64(F.lit(0), "lang", "word").alias("id")), 20)
+    found = []
+    for size in (3, 1_000_000):
+        relation = phrases.word_relation(docs, "text", "lang", start, frequent, 500, size)
+        bins = phrases.Filter(phrases.pair_bins(relation, 1), 20)
+        found.append((relation.count(), sorted(map(tuple, phrases.pair_counts(relation, bins, 1).collect()))))
+    assert found[0][0] > 10 * found[1][0] and found[0][1] == found[1][1] != []
